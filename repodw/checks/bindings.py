@@ -5,11 +5,14 @@ Each binding exists twice: as DataFrames, and as the SQL the equivalent queries
 
 from __future__ import annotations
 
+from datetime import date
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repodw.operators.latest import newest_value
+
 
 class Tables:
     def __init__(self, spark: SparkSession, folder: str):
@@ -74,9 +77,9 @@ fx_dim_org AS (SELECT DISTINCT org_name, source_platform FROM fx_fact)"""
         )
 
     @cached_property
-    def last(self) -> Column:
+    def last(self) -> date:
         """The newest snapshot day."""
-        return self.fact.agg(F.max("snapshot_date").alias("day")).scalar()
+        return newest_value(self.fact, "snapshot_date")
 
     @cached_property
     def dim_org(self) -> DataFrame:

@@ -14,7 +14,7 @@ from repodw.checks.rollups import (
 from repodw.functions.numbers import wire_form
 from repodw.operators import filters, paging
 from repodw.plans import ads, clean, dwd, profile, serve
-from repodw.session import scratch_dir
+from repodw.session import scratch_dir, written
 from repodw.sources import export
 from repodw.sources.store import Warehouse
 
@@ -80,7 +80,7 @@ SELECT stat_date AS "statDate", total_repos AS "totalRepos", total_stars AS "tot
        avg_stars AS "avgStars", total_orgs AS "totalOrgs", gitee_repos AS "giteeRepos", github_repos AS "githubRepos"
 FROM ({OVERVIEW})""")
 def _(e):
-    return serve.q_overview(ads.overview(e.projects, e.fact, e.last))
+    return serve.q_overview(written(ads.overview(e.projects, e.fact, e.last), "mart"))
 
 
 RANKING_OUT = """,
@@ -92,13 +92,13 @@ q_ranking AS (
 
 @query("q_ranking", Events, ER + RANKING + RANKING_OUT + "SELECT * FROM q_ranking")
 def _(e):
-    return serve.q_ranking(ranking_of(e))
+    return serve.q_ranking(written(ranking_of(e), "mart"))
 
 
 @query("q_language", Events, ER + LANGUAGE + """
 SELECT language, repo_count AS "repoCount", total_stars AS "totalStars", pct_of_total AS "pctOfTotal" FROM dist""")
 def _(e):
-    return serve.q_language(languages_of(e))
+    return serve.q_language(written(languages_of(e), "mart"))
 
 
 _TREND_OUT = """
@@ -111,13 +111,13 @@ trend AS (SELECT * FROM trend_h
 
 @query("q_trend", Lines, _TREND + _TREND_OUT)
 def _(l):
-    return serve.q_trend(ads.monthly_trend_merged(trend_snapshots_of(l), trend_history_of(l)))
+    return serve.q_trend(written(ads.monthly_trend_merged(trend_snapshots_of(l), trend_history_of(l)), "mart"))
 
 
 @query("peak_point", Lines, LR + TREND_HISTORY + _TREND_OUT.replace("FROM trend", "FROM trend_h") + """
 ORDER BY cumulative_stars DESC, stat_month LIMIT 1""")
 def _(l):
-    return serve.peak_month(serve.q_trend(trend_history_of(l)))
+    return serve.peak_month(serve.q_trend(written(trend_history_of(l), "mart")))
 
 
 _ORGS_OUT = """
@@ -127,19 +127,19 @@ SELECT org_name AS "orgName", source_platform AS platform, repo_count AS "repoCo
 
 @query("q_org_compare", Events, ER + ORGS + _ORGS_OUT)
 def _(e):
-    return serve.q_org_compare(orgs_of(e))
+    return serve.q_org_compare(written(orgs_of(e), "mart"))
 
 
 @query("topn_orgs", Events, ER + ORGS + _ORGS_OUT + " ORDER BY total_stars DESC, org_name LIMIT 15")
 def _(e):
-    return serve.top_orgs(serve.q_org_compare(orgs_of(e)))
+    return serve.top_orgs(serve.q_org_compare(written(orgs_of(e), "mart")))
 
 
 @query("topn_languages", Events, ER + LANGUAGE + """
 SELECT CAST(row_number() OVER (ORDER BY repo_count DESC, language) AS INT) AS row_no, language, repo_count AS "repoCount",
        pct_of_total AS "pctOfTotal" FROM dist ORDER BY 1 LIMIT 15""")
 def _(e):
-    return serve.language_table(serve.q_language(languages_of(e)))
+    return serve.language_table(serve.q_language(written(languages_of(e), "mart")))
 
 
 @query("language_fold", Events, ER + LANGUAGE + """
@@ -147,7 +147,7 @@ SELECT CASE WHEN rn <= 7 THEN language ELSE '其他' END AS language, CAST(sum(r
        CAST(sum(total_stars) AS BIGINT) AS "totalStars"
 FROM (SELECT *, row_number() OVER (ORDER BY repo_count DESC, language) AS rn FROM dist) GROUP BY 1""")
 def _(e):
-    return serve.language_fold(serve.q_language(languages_of(e)))
+    return serve.language_fold(serve.q_language(written(languages_of(e), "mart")))
 
 
 @query("q_org_repos", Events, ED + """
@@ -215,7 +215,7 @@ chosen AS (SELECT *, row_number() OVER (ORDER BY "starsCount" DESC, ranking) AS
 SELECT CASE WHEN rn <= 7 THEN "fullName" ELSE '其他' END AS "fullName", CAST(sum("starsCount") AS BIGINT) AS "starsCount"
 FROM chosen GROUP BY 1""")
 def _(e):
-    return serve.filter_view(serve.q_ranking(ranking_of(e)), platform="github", chart="pie")
+    return serve.filter_view(serve.q_ranking(written(ranking_of(e), "mart")), platform="github", chart="pie")
 
 
 @query("topn_chart", Events, _VIEW + """
@@ -223,12 +223,12 @@ SELECT * FROM q_ranking WHERE language IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD',
 ORDER BY "starsCount" DESC, ranking LIMIT 15""")
 def _(e):
     languages = ["BUILDING", "MACHINERY", "HOUSEHOLD", "AUTOMOBILE"]
-    return serve.filter_view(serve.q_ranking(ranking_of(e)), languages=languages, chart="bar")
+    return serve.filter_view(serve.q_ranking(written(ranking_of(e), "mart")), languages=languages, chart="bar")
 
 
 @query("distinct_languages", Events, _VIEW + "SELECT DISTINCT language FROM q_ranking WHERE language <> ''")
 def _(e):
-    return serve.distinct_languages(serve.q_ranking(ranking_of(e)))
+    return serve.distinct_languages(serve.q_ranking(written(ranking_of(e), "mart")))
 
 
 _POOL = ED + """,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -13,18 +13,16 @@ def daily_with_delta(rows: DataFrame, keys: Sequence[str], day: str, deltas: Map
     """One row per (key, day): the maximum of each measure and its change since exactly one day earlier.
 
     `deltas` maps a measure to the name of its change; `carry` names measures that only get their maximum.
-    Without a row on the day before, or with a null value there, the change is 0. Each row is sent to its own day and to the next one, so the daily maximum and the
-    look back share a single hash aggregation by (key, day): no self join, no sort, and no key wider than a
-    day in one task.
+    Without a row on the day before, or with a null value there, the change is 0. After the daily maximum
+    (with partial aggregation ahead of the shuffle) a key has at most one row per calendar day, so the window
+    sees no key of more rows than there are days. A gap day is told from a neighbour by its date.
     """
     keep = list(deltas) if keep is None else list(keep)
-    shifted = rows.select(*keys, day, *deltas, *carry, F.explode(F.array(F.lit(0), F.lit(1))).alias("_shift"))
-    shifted = shifted.withColumn(day, F.date_add(F.col(day), F.col("_shift")))
-    own_day = F.col("_shift") == 0
-    both = shifted.groupBy(*keys, day).agg(
-        F.min("_shift").alias("_seen"),
-        *[F.max(F.when(own_day, F.col(m))).alias(m) for m in [*deltas, *carry]],
-        *[F.max(F.when(~own_day, F.col(m))).alias(f"_before_{m}") for m in deltas],
-    )
-    change = [(F.col(m) - F.coalesce(F.col(f"_before_{m}"), F.col(m))).alias(name) for m, name in deltas.items()]
-    return both.filter("_seen = 0").select(*keys, day, *keep, *carry, *change)
+    daily = rows.groupBy(*keys, day).agg(*[F.max(m).alias(m) for m in [*deltas, *carry]])
+    before = Window.partitionBy(*keys).orderBy(day)
+    adjacent = F.lag(day).over(before) == F.date_sub(F.col(day), 1)
+    change = [
+        (F.col(m) - F.coalesce(F.when(adjacent, F.lag(m).over(before)), F.col(m))).alias(name)
+        for m, name in deltas.items()
+    ]
+    return daily.select(*keys, day, *keep, *carry, *change)

@@ -1,27 +1,39 @@
-"""Newest-partition filters. The newest value is a scalar subquery: it runs once, on one column, and prunes
-partitions when the column partitions the table."""
+"""Newest-day filters.
+
+The newest value is looked up first, as a one-row job, and then used as a literal: the planner prunes
+partitions and sizes joins before the query runs, and the filter is pushed into the scan.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def newest(df: DataFrame, column: str, required: bool = False) -> Column:
-    """Greatest value of a column as a scalar; on an empty input null, or an error when `required`."""
-    top = F.max(column)
-    if required:
-        top = F.coalesce(top, F.raise_error(F.lit(f"no rows to take the newest {column} from")))
-    return df.agg(top.alias(column)).scalar()
+class NoRows(ValueError):
+    """There is no newest value because the table is empty."""
+
+
+def newest_value(df: DataFrame, column: str):
+    """Greatest value of a column, None without rows."""
+    return df.agg(F.max(column)).first()[0]
+
+
+def rows_on(df: DataFrame, column: str, value) -> DataFrame:
+    """Rows of one day; without a day, none."""
+    return df.filter(F.col(column) == F.lit(value)) if value is not None else df.limit(0)
 
 
-def latest_rows(df: DataFrame, column: str, required: bool = False) -> DataFrame:
-    return df.filter(F.col(column) == newest(df, column, required))
+def latest_rows(df: DataFrame, column: str) -> DataFrame:
+    return rows_on(df, column, newest_value(df, column))
 
 
 def latest_partition(ods: DataFrame) -> DataFrame:
     """Raw-layer rows of the newest load day. An empty table is an error, because the star schema needs one."""
-    return latest_rows(ods, "dt", required=True)
+    day = newest_value(ods, "dt")
+    if day is None:
+        raise NoRows("the raw layer is empty; load a day first")
+    return rows_on(ods, "dt", day)
 
 
 def latest_snapshot(fact: DataFrame) -> DataFrame:

@@ -16,6 +16,12 @@ def top_rows(df: DataFrame, measure: str, count: int, ties: Sequence[str]) -> Da
     return df.orderBy(F.col(measure).desc(), *ties).limit(count)
 
 
+def pinned(df: DataFrame, count: int, key: str) -> tuple[DataFrame, list]:
+    """A frame of at most `count` rows as a local relation, and its keys: computed once, then used for lookups."""
+    rows = df.limit(count).collect()
+    return df.sparkSession.createDataFrame(rows, df.schema), [row[key] for row in rows]
+
+
 def numbered(df: DataFrame, measure: str, ties: Sequence[str], name: str, offset: int = 0) -> DataFrame:
     """Add 1, 2, 3 … in that order. Only for frames already cut to a few rows: the window is global."""
     order = Window.orderBy(F.col(measure).desc(), *[F.col(t) for t in ties])

@@ -1,29 +1,32 @@
-"""Application marts. `stat_date` is a Column (a literal or a scalar subquery); null gives an empty mart."""
+"""Application marts of one day (`stat_date`), and the monthly trend."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import date
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repodw import fixed_values as V
 from repodw.functions.numbers import count_if, ratio
 from repodw.functions.text import month_of_date, month_of_text, not_blank
 from repodw.operators.keyed import upsert
+from repodw.operators.latest import rows_on
 from repodw.operators.shares import share_of_total
-from repodw.operators.topk import numbered, top_rows
+from repodw.operators.topk import numbered, pinned, top_rows
 
 
-def on_day(df: DataFrame, day: Column) -> DataFrame:
-    return df.filter(F.col("snapshot_date") == day)
+def on_day(df: DataFrame, day: date) -> DataFrame:
+    return rows_on(df, "snapshot_date", day)
 
 
-def dim_left_fact(dim: DataFrame, fact: DataFrame, day: Column) -> DataFrame:
+def dim_left_fact(dim: DataFrame, fact: DataFrame, day: date) -> DataFrame:
     """All projects with their facts of one day; projects without a fact that day stay, with nulls."""
     facts = on_day(fact, day).drop("source_platform")
     return dim.join(facts, "project_id", "left")
 
 
-def overview(dim: DataFrame, fact: DataFrame, stat_date: Column) -> DataFrame:
+def overview(dim: DataFrame, fact: DataFrame, stat_date: date) -> DataFrame:
     """One row: all projects, and the stars, forks and organisations of the day."""
     day = on_day(fact, stat_date)
     per_project = day.groupBy("project_id").agg(
@@ -43,26 +46,25 @@ def overview(dim: DataFrame, fact: DataFrame, stat_date: Column) -> DataFrame:
     )
     average = F.coalesce(ratio(F.col("total_stars"), F.col("starred")), F.lit(0).cast("decimal(10,2)"))
     return totals.select(
-        stat_date.alias("stat_date"), "total_repos", "total_stars", "total_forks", orgs.alias("total_orgs"),
+        F.lit(stat_date).alias("stat_date"), "total_repos", "total_stars", "total_forks", orgs.alias("total_orgs"),
         "gitee_repos", "github_repos", average.alias("avg_stars"),
-    ).filter(F.col("stat_date").isNotNull())
+    )
 
 
-def project_ranking(daily: DataFrame, dim: DataFrame, fact: DataFrame, stat_date: Column,
+def project_ranking(daily: DataFrame, dim: DataFrame, fact: DataFrame, stat_date: date,
                     rows: int = V.RANKING_ROWS) -> DataFrame:
     """The most starred projects of the day with their names and growth.
 
-    The top rows are taken before any detail is joined; only projects the dimension knows compete. They are
-    at most `rows`, so broadcasting them is bounded and dimension and facts are read without a shuffle.
+    The top rows are taken before any detail is joined; only projects the dimension knows compete. Being at
+    most `rows`, they are pinned, and dimension and facts are read for their ids alone, with the ids pushed
+    into the scans.
     """
     known = on_day(daily, stat_date).join(dim.select("project_id"), "project_id", "left_semi")
-    top = F.broadcast(top_rows(known, "total_cum_stars", rows, ["project_id"]))
-    named = dim.select("project_id", "project_name", "full_name", "language", "source_platform").join(top, "project_id")
-    # Still at most `rows` projects, now on the outer side: the facts stream past a broadcast of them.
-    orgs = on_day(fact, stat_date).select("project_id", "org_name").join(
-        F.broadcast(top.select("project_id")), "project_id", "left_semi"
-    )
-    wide = named.join(orgs, "project_id", "left")
+    top, ids = pinned(top_rows(known, "total_cum_stars", rows, ["project_id"]), rows, "project_id")
+    mine = F.col("project_id").isin(ids)
+    named = dim.select("project_id", "project_name", "full_name", "language", "source_platform").filter(mine)
+    orgs = on_day(fact, stat_date).select("project_id", "org_name").filter(mine)
+    wide = top.join(named, "project_id").join(orgs, "project_id", "left")
     cut = top_rows(wide, "total_cum_stars", rows, ["project_id", "org_name"])
     return numbered(cut, "total_cum_stars", ["project_id", "org_name"], "rank_num").select(
         F.col("snapshot_date").alias("stat_date"), "rank_num", "project_name", "full_name", "org_name", "language",
@@ -71,7 +73,7 @@ def project_ranking(daily: DataFrame, dim: DataFrame, fact: DataFrame, stat_date
     )
 
 
-def language_dist(language_daily: DataFrame, stat_date: Column) -> DataFrame:
+def language_dist(language_daily: DataFrame, stat_date: date) -> DataFrame:
     """Languages of the day with their share of all stars."""
     day = on_day(language_daily, stat_date)
     return share_of_total(day, "total_stars", "pct_of_total").select(
@@ -79,7 +81,7 @@ def language_dist(language_daily: DataFrame, stat_date: Column) -> DataFrame:
     )
 
 
-def org_compare(org_daily: DataFrame, dim_org: DataFrame, stat_date: Column) -> DataFrame:
+def org_compare(org_daily: DataFrame, dim_org: DataFrame, stat_date: date) -> DataFrame:
     """Organisations of the day; active (100) when they gained repositories that day.
 
     An organisation on two platforms is named by the smaller one and stays a single row.

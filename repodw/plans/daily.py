@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +11,7 @@ from pyspark.sql import types as T
 from repodw import schemas
 from repodw.operators.keyed import unseen
 from repodw.plans import ads, clean, dwd, dws
-from repodw.session import cut_lineage
+from repodw.session import written
 from repodw.sources.raw import raw_order, read_day_files
 from repodw.sources.store import Warehouse
 
@@ -71,12 +73,12 @@ def load_star(warehouse: Warehouse, day: str) -> tuple[DataFrame, list[str]]:
 def refresh_rollups(warehouse: Warehouse, dim: DataFrame, day: str, restated: list[str]) -> None:
     """Deltas change on this day and the next; language and platform rollups on the restated days."""
     fact = warehouse.read("fact_repo_stats")
-    date = F.lit(day).cast("date")
-    near = fact.filter(F.col("snapshot_date").between(F.date_sub(date, 1), F.date_add(date, 1)))
-    touched = F.col("snapshot_date").between(date, F.date_add(date, 1))
+    this = date.fromisoformat(day)
+    near = fact.filter(F.col("snapshot_date").between(this - timedelta(1), this + timedelta(1)))
+    touched = F.col("snapshot_date").between(this, this + timedelta(1))
     warehouse.replace_days("dws_project_daily", dws.project_daily(near).filter(touched), day)
     warehouse.replace_days("dws_org_daily", dws.org_daily(near).filter(touched), day)
-    days = fact.filter(F.col("snapshot_date").isin([F.lit(d).cast("date") for d in restated]))
+    days = fact.filter(F.col("snapshot_date").isin([date.fromisoformat(d) for d in restated]))
     _write_attribute_rollups(warehouse, days, dim, day)
 
 
@@ -90,7 +92,7 @@ def rebuild_rollups(warehouse: Warehouse) -> None:
 
 def _write_attribute_rollups(warehouse: Warehouse, fact: DataFrame, dim: DataFrame, day: str | None) -> None:
     # The cube is small (languages x platforms x days) and feeds two tables: computed once.
-    cube = cut_lineage(dws.attribute_daily(fact, dim))
+    cube = written(dws.attribute_daily(fact, dim), "cube")
     warehouse.replace_days("dws_language_daily", dws.language_of(cube), day)
     warehouse.replace_days("dws_platform_daily", dws.platform_of(cube), day)
 
@@ -101,7 +103,7 @@ def refresh_marts(warehouse: Warehouse) -> None:
     if last is None:
         return
     fact, dim = warehouse.read("fact_repo_stats"), warehouse.read("dim_project")
-    day = F.lit(last).cast("date")
+    day = date.fromisoformat(last)
     project, org, platform, language = (
         warehouse.read(t) for t in
         ("dws_project_daily", "dws_org_daily", "dws_platform_daily", "dws_language_daily")

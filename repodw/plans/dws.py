@@ -7,7 +7,9 @@ refresh some days only, pass facts of those days; `previous` days for the deltas
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import date, timedelta
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from repodw.functions.numbers import ratio
@@ -25,10 +27,14 @@ def project_daily(fact: DataFrame) -> DataFrame:
     return rows.withColumnsRenamed({"stars_count": "total_cum_stars", "forks_count": "total_cum_forks"})
 
 
-def project_daily_on(fact: DataFrame, day: Column) -> DataFrame:
-    """project_daily of a single day, reading that day and the one before."""
-    two_days = fact.filter((F.col("snapshot_date") >= F.date_sub(day, 1)) & (F.col("snapshot_date") <= day))
-    return project_daily(two_days).filter(F.col("snapshot_date") == day)
+def with_day_before(fact: DataFrame, day: date) -> DataFrame:
+    """Facts of a day and of the one before: all that the day's changes need."""
+    return fact.filter(F.col("snapshot_date").between(day - timedelta(1), day))
+
+
+def project_daily_on(fact: DataFrame, day: date) -> DataFrame:
+    """project_daily of a single day."""
+    return project_daily(with_day_before(fact, day)).filter(F.col("snapshot_date") == day)
 
 
 def attribute_daily(fact: DataFrame, dim: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the results or the plans rely on. Sizes of the cluster are left to whoever submits the job.
 SETTINGS = {
@@ -39,9 +39,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/repodw-{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
-    """Checkpoint into the shared scratch folder, so that lost executors do not lose the rows."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(scratch_root(df.sparkSession))
-    return df.checkpoint()
+def written(df: DataFrame, name: str = "part") -> DataFrame:
+    """The rows, written once to the shared scratch folder and read from there.
+
+    For a result that several queries read: computed a single time, and safe when executors are lost.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
