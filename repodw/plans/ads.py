@@ -64,7 +64,7 @@ def project_ranking(daily: DataFrame, dim: DataFrame, fact: DataFrame, stat_date
     mine = F.col("project_id").isin(ids)
     named = dim.select("project_id", "project_name", "full_name", "language", "source_platform").filter(mine)
     orgs = on_day(fact, stat_date).select("project_id", "org_name").filter(mine)
-    wide = top.join(named, "project_id").join(orgs, "project_id", "left")
+    wide = named.join(F.broadcast(top), "project_id").join(orgs, "project_id", "left")
     cut = top_rows(wide, "total_cum_stars", rows, ["project_id", "org_name"])
     return numbered(cut, "total_cum_stars", ["project_id", "org_name"], "rank_num").select(
         F.col("snapshot_date").alias("stat_date"), "rank_num", "project_name", "full_name", "org_name", "language",
@@ -97,51 +97,47 @@ def org_compare(org_daily: DataFrame, dim_org: DataFrame, stat_date: date) -> Da
     )
 
 
-def month_end_total(platform_daily: DataFrame) -> DataFrame:
-    """Stars over all platforms on the last snapshot day of each month."""
-    days = platform_daily.groupBy("snapshot_date").agg(F.sum("total_stars").alias("stars"))
+def platform_months(platform_daily: DataFrame) -> DataFrame:
+    """Per month: active projects added up over days, and the stars of all platforms on its last snapshot day."""
+    days = platform_daily.groupBy("snapshot_date").agg(
+        F.sum("total_stars").alias("stars"), F.sum("active_projects").alias("active")
+    )
     return days.groupBy(month_of_date(F.col("snapshot_date")).alias("stat_month")).agg(
-        F.max_by("stars", "snapshot_date").alias("cumulative_stars")
+        F.sum("active").alias("active_repos"), F.max_by("stars", "snapshot_date").alias("cumulative_stars")
     )
 
 
+def month_end_total(platform_daily: DataFrame) -> DataFrame:
+    return platform_months(platform_daily).select("stat_month", "cumulative_stars")
+
+
 _TREND = ["new_repos", "active_repos", "new_stars", "cumulative_stars"]
 
 
-def _stack_months(spine: DataFrame, parts: dict[str, DataFrame]) -> DataFrame:
-    """Left-join monthly measures to a month spine, gaps as 0, as one union and one aggregation by month.
+def monthly_trend_snapshots(project_daily: DataFrame, org_daily: DataFrame, platform_daily: DataFrame) -> DataFrame:
+    """Monthly trend over the months that have project snapshots; what a month lacks is 0.
 
-    Each part has stat_month and a measure to be summed. The parts may still be daily: partial aggregation
-    brings them down to one row per task and month.
+    Instead of joining monthly aggregates to a month spine, the rows of all three rollups are stacked and
+    added up by month once, each bringing the measures it has: partial aggregation leaves one row per task
+    and month to shuffle.
     """
-    def row(df: DataFrame, flag: int, measure: str | None) -> DataFrame:
-        values = [(F.col(m) if m == measure else F.lit(None)).cast("long").alias(m) for m in _TREND]
-        return df.select("stat_month", F.lit(flag).alias("in_spine"), *values)
-
-    stacked = row(spine, 1, None)
-    for measure, part in parts.items():
-        stacked = stacked.unionByName(row(part, 0, measure))
+    month = month_of_date(F.col("snapshot_date")).alias("stat_month")
+    parts = [
+        project_daily.select(month, F.lit(1).alias("in_spine"), F.col("curr_day_new_stars").alias("new_stars")),
+        org_daily.select(month, F.lit(0).alias("in_spine"), F.col("curr_day_new_repos").alias("new_repos")),
+        platform_months(platform_daily).withColumn("in_spine", F.lit(0)),
+    ]
+    stacked = parts[0]
+    for part in parts[1:]:
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
     return (
         stacked.groupBy("stat_month")
-        .agg(F.max("in_spine").alias("in_spine"), *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in _TREND])
+        .agg(F.max("in_spine").alias("in_spine"),
+             *[F.coalesce(F.sum(F.col(m).cast("long")), F.lit(0)).alias(m) for m in _TREND])
         .filter("in_spine = 1").select("stat_month", *_TREND)
     )
 
 
-def monthly_trend_snapshots(project_daily: DataFrame, org_daily: DataFrame, platform_daily: DataFrame) -> DataFrame:
-    """Monthly trend over the months that have snapshots."""
-    month = month_of_date(F.col("snapshot_date")).alias("stat_month")
-    return _stack_months(
-        project_daily.select(month),
-        {
-            "new_repos": org_daily.select(month, F.col("curr_day_new_repos").alias("new_repos")),
-            "active_repos": platform_daily.select(month, F.col("active_projects").alias("active_repos")),
-            "new_stars": project_daily.select(month, F.col("curr_day_new_stars").alias("new_stars")),
-            "cumulative_stars": month_end_total(platform_daily),
-        },
-    )
-
-
 def created_by_month(ods: DataFrame, distinct_repos: bool = False) -> DataFrame:
     """Repositories by the month they were created in. Every load day counts its rows, unless
     `distinct_repos` asks for each repository once."""

@@ -132,3 +132,8 @@ KEYS = {
     "ads_monthly_trend": ["stat_month"],
     "ads_org_compare": ["stat_date", "org_name"],
 }
+
+
+def raw_without(*columns: str) -> T.StructType:
+    """The raw schema for older files that lack some columns altogether, so that these get their defaults."""
+    return T.StructType([field for field in RAW.fields if field.name not in columns])
