@@ -152,8 +152,8 @@ def _(o):
     warehouse = store.Warehouse(o.spark, scratch_dir(o.spark, "ods"))
     second = clean.normalize_ods(o.raw, "2026-08-07")
     warehouse.replace_days("ods_repos_raw", clean.normalize_ods(o.raw.filter("repo_id % 2 = 0"), "2026-08-06"))
-    warehouse.replace_days("ods_repos_raw", second, "2026-08-07")
-    warehouse.replace_days("ods_repos_raw", second, "2026-08-07")
+    warehouse.replace_days("ods_repos_raw", second, ["2026-08-07"])
+    warehouse.replace_days("ods_repos_raw", second, ["2026-08-07"])
     return warehouse.read("ods_repos_raw").select("repo_id", "full_name", "stars_count", "dt")
 
 

@@ -8,8 +8,8 @@ from repodw import fixed_values as V
 from repodw.checks.bindings import Audit, Documents, Events, Lines
 from repodw.checks.registry import query, sql_day, sql_ratio
 from repodw.checks.rollups import (
-    E, ER, L, LANGUAGE, LR, ORGS, OVERVIEW, RANKING, TREND_HISTORY, TREND_SNAPSHOTS, languages_of, orgs_of, ranking_of,
-    trend_history_of, trend_snapshots_of,
+    E, ER, L, LANGUAGE, LR, ORGS, OVERVIEW, RANKING, TREND_HISTORY, TREND_SNAPSHOTS, languages_of, merged_of, orgs_of,
+    ranking_of, trend_history_of,
 )
 from repodw.functions.numbers import wire_form
 from repodw.operators import filters, paging
@@ -111,7 +111,7 @@ trend AS (SELECT * FROM trend_h
 
 @query("q_trend", Lines, _TREND + _TREND_OUT)
 def _(l):
-    return serve.q_trend(written(ads.monthly_trend_merged(trend_snapshots_of(l), trend_history_of(l)), "mart"))
+    return serve.q_trend(written(merged_of(l), "mart"))
 
 
 @query("peak_point", Lines, LR + TREND_HISTORY + _TREND_OUT.replace("FROM trend", "FROM trend_h") + """
@@ -414,7 +414,7 @@ def _(e):
     """Two load days, the second one loaded twice: the day is replaced, not doubled."""
     warehouse = Warehouse(e.spark, scratch_dir(e.spark, "facts"))
     for day in ("2024-01-29", "2024-01-30", "2024-01-30"):
-        warehouse.replace_days("fact_repo_stats", dwd.fact_rows(e.ods.filter(F.col("dt") == day)), day)
+        warehouse.replace_days("fact_repo_stats", dwd.fact_rows(e.ods.filter(F.col("dt") == day)), [day])
     return warehouse.read("fact_repo_stats").select("project_id", "org_name", "stars_count", "snapshot_date")
 
 
@@ -432,5 +432,5 @@ def _(e):
     orgs = dws.org_daily(e.fact)
     warehouse.replace_days("dws_org_daily", orgs)
     newest = orgs.filter("snapshot_date = DATE '2024-01-30' AND repo_count > 1")
-    warehouse.replace_days("dws_org_daily", newest.withColumn("repo_count", F.col("repo_count") + 1), "2024-01-30")
+    warehouse.replace_days("dws_org_daily", newest.withColumn("repo_count", F.col("repo_count") + 1), ["2024-01-30"])
     return warehouse.read("dws_org_daily").select("org_name", "repo_count", "snapshot_date")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -103,52 +104,12 @@ def platform_months(platform_daily: DataFrame) -> DataFrame:
         F.sum("total_stars").alias("stars"), F.sum("active_projects").alias("active")
     )
     return days.groupBy(month_of_date(F.col("snapshot_date")).alias("stat_month")).agg(
-        F.sum("active").alias("active_repos"), F.max_by("stars", "snapshot_date").alias("cumulative_stars")
+        F.sum("active").alias("platform_active"), F.max_by("stars", "snapshot_date").alias("month_end_stars")
     )
 
 
 def month_end_total(platform_daily: DataFrame) -> DataFrame:
-    return platform_months(platform_daily).select("stat_month", "cumulative_stars")
-
-
-_TREND = ["new_repos", "active_repos", "new_stars", "cumulative_stars"]
-
-
-def monthly_trend_snapshots(project_daily: DataFrame, org_daily: DataFrame, platform_daily: DataFrame) -> DataFrame:
-    """Monthly trend over the months that have project snapshots; what a month lacks is 0.
-
-    Instead of joining monthly aggregates to a month spine, the rows of all three rollups are stacked and
-    added up by month once, each bringing the measures it has: partial aggregation leaves one row per task
-    and month to shuffle.
-    """
-    month = month_of_date(F.col("snapshot_date")).alias("stat_month")
-    parts = [
-        project_daily.select(month, F.lit(1).alias("in_spine"), F.col("curr_day_new_stars").alias("new_stars")),
-        org_daily.select(month, F.lit(0).alias("in_spine"), F.col("curr_day_new_repos").alias("new_repos")),
-        platform_months(platform_daily).withColumn("in_spine", F.lit(0)),
-    ]
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part, allowMissingColumns=True)
-    return (
-        stacked.groupBy("stat_month")
-        .agg(F.max("in_spine").alias("in_spine"),
-             *[F.coalesce(F.sum(F.col(m).cast("long")), F.lit(0)).alias(m) for m in _TREND])
-        .filter("in_spine = 1").select("stat_month", *_TREND)
-    )
-
-
-def created_by_month(ods: DataFrame, distinct_repos: bool = False) -> DataFrame:
-    """Repositories by the month they were created in. Every load day counts its rows, unless
-    `distinct_repos` asks for each repository once."""
-    rows = ods.filter(not_blank(F.col("created_at")))
-    month = month_of_text(F.col("created_at")).alias("stat_month")
-    if distinct_repos:
-        rows = rows.select("repo_id", "source_platform", "created_at").distinct()
-        return rows.select(month, "repo_id", "source_platform").distinct().groupBy("stat_month").agg(
-            F.count(F.lit(1)).alias("new_repos")
-        )
-    return rows.groupBy(month).agg(F.count(F.lit(1)).alias("new_repos"))
+    return platform_months(platform_daily).select("stat_month", F.col("month_end_stars").alias("cumulative_stars"))
 
 
 def project_months(project_daily: DataFrame) -> DataFrame:
@@ -160,21 +121,65 @@ def project_months(project_daily: DataFrame) -> DataFrame:
         month_of_date(F.col("snapshot_date")).alias("stat_month"), "project_id"
     ).agg(F.max("total_cum_stars").alias("best"), F.sum("curr_day_new_stars").alias("gained"))
     return per_project.groupBy("stat_month").agg(
-        F.count("project_id").alias("active_repos"),
+        F.count("project_id").alias("active_projects"),
         F.sum("gained").alias("new_stars"),
-        F.sum("best").alias("cumulative_stars"),
+        F.sum("best").alias("best_stars"),
     )
 
 
-def monthly_trend_history(ods: DataFrame, project_daily: DataFrame, distinct_repos: bool = False) -> DataFrame:
-    """Monthly trend over the months repositories were created in."""
-    created = created_by_month(ods, distinct_repos)
-    measures = [m for m in _TREND if m != "new_repos"]
-    return created.join(project_months(project_daily), "stat_month", "left").select(
-        "stat_month", "new_repos", *[F.coalesce(m, F.lit(0)).cast("long").alias(m) for m in measures]
+_MONTH_SUMS = ["org_new_repos", "platform_active", "new_stars", "month_end_stars", "active_projects", "best_stars"]
+
+
+def monthly(project_daily: DataFrame, org_daily: DataFrame, platform_daily: DataFrame) -> DataFrame:
+    """All month sums, over the months that have project snapshots; what a month lacks is 0.
+
+    Instead of joining monthly aggregates to a month spine, the parts are stacked and added up by month once,
+    each bringing the sums it has; a month is kept when the project part has it.
+    """
+    org = org_daily.groupBy(month_of_date(F.col("snapshot_date")).alias("stat_month")).agg(
+        F.sum("curr_day_new_repos").alias("org_new_repos")
+    )
+    stacked = project_months(project_daily).withColumn("in_spine", F.lit(1))
+    for part in (org, platform_months(platform_daily)):
+        stacked = stacked.unionByName(part, allowMissingColumns=True)
+    return (
+        stacked.groupBy("stat_month")
+        .agg(F.max("in_spine").alias("in_spine"),
+             *[F.coalesce(F.sum(F.col(m).cast("long")), F.lit(0)).alias(m) for m in _MONTH_SUMS])
+        .filter("in_spine = 1").select("stat_month", *_MONTH_SUMS)
     )
 
 
+def monthly_trend_snapshots(months: DataFrame) -> DataFrame:
+    """Monthly trend over the months that have snapshots."""
+    return months.select(
+        "stat_month", F.col("org_new_repos").alias("new_repos"), F.col("platform_active").alias("active_repos"),
+        "new_stars", F.col("month_end_stars").alias("cumulative_stars"),
+    )
+
+
+def created_by_month(ods: DataFrame, distinct_repos: bool = False, by: Sequence[str] = ()) -> DataFrame:
+    """Repositories by the month they were created in (and by further columns). Every load day counts its
+    rows, unless `distinct_repos` asks for each repository once."""
+    rows = ods.filter(not_blank(F.col("created_at")))
+    month = month_of_text(F.col("created_at")).alias("stat_month")
+    if distinct_repos:
+        rows = rows.select(month, "repo_id", "source_platform", *by).distinct()
+        return rows.groupBy("stat_month", *by).agg(F.count(F.lit(1)).alias("new_repos"))
+    return rows.groupBy(month, *by).agg(F.count(F.lit(1)).alias("new_repos"))
+
+
+def monthly_trend_history(created: DataFrame, months: DataFrame) -> DataFrame:
+    """Monthly trend over the months repositories were created in (rows of created_by_month, which may be
+    split by load day), with the sums of project_months."""
+    new = created.groupBy("stat_month").agg(F.sum("new_repos").alias("new_repos"))
+    joined = new.join(months.select("stat_month", "active_projects", "new_stars", "best_stars"), "stat_month", "left")
+    return joined.select("stat_month", "new_repos", *[
+        F.coalesce(source, F.lit(0)).cast("long").alias(name) for source, name in
+        {"active_projects": "active_repos", "new_stars": "new_stars", "best_stars": "cumulative_stars"}.items()
+    ])
+
+
 def monthly_trend_merged(snapshots: DataFrame, history: DataFrame) -> DataFrame:
     """Final trend: months of the history replace equal months of the snapshots."""
     return upsert(snapshots, history, ["stat_month"])

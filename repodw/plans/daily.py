@@ -26,7 +26,8 @@ def run_day(spark: SparkSession, raw_dir: str, warehouse: Warehouse, day: str,
 def load_ods(warehouse: Warehouse, raw: DataFrame, day: str) -> None:
     """Clean the raw records of a day and replace its raw-layer partition."""
     rows = clean.clean_repos(raw, raw_order())
-    warehouse.replace_days("ods_repos_raw", clean.normalize_ods(rows, day), day)
+    # The deduplication has spread the rows already; writing needs no further shuffle.
+    warehouse.replace_days("ods_repos_raw", clean.normalize_ods(rows, day), [day], rebalance=False)
 
 
 def refresh_day(warehouse: Warehouse, day: str) -> None:
@@ -37,6 +38,7 @@ def refresh_day(warehouse: Warehouse, day: str) -> None:
     """
     staged, restated = load_star(warehouse, day)
     refresh_rollups(warehouse, staged, day, restated)
+    refresh_months(warehouse, day, restated)
     warehouse.publish("dim_project")
     refresh_marts(warehouse)
 
@@ -56,17 +58,18 @@ def load_star(warehouse: Warehouse, day: str) -> tuple[DataFrame, list[str]]:
             ~F.col("new.language").eqNullSafe(F.col("old.language"))
             | ~F.col("new.source_platform").eqNullSafe(F.col("old.source_platform"))
         ).select("project_id")
-        # At most one value per calendar day, so the driver holds a bounded list.
-        days = warehouse.read("fact_repo_stats").join(changed, "project_id", "left_semi").select(
-            F.col("snapshot_date").cast("string").alias("day")
-        ).distinct().collect()
+        if not changed.isEmpty():
+            # At most one value per calendar day, so the driver holds a bounded list.
+            days = warehouse.read("fact_repo_stats").join(changed, "project_id", "left_semi").select(
+                F.col("snapshot_date").cast("string").alias("day")
+            ).distinct().collect()
         dim = dwd.scd1_project(old, ods_day)
     else:
         # A late day knows older attributes: it only adds projects not seen since.
         dim = old.unionByName(unseen(old, rows, ["project_id"]), allowMissingColumns=True)
     staged = warehouse.stage("dim_project", dim)
     warehouse.append_unseen("dim_org", dwd.distinct_orgs(ods_day))
-    warehouse.replace_days("fact_repo_stats", dwd.fact_rows(ods_day), day)
+    warehouse.replace_days("fact_repo_stats", dwd.fact_rows(ods_day), [day])
     return staged, sorted({row["day"] for row in days} | {day})
 
 
@@ -76,10 +79,11 @@ def refresh_rollups(warehouse: Warehouse, dim: DataFrame, day: str, restated: li
     this = date.fromisoformat(day)
     near = fact.filter(F.col("snapshot_date").between(this - timedelta(1), this + timedelta(1)))
     touched = F.col("snapshot_date").between(this, this + timedelta(1))
-    warehouse.replace_days("dws_project_daily", dws.project_daily(near).filter(touched), day)
-    warehouse.replace_days("dws_org_daily", dws.org_daily(near).filter(touched), day)
+    both = [day, (this + timedelta(1)).isoformat()]
+    warehouse.replace_days("dws_project_daily", dws.project_daily(near).filter(touched), both)
+    warehouse.replace_days("dws_org_daily", dws.org_daily(near).filter(touched), both)
     days = fact.filter(F.col("snapshot_date").isin([date.fromisoformat(d) for d in restated]))
-    _write_attribute_rollups(warehouse, days, dim, day)
+    _write_attribute_rollups(warehouse, days, dim, restated)
 
 
 def rebuild_rollups(warehouse: Warehouse) -> None:
@@ -87,14 +91,41 @@ def rebuild_rollups(warehouse: Warehouse) -> None:
     fact = warehouse.read("fact_repo_stats")
     warehouse.replace_days("dws_project_daily", dws.project_daily(fact))
     warehouse.replace_days("dws_org_daily", dws.org_daily(fact))
-    _write_attribute_rollups(warehouse, fact, warehouse.read("dim_project"), None)
+    _write_attribute_rollups(warehouse, fact, warehouse.read("dim_project"), [])
 
 
-def _write_attribute_rollups(warehouse: Warehouse, fact: DataFrame, dim: DataFrame, day: str | None) -> None:
+def _write_attribute_rollups(warehouse: Warehouse, fact: DataFrame, dim: DataFrame, days: list[str]) -> None:
     # The cube is small (languages x platforms x days) and feeds two tables: computed once.
     cube = written(dws.attribute_daily(fact, dim), "cube")
-    warehouse.replace_days("dws_language_daily", dws.language_of(cube), day)
-    warehouse.replace_days("dws_platform_daily", dws.platform_of(cube), day)
+    warehouse.replace_days("dws_language_daily", dws.language_of(cube), days)
+    warehouse.replace_days("dws_platform_daily", dws.platform_of(cube), days)
+
+
+def refresh_months(warehouse: Warehouse, day: str, restated: list[str]) -> None:
+    """Month sums of the months this load touches, and the creation months of the day's raw rows."""
+    next_day = (date.fromisoformat(day) + timedelta(1)).isoformat()
+    months = sorted({d[:7] for d in [*restated, day, next_day]})
+    touched = F.lit(False)
+    for month in months:
+        first = date.fromisoformat(f"{month}-01")
+        after = (first + timedelta(32)).replace(day=1)
+        touched = touched | ((F.col("snapshot_date") >= first) & (F.col("snapshot_date") < after))
+    project, org, platform = (
+        warehouse.read(t).filter(touched) for t in ("dws_project_daily", "dws_org_daily", "dws_platform_daily")
+    )
+    warehouse.replace_days("dws_monthly", ads.monthly(project, org, platform), months)
+    ods_day = warehouse.read("ods_repos_raw").filter(F.col("dt") == day)
+    created = ads.created_by_month(ods_day).withColumn("dt", F.lit(day))
+    warehouse.replace_days("dws_created_monthly", created, [day])
+
+
+def rebuild_months(warehouse: Warehouse) -> None:
+    """All month sums from all rollups and raw rows."""
+    project, org, platform = (
+        warehouse.read(t) for t in ("dws_project_daily", "dws_org_daily", "dws_platform_daily")
+    )
+    warehouse.replace_days("dws_monthly", ads.monthly(project, org, platform))
+    warehouse.replace_days("dws_created_monthly", ads.created_by_month(warehouse.read("ods_repos_raw"), by=["dt"]))
 
 
 def refresh_marts(warehouse: Warehouse) -> None:
@@ -104,15 +135,15 @@ def refresh_marts(warehouse: Warehouse) -> None:
         return
     fact, dim = warehouse.read("fact_repo_stats"), warehouse.read("dim_project")
     day = date.fromisoformat(last)
-    project, org, platform, language = (
-        warehouse.read(t) for t in
-        ("dws_project_daily", "dws_org_daily", "dws_platform_daily", "dws_language_daily")
+    project, org, language = (
+        warehouse.read(t) for t in ("dws_project_daily", "dws_org_daily", "dws_language_daily")
     )
     warehouse.replace_days("ads_overview", ads.overview(dim, fact, day))
     warehouse.replace_days("ads_project_ranking", ads.project_ranking(project, dim, fact, day))
     warehouse.replace_days("ads_language_dist", ads.language_dist(language, day))
     warehouse.replace_days("ads_org_compare", ads.org_compare(org, warehouse.read("dim_org"), day))
-    snapshots = ads.monthly_trend_snapshots(project, org, platform)
-    history = ads.monthly_trend_history(warehouse.read("ods_repos_raw"), project)
-    warehouse.replace_days("ads_monthly_trend", ads.monthly_trend_merged(snapshots, history))
+    months = warehouse.read("dws_monthly")
+    history = ads.monthly_trend_history(warehouse.read("dws_created_monthly"), months)
+    trend = ads.monthly_trend_merged(ads.monthly_trend_snapshots(months), history)
+    warehouse.replace_days("ads_monthly_trend", trend)
 

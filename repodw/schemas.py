@@ -83,6 +83,12 @@ TABLES = {
     "dws_platform_daily": _schema(
         "source_platform:str repo_count:long total_stars:long active_projects:long snapshot_date:date"
     ),
+    # Month sums kept so that a load reads the months it touches, not all of history.
+    "dws_monthly": _schema(
+        "org_new_repos:long platform_active:long new_stars:long month_end_stars:long active_projects:long "
+        "best_stars:long stat_month:str"
+    ),
+    "dws_created_monthly": _schema("stat_month:str new_repos:long dt:str"),
     "ads_overview": _schema(
         "total_repos:long total_stars:long total_forks:long total_orgs:long gitee_repos:long "
         "github_repos:long avg_stars:dec10 stat_date:date"
@@ -111,6 +117,8 @@ PARTITIONED_BY = {
     "dws_language_daily": "snapshot_date",
     "dws_org_daily": "snapshot_date",
     "dws_platform_daily": "snapshot_date",
+    "dws_monthly": "stat_month",
+    "dws_created_monthly": "dt",
     "ads_overview": "stat_date",
     "ads_project_ranking": "stat_date",
     "ads_language_dist": "stat_date",
@@ -118,6 +126,12 @@ PARTITIONED_BY = {
     "ads_org_compare": "stat_date",
 }
 
+# Columns that spread one partition's rows evenly over tasks when it is written.
+SPREAD_BY = {
+    "ods_repos_raw": ["repo_id"], "fact_repo_stats": ["project_id"], "dws_project_daily": ["project_id"],
+    "dws_org_daily": ["org_name"],
+}
+
 KEYS = {
     "dim_project": ["project_id"],
     "dim_org": ["org_name", "source_platform"],
@@ -126,6 +140,8 @@ KEYS = {
     "dws_language_daily": ["language", "snapshot_date"],
     "dws_org_daily": ["org_name", "snapshot_date"],
     "dws_platform_daily": ["source_platform", "snapshot_date"],
+    "dws_monthly": ["stat_month"],
+    "dws_created_monthly": ["stat_month", "dt"],
     "ads_overview": ["stat_date"],
     "ads_project_ranking": ["stat_date", "rank_num"],
     "ads_language_dist": ["stat_date", "language"],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,22 +30,29 @@ class Warehouse:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
-    def replace_days(self, table: str, df: DataFrame, day: str | None = None) -> None:
-        """Replace exactly the partitions that occur in `df`; other days stay.
+    def replace_days(self, table: str, df: DataFrame, days: Sequence[str] = (), rebalance: bool = True) -> None:
+        """Replace exactly the partitions that occur in `df`; others stay.
 
-        With `day` given, that partition is also emptied when `df` has no rows for it. The rebalance hint lets
-        adaptive execution split a big day over several files and merge small ones.
+        The partitions named in `days` are also emptied when `df` has no rows for them. Before writing, rows
+        are rebalanced by the partition column, or for named days by a key, so that adaptive execution gives
+        files of a useful size: a big day is split, small ones are merged.
         """
         column = schemas.PARTITIONED_BY[table]
+        out = self._fit(table, df)
+        if rebalance:
+            spread = schemas.SPREAD_BY.get(table, [column]) if days else [column]
+            out = out.hint("rebalance", *[F.col(c) for c in spread])
         seen = Observation()
-        of_day = F.count(F.when(F.col(column).cast("string") == F.lit(day), 1))
-        out = self._fit(table, df).hint("rebalance", F.col(column)).observe(seen, of_day.alias("n"))
+        if days:
+            value = F.col(column).cast("string")
+            out = out.observe(seen, *[F.count(F.when(value == day, 1)).alias(day) for day in days])
         (
             out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column)
             .parquet(self.path(table))
         )
-        if day is not None and seen.get["n"] == 0:
-            self._delete(f"{self.path(table)}/{column}={day}")
+        for day in days:
+            if seen.get[day] == 0:
+                self._delete(f"{self.path(table)}/{column}={day}")
 
     def newest_partition(self, table: str) -> str | None:
         """Greatest partition value, from the folder names: no data file is opened."""

@@ -155,7 +155,7 @@ def test_month_end_is_the_last_day_with_data(spark):
     platform = spark.createDataFrame(
         [("a", date(2024, 1, 5), 10, 1), ("b", date(2024, 1, 5), 20, 1), ("a", date(2024, 1, 9), 7, 2),
          ("a", date(2024, 2, 1), 8, 3)], "source_platform string, snapshot_date date, total_stars long, active_projects long")
-    assert rows_of(ads.platform_months(platform), "stat_month", "active_repos", "cumulative_stars") == [
+    assert rows_of(ads.platform_months(platform), "stat_month", "platform_active", "month_end_stars") == [
         ("2024-01", 4, 7), ("2024-02", 3, 8)]
 
 

@@ -73,6 +73,7 @@ def test_days_reruns_late_days_and_rebuild_agree(spark, raw_dir, tmp_path):
 
     # All rollups from scratch equal the day by day ones.
     daily.rebuild_rollups(warehouse)
+    daily.rebuild_months(warehouse)
     assert contents(warehouse) == first
 
     # A day that comes late repairs the changes of the day after it.
@@ -89,7 +90,7 @@ def test_days_reruns_late_days_and_rebuild_agree(spark, raw_dir, tmp_path):
 def test_emptied_day_is_removed(spark, raw_dir, tmp_path):
     warehouse = load(spark, raw_dir, tmp_path / "w", DAYS[:2])
     ods = warehouse.read("ods_repos_raw").filter(F.lit(False))
-    warehouse.replace_days("ods_repos_raw", ods, DAYS[1])
+    warehouse.replace_days("ods_repos_raw", ods, [DAYS[1]])
     assert rows_of(warehouse.read("ods_repos_raw").select("dt").distinct(), "dt") == [(DAYS[0],)]
     assert warehouse.newest_partition("ods_repos_raw") == DAYS[0]
 
