@@ -89,7 +89,7 @@ fx_dim_org AS (SELECT DISTINCT org_name, source_platform FROM fx_fact)"""
     def ods(self) -> DataFrame:
         """Raw-layer rows; the language carries the day, so that a later day changes it."""
         names = self.dim.select("project_id", "project_name", "full_name", "language")
-        day = F.date_format("snapshot_date", "yyyy-MM-dd")
+        day = F.col("snapshot_date").cast("string")
         return self.fact.join(names, "project_id").select(
             F.col("project_id").alias("repo_id"), F.col("project_name").alias("name"), "full_name",
             F.lit("").alias("description"), F.concat("language", F.lit("@"), day).alias("language"),
@@ -133,7 +133,7 @@ fx_fact AS (
         return self.table("orders").select(
             F.col("o_orderkey").alias("repo_id"), F.col("o_custkey").alias("org_key"),
             F.col("o_orderstatus").alias("source_platform"),
-            F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+08:00")).alias("created_at"),
+            F.concat(F.replace(F.col("o_orderdate").cast("string"), F.lit(" "), F.lit("T")), F.lit("+08:00")).alias("created_at"),
         )
 
     @cached_property

@@ -13,6 +13,7 @@ from repodw.operators import dedup
 from repodw.plans import clean
 from repodw.session import scratch_dir
 from repodw.sources import calendar, payload, raw, selection, store
+from repodw.streaming.ingest import ingest_new_files
 
 O = Documents.SQL
 PATTERN = "license|copyright"
@@ -157,6 +158,23 @@ def _(o):
     return warehouse.read("ods_repos_raw").select("repo_id", "full_name", "stars_count", "dt")
 
 
+@query("resume_ingest_stream", Documents, O + f"""
+SELECT repo_id, full_name, {_DESCRIPTION} AS description, {_LANGUAGE} AS language, source_platform, dt FROM (
+  SELECT *, '2026-08-06' AS dt FROM fx_raw WHERE repo_id % 2 = 0
+  UNION ALL SELECT *, '2026-08-07' AS dt FROM fx_raw)
+WHERE NOT {_ARCHIVED} AND NOT {_SPAM} AND NOT ({_ON_GITEE} AND regexp_matches(coalesce(description, ''), '(?i)迁移|migrated'))""")
+def _(o):
+    """Two days land one after the other; each run of the stream loads the day that is new."""
+    folder, progress = scratch_dir(o.spark, "landing"), scratch_dir(o.spark, "progress")
+    warehouse = store.Warehouse(o.spark, scratch_dir(o.spark, "ods"))
+    for day, rows in {"2026-08-06": o.raw.filter("repo_id % 2 = 0"), "2026-08-07": o.raw}.items():
+        raw.write_raw_arrays(rows, f"{folder}/landed{day}", day, _collected_from())
+        ingest_new_files(o.spark, folder, warehouse, progress, marts=False, names="part-*")
+    return warehouse.read("ods_repos_raw").select(
+        "repo_id", "full_name", "description", "language", "source_platform", "dt"
+    )
+
+
 _DONE = "SELECT DISTINCT org_name FROM fx_fact WHERE snapshot_date <= DATE '2024-01-01' AND stars_count > 100"
 
 

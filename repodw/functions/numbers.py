@@ -30,9 +30,9 @@ def wire_form(df: DataFrame) -> DataFrame:
     def out(field: T.StructField) -> Column:
         col = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DateType):
-            col = F.date_format(col, "yyyy-MM-dd")
+            col = col.cast("string")
         elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            col = F.date_format(col, "yyyy-MM-dd HH:mm:ss")
+            col = F.substring(col.cast("string"), 1, 19)
         elif isinstance(field.dataType, T.DecimalType):
             col = col.cast("double")
         return col.alias(field.name)

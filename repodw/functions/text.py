@@ -40,7 +40,7 @@ def month_of_text(col: Column) -> Column:
 
 
 def month_of_date(col: Column) -> Column:
-    return F.date_format(col, "yyyy-MM")
+    return F.substring(col.cast("string"), 1, 7)
 
 
 def parse_created_at(col: Column) -> Column:
@@ -49,8 +49,12 @@ def parse_created_at(col: Column) -> Column:
 
 
 def utc_year(col: Column) -> Column:
-    """Year in UTC of an ISO time with a zone (or none, read as UTC); needs a UTC session."""
-    return F.year(F.try_to_timestamp(col))
+    """Year in UTC of an ISO date or time; without a zone it is taken as UTC. Null when it is neither."""
+    zoned = F.rlike(col, F.lit(r"(Z|[+-]\d{2}:?\d{2})$")) & F.contains(col, F.lit(":"))
+    moment = F.when(zoned, F.try_to_timestamp(col)).otherwise(
+        F.coalesce(F.try_to_timestamp(F.concat(col, F.lit("Z"))), F.try_to_timestamp(F.concat(col, F.lit("T00:00:00Z"))))
+    )
+    return F.year(F.to_utc_timestamp(moment, F.current_timezone()))
 
 
 def is_true(col: Column) -> Column:

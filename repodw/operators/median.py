@@ -20,25 +20,23 @@ def exact_median(df: DataFrame, measure: str) -> Column:
         .withColumn("block", F.shiftright("v", 16))
     )
     blocks = counts.groupBy("block").agg(F.sum("n").alias("block_n"))
+    # The two middle ranks are columns, not part of the aggregates: their subquery may hold anything the input does.
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total")).scalar()
-    low, high = F.floor((total + 1) / 2), F.floor((total + 2) / 2)
+    ranks = {"low": F.floor((total + 1) / 2), "high": F.floor((total + 2) / 2)}
     upto = F.sum("block_n").over(Window.orderBy("block"))
     blocks = (
-        blocks.withColumn("upto", upto)
+        blocks.withColumn("upto", upto).withColumns(ranks)
         .withColumn("before", F.col("upto") - F.col("block_n"))
-        .filter(((F.col("before") < low) & (low <= F.col("upto"))) | ((F.col("before") < high) & (high <= F.col("upto"))))
-        .select("block", "before")
+        .filter(_holds("low", "before", "upto") | _holds("high", "before", "upto"))
+        .select("block", "before", "low", "high")
     )
     # At most two blocks are left, so broadcasting them is bounded.
     inside = counts.join(F.broadcast(blocks), "block")
     inside = inside.withColumn("last", F.col("before") + F.sum("n").over(Window.partitionBy("block").orderBy("v")))
-    first = F.col("last") - F.col("n")
+    inside = inside.withColumn("first", F.col("last") - F.col("n")).withColumn("value", F.col("v").cast("double"))
+    middle = [F.max(F.when(_holds(rank, "first", "last"), F.col("value"))) for rank in ranks]
+    return inside.agg(((middle[0] + middle[1]) / 2).alias("median")).scalar()
 
-    def holds(rank: Column) -> Column:
-        return (first < rank) & (rank <= F.col("last"))
 
-    middle = inside.agg(
-        ((F.max(F.when(holds(low), F.col("v").cast("double"))) + F.max(F.when(holds(high), F.col("v").cast("double")))) / 2)
-        .alias("median")
-    )
-    return middle.scalar()
+def _holds(rank: str, before: str, upto: str) -> Column:
+    return (F.col(before) < F.col(rank)) & (F.col(rank) <= F.col(upto))

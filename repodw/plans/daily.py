@@ -12,14 +12,14 @@ from repodw import schemas
 from repodw.operators.keyed import unseen
 from repodw.plans import ads, clean, dwd, dws
 from repodw.session import written
-from repodw.sources.raw import raw_order, read_day_files
+from repodw.sources.raw import raw_order, read_raw_json
 from repodw.sources.store import Warehouse
 
 
 def run_day(spark: SparkSession, raw_dir: str, warehouse: Warehouse, day: str,
             schema: T.StructType = schemas.RAW) -> None:
     """Load one day. Running a day again gives the same tables; a late day repairs the day after it."""
-    load_ods(warehouse, read_day_files(spark, raw_dir, day, schema), day)
+    load_ods(warehouse, read_raw_json(spark, raw_dir, schema, day=day), day)
     refresh_day(warehouse, day)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,11 +28,12 @@ def build_session(app: str = "repodw", master: str | None = None, **extra: str)
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir; a local one only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="repodw-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()).rstrip("/")
+
+
+@cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="repodw-")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

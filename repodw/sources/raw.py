@@ -17,26 +17,23 @@ ELEMENT_END = "\n  }"
 _ORDER = ["file_name", "file_block", "pos"]
 
 
-def read_raw_json(spark: SparkSession, raw_dir: str, schema: T.StructType = schemas.RAW,
-                  names: str = "*.json") -> DataFrame:
+def read_raw_json(spark: SparkSession, raw_dir: str, schema: T.StructType = schemas.RAW, names: str = "*.json",
+                  day: str | None = None) -> DataFrame:
     """Records of all raw files under `raw_dir`, with `file_name`, `file_block` and `pos` as their order.
 
     Taken are .json files of at least 10 bytes with a platform name in their path below `raw_dir` and an array
     inside; objects (such as progress files) and empty arrays give nothing. Arrays indented by two spaces, as
     the collectors write them, are split between tasks. Any other array layout is parsed by the task that
-    reads its file. Text that is no JSON is an error.
+    reads its file. Text that is no JSON is an error. With `day` only files with _YYYYMMDD in that path are
+    listed and read.
     """
     lines = (
         spark.read.option("lineSep", ELEMENT_END).option("recursiveFileLookup", "true")
         .option("pathGlobFilter", names).text(raw_dir)
     )
-    return parse_raw_text(lines, raw_dir, schema)
-
-
-def parse_raw_text(lines: DataFrame, raw_dir: str, schema: T.StructType = schemas.RAW) -> DataFrame:
-    """Records of raw text that was cut at ELEMENT_END."""
-    folder = raw_dir.rstrip("/").rsplit("/", 1)[-1] + "/"
-    path = F.substring_index(F.col("_metadata.file_path"), folder, -1)
+    path = path_below(F.col("_metadata.file_path"), raw_dir)
+    if day is not None:
+        lines = lines.filter(path.contains(day_tag(day)))
     chunks = (
         lines.filter(F.col("_metadata.file_size") >= V.SMALLEST_RAW_FILE)
         .select(
@@ -66,6 +63,15 @@ def parse_raw_text(lines: DataFrame, raw_dir: str, schema: T.StructType = schema
     )
 
 
+def path_below(path: Column, folder: str) -> Column:
+    return F.substring_index(path, folder.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
+
+
+def day_tag(day: str) -> str:
+    """How a day is written in the names of raw files."""
+    return "_" + day.replace("-", "")
+
+
 def raw_order() -> list[str]:
     """Columns that order raw records as files and arrays do."""
     return list(_ORDER)
@@ -79,11 +85,6 @@ def union_platforms(frames: Sequence[DataFrame]) -> DataFrame:
     return stacked
 
 
-def read_day_files(spark: SparkSession, raw_dir: str, day: str, schema: T.StructType = schemas.RAW) -> DataFrame:
-    """Records of the files of one day (…_YYYYMMDD…)."""
-    return read_raw_json(spark, raw_dir, schema, names=f"*_{day.replace('-', '')}*.json")
-
-
 def write_raw_dated(df: DataFrame, path: str, day: str) -> None:
     """One output per platform and day, as JSON lines: the splittable landing form."""
     (
@@ -107,7 +108,7 @@ def write_raw_arrays(df: DataFrame, path: str, day: str, collected_from: Column
     """
     block = F.floor(F.col(key) / records_per_file).cast("long")
     platform = F.col("source_platform") if collected_from is None else collected_from
-    folder = F.concat(platform, F.lit(f"_repos_{day.replace('-', '')}"))
+    folder = F.concat(platform, F.lit("_repos" + day_tag(day)))
     order = Window.partitionBy("_folder", "block").orderBy(key)
     body = F.to_json(F.struct(*df.columns), {"pretty": "true", "ignoreNullFields": "false"})
     first = F.row_number().over(order) == 1

@@ -59,6 +59,13 @@ class Warehouse:
         values = self._folders(self.path(table), schemas.PARTITIONED_BY[table])
         return max(values, default=None)
 
+    def fill_once(self, table: str, df: DataFrame) -> bool:
+        """Write a table that has no rows yet; a filled one is left alone. Says whether it wrote."""
+        if not self.read(table).isEmpty():
+            return False
+        self._fit(table, df).write.mode("append").parquet(self.path(table))
+        return True
+
     def append_unseen(self, table: str, df: DataFrame) -> None:
         """Insert the rows whose key the table lacks; present rows stay as they are."""
         keys = schemas.KEYS[table]

@@ -9,36 +9,35 @@ from pyspark.sql.streaming import StreamingQuery
 
 from repodw import schemas
 from repodw.plans.daily import load_ods, refresh_day
-from repodw.sources.raw import read_day_files
+from repodw.sources.raw import path_below, read_raw_json
 from repodw.sources.store import Warehouse
 
 _FILE = "path string, modificationTime timestamp, length long, content binary"
-_DAY_IN_NAME = r"_(\d{4})(\d{2})(\d{2})[^/]*$"
+_DAY_IN_PATH = r"_([0-9]{8})(?![0-9])"
 
 
-def ingest_new_files(spark: SparkSession, raw_dir: str, warehouse: Warehouse, progress_dir: str,
-                     marts: bool = True, schema: T.StructType = schemas.RAW) -> StreamingQuery:
+def ingest_new_files(spark: SparkSession, raw_dir: str, warehouse: Warehouse, progress_dir: str, marts: bool = True,
+                     schema: T.StructType = schemas.RAW, names: str = "*.json") -> StreamingQuery:
     """Load the days of all files that landed since the last run, then stop.
 
-    The stream only carries file names (contents are not read for it): a day is always loaded from all its files, so a batch that is
-    repeated after a failure, or a second file for a day, gives the same tables as a first load.
+    The stream only carries file names (contents are not read for it): a day is always loaded from all its
+    files, so a batch that is repeated after a failure, or a second file for a day, gives the same tables as
+    a first load.
     """
     landed = (
         spark.readStream.format("binaryFile").schema(_FILE).option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json").load(raw_dir)
-        .select(F.element_at(F.split("path", "/"), -1).alias("file_name"))
+        .option("pathGlobFilter", names).load(raw_dir).select(path_below(F.col("path"), raw_dir).alias("file"))
     )
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        day = F.regexp_replace(F.regexp_extract("file_name", _DAY_IN_NAME, 0), "[^0-9]", "")
-        names = batch.filter(F.col("file_name").contains("gitee") | F.col("file_name").contains("github"))
+        files = batch.filter(F.col("file").contains("gitee") | F.col("file").contains("github"))
         # One value per calendar day of the batch: a bounded list.
-        days = names.select(F.substring(day, 1, 8).alias("day")).filter("day <> ''").distinct().collect()
-        for found in sorted(row["day"] for row in days):
-            iso = f"{found[:4]}-{found[4:6]}-{found[6:]}"
-            load_ods(warehouse, read_day_files(batch.sparkSession, raw_dir, iso, schema), iso)
+        found = files.select(F.regexp_extract("file", _DAY_IN_PATH, 1).alias("day")).filter("day <> ''").distinct()
+        for row in found.orderBy("day").collect():
+            day = f"{row['day'][:4]}-{row['day'][4:6]}-{row['day'][6:]}"
+            load_ods(warehouse, read_raw_json(batch.sparkSession, raw_dir, schema, names, day), day)
             if marts:
-                refresh_day(warehouse, iso)
+                refresh_day(warehouse, day)
 
     query = (
         landed.writeStream.foreachBatch(load).option("checkpointLocation", progress_dir)

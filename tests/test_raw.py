@@ -66,7 +66,7 @@ def test_no_usable_file_gives_no_rows(spark, tmp_path):
 def test_only_files_of_the_day(spark, tmp_path):
     land(tmp_path, "github", "2026-08-06", [record(1)])
     land(tmp_path, "github", "2026-08-07", [record(2)])
-    assert rows_of(raw.read_day_files(spark, str(tmp_path), "2026-08-07"), "repo_id") == [(2,)]
+    assert rows_of(raw.read_raw_json(spark, str(tmp_path), day="2026-08-07"), "repo_id") == [(2,)]
 
 
 def _normalize(spark, platform, body, org=None):

@@ -142,3 +142,24 @@ def test_stream_takes_each_file_once_and_equals_the_batch(spark, raw_dir, tmp_pa
     assert contents(warehouse) == batch
     query = ingest_new_files(spark, str(growing), warehouse, progress)
     assert sum(p["numInputRows"] for p in query.recentProgress) == 0
+
+
+def test_command_line(spark, raw_dir, tmp_path, capsys):
+    from repodw.__main__ import main
+
+    root = str(tmp_path / "w")
+    main(["run-day", "--raw", raw_dir, "--warehouse", root, "--day", DAYS[0]])
+    main(["query", "ranking", "--warehouse", root])
+    main(["query", "repos", "--warehouse", root, "--keyword", "r29", "--size", "10"])
+    main(["query", "org-repos", "--warehouse", root, "--org", "org2"])
+    main(["profile", "--raw", raw_dir])
+    out = capsys.readouterr().out
+    assert "org1/r29" in out and "original" in out
+    main(["export", "--warehouse", root, "--out", str(tmp_path / "csv"), "--single-file"])
+    assert len(list((tmp_path / "csv").glob("part-*"))) == 1
+    main(["calendar", "--warehouse", root, "--start", "2026-01-01", "--end", "2026-12-31"])
+    main(["calendar", "--warehouse", root])
+    assert Warehouse(spark, root).read("dim_date").count() == 365
+    before = contents(Warehouse(spark, root))
+    main(["rebuild", "--warehouse", root])
+    assert contents(Warehouse(spark, root)) == before
