@@ -68,11 +68,11 @@ def _(o):
 @query("union_platforms", Documents, O + """
 SELECT repo_id, full_name, language, archived FROM fx_raw WHERE source_platform = 'github'
 UNION ALL
-SELECT repo_id, full_name, language, NULL AS archived FROM fx_raw WHERE source_platform = 'gitee'""")
+SELECT repo_id, full_name, language, NULL AS archived FROM fx_raw WHERE source_platform IS DISTINCT FROM 'github'""")
 def _(o):
     github = o.raw.filter("source_platform = 'github'").select("repo_id", "full_name", "language", "archived")
-    gitee = o.raw.filter("source_platform = 'gitee'").select("language", "full_name", "repo_id")
-    return raw.union_platforms([github, gitee])
+    others = o.raw.filter("NOT source_platform <=> 'github'").select("language", "full_name", "repo_id")
+    return raw.union_platforms([github, others])
 
 
 _PAYLOAD_SQL = """,
@@ -130,10 +130,10 @@ def _(o):
     return rows.select("repo_id", "source_platform", "org")
 
 
-@query("write_raw_dated", Documents, O + f"SELECT {COLUMNS}, '{DAY}' AS dt FROM fx_raw WHERE source_platform IS NOT NULL")
+@query("write_raw_dated", Documents, O + f"SELECT {COLUMNS}, '{DAY}' AS dt FROM fx_raw")
 def _(o):
     folder = scratch_dir(o.spark, "dated")
-    raw.write_raw_dated(o.raw.filter("source_platform IS NOT NULL"), folder, DAY)
+    raw.write_raw_dated(o.raw, folder, DAY)
     return raw.read_raw_dated(o.spark, folder).select(*_FIELDS, "dt")
 
 
@@ -145,29 +145,29 @@ def _(o):
 
 
 @query("load_ods_partition", Documents, O + """
-SELECT repo_id, full_name, stars_count, dt FROM (
-  SELECT *, '2026-08-06' AS dt FROM fx_raw WHERE repo_id % 2 = 0
-  UNION ALL SELECT *, '2026-08-07' AS dt FROM fx_raw)""")
+SELECT repo_id, full_name, stars_count, '2026-08-06' AS dt FROM fx_raw
+UNION ALL
+SELECT repo_id, full_name, stars_count + 1 AS stars_count, '2026-08-07' AS dt FROM fx_raw""")
 def _(o):
-    """Two days, the second one loaded twice."""
+    """Two days, the second one loaded twice with other numbers."""
     warehouse = store.Warehouse(o.spark, scratch_dir(o.spark, "ods"))
-    second = clean.normalize_ods(o.raw, "2026-08-07")
-    warehouse.replace_days("ods_repos_raw", clean.normalize_ods(o.raw.filter("repo_id % 2 = 0"), "2026-08-06"))
-    warehouse.replace_days("ods_repos_raw", second, ["2026-08-07"])
-    warehouse.replace_days("ods_repos_raw", second, ["2026-08-07"])
+    more = o.raw.withColumn("stars_count", F.col("stars_count") + 1)
+    for day, rows in (("2026-08-06", o.raw), ("2026-08-07", o.raw), ("2026-08-07", more)):
+        warehouse.replace_days("ods_repos_raw", clean.normalize_ods(rows, day), [day])
     return warehouse.read("ods_repos_raw").select("repo_id", "full_name", "stars_count", "dt")
 
 
 @query("resume_ingest_stream", Documents, O + f"""
 SELECT repo_id, full_name, {_DESCRIPTION} AS description, {_LANGUAGE} AS language, source_platform, dt FROM (
-  SELECT *, '2026-08-06' AS dt FROM fx_raw WHERE repo_id % 2 = 0
-  UNION ALL SELECT *, '2026-08-07' AS dt FROM fx_raw)
+  SELECT *, '2026-08-06' AS dt FROM fx_raw
+  UNION ALL SELECT * REPLACE (org || '/new' AS full_name), '2026-08-07' AS dt FROM fx_raw)
 WHERE NOT {_ARCHIVED} AND NOT {_SPAM} AND NOT ({_ON_GITEE} AND regexp_matches(coalesce(description, ''), '(?i)迁移|migrated'))""")
 def _(o):
     """Two days land one after the other; each run of the stream loads the day that is new."""
     folder, progress = scratch_dir(o.spark, "landing"), scratch_dir(o.spark, "progress")
     warehouse = store.Warehouse(o.spark, scratch_dir(o.spark, "ods"))
-    for day, rows in {"2026-08-06": o.raw.filter("repo_id % 2 = 0"), "2026-08-07": o.raw}.items():
+    renamed = o.raw.withColumn("full_name", F.concat("org", F.lit("/new")))
+    for day, rows in {"2026-08-06": o.raw, "2026-08-07": renamed}.items():
         raw.write_raw_arrays(rows, f"{folder}/landed{day}", day, _collected_from())
         ingest_new_files(o.spark, folder, warehouse, progress, marts=False, names="part-*")
     return warehouse.read("ods_repos_raw").select(
@@ -269,16 +269,15 @@ def _(l):
 
 _PHASES = """,
 phases AS (
-  SELECT repo_id, source_platform, full_name, 'org' AS found_by, 1 AS phase FROM fx_raw WHERE stars_count % 3 <> 0
+  SELECT repo_id, source_platform, full_name, 'org' AS found_by, 1 AS phase FROM fx_raw WHERE language <> ''
   UNION ALL
-  SELECT repo_id, source_platform, full_name, 'search' AS found_by, 2 AS phase FROM fx_raw WHERE stars_count % 2 = 0)"""
+  SELECT repo_id, source_platform, full_name, 'search' AS found_by, 2 AS phase FROM fx_raw)"""
 
 
 def _phases(o):
-    rows = o.raw.select("repo_id", "source_platform", "full_name", "stars_count")
-    by_org = rows.filter("stars_count % 3 <> 0").drop("stars_count").withColumn("found_by", F.lit("org"))
-    by_search = rows.filter("stars_count % 2 = 0").drop("stars_count").withColumn("found_by", F.lit("search"))
-    return by_org, by_search
+    fields = ["repo_id", "source_platform", "full_name"]
+    by_org = o.raw.filter("language <> ''").select(*fields, F.lit("org").alias("found_by"))
+    return by_org, o.raw.select(*fields, F.lit("search").alias("found_by"))
 
 
 @query("dedup_collect", Documents, O + _PHASES + """

@@ -12,7 +12,7 @@ from repodw.checks.rollups import (
     ranking_of, trend_history_of,
 )
 from repodw.functions.numbers import wire_form
-from repodw.operators import filters, paging
+from repodw.operators import filters, latest, paging
 from repodw.plans import ads, clean, dwd, profile, serve
 from repodw.session import scratch_dir, written
 from repodw.sources import export
@@ -80,7 +80,7 @@ SELECT stat_date AS "statDate", total_repos AS "totalRepos", total_stars AS "tot
        avg_stars AS "avgStars", total_orgs AS "totalOrgs", gitee_repos AS "giteeRepos", github_repos AS "githubRepos"
 FROM ({OVERVIEW})""")
 def _(e):
-    return serve.q_overview(written(ads.overview(e.projects, e.fact, e.last), "mart"))
+    return serve.q_overview(ads.overview(e.projects, e.fact, e.last))
 
 
 RANKING_OUT = """,
@@ -111,13 +111,13 @@ trend AS (SELECT * FROM trend_h
 
 @query("q_trend", Lines, _TREND + _TREND_OUT)
 def _(l):
-    return serve.q_trend(written(merged_of(l), "mart"))
+    return serve.q_trend(merged_of(l))
 
 
 @query("peak_point", Lines, LR + TREND_HISTORY + _TREND_OUT.replace("FROM trend", "FROM trend_h") + """
 ORDER BY cumulative_stars DESC, stat_month LIMIT 1""")
 def _(l):
-    return serve.peak_month(serve.q_trend(written(trend_history_of(l), "mart")))
+    return serve.peak_month(serve.q_trend(trend_history_of(l)))
 
 
 _ORGS_OUT = """
@@ -163,9 +163,9 @@ def _(e):
 
 
 @query("sort_views", Events, ED + f"""
-SELECT {_DETAIL_COLUMNS} FROM detail ORDER BY "starsCount" DESC, project_id LIMIT 50""")
+SELECT {_DETAIL_COLUMNS} FROM detail ORDER BY "starsCount" DESC, project_id""")
 def _(e):
-    return serve.q_repos(e.fact, e.projects).limit(50)
+    return serve.q_repos(e.fact, e.projects)
 
 
 _PAGE = """,
@@ -409,12 +409,13 @@ def _(e):
 
 @query("append_fact", Events, E + f"""
 SELECT project_id, org_name, CAST(stars_count AS INT) AS stars_count, {sql_day('snapshot_date')} AS snapshot_date
-FROM fx_fact WHERE snapshot_date >= DATE '2024-01-29'""")
+FROM fx_fact""")
 def _(e):
-    """Two load days, the second one loaded twice: the day is replaced, not doubled."""
+    """All load days, then the newest one again: the day is replaced, not doubled."""
     warehouse = Warehouse(e.spark, scratch_dir(e.spark, "facts"))
-    for day in ("2024-01-29", "2024-01-30", "2024-01-30"):
-        warehouse.replace_days("fact_repo_stats", dwd.fact_rows(e.ods.filter(F.col("dt") == day)), [day])
+    warehouse.replace_days("fact_repo_stats", dwd.fact_rows(e.ods))
+    newest = latest.latest_partition(e.ods)
+    warehouse.replace_days("fact_repo_stats", dwd.fact_rows(newest), [e.last.isoformat()])
     return warehouse.read("fact_repo_stats").select("project_id", "org_name", "stars_count", "snapshot_date")
 
 

@@ -32,12 +32,12 @@ def top_and_rest(df: DataFrame, label: str, order_by: str, sums: Sequence[str],
                  count: int = V.FOLD_AFTER, rest: str = V.REST_LABEL, ties: Sequence[str] = ()) -> DataFrame:
     """The first `count` rows by `order_by`, all others summed into one `rest` row.
 
-    Equal measures are ordered by label, then by `ties`; together they must tell all rows apart. A scalar
+    Equal measures are ordered by `ties`, then by label; together they must tell all rows apart. A scalar
     subquery finds the sort key of the last row kept; the frame is then grouped into at most count + 1
     groups. There is no rest row when nothing is left over.
     """
     place = F.struct((-F.coalesce(F.col(order_by), F.lit(0)).cast("long")).alias("m"),
-                     F.coalesce(F.col(label), F.lit("")).alias("l"), *ties)
+                     *ties, F.coalesce(F.col(label), F.lit("")).alias("l"))
     last_kept = (
         df.select(place.alias("place")).orderBy("place").limit(count).agg(F.max("place").alias("place")).scalar()
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from repodw import fixed_values as V
 from repodw.functions.numbers import count_if, ratio
 from repodw.functions.text import month_of_date, month_of_text, not_blank
-from repodw.operators.keyed import upsert
+from repodw.operators.dedup import keep_one
 from repodw.operators.latest import rows_on
 from repodw.operators.shares import share_of_total
 from repodw.operators.topk import numbered, pinned, top_rows
@@ -74,10 +74,11 @@ def project_ranking(daily: DataFrame, dim: DataFrame, fact: DataFrame, stat_date
     )
 
 
-def language_dist(language_daily: DataFrame, stat_date: date) -> DataFrame:
-    """Languages of the day with their share of all stars."""
+def language_dist(language_daily: DataFrame, stat_date: date, by: str = "stars") -> DataFrame:
+    """Languages of the day with their share of all stars, or of all repositories (`by="repos"`)."""
+    measure = {"stars": "total_stars", "repos": "repo_count"}[by]
     day = on_day(language_daily, stat_date)
-    return share_of_total(day, "total_stars", "pct_of_total").select(
+    return share_of_total(day, measure, "pct_of_total").select(
         F.col("snapshot_date").alias("stat_date"), "language", "repo_count", "total_stars", "pct_of_total"
     )
 
@@ -181,5 +182,9 @@ def monthly_trend_history(created: DataFrame, months: DataFrame) -> DataFrame:
 
 
 def monthly_trend_merged(snapshots: DataFrame, history: DataFrame) -> DataFrame:
-    """Final trend: months of the history replace equal months of the snapshots."""
-    return upsert(snapshots, history, ["stat_month"])
+    """Final trend: months of the history replace equal months of the snapshots.
+
+    Both are small, and costlier to compute than to sort: each is read once.
+    """
+    stacked = snapshots.withColumn("source", F.lit(1)).unionByName(history.withColumn("source", F.lit(2)))
+    return keep_one(stacked, ["stat_month"], ["source"], keep="last").drop("source")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from repodw import schemas
 from repodw.operators.keyed import unseen
 from repodw.plans import ads, clean, dwd, dws
-from repodw.session import written
+from repodw.session import written_for_now
 from repodw.sources.raw import raw_order, read_raw_json
 from repodw.sources.store import Warehouse
 
@@ -96,9 +96,9 @@ def rebuild_rollups(warehouse: Warehouse) -> None:
 
 def _write_attribute_rollups(warehouse: Warehouse, fact: DataFrame, dim: DataFrame, days: list[str]) -> None:
     # The cube is small (languages x platforms x days) and feeds two tables: computed once.
-    cube = written(dws.attribute_daily(fact, dim), "cube")
-    warehouse.replace_days("dws_language_daily", dws.language_of(cube), days)
-    warehouse.replace_days("dws_platform_daily", dws.platform_of(cube), days)
+    with written_for_now(dws.attribute_daily(fact, dim), "cube") as cube:
+        warehouse.replace_days("dws_language_daily", dws.language_of(cube), days)
+        warehouse.replace_days("dws_platform_daily", dws.platform_of(cube), days)
 
 
 def refresh_months(warehouse: Warehouse, day: str, restated: list[str]) -> None:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,11 +43,32 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/repodw-{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str = "part") -> DataFrame:
+def written(df: DataFrame, name: str = "part", path: str | None = None) -> DataFrame:
     """The rows, written once to the shared scratch folder and read from there.
 
     For a result that several queries read: computed a single time, and safe when executors are lost.
     """
-    path = scratch_dir(df.sparkSession, name)
+    path = path or scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def written_for_now(df: DataFrame, name: str = "part") -> Iterator[DataFrame]:
+    """`written`, with the files deleted at the end of the block."""
+    path = scratch_dir(df.sparkSession, name)
+    try:
+        yield written(df, name, path)
+    finally:
+        delete_path(df.sparkSession, path)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """Hadoop's file system and path object, so that folders are handled on any storage Spark writes to."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, target = hadoop_path(spark, path)
+    fs.delete(target, True)

@@ -57,6 +57,19 @@ def normalize_payload(df: DataFrame, platform: str, payload: str = "payload", or
     return parsed.select(*[columns[name].alias(name) for name in schemas.RAW.fieldNames() if name in columns])
 
 
+def response_items(df: DataFrame, response: str = "response", payload: str = "payload") -> DataFrame:
+    """One payload (JSON text) per item of an API response, be it a list or an object with `items`.
+
+    The other columns stay, such as the organisation or keyword that was asked for.
+    """
+    text = F.col(response)
+    items = F.when(F.ltrim(text).startswith("["), F.from_json(text, "array<string>")).otherwise(
+        F.from_json(text, "items array<string>")["items"]
+    )
+    others = [c for c in df.columns if c != response]
+    return df.select(*others, F.explode(items).alias(payload))
+
+
 def search_owner(p: Column, platform: str) -> Column:
     """Owner of a search hit: owner.login or namespace.path, "" when absent."""
     return F.coalesce(p["owner"]["login"] if platform == "github" else p["namespace"]["path"], F.lit(""))

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from repodw import schemas
 from repodw.operators.keyed import unseen
+from repodw.session import delete_path, hadoop_path
 
 
 class Warehouse:
@@ -52,7 +53,7 @@ class Warehouse:
         )
         for day in days:
             if seen.get[day] == 0:
-                self._delete(f"{self.path(table)}/{column}={day}")
+                delete_path(self.spark, f"{self.path(table)}/{column}={day}")
 
     def newest_partition(self, table: str) -> str | None:
         """Greatest partition value, from the folder names: no data file is opened."""
@@ -85,11 +86,12 @@ class Warehouse:
         """Make the staged version the one readers get, and drop all but the `keep` newest."""
         numbers = self._versions(table)
         number = (numbers[-1] if numbers else 0) + 1
-        fs, staged = self._hadoop(f"{self.path(table)}/staged")
-        if not fs.rename(staged, self._hadoop(f"{self.path(table)}/version={number}")[1]):
+        fs, staged = hadoop_path(self.spark, f"{self.path(table)}/staged")
+        version = hadoop_path(self.spark, f"{self.path(table)}/version={number}")[1]
+        if not fs.rename(staged, version):
             raise OSError(f"could not publish {table} version {number}")
         for old in [*numbers, number][:-keep]:
-            self._delete(f"{self.path(table)}/version={old}")
+            delete_path(self.spark, f"{self.path(table)}/version={old}")
 
     def _fit(self, table: str, df: DataFrame) -> DataFrame:
         """The columns of the table in its types; absent ones are null, and etl_time is now."""
@@ -103,28 +105,18 @@ class Warehouse:
                 columns.append(F.lit(None).cast(field.dataType).alias(field.name))
         return df.select(*columns)
 
-    # Folder handling goes through Hadoop's FileSystem, so that any storage Spark can write to works.
-
-    def _hadoop(self, path: str):
-        jvm = self.spark._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
-
     def _exists(self, path: str) -> bool:
-        fs, target = self._hadoop(path)
+        fs, target = hadoop_path(self.spark, path)
         return fs.exists(target)
 
-    def _delete(self, path: str) -> None:
-        fs, target = self._hadoop(path)
-        fs.delete(target, True)
-
     def _folders(self, path: str, column: str) -> list[str]:
         """Values of the column=value folders below a path."""
-        fs, target = self._hadoop(path)
+        fs, target = hadoop_path(self.spark, path)
         if not fs.exists(target):
             return []
         names = [status.getPath().getName() for status in fs.listStatus(target)]
-        return [name.split("=", 1)[1] for name in names if name.startswith(f"{column}=")]
+        values = [name.split("=", 1)[1] for name in names if name.startswith(f"{column}=")]
+        return [value for value in values if value != "__HIVE_DEFAULT_PARTITION__"]
 
     def _versions(self, table: str) -> list[int]:
         return sorted(int(number) for number in self._folders(self.path(table), "version"))

@@ -94,6 +94,17 @@ def test_license_topics_and_owner(spark):
         _normalize(spark, "other", {"id": 1})
 
 
+def test_responses_are_lists_or_objects_with_items(spark):
+    hits = [{"id": 1, "namespace": {"path": "a"}}, {"id": 2, "name": 'quo"te'}]
+    df = spark.createDataFrame(
+        [("x", json.dumps(hits)), ("y", json.dumps({"total": 2, "items": hits})), ("z", "[]"), ("w", '{"message": "no"}')],
+        "asked string, response string")
+    items = payload.response_items(df)
+    assert rows_of(items.groupBy("asked").count(), "asked", "count") == [("x", 2), ("y", 2)]
+    rows = payload.normalize_payload(items, "gitee")
+    assert rows_of(rows.distinct(), "repo_id", "org", "name") == [(1, "a", ""), (2, "", 'quo"te')]
+
+
 def test_keyword_pick_keeps_the_best_per_keyword(spark):
     df = spark.range(50).select(F.col("id").alias("repo_id"), F.lit("n").alias("name"),
                                 F.concat(F.lit("openEuler/"), "id").alias("full_name"),
