@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -18,13 +19,16 @@ def equals_filter(df: DataFrame, column: str, value: str | None, collation: str
 
 
 def keyword_like(df: DataFrame, columns: Sequence[str], keyword: str | None, literal: bool = False) -> DataFrame:
-    """Any column LIKE %keyword%, ignoring case. `%` and `_` in the keyword are wildcards unless `literal`."""
+    """Any column LIKE %keyword%, ignoring case. In the keyword `%` and `_` are wildcards and a backslash takes
+    the next character as it is, unless `literal`."""
     wanted = (keyword or "").strip()
     if not wanted:
         return df
     if literal:
-        wanted = wanted.replace("\\", "\\\\").replace("%", r"\%").replace("_", r"\_")
-    return df.filter(_any([F.col(c).ilike(f"%{wanted}%") for c in columns]))
+        wanted = re.sub(r"([\\%_])", r"\\\1", wanted)
+    # LIKE wants a backslash only where it changes something.
+    pattern = re.sub(r"\\(.)", lambda m: m[0] if m[1] in "\\%_" else m[1], f"%{wanted}%")
+    return df.filter(_any([F.col(c).ilike(pattern) for c in columns]))
 
 
 def keyword_contains(df: DataFrame, columns: Sequence[str], keyword: str | None) -> DataFrame:

@@ -36,17 +36,20 @@ class Warehouse:
 
         The partitions named in `days` are also emptied when `df` has no rows for them. Before writing, rows
         are rebalanced by the partition column, or for named days by a key, so that adaptive execution gives
-        files of a useful size: a big day is split, small ones are merged.
+        files of a useful size: a big day is split, small ones are merged. Within a file rows are sorted by
+        that key, so that a lookup of a few keys reads a few pages.
         """
         column = schemas.PARTITIONED_BY[table]
+        keys = schemas.SPREAD_BY.get(table, [])
         out = self._fit(table, df)
         if rebalance:
-            spread = schemas.SPREAD_BY.get(table, [column]) if days else [column]
-            out = out.hint("rebalance", *[F.col(c) for c in spread])
+            out = out.hint("rebalance", *[F.col(c) for c in (keys if days and keys else [column])])
         seen = Observation()
         if days:
             value = F.col(column).cast("string")
             out = out.observe(seen, *[F.count(F.when(value == day, 1)).alias(day) for day in days])
+        if rebalance and keys:
+            out = out.sortWithinPartitions(column, *keys)
         (
             out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column)
             .parquet(self.path(table))

@@ -58,6 +58,14 @@ def test_like_has_wildcards_and_contains_has_none(spark):
     assert filters.equals_filter(df, "c", " 5000 ").count() == 1
 
 
+@pytest.mark.parametrize("keyword, literal, found", [
+    ("a\\b", False, ["ab"]), ("a\\b", True, ["a\\b"]), ("\\%", False, ["5%"]), ("5%", True, ["5%"]), ("\\_", True, ["\\_"]),
+    ("\\\\", False, ["\\_", "a\\b"]), ("5\\", False, ["5%"])])
+def test_like_escapes(spark, keyword, literal, found):
+    df = spark.createDataFrame([("ab",), ("a\\b",), ("5%",), ("\\_",)], "c string")
+    assert [r.c for r in filters.keyword_like(df, ["c"], keyword, literal).orderBy("c").collect()] == sorted(found)
+
+
 def test_equals_with_collation(spark):
     df = spark.createDataFrame([("openEuler",), ("OPENEULER",)], "c string")
     assert filters.equals_filter(df, "c", "openeuler").count() == 0

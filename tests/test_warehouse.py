@@ -118,6 +118,18 @@ def test_partition_values_keep_their_types(spark, raw_dir, tmp_path):
     assert not (tmp_path / "none").exists()
 
 
+def test_files_are_sorted_by_their_key(spark, raw_dir, tmp_path):
+    import pyarrow.parquet as pq
+
+    load(spark, raw_dir, tmp_path / "w", DAYS[:2])
+    for table in ("fact_repo_stats", "dws_project_daily"):
+        files = list((tmp_path / "w" / table).rglob("*.parquet"))
+        assert files
+        for file in files:
+            ids = pq.ParquetFile(file).read(["project_id"])["project_id"].to_pylist()
+            assert ids == sorted(ids)
+
+
 def test_old_files_without_platform(spark, tmp_path):
     folder = tmp_path / "old"
     folder.mkdir()
