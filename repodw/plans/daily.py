@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from contextlib import ExitStack
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,78 +35,100 @@ def load_ods(warehouse: Warehouse, raw: DataFrame, day: str) -> None:
 def refresh_day(warehouse: Warehouse, day: str) -> None:
     """Carry a loaded day through the star schema, the rollups and the marts.
 
-    The new project dimension is published only after the rollups that depend on it are written: a run that
-    breaks off before finds the old one again and restates the same days.
+    The new project dimension and the cube that belongs to it are published only after the rollups that depend
+    on them are written: a run that breaks off before finds the old ones again and does the same work.
     """
-    staged, restated = load_star(warehouse, day)
-    refresh_rollups(warehouse, staged, day, restated)
-    refresh_months(warehouse, day, restated)
-    warehouse.publish("dim_project")
+    dim = load_star(warehouse, day)
+    refresh_rollups(warehouse, day)
+    refresh_attribute_rollups(warehouse, dim, day)
+    warehouse.publish()
+    refresh_months(warehouse, day)
     refresh_marts(warehouse)
 
 
-def load_star(warehouse: Warehouse, day: str) -> tuple[DataFrame, list[str]]:
-    """Facts and dimensions of a day. Returns the staged project dimension and the days whose language and
-    platform rollups change: this day, and those on which a project with new attributes has facts."""
+def load_star(warehouse: Warehouse, day: str) -> DataFrame:
+    """Facts and dimensions of a day. Returns the staged project dimension, in which `restate` marks the
+    projects whose language or platform changed."""
     last = warehouse.newest_partition("ods_repos_raw")
     if last is None:
         raise ValueError("the raw layer is empty; load a day first")
     ods_day = warehouse.read("ods_repos_raw").filter(F.col("dt") == day)
     old = warehouse.read("dim_project")
-    rows = dwd.project_rows(ods_day)
-    days = []
     if day >= last:
-        changed = rows.alias("new").join(old.alias("old"), "project_id").filter(
-            ~F.col("new.language").eqNullSafe(F.col("old.language"))
-            | ~F.col("new.source_platform").eqNullSafe(F.col("old.source_platform"))
-        ).select("project_id")
-        if not changed.isEmpty():
-            # At most one value per calendar day, so the driver holds a bounded list.
-            days = warehouse.read("fact_repo_stats").join(changed, "project_id", "left_semi").select(
-                F.col("snapshot_date").cast("string").alias("day")
-            ).distinct().collect()
-        dim = dwd.scd1_project(old, ods_day)
+        dim = dwd.scd1_with_changes(old, ods_day)
     else:
         # A late day knows older attributes: it only adds projects not seen since.
-        dim = old.unionByName(unseen(old, rows, ["project_id"]), allowMissingColumns=True)
-    staged = warehouse.stage("dim_project", dim)
+        new = unseen(old, dwd.project_rows(ods_day), ["project_id"])
+        dim = old.unionByName(new, allowMissingColumns=True).withColumns(
+            {"restate": F.lit(False), "old_language": F.col("language"), "old_platform": F.col("source_platform")}
+        )
+    staged = warehouse.stage("dim_project", dim, "restate", "old_language", "old_platform")
     warehouse.append_unseen("dim_org", dwd.distinct_orgs(ods_day))
     warehouse.replace_days("fact_repo_stats", dwd.fact_rows(ods_day), [day])
-    return staged, sorted({row["day"] for row in days} | {day})
+    return staged
 
 
-def refresh_rollups(warehouse: Warehouse, dim: DataFrame, day: str, restated: list[str]) -> None:
-    """Deltas change on this day and the next; language and platform rollups on the restated days."""
+def refresh_rollups(warehouse: Warehouse, day: str) -> None:
+    """Project and organisation rollups of this day and the next, whose changes look back to it."""
     fact = warehouse.read("fact_repo_stats")
-    this = date.fromisoformat(day)
-    near = fact.filter(F.col("snapshot_date").between(this - timedelta(1), this + timedelta(1)))
-    touched = F.col("snapshot_date").between(this, this + timedelta(1))
-    both = [day, (this + timedelta(1)).isoformat()]
+    this, after = date.fromisoformat(day), date.fromisoformat(day) + timedelta(1)
+    near = fact.filter(F.col("snapshot_date").between(this - timedelta(1), after))
+    touched = F.col("snapshot_date").between(this, after)
+    both = [day, after.isoformat()]
     warehouse.replace_days("dws_project_daily", dws.project_daily(near).filter(touched), both)
     warehouse.replace_days("dws_org_daily", dws.org_daily(near).filter(touched), both)
-    days = fact.filter(F.col("snapshot_date").isin([date.fromisoformat(d) for d in restated]))
-    _write_attribute_rollups(warehouse, days, dim, restated)
+
+
+def refresh_attribute_rollups(warehouse: Warehouse, dim: DataFrame, day: str) -> None:
+    """Language and platform rollups of this day, and of the days on which a changed project has facts.
+
+    History counts under the present dimension. Instead of counting it again, the changed projects are moved
+    within the stored cube, which costs a lookup of their facts.
+    """
+    fact = warehouse.read("fact_repo_stats")
+    this = date.fromisoformat(day)
+    parts = dws.attribute_daily(fact.filter(F.col("snapshot_date") == this), dim)
+    parts = parts.unionByName(warehouse.read("dws_attribute_daily").filter(F.col("snapshot_date") != this))
+    moved = dim.filter("restate")
+    days = []
+    with ExitStack() as stack:
+        if not moved.isEmpty():
+            elsewhere = fact.filter(F.col("snapshot_date") != this)
+            moves = stack.enter_context(written_for_now(dws.attribute_moves(elsewhere, moved), "moves"))
+            # At most one value per calendar day, so the driver holds a bounded list.
+            days = [row["snapshot_date"] for row in moves.select("snapshot_date").distinct().collect()]
+            parts = parts.unionByName(moves)
+        cube = warehouse.stage("dws_attribute_daily", dws.add_up(parts))
+    _write_attribute_rollups(warehouse, cube, sorted({*days, this}))
+
+
+def _write_attribute_rollups(warehouse: Warehouse, cube: DataFrame, days: Sequence[date] = ()) -> None:
+    """From the cube, for some days or all."""
+    if days:
+        cube = cube.filter(F.col("snapshot_date").isin(list(days)))
+    names = [d.isoformat() for d in days]
+    warehouse.replace_days("dws_language_daily", dws.language_of(cube), names)
+    warehouse.replace_days("dws_platform_daily", dws.platform_of(cube), names)
 
 
 def rebuild_rollups(warehouse: Warehouse) -> None:
     """All rollups from all facts."""
-    fact = warehouse.read("fact_repo_stats")
+    fact, dim = warehouse.read("fact_repo_stats"), warehouse.read("dim_project")
     warehouse.replace_days("dws_project_daily", dws.project_daily(fact))
     warehouse.replace_days("dws_org_daily", dws.org_daily(fact))
-    _write_attribute_rollups(warehouse, fact, warehouse.read("dim_project"), [])
+    cube = warehouse.stage("dws_attribute_daily", dws.attribute_daily(fact, dim))
+    _write_attribute_rollups(warehouse, cube)
+    warehouse.stage("dim_project", dim)
+    warehouse.publish()
 
 
-def _write_attribute_rollups(warehouse: Warehouse, fact: DataFrame, dim: DataFrame, days: list[str]) -> None:
-    # The cube is small (languages x platforms x days) and feeds two tables: computed once.
-    with written_for_now(dws.attribute_daily(fact, dim), "cube") as cube:
-        warehouse.replace_days("dws_language_daily", dws.language_of(cube), days)
-        warehouse.replace_days("dws_platform_daily", dws.platform_of(cube), days)
+def refresh_months(warehouse: Warehouse, day: str) -> None:
+    """Month sums of the months this load touches, and the creation months of the day's raw rows.
 
-
-def refresh_months(warehouse: Warehouse, day: str, restated: list[str]) -> None:
-    """Month sums of the months this load touches, and the creation months of the day's raw rows."""
+    Moving a project to another platform changes no sum over all platforms, so restated days do not count.
+    """
     next_day = (date.fromisoformat(day) + timedelta(1)).isoformat()
-    months = sorted({d[:7] for d in [*restated, day, next_day]})
+    months = sorted({day[:7], next_day[:7]})
     touched = F.lit(False)
     for month in months:
         first = date.fromisoformat(f"{month}-01")

@@ -30,6 +30,24 @@ def scd1_project(dim: DataFrame, ods_day: DataFrame) -> DataFrame:
     return upsert(dim, project_rows(ods_day), ["project_id"])
 
 
+def scd1_with_changes(dim: DataFrame, ods_day: DataFrame) -> DataFrame:
+    """scd1_project in one join, marking the projects whose language or platform changed (`restate`), with
+    what they were before (`old_language`, `old_platform`)."""
+    new, old = project_rows(ods_day).withColumn("given", F.lit(True)).alias("new"), dim.alias("old")
+    given = F.col("given").isNotNull()
+    columns = [F.when(given, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in dim.columns
+               if c not in ("project_id", "etl_time")]
+    same = F.col("new.language").eqNullSafe(F.col("old.language")) & F.col("new.source_platform").eqNullSafe(
+        F.col("old.source_platform")
+    )
+    known = F.col("old.etl_time").isNotNull()
+    return old.join(new, "project_id", "full_outer").select(
+        "project_id", *columns, F.when(~given, F.col("old.etl_time")).alias("etl_time"),
+        (given & known & ~same).alias("restate"),
+        F.col("old.language").alias("old_language"), F.col("old.source_platform").alias("old_platform"),
+    )
+
+
 def distinct_orgs(ods_day: DataFrame, collation: str | None = None) -> DataFrame:
     """(organisation, platform) pairs of a load day. With a collation, names equal under it count once."""
     pairs = ods_day.select(F.col("org").alias("org_name"), "source_platform")

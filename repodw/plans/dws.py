@@ -42,19 +42,41 @@ def attribute_daily(fact: DataFrame, dim: DataFrame) -> DataFrame:
 
     History is counted under the current dimension row. Facts without a dimension row are left out.
     """
-    per_project = fact.groupBy("project_id", "snapshot_date").agg(
-        F.sum(F.col("stars_count").cast("long")).alias("stars"),
+    joined = _project_days(fact).join(dim.select("project_id", "language", "source_platform"), "project_id")
+    return add_up(joined)
+
+
+_CUBE = ["projects", "stars", "starred", "forks", "active"]
+
+
+def _project_days(fact: DataFrame) -> DataFrame:
+    return fact.groupBy("project_id", "snapshot_date").agg(
+        F.lit(1).cast("long").alias("projects"),
+        F.coalesce(F.sum(F.col("stars_count").cast("long")), F.lit(0)).alias("stars"),
         F.count("stars_count").alias("starred"),
-        F.sum(F.col("forks_count").cast("long")).alias("forks"),
-        F.max(F.when(F.col("open_issues_count") > 0, 1).otherwise(0)).alias("active"),
+        F.coalesce(F.sum(F.col("forks_count").cast("long")), F.lit(0)).alias("forks"),
+        F.max(F.when(F.col("open_issues_count") > 0, 1).otherwise(0)).cast("long").alias("active"),
     )
-    joined = per_project.join(dim.select("project_id", "language", "source_platform"), "project_id")
-    return joined.groupBy("language", "source_platform", "snapshot_date").agg(
-        F.count(F.lit(1)).alias("projects"),
-        F.sum("stars").alias("stars"),
-        F.sum("starred").alias("starred"),
-        F.sum("forks").alias("forks"),
-        F.sum("active").alias("active"),
+
+
+def add_up(cube_rows: DataFrame) -> DataFrame:
+    """Cube rows summed per (language, platform, day); groups without projects vanish."""
+    sums = cube_rows.groupBy("language", "source_platform", "snapshot_date").agg(*[F.sum(c).alias(c) for c in _CUBE])
+    return sums.filter("projects > 0")
+
+
+def attribute_moves(fact: DataFrame, moved: DataFrame) -> DataFrame:
+    """Cube rows that move projects from their old language and platform (`old_language`, `old_platform`) to
+    the present ones: negative counts there, positive ones here. Reads the facts of these projects only."""
+    days = _project_days(fact.join(moved.select("project_id"), "project_id", "left_semi"))
+    sides = F.explode(F.array(
+        F.struct(F.lit(-1).alias("sign"), F.col("old_language").alias("language"), F.col("old_platform").alias("source_platform")),
+        F.struct(F.lit(1).alias("sign"), "language", "source_platform"),
+    ))
+    both = moved.select("project_id", sides.alias("side")).select("project_id", "side.*")
+    rows = days.join(both, "project_id")
+    return rows.groupBy("language", "source_platform", "snapshot_date").agg(
+        *[F.sum(F.col(c) * F.col("sign")).alias(c) for c in _CUBE]
     )
 
 

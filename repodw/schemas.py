@@ -83,6 +83,11 @@ TABLES = {
     "dws_platform_daily": _schema(
         "source_platform:str repo_count:long total_stars:long active_projects:long snapshot_date:date"
     ),
+    # Counts per (language, platform, day), from which both rollups above are added up.
+    "dws_attribute_daily": _schema(
+        "language:str source_platform:str snapshot_date:date projects:long stars:long starred:long forks:long "
+        "active:long"
+    ),
     # Month sums kept so that a load reads the months it touches, not all of history.
     "dws_monthly": _schema(
         "org_new_repos:long platform_active:long new_stars:long month_end_stars:long active_projects:long "
@@ -126,6 +131,9 @@ PARTITIONED_BY = {
     "ads_org_compare": "stat_date",
 }
 
+# Tables every load rewrites as a whole. They are kept in versions and published together.
+VERSIONED = ["dim_project", "dws_attribute_daily"]
+
 # Columns that spread one partition's rows evenly over tasks when it is written.
 SPREAD_BY = {
     "ods_repos_raw": ["repo_id"], "fact_repo_stats": ["project_id"], "dws_project_daily": ["project_id"],
@@ -140,6 +148,7 @@ KEYS = {
     "dws_language_daily": ["language", "snapshot_date"],
     "dws_org_daily": ["org_name", "snapshot_date"],
     "dws_platform_daily": ["source_platform", "snapshot_date"],
+    "dws_attribute_daily": ["language", "source_platform", "snapshot_date"],
     "dws_monthly": ["stat_month"],
     "dws_created_monthly": ["stat_month", "dt"],
     "ads_overview": ["stat_date"],

@@ -21,13 +21,15 @@ class Warehouse:
         self.root = root.rstrip("/")
 
     def path(self, table: str) -> str:
+        if table in schemas.VERSIONED:
+            return f"{self.root}/state/version={max(self._versions(), default=0)}/{table}"
         return f"{self.root}/{table}"
 
     def read(self, table: str) -> DataFrame:
         """The table under its fixed schema; without files yet, no rows."""
         schema = schemas.TABLES[table]
-        path = self._newest_version(table) if table == "dim_project" else self.path(table)
-        if path is None or not self._exists(path):
+        path = self.path(table)
+        if not self._exists(path):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
@@ -76,37 +78,36 @@ class Warehouse:
         new = unseen(self.read(table), self._fit(table, df), keys)
         new.write.mode("append").parquet(self.path(table))
 
-    # A full table that every run rewrites is staged beside its present version and published when complete:
-    # nothing is overwritten while it is read, and a failed write changes nothing.
-
-    def stage(self, table: str, df: DataFrame) -> DataFrame:
-        """Write the next version of a full table and return it; readers do not see it yet."""
-        path = f"{self.path(table)}/staged"
-        self._fit(table, df).write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(schemas.TABLES[table]).parquet(path)
-
-    def publish(self, table: str, keep: int = 2) -> None:
-        """Make the staged version the one readers get, and drop all but the `keep` newest."""
-        numbers = self._versions(table)
-        number = (numbers[-1] if numbers else 0) + 1
-        fs, staged = hadoop_path(self.spark, f"{self.path(table)}/staged")
-        version = hadoop_path(self.spark, f"{self.path(table)}/version={number}")[1]
-        if not fs.rename(staged, version):
-            raise OSError(f"could not publish {table} version {number}")
-        for old in [*numbers, number][:-keep]:
-            delete_path(self.spark, f"{self.path(table)}/version={old}")
-
-    def _fit(self, table: str, df: DataFrame) -> DataFrame:
-        """The columns of the table in its types; absent ones are null, and etl_time is now."""
+    # The versioned tables are staged beside their present version and published together when all that depends
+    # on them is written: nothing is overwritten while it is read, and a run that breaks off changes nothing.
+
+    def stage(self, table: str, df: DataFrame, *marks: str) -> DataFrame:
+        """Write the next version of a table and return it, with the further columns `marks`; readers do not
+        see it yet, nor ever the marks."""
+        path = f"{self.root}/state/staged/{table}"
+        fitted = self._fit(table, df, *marks)
+        fitted.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(fitted.schema).parquet(path)
+
+    def publish(self, keep: int = 2) -> None:
+        """Make the staged tables the version readers get, and drop all but the `keep` newest."""
+        numbers = self._versions()
+        number = max(numbers, default=0) + 1
+        fs, staged = hadoop_path(self.spark, f"{self.root}/state/staged")
+        if not fs.rename(staged, hadoop_path(self.spark, f"{self.root}/state/version={number}")[1]):
+            raise OSError(f"could not publish version {number} of {self.root}/state")
+        for old in sorted([*numbers, number])[:-keep]:
+            delete_path(self.spark, f"{self.root}/state/version={old}")
+
+    def _fit(self, table: str, df: DataFrame, *marks: str) -> DataFrame:
+        """The columns of the table in its types; absent ones are null, and an unset etl_time is now."""
         columns = []
         for field in schemas.TABLES[table].fields:
-            if field.name in df.columns:
-                columns.append(F.col(field.name).cast(field.dataType).alias(field.name))
-            elif field.name == "etl_time":
-                columns.append(F.current_timestamp().alias("etl_time"))
-            else:
-                columns.append(F.lit(None).cast(field.dataType).alias(field.name))
-        return df.select(*columns)
+            given = F.col(field.name) if field.name in df.columns else F.lit(None)
+            if field.name == "etl_time":
+                given = F.coalesce(given, F.current_timestamp())
+            columns.append(given.cast(field.dataType).alias(field.name))
+        return df.select(*columns, *marks)
 
     def _exists(self, path: str) -> bool:
         fs, target = hadoop_path(self.spark, path)
@@ -121,12 +122,8 @@ class Warehouse:
         values = [name.split("=", 1)[1] for name in names if name.startswith(f"{column}=")]
         return [value for value in values if value != "__HIVE_DEFAULT_PARTITION__"]
 
-    def _versions(self, table: str) -> list[int]:
-        return sorted(int(number) for number in self._folders(self.path(table), "version"))
-
-    def _newest_version(self, table: str) -> str | None:
-        versions = self._versions(table)
-        return f"{self.path(table)}/version={versions[-1]}" if versions else None
+    def _versions(self) -> list[int]:
+        return [int(number) for number in self._folders(f"{self.root}/state", "version")]
 
 
 def write_clean(df: DataFrame, path: str) -> None:
