@@ -22,11 +22,10 @@ A, O = Audit.SQL, Documents.SQL
 
 DETAIL = """,
 detail AS (
-  SELECT f.project_id, p.full_name AS "fullName", p.language, p.source_platform AS platform, f.org_name AS "orgName",
+  SELECT project_id, d.full_name AS "fullName", f.org_name AS "orgName", d.language, d.source_platform AS platform,
          f.stars_count AS "starsCount", f.forks_count AS "forksCount", f.watchers_count AS "watchersCount",
          f.open_issues_count AS "openIssuesCount", CAST(f.snapshot_date AS VARCHAR) AS "snapshotDate"
-  FROM fx_fact f JOIN fx_dim p ON p.project_id = f.project_id
-  WHERE f.snapshot_date = (SELECT day FROM fx_last))"""
+  FROM fx_last JOIN fx_fact f ON f.snapshot_date = fx_last.day JOIN fx_dim d USING (project_id))"""
 _DETAIL_COLUMNS = ('"fullName", language, platform, "orgName", "starsCount", "forksCount", "watchersCount", '
                    '"openIssuesCount", "snapshotDate"')
 ED = E + DETAIL

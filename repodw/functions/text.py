@@ -50,10 +50,11 @@ def parse_created_at(col: Column) -> Column:
 
 def utc_year(col: Column) -> Column:
     """Year in UTC of an ISO date or time; without a zone it is taken as UTC. Null when it is neither."""
-    zoned = F.rlike(col, F.lit(r"(Z|[+-]\d{2}:?\d{2})$")) & F.contains(col, F.lit(":"))
-    moment = F.when(zoned, F.try_to_timestamp(col)).otherwise(
-        F.coalesce(F.try_to_timestamp(F.concat(col, F.lit("Z"))), F.try_to_timestamp(F.concat(col, F.lit("T00:00:00Z"))))
-    )
+    dated = F.rlike(col, F.lit(r"^\d{4}-\d{1,2}-\d{1,2}"))
+    zoned = F.rlike(col, F.lit(r":.*(Z|[+-]\d{2}:?\d{2})$"))
+    timed = F.contains(col, F.lit(":"))
+    written = F.when(zoned, col).when(timed, F.concat(col, F.lit("Z"))).otherwise(F.concat(col, F.lit("T00:00:00Z")))
+    moment = F.try_to_timestamp(F.when(dated, written))
     return F.year(F.to_utc_timestamp(moment, F.current_timezone()))
 
 

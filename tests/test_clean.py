@@ -74,6 +74,19 @@ def test_created_at_month_time_and_utc_year(spark):
                                         (None, None, None)]
 
 
+def test_utc_year_of_written_forms(spark):
+    forms = {"2020-12-31T23:30:00-01:00": 2021, "2020-12-31T23:30:00Z": 2020, "2020-12-31 23:30:00": 2020, "2020-12-31": 2020,
+             "2021-01-01T00:30:00+0800": 2020, "12:30": None, "2020-13-01": None, "": None}
+    df = spark.createDataFrame([(c,) for c in forms], "c string")
+    for zone in ("UTC", "Asia/Shanghai", "America/New_York"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            got = {r.c: r.y for r in df.select("c", text.utc_year(F.col("c")).alias("y")).collect()}
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert got == forms, zone
+
+
 def test_ods_row_defaults(spark):
     df = spark.createDataFrame(
         [(1, "", "Apache", "1"), (2, "MIT", "Apache", "true"), (3, None, "BSD", "0"), (4, "", None, None)],

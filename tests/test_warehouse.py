@@ -46,6 +46,17 @@ def contents(warehouse):
     return out
 
 
+@pytest.fixture(scope="module")
+def whole(spark, tmp_path_factory):
+    """All days loaded in order: the landing folder, the warehouse, and what its tables hold."""
+    folder = tmp_path_factory.mktemp("whole")
+    (folder / "raw").mkdir()
+    for n, day in enumerate(DAYS):
+        day_files(folder / "raw", day, n)
+    warehouse = load(spark, str(folder / "raw"), folder / "wh", DAYS)
+    return str(folder / "raw"), warehouse, contents(warehouse)
+
+
 def load(spark, raw_dir, root, days):
     warehouse = Warehouse(spark, str(root))
     for day in days:
@@ -53,9 +64,8 @@ def load(spark, raw_dir, root, days):
     return warehouse
 
 
-def test_days_reruns_late_days_and_rebuild_agree(spark, raw_dir, tmp_path):
-    warehouse = load(spark, raw_dir, tmp_path / "a", DAYS)
-    first = contents(warehouse)
+def test_days_reruns_late_days_and_rebuild_agree(spark, whole, tmp_path):
+    raw_dir, warehouse, first = whole
     for table, keys in schemas.KEYS.items():
         rows = warehouse.read(table)
         assert rows.count() == rows.select(*keys).distinct().count(), table
@@ -76,7 +86,7 @@ def test_days_reruns_late_days_and_rebuild_agree(spark, raw_dir, tmp_path):
 
     # All rollups from scratch equal the day by day ones.
     daily.rebuild_rollups(warehouse)
-    assert len(list((tmp_path / "a" / "state").glob("version=*"))) == 2
+    assert len(warehouse._versions()) == 2
     daily.rebuild_months(warehouse)
     assert contents(warehouse) == first
 
@@ -99,8 +109,8 @@ def test_emptied_day_is_removed(spark, raw_dir, tmp_path):
     assert warehouse.newest_partition("ods_repos_raw") == DAYS[0]
 
 
-def test_broken_run_leaves_the_dimension_and_can_be_repeated(spark, raw_dir, tmp_path, monkeypatch):
-    whole = contents(load(spark, raw_dir, tmp_path / "whole", DAYS))
+def test_broken_run_leaves_the_dimension_and_can_be_repeated(spark, whole, tmp_path, monkeypatch):
+    raw_dir, _, complete = whole
     warehouse = load(spark, raw_dir, tmp_path / "broken", DAYS[:2])
     before = contents(warehouse)["dim_project"]
     for step in ("refresh_rollups", "_write_attribute_rollups", "refresh_months"):
@@ -110,7 +120,7 @@ def test_broken_run_leaves_the_dimension_and_can_be_repeated(spark, raw_dir, tmp
         assert (contents(warehouse)["dim_project"] == before) == (step != "refresh_months")
         monkeypatch.undo()
     daily.run_day(spark, raw_dir, warehouse, DAYS[2])
-    assert contents(warehouse) == whole
+    assert contents(warehouse) == complete
 
 
 def test_partition_values_keep_their_types(spark, raw_dir, tmp_path):
@@ -147,8 +157,7 @@ def test_old_files_without_platform(spark, tmp_path):
     assert (row.source_platform, row.license_type, row.archived, row.forks_count) == ("unknown", "MIT", 0, None)
 
 
-def test_stream_takes_each_file_once_and_equals_the_batch(spark, raw_dir, tmp_path):
-    batch = contents(load(spark, raw_dir, tmp_path / "batch", DAYS))
+def test_stream_takes_each_file_once_and_equals_the_batch(spark, whole, tmp_path):
     growing = tmp_path / "growing"
     growing.mkdir()
     warehouse, progress = Warehouse(spark, str(tmp_path / "stream")), str(tmp_path / "progress")
@@ -156,7 +165,7 @@ def test_stream_takes_each_file_once_and_equals_the_batch(spark, raw_dir, tmp_pa
         day_files(growing, day, n)
         query = ingest_new_files(spark, str(growing), warehouse, progress)
         assert sum(p["numInputRows"] for p in query.recentProgress) == 2
-    assert contents(warehouse) == batch
+    assert contents(warehouse) == whole[2]
     query = ingest_new_files(spark, str(growing), warehouse, progress)
     assert sum(p["numInputRows"] for p in query.recentProgress) == 0
 
