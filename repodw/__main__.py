@@ -65,7 +65,7 @@ def main(arguments: list[str] | None = None) -> None:
     elif args.command == "calendar":
         warehouse.fill_once("dim_date", calendar.gen_dim_date(spark, args.start, args.end))
     elif args.command == "export":
-        rows = export.export_rows(warehouse.read("fact_repo_stats"), warehouse.read("dim_project"), args.keyword)
+        rows = export.export_rows(warehouse.latest("fact_repo_stats"), warehouse.read("dim_project"), args.keyword)
         export.write_csv(rows, args.out, args.single_file)
     else:
         _answer(warehouse, args).show(args.size if args.name == "repos" else 100, truncate=False)
@@ -79,8 +79,8 @@ def _answer(warehouse: Warehouse, args: argparse.Namespace):
     }
     if args.name in marts:
         question, table = marts[args.name]
-        return question(warehouse.read(table))
-    fact, dim = warehouse.read("fact_repo_stats"), warehouse.read("dim_project")
+        return question(warehouse.read(table) if args.name == "trend" else warehouse.latest(table))
+    fact, dim = warehouse.latest("fact_repo_stats"), warehouse.read("dim_project")
     if args.name == "org-repos":
         return serve.q_org_repos(fact, dim, args.org)
     if args.name == "compare":

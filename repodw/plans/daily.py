@@ -52,7 +52,7 @@ def load_star(warehouse: Warehouse, day: str) -> DataFrame:
     last = warehouse.newest_partition("ods_repos_raw")
     if last is None:
         raise ValueError("the raw layer is empty; load a day first")
-    ods_day = warehouse.read("ods_repos_raw").filter(F.col("dt") == day)
+    ods_day = warehouse.read_days("ods_repos_raw", [day])
     old = warehouse.read("dim_project")
     if day >= last:
         dim = dwd.scd1_with_changes(old, ods_day)
@@ -70,11 +70,9 @@ def load_star(warehouse: Warehouse, day: str) -> DataFrame:
 
 def refresh_rollups(warehouse: Warehouse, day: str) -> None:
     """Project and organisation rollups of this day and the next, whose changes look back to it."""
-    fact = warehouse.read("fact_repo_stats")
-    this, after = date.fromisoformat(day), date.fromisoformat(day) + timedelta(1)
-    near = fact.filter(F.col("snapshot_date").between(this - timedelta(1), after))
-    touched = F.col("snapshot_date").between(this, after)
-    both = [day, after.isoformat()]
+    before, both = _shift(day, -1), [day, _shift(day, 1)]
+    near = warehouse.read_days("fact_repo_stats", [before, *both])
+    touched = F.col("snapshot_date") > date.fromisoformat(before)
     warehouse.replace_days("dws_project_daily", dws.project_daily(near).filter(touched), both)
     warehouse.replace_days("dws_org_daily", dws.org_daily(near).filter(touched), both)
 
@@ -85,15 +83,14 @@ def refresh_attribute_rollups(warehouse: Warehouse, dim: DataFrame, day: str) ->
     History counts under the present dimension. Instead of counting it again, the changed projects are moved
     within the stored cube, which costs a lookup of their facts.
     """
-    fact = warehouse.read("fact_repo_stats")
     this = date.fromisoformat(day)
-    parts = dws.attribute_daily(fact.filter(F.col("snapshot_date") == this), dim)
+    parts = dws.attribute_daily(warehouse.read_days("fact_repo_stats", [day]), dim)
     parts = parts.unionByName(warehouse.read("dws_attribute_daily").filter(F.col("snapshot_date") != this))
     moved = dim.filter("restate")
     days = []
     with ExitStack() as stack:
         if not moved.isEmpty():
-            elsewhere = fact.filter(F.col("snapshot_date") != this)
+            elsewhere = warehouse.read("fact_repo_stats").filter(F.col("snapshot_date") != this)
             moves = stack.enter_context(written_for_now(dws.attribute_moves(elsewhere, moved), "moves"))
             # At most one value per calendar day, so the driver holds a bounded list.
             days = [row["snapshot_date"] for row in moves.select("snapshot_date").distinct().collect()]
@@ -122,24 +119,22 @@ def rebuild_rollups(warehouse: Warehouse) -> None:
     warehouse.publish()
 
 
+def _shift(day: str, by: int) -> str:
+    return (date.fromisoformat(day) + timedelta(by)).isoformat()
+
+
 def refresh_months(warehouse: Warehouse, day: str) -> None:
     """Month sums of the months this load touches, and the creation months of the day's raw rows.
 
     Moving a project to another platform changes no sum over all platforms, so restated days do not count.
     """
-    next_day = (date.fromisoformat(day) + timedelta(1)).isoformat()
-    months = sorted({day[:7], next_day[:7]})
-    touched = F.lit(False)
-    for month in months:
-        first = date.fromisoformat(f"{month}-01")
-        after = (first + timedelta(32)).replace(day=1)
-        touched = touched | ((F.col("snapshot_date") >= first) & (F.col("snapshot_date") < after))
+    months = sorted({day[:7], _shift(day, 1)[:7]})
     project, org, platform = (
-        warehouse.read(t).filter(touched) for t in ("dws_project_daily", "dws_org_daily", "dws_platform_daily")
+        warehouse.read_days(t, [d for d in warehouse.partitions(t) if d[:7] in months])
+        for t in ("dws_project_daily", "dws_org_daily", "dws_platform_daily")
     )
     warehouse.replace_days("dws_monthly", ads.monthly(project, org, platform), months)
-    ods_day = warehouse.read("ods_repos_raw").filter(F.col("dt") == day)
-    created = ads.created_by_month(ods_day).withColumn("dt", F.lit(day))
+    created = ads.created_by_month(warehouse.read_days("ods_repos_raw", [day])).withColumn("dt", F.lit(day))
     warehouse.replace_days("dws_created_monthly", created, [day])
 
 
@@ -157,10 +152,10 @@ def refresh_marts(warehouse: Warehouse) -> None:
     last = warehouse.newest_partition("fact_repo_stats")
     if last is None:
         return
-    fact, dim = warehouse.read("fact_repo_stats"), warehouse.read("dim_project")
-    day = date.fromisoformat(last)
-    project, org, language = (
-        warehouse.read(t) for t in ("dws_project_daily", "dws_org_daily", "dws_language_daily")
+    day, dim = date.fromisoformat(last), warehouse.read("dim_project")
+    fact, project, org, language = (
+        warehouse.read_days(t, [last]) for t in
+        ("fact_repo_stats", "dws_project_daily", "dws_org_daily", "dws_language_daily")
     )
     warehouse.replace_days("ads_overview", ads.overview(dim, fact, day))
     warehouse.replace_days("ads_project_ranking", ads.project_ranking(project, dim, fact, day))

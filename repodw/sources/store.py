@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -33,6 +33,26 @@ class Warehouse:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(path)
 
+    def partitions(self, table: str) -> list[str]:
+        """Partition values in order, from the folder names: no data file is listed or opened."""
+        return sorted(self._folders(self.path(table), schemas.PARTITIONED_BY[table]))
+
+    def newest_partition(self, table: str) -> str | None:
+        return max(self.partitions(table), default=None)
+
+    def read_days(self, table: str, days: Iterable[str]) -> DataFrame:
+        """The given partitions alone; only their folders are listed, however long the history is."""
+        column, present = schemas.PARTITIONED_BY[table], set(self.partitions(table))
+        paths = [f"{self.path(table)}/{column}={day}" for day in sorted(set(days) & present)]
+        if not paths:
+            return self.spark.createDataFrame([], schemas.TABLES[table])
+        return self.spark.read.schema(schemas.TABLES[table]).option("basePath", self.path(table)).parquet(*paths)
+
+    def latest(self, table: str) -> DataFrame:
+        """The newest partition: what the serving queries of the newest day need to be given."""
+        newest = self.newest_partition(table)
+        return self.read_days(table, [] if newest is None else [newest])
+
     def replace_days(self, table: str, df: DataFrame, days: Sequence[str] = (), rebalance: bool = True) -> None:
         """Replace exactly the partitions that occur in `df`; others stay.
 
@@ -60,11 +80,6 @@ class Warehouse:
             if seen.get[day] == 0:
                 delete_path(self.spark, f"{self.path(table)}/{column}={day}")
 
-    def newest_partition(self, table: str) -> str | None:
-        """Greatest partition value, from the folder names: no data file is opened."""
-        values = self._folders(self.path(table), schemas.PARTITIONED_BY[table])
-        return max(values, default=None)
-
     def fill_once(self, table: str, df: DataFrame) -> bool:
         """Write a table that has no rows yet; a filled one is left alone. Says whether it wrote."""
         if not self.read(table).isEmpty():

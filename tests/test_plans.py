@@ -97,6 +97,9 @@ def test_warehouse_reads_prune_partitions(spark, tmp_path):
     warehouse.replace_days("dws_project_daily", dws.project_daily(events.fact))
     plan = physical(ads.on_day(warehouse.read("dws_project_daily"), events.last))
     assert re.search(r"PartitionFilters: \[[^\]]*snapshot_date[^\]]* = 2024-01-30", plan)
+    newest = warehouse.latest("dws_project_daily")
+    assert all("snapshot_date=2024-01-30" in file for file in newest.inputFiles()) and newest.count() == 14
+    assert warehouse.read_days("dws_project_daily", ["1999-01-01"]).isEmpty()
 
 
 def test_counts_need_no_expand(spark):
