@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from repodw import fixed_values as V
-from repodw import schemas
 from repodw.checks.bindings import Documents, Events, Lines
-from repodw.checks.registry import query, sql_day
+from repodw.checks.registry import query
 from repodw.functions import text
 from repodw.operators import dedup
 from repodw.plans import clean

@@ -8,12 +8,11 @@ from repodw import fixed_values as V
 from repodw.checks.bindings import Audit, Documents, Events, Lines
 from repodw.checks.registry import query, sql_day, sql_ratio
 from repodw.checks.rollups import (
-    E, ER, L, LANGUAGE, LR, ORGS, OVERVIEW, RANKING, TREND_HISTORY, TREND_SNAPSHOTS, languages_of, merged_of, orgs_of,
+    E, ER, LANGUAGE, LR, ORGS, OVERVIEW, RANKING, TREND_HISTORY, TREND_SNAPSHOTS, languages_of, merged_of, orgs_of,
     ranking_of, trend_history_of,
 )
-from repodw.functions.numbers import wire_form
 from repodw.operators import filters, latest, paging
-from repodw.plans import ads, clean, dwd, profile, serve
+from repodw.plans import ads, dwd, profile, serve
 from repodw.session import scratch_dir, written
 from repodw.sources import export
 from repodw.sources.store import Warehouse

@@ -28,27 +28,32 @@ def dim_left_fact(dim: DataFrame, fact: DataFrame, day: date) -> DataFrame:
 
 
 def overview(dim: DataFrame, fact: DataFrame, stat_date: date) -> DataFrame:
-    """One row: all projects, and the stars, forks and organisations of the day."""
-    day = on_day(fact, stat_date)
-    per_project = day.groupBy("project_id").agg(
+    """One row: all projects, and the stars, forks and organisations of the day.
+
+    Projects are counted on the dimension alone, measures on the facts of known projects, so that a single
+    narrow join serves what reads like an outer join with distinct counts.
+    """
+    per_org = on_day(fact, stat_date).join(dim.select("project_id"), "project_id", "left_semi").groupBy("org_name").agg(
         F.sum(F.col("stars_count").cast("long")).alias("stars"),
         F.count("stars_count").alias("starred"),
         F.sum(F.col("forks_count").cast("long")).alias("forks"),
     )
-    projects = dim.select("project_id", "source_platform")
-    orgs = day.join(projects, "project_id", "left_semi").agg(F.countDistinct("org_name").alias("n")).scalar()
-    totals = projects.join(per_project, "project_id", "left").agg(
+    measures = per_org.agg(F.struct(
+        F.coalesce(F.sum("stars"), F.lit(0)).alias("stars"),
+        F.coalesce(F.sum("forks"), F.lit(0)).alias("forks"),
+        F.coalesce(F.sum("starred"), F.lit(0)).alias("starred"),
+        F.count("org_name").alias("orgs"),
+    ).alias("day"))
+    totals = dim.agg(
         F.count(F.lit(1)).alias("total_repos"),
-        F.coalesce(F.sum("stars"), F.lit(0)).alias("total_stars"),
-        F.coalesce(F.sum("forks"), F.lit(0)).alias("total_forks"),
         count_if(F.col("source_platform") == "gitee").alias("gitee_repos"),
         count_if(F.col("source_platform") == "github").alias("github_repos"),
-        F.sum("starred").alias("starred"),
-    )
-    average = F.coalesce(ratio(F.col("total_stars"), F.col("starred")), F.lit(0).cast("decimal(10,2)"))
+    ).withColumn("day", measures.scalar())
+    average = F.coalesce(ratio(F.col("day.stars"), F.col("day.starred")), F.lit(0).cast("decimal(10,2)"))
     return totals.select(
-        F.lit(stat_date).alias("stat_date"), "total_repos", "total_stars", "total_forks", orgs.alias("total_orgs"),
-        "gitee_repos", "github_repos", average.alias("avg_stars"),
+        F.lit(stat_date).alias("stat_date"), "total_repos", F.col("day.stars").alias("total_stars"),
+        F.col("day.forks").alias("total_forks"), F.col("day.orgs").alias("total_orgs"), "gitee_repos", "github_repos",
+        average.alias("avg_stars"),
     )
 
 

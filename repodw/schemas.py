@@ -33,8 +33,6 @@ RAW = _schema(
 # What a raw file may lack altogether, with the value the whole column then gets.
 RAW_DEFAULTS = {"topics": "", "license": "", "homepage": "", "archived": False, "source_platform": "unknown"}
 
-OWNER = T.StructType([T.StructField("login", T.StringType()), T.StructField("path", T.StringType())])
-
 # A repository as the hosting platforms' APIs return it.
 PAYLOAD = T.StructType(
     _schema(

@@ -2,7 +2,6 @@ import json
 from datetime import date
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 TESTDATA = "/root/testdata"
 

@@ -1,5 +1,4 @@
 import random
-from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
