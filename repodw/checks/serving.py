@@ -12,7 +12,7 @@ from repodw.checks.rollups import (
     ranking_of, trend_history_of,
 )
 from repodw.operators import filters, latest, paging
-from repodw.plans import ads, dwd, profile, serve
+from repodw.plans import ads, dwd, dws, profile, serve
 from repodw.session import scratch_dir, written
 from repodw.sources import export
 from repodw.sources.store import Warehouse
@@ -262,11 +262,12 @@ def _(e):
 
 @query("q_compare", Events, _POOL + f"""
 SELECT "fullName", {_SCALES}, {sql_ratio('100 * "watchersCount"', 'sum("watchersCount") OVER ()')} AS share
-FROM pool WHERE "fullName" LIKE '%Customer#0000000_0'""")
+FROM (FROM pool WHERE platform = 'gitee' ORDER BY rn LIMIT 6)""")
 def _(e):
-    """Those of the pool with a two-digit number ending in 0 are chosen."""
-    pool = serve.compare_pool(e.fact, e.projects).filter("fullName LIKE '%Customer#0000000_0'")
-    names = [row["fullName"] for row in pool.select("fullName").limit(V.COMPARE_MAX).collect()]
+    """The six most starred of the pool on one platform are chosen."""
+    pool = serve.compare_pool(e.fact, e.projects).filter("platform = 'gitee'")
+    best = pool.orderBy(F.col("starsCount").desc(), "projectId").limit(V.COMPARE_MAX)
+    names = [row["fullName"] for row in best.collect()]
     return serve.q_compare(e.fact, e.projects, names, "watchersCount")
 
 
@@ -425,8 +426,6 @@ SELECT org_name, repo_count + 1, {sql_day('snapshot_date')} FROM od WHERE snapsh
   AND repo_count > 1""")
 def _(e):
     """All days written, then the newest one again with other numbers and fewer rows."""
-    from repodw.plans import dws
-
     warehouse = Warehouse(e.spark, scratch_dir(e.spark, "mart"))
     orgs = dws.org_daily(e.fact)
     warehouse.replace_days("dws_org_daily", orgs)
