@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from repodw.llm.common import ascii_lower, merged_length, text_or_empty
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PIECE = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]*[^\x00-\x2F\x3A-\x60\x7B-\x7F]+|[\x00-\x2F\x3A-\x60\x7B-\x7F]+$"
 WIDTH = 10
 # Windows in one broadcast: at most some 100 MB. More windows are looked for block by block.
@@ -28,7 +28,7 @@ BLOCK = 500_000
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(text_or_empty(text)), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(ascii_lower(text_or_empty(text)), BREAK), "")
 
 
 def windows(items: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -48,24 +48,22 @@ def hits(docs: DataFrame, items: DataFrame, width: int = WIDTH, block: int = BLO
     words = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("words"))
     words = words.withColumn("n_words", F.size("words"))
 
-    def probes(length: int) -> Column:
-        starts = F.when(F.col("n_words") >= length, F.sequence(F.lit(1), F.col("n_words") - (length - 1)))
-        found = F.transform(starts, lambda i: F.struct(
-            i.alias("start"), F.lit(length).alias("len"), F.xxhash64(F.slice("words", i, length)).alias("h")))
-        return F.coalesce(found, F.array().cast("array<struct<start:int,len:int,h:bigint>>"))
-
-    once = F.array(F.struct(F.lit(0).alias("start"), F.lit(0).alias("len"), F.lit(None).cast("long").alias("h")))
+    # Explode, hash, join and filter run as one generated loop over start positions, which refers to the words of the
+    # document and copies them for no position. explode_outer, because explode lets the optimizer infer a filter that
+    # takes the words apart once more; no higher-order function, as slice in one costs as much as the whole text.
+    starts = words.select("*", F.explode_outer(F.sequence(F.lit(0), F.col("n_words"))).alias("start"))
+    lengths = F.array(*[F.lit(n) for n in sorted(facts["lengths"]) or [width]])
+    probes = starts.select("*", F.explode_outer(lengths).alias("len"))
+    here = F.slice("words", F.greatest("start", F.lit(1)), F.col("len"))
+    whole = (F.col("start") > 0) & (F.col("start") + F.col("len") <= F.col("n_words") + 1)
+    probes = probes.withColumn("at", F.when(whole, F.xxhash64(here)))
+    # Two comparisons instead of an equality, which would make the words a part of the hashed key of every probe.
+    real = (F.col("h") == F.col("at")) & (F.col("window") <= here) & (F.col("window") >= here)
     blocks = max(1, -(-facts["n"] // block))
 
     def scan(number: int) -> DataFrame:
         part = known.filter(F.pmod("h", F.lit(blocks)) == number) if blocks > 1 else known
-        # The probes are a column of their own, so that explode, join and filter run as one generated loop over them,
-        # which refers to the words and copies them for no probe.
-        rows = words.withColumn("probes", F.concat(*([once] if number == 0 else []), *map(probes, sorted(facts["lengths"]))))
-        rows = rows.select("doc_id", "text_hash", "n_words", "words", F.explode("probes").alias("probe"))
-        rows = rows.select("doc_id", "text_hash", "n_words", "words", "probe.start", "probe.len", F.col("probe.h").alias("at"))
-        real = (F.col("h") == F.col("at")) & (F.col("window") == F.slice("words", F.greatest("start", F.lit(1)), F.col("len")))
-        met = rows.join(F.broadcast(part), real, "left").filter((F.col("start") == 0) | F.col("items").isNotNull())
+        met = probes.join(F.broadcast(part), real, "left").filter((F.col("start") == 0) | F.col("items").isNotNull())
         return met.select("doc_id", "text_hash", "n_words", "start", "len", "items")
 
     return reduce(DataFrame.unionByName, map(scan, range(blocks)))
