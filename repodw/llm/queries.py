@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repodw.llm import decontaminate
-from repodw.llm.common import table
+from repodw.llm import decontaminate, langid
+from repodw.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,3 +51,11 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN positions USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
+
+
+@query
+def op9_langid(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from four of five folds."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", (fold(F.col("doc_id")) == 0).alias("held_out"))
+    model = langid.learn(docs.filter(~F.col("held_out")))
+    return langid.identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
