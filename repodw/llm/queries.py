@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repodw.llm import decontaminate, langid
+from repodw.llm import decontaminate, langid, mix
 from repodw.llm.common import fold, table
+from repodw.session import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,6 +54,13 @@ FROM w LEFT JOIN positions USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
 
 
+@query
+def op2_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of every document the mix takes."""
+    docs = written(mix.placed(table(spark, folder, "documents")), "placed")
+    return mix.takings(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 @query
 def op9_langid(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learned from four of five folds."""
