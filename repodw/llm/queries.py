@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repodw.llm import decontaminate, langid, mix
+from repodw.llm import decontaminate, langid, mix, neardup
 from repodw.llm.common import fold, table
 from repodw.session import written
 
@@ -61,6 +61,12 @@ def op2_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix.takings(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+@query
+def op8_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    """The group of near-duplicates of every document, on sets of 4-word shingles."""
+    return neardup.near_duplicates(table(spark, folder, "documents"), width=4)
+
+
 @query
 def op9_langid(spark: SparkSession, folder: str) -> DataFrame:
     """The language of every document, learned from four of five folds."""
