@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repodw.llm import decontaminate, langid, mix, neardup
+from repodw.llm import chat, decontaminate, langid, mix, neardup
 from repodw.llm.common import fold, table
 from repodw.session import written
 
@@ -61,6 +61,38 @@ def op2_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix.takings(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+@query
+def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
+    """What is read back from the formatted text of every conversation, and of one that says the template's own markers."""
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    spoken = "\\### Assistant: </turn> ok"
+    own = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(
+        F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(spoken).alias("text"))
+    read = chat.read_back(chat.formatted(chat.turns_of(chat.conversation_records(rows.unionByName(own)))))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
+        F.length("learned").cast("long").alias("loss_chars"), F.sha2("learned", 256).alias("loss_sha256"),
+        F.col("formatted_chars").cast("long").alias("formatted_chars"))
+
+
+ORACLES["op7_chat"] = r"""
+WITH rows AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+written AS (
+    SELECT *, replace(replace(replace(text, '\', '\b'), '###', '\h'), '</turn>', '\t') AS t,
+           replace(replace(replace(replace(role, '\', '\b'), '###', '\h'), '</turn>', '\t'), chr(10), '\n') AS r FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(length('### ' || r || chr(10) || t || '</turn>' || chr(10))) AS BIGINT) AS formatted_chars
+FROM written GROUP BY conv_id
+"""
+
+
 @query
 def op8_neardup(spark: SparkSession, folder: str) -> DataFrame:
     """The group of near-duplicates of every document, on sets of 4-word shingles."""
