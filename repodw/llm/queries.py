@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repodw.llm import chat, decontaminate, langid, mix, neardup
+from repodw.llm import chat, decontaminate, langid, merkle, mix, neardup
 from repodw.llm.common import fold, table
 from repodw.session import written
 
@@ -61,6 +61,50 @@ def op2_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix.takings(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+@query
+def op6_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    rows = merkle.edited(table(spark, folder, "documents"))
+    for text, name in (("text", "fingerprint"), ("edited", "edited_fingerprint"), ("next", "next_fingerprint")):
+        rows = merkle.with_fingerprint(rows, text, name)
+    return rows.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        merkle.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        merkle.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+
+
+def _tree(text: str) -> str:
+    pieces = r"'(?:[^ ]*[^ .!?] +){0,11}[^ ]+ *| +'"
+    line = f"array_to_string(list_transform(regexp_extract_all(line, {pieces}), lambda p: md5(p)[1:16]), ',')"
+    lines = f"list_transform(list_transform(string_split({text}, chr(10)), lambda line: {line}), lambda h: md5(h)[1:16] || ':' || h)"
+    sections = f"regexp_extract_all(array_to_string({lines}, '|'), '(?:[2-9a-f][^|]*\\|){{0,31}}[^|]+\\|?')"
+    return f"array_to_string(list_transform({sections}, lambda s: md5(s)[1:16] || '=' || rtrim(s, '|')), ';')"
+
+
+def _root(body: str, text: str) -> str:
+    return f"CASE WHEN {text} = '' THEN sha256('') ELSE sha256({body}) || ';' || {body} END"
+
+
+def _near(a: str, b: str) -> str:
+    x, y = (f"list_distinct(regexp_extract_all({f}, '[:,]([0-9a-f]{{16}})', 1))" for f in (a, b))
+    return (f"CASE WHEN {a}[1:64] = {b}[1:64] THEN CAST(1 AS DOUBLE) WHEN len({x}) + len({y}) = 0 THEN CAST(0 AS DOUBLE) "
+            f"ELSE CAST(2 * len(list_intersect({x}, {y})) AS DOUBLE) / (len({x}) + len({y})) END")
+
+
+ORACLES["op6_merkle"] = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER (ORDER BY doc_id DESC NULLS LAST, text) AS k FROM documents),
+pairs AS (SELECT a.doc_id, a.text, b.text AS next, length(a.text) AS n
+          FROM d a JOIN d b ON b.k = (CASE WHEN a.k = (SELECT max(k) FROM d) THEN 1 ELSE a.k + 1 END)),
+e AS (SELECT *, substr(text, 1, n - n // 3) || substr(next, 1, n // 3) AS edited FROM pairs),
+t AS (SELECT *, {_tree("text")} AS a, {_tree("edited")} AS b, {_tree("next")} AS c FROM e),
+f AS (SELECT *, {_root("a", "text")} AS fingerprint, {_root("b", "edited")} AS edited_fingerprint,
+             {_root("c", "next")} AS next_fingerprint FROM t)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, fingerprint, edited_fingerprint,
+       {_near("fingerprint", "edited_fingerprint")} AS near_edited, {_near("fingerprint", "next_fingerprint")} AS near_next
+FROM f
+"""
+
+
 @query
 def op7_chat(spark: SparkSession, folder: str) -> DataFrame:
     """What is read back from the formatted text of every conversation, and of one that says the template's own markers."""
