@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repodw.llm import chat, decontaminate, langid, merkle, mix, neardup
+from repodw.llm import chat, decontaminate, langid, merkle, mix, neardup, pii
 from repodw.llm.common import fold, table
 from repodw.session import written
 
@@ -149,3 +149,16 @@ def op9_langid(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang", (fold(F.col("doc_id")) == 0).alias("held_out"))
     model = langid.learn(docs.filter(~F.col("held_out")))
     return langid.identify(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def _of_kind(number: int) -> Callable[[Column], Column]:
+    return lambda span: span["k"] == number
+
+
+@query
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """The personal data of every document."""
+    rows = pii.report(table(spark, folder, "documents"))
+    counts = {f"n_{kind}": F.size(F.filter("base", _of_kind(k))).cast("long") for k, kind in enumerate(pii.KINDS, 1)}
+    return rows.select("doc_id", *[c.alias(n) for n, c in counts.items()], F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+                       pii.listed(F.col("spans")).alias("spans"))
