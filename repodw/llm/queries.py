@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repodw.llm import chat, decontaminate, langid, merkle, mix, neardup, pii
+from repodw.llm import chat, decontaminate, langid, merkle, mix, neardup, pii, secrets
 from repodw.llm.common import fold, table
 from repodw.session import written
 
@@ -73,6 +73,13 @@ def op6_merkle(spark: SparkSession, folder: str) -> DataFrame:
         merkle.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
 
 
+@query
+def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Every candidate for a secret in every document, and whether it is one."""
+    found = secrets.scan(table(spark, folder, "documents"), secrets.words_of(table(spark, folder, "benchmark")))
+    return found.select("doc_id", "start", "end", F.sha2("value", 256).alias("value_sha256"), "score", "secret")
+
+
 def _tree(text: str) -> str:
     pieces = r"'(?:[^ ]*[^ .!?] +){0,11}[^ ]+ *| +'"
     line = f"array_to_string(list_transform(regexp_extract_all(line, {pieces}), lambda p: md5(p)[1:16]), ',')"
