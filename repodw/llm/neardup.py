@@ -7,11 +7,11 @@ so each chunk is written down once for every slot that may be wrong, without tha
 key are candidates: every pair within the distance meets. A pair at a similarity of 0.8 differs in 12.8 of 64 slots on
 average; that all 14 chunks have two errors or more has a probability below 1e-9.
 
-Documents with the same set are one node from the start. Within a key, a node is first compared with one centre, which
-a hash of the round picks, so a key with any number of nodes gives one pair a node; after each round the keys whose
+Documents with the same set are one node from the start. Within a key, a node is first compared with one centre, the
+one that shares most keys and then one picked by a hash, so a key gives one pair a node; after each round the keys whose
 nodes are all in one component are done with. What remains, nodes of different components under one key, is then
-compared pair by pair, so no link between components is lost. Pairs whose signatures differ too much are dropped before
-the sets are fetched; all others are decided by the sizes of the intersection and the union of the full sets.
+paired by their rarest shingles, so that no link between components is lost. Pairs whose sizes or signatures differ too
+much are dropped before the sets are fetched; all others are decided by the intersection and union of the full sets.
 
 Nulls and odd input: without words (null, empty, blank text) the set is empty and nothing is linked, also not to other
 empty ones; with fewer words than `width`, the whole sequence is the one shingle. Rows that repeat a doc_id are one
@@ -26,7 +26,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from repodw.llm.components import components
@@ -38,8 +38,8 @@ PERCENT = 80
 SLOTS = 64
 CHUNKS = 14
 ROUNDS = 2
-# Signatures that differ in more slots aren't compared in full: at a similarity of 0.8, 1 pair in 10^8 is beyond.
-FAR = 34
+# Signatures that differ in more slots aren't compared in full: at a similarity of 0.8, 1 pair in 10^7 is beyond.
+FAR = 31
 # Ids of documents that are broadcast at most (8 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 4_000_000
 
@@ -116,35 +116,58 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int,
                 x, y = (np.frombuffer(b"".join(batch[c]), np.uint16).reshape(-1, SLOTS) for c in ("sa", "sb"))
                 yield batch.loc[(x != y).sum(1) <= FAR, ["a", "b"]]
 
-    def similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for a, b, x, y in zip(batch["a"], batch["b"], batch["xa"], batch["xb"]):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-                both = int((x[at] == y).sum())
-                rows.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.loc[np.array(rows, bool), ["a", "b"]]
+    sig = nodes.select("node", "signature", "n_shingles")
+    a = sig.select(F.col("node").alias("a"), F.col("signature").alias("sa"), F.col("n_shingles").alias("na"))
+    b = sig.select(F.col("node").alias("b"), F.col("signature").alias("sb"), F.col("n_shingles").alias("nb"))
+    alike = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    pairs = written(pairs.join(a, "a").join(b, "b").filter(alike).mapInPandas(near, "a long, b long"), "pairs")
+    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "digest"), "node")
+    sets = _full_sets(needed, docs, width)
+    both = pairs.join(sets.select(F.col("node").alias("b"), F.col("x").alias("xb")), "b").join(
+        sets.select(F.col("node").alias("a"), F.col("x").alias("xa")), "a")
+    both = both.withColumn("common", F.size(F.array_intersect("xa", "xb")))
+    return written(both.filter(100 * F.col("common") >= percent * (F.size("xa") + F.size("xb") - F.col("common"))).select("a", "b"), "links")
+
+
+def _crossing(rest: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes of different components that may be similar enough, from `rest` (node, label).
+
+    In the order of their frequency, rarest first, two sets that are similar enough share one of their first
+    n - ceil(percent * n / 100) + 1 shingles. So a passage that thousands of documents share pairs none of them. And
+    they have no more in common than the shingles of either that occur in any other set at all. So thousands of copies
+    of one text, each too far from it by edits of its own, pair with none either.
+    """
+    sets = _full_sets(rest.join(nodes.select("node", "digest"), "node").select("node", "digest"), docs, width)
+    each = written(sets.select("node", F.size("x").alias("n"), F.explode("x").alias("x")), "shingles")
+    often = each.groupBy("x").agg(F.count("*").alias("often"))
+    order = Window.partitionBy("node").orderBy("often", "x")
+    rare = each.join(often.filter("often > 1"), "x", "left").withColumn("often", F.coalesce("often", F.lit(1))).withColumns({
+        "place": F.row_number().over(order), "shared": F.sum(F.when(F.col("often") > 1, 1).otherwise(0)).over(Window.partitionBy("node"))})
+    rare = rare.filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).filter("often > 1")
+    rare = written(rare.join(rest, "node").select("x", "node", "label", "n", "shared"), "rare")
+    crossed = rare.groupBy("x").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("x")
+    rare = rare.join(crossed, "x")
+    other = rare.select("x", F.col("node").alias("b"), F.col("label").alias("other"), F.col("n").alias("m"), F.col("shared").alias("common"))
+    most = F.least("shared", "common")
+    return rare.join(other, "x").filter("label <> other AND node < b").filter(
+        100 * most >= percent * (F.col("n") + F.col("m") - most)).select(F.col("node").alias("a"), "b")
+
+
+def _full_sets(needed: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """node, x: the full sets of the nodes (node, digest); written."""
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            wanted = batch["digest"].tolist()
-            node = batch["node"].to_numpy()
-            some = [(node[k], s.tobytes()) for k, s in _sets(batch["text"].tolist(), width) if len(s) and _digest(s) == wanted[k]]
-            yield pd.DataFrame(some, columns=["node", "x"])
-
-    sig = nodes.select("node", "signature")
-    pairs = written(pairs.join(sig.select(F.col("node").alias("a"), F.col("signature").alias("sa")), "a")
-                    .join(sig.select(F.col("node").alias("b"), F.col("signature").alias("sb")), "b")
-                    .mapInPandas(near, "a long, b long"), "pairs")
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "digest"), "node")
+            wanted, node = batch["digest"].tolist(), batch["node"].to_numpy()
+            some = [(node[k], s.view(np.int64)) for k, s in _sets(batch["text"].tolist(), width)
+                    if len(s) and _digest(s) == wanted[k]]
+            if some:
+                yield pd.DataFrame(some, columns=["node", "x"])
+
     needed = written(needed, "needed")
     small = F.broadcast(needed) if needed.count() <= BROADCAST_ROWS else needed
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(small, "node")
-    sets = written(texts.mapInPandas(fetch, "node long, x binary"), "sets").dropDuplicates(["node"])
-    with_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("x").alias("xb")), "b")
-    both = with_b.join(sets.select(F.col("node").alias("a"), F.col("x").alias("xa")), "a")
-    return written(both.mapInPandas(similar, "a long, b long"), "links")
+    return written(texts.mapInPandas(fetch, "node long, x array<long>"), "sets").dropDuplicates(["node"])
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -153,28 +176,31 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     signed = written(signatures(docs, width), "signatures")
     full = signed.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
     nodes = full.groupBy("digest").agg(
-        F.min("doc_id").cast("long").alias("node"), F.min("signature").alias("signature"))
+        F.min("doc_id").cast("long").alias("node"), F.min("signature").alias("signature"), F.min("n_shingles").alias("n_shingles"))
     nodes = written(nodes, "nodes")
     # Rows that repeat a doc_id with other texts: one of their sets stands for it, its other nodes are linked with it.
     same_set = full.join(nodes.select("digest", "node"), "digest").select(F.col("doc_id").cast("long").alias("a"), F.col("node").alias("b"))
     found = keys(nodes)
-    crowded = found.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    crowded = found.groupBy("key").agg(F.count("*").alias("crowd")).filter("crowd > 1")
     members = written(found.join(crowded, "key").distinct(), "members")
+    degrees = written(members.groupBy("node").agg(F.sum("crowd").alias("degree")), "degrees")
 
     links = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "node long, component long")
     for number in range(ROUNDS + 1):
-        now = members.join(labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("label"))
+        now = members.join(degrees, "node").join(labels, "node", "left").select(
+            "key", "node", "degree", F.coalesce("component", "node").alias("label"))
+        # First the node that shares most, the likely original of a group of copies; then another of each key.
+        rank = F.col("degree") if number == 0 else F.xxhash64(F.lit(number), "node")
         open_keys = now.groupBy("key").agg(
             F.min("label").alias("low"), F.max("label").alias("high"),
-            F.min(F.struct(F.xxhash64(F.lit(number), "node").alias("h"), F.col("node"), F.col("label"))).alias("centre")).filter("low < high")
+            F.max(F.struct(rank.alias("rank"), F.col("node"), F.col("label"))).alias("centre")).filter("low < high")
         if number < ROUNDS:
             pairs = now.join(open_keys, "key").filter("label <> centre.label").select(
                 F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"))
         else:
-            rest = written(now.join(open_keys.select("key"), "key"), "rest")
-            other = rest.select("key", F.col("node").alias("b"), F.col("label").alias("other"))
-            pairs = rest.join(other, "key").filter("label <> other AND node < b").select(F.col("node").alias("a"), "b")
+            rest = written(now.join(open_keys.select("key"), "key").select("node", "label").distinct(), "rest")
+            pairs = _crossing(rest, docs, nodes, width, percent)
         links = links.unionByName(_confirmed(pairs.distinct(), docs, nodes, width, percent))
         labels = written(components(links), "labels")
 
