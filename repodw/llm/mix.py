@@ -49,6 +49,11 @@ def size_of(text: Column) -> Column:
     return F.size(F.array_remove(F.split(text_or_empty(text), SPACE), "")).cast("long")
 
 
+def leading(text: Column, words: Column) -> Column:
+    """The first words of the text, joined by blanks."""
+    return F.array_join(F.slice(F.array_remove(F.split(text_or_empty(text), SPACE), ""), F.lit(1), words.cast("int")), " ")
+
+
 def targets(sizes: list[int], weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> list[float]:
     """Words to take of each source, the sources being in order."""
     weight = [weights[i % len(weights)] for i in range(len(sizes))]
