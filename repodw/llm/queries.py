@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repodw.llm import chat, decontaminate, langid, merkle, mix, neardup, pii, secrets
+from repodw.llm import chat, decontaminate, langid, merkle, mix, neardup, pii, quality, secrets
 from repodw.llm.common import fold, table
 from repodw.session import written
 
@@ -73,6 +73,14 @@ def op6_merkle(spark: SparkSession, folder: str) -> DataFrame:
         merkle.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
 
 
+@query
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality of every document, learned from the labels of four of five folds."""
+    labels = table(spark, folder, "labels").filter(fold(F.col("doc_id")) != 0).select("doc_id", F.col("quality").alias("label"))
+    found = quality.score_documents(table(spark, folder, "documents"), labels)
+    return found.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
+
+
 @query
 def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Every candidate for a secret in every document, and whether it is one."""
