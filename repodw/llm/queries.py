@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repodw.llm import chat, decontaminate, langid, merkle, mix, neardup, pii, quality, secrets
+from repodw.llm import chat, decontaminate, langid, lm, merkle, mix, neardup, pii, quality, secrets
 from repodw.llm.common import fold, table
 from repodw.session import written
 
@@ -81,6 +81,14 @@ def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted")
 
 
+@query
+def op4_lm(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of every document by a language model learned from four of five folds."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", (fold(F.col("doc_id")) != 1).alias("train"))
+    return lm.scores(docs).select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Every candidate for a secret in every document, and whether it is one."""
