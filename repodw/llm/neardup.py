@@ -144,11 +144,13 @@ def _crossing(rest: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, pe
     rare = each.join(often.filter("often > 1"), "x", "left").withColumn("often", F.coalesce("often", F.lit(1))).withColumns({
         "place": F.row_number().over(order), "shared": F.sum(F.when(F.col("often") > 1, 1).otherwise(0)).over(Window.partitionBy("node"))})
     rare = rare.filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).filter("often > 1")
-    rare = written(rare.join(rest, "node").select("x", "node", "label", "n", "shared"), "rare")
+    rare = written(rare.join(rest, "node").select("x", "node", "label", "n", "shared", "place"), "rare")
     crossed = rare.groupBy("x").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("x")
     rare = rare.join(crossed, "x")
-    other = rare.select("x", F.col("node").alias("b"), F.col("label").alias("other"), F.col("n").alias("m"), F.col("shared").alias("common"))
-    most = F.least("shared", "common")
+    other = rare.select("x", F.col("node").alias("b"), F.col("label").alias("other"), F.col("n").alias("m"), F.col("shared").alias("common"), F.col("place").alias("there"))
+    # From its first common shingle on, a pair has no more in common than either has left; at later ones the pair need
+    # not be met again, so the same bound may drop it there.
+    most = F.least("shared", "common", F.col("n") - F.col("place") + 1, F.col("m") - F.col("there") + 1)
     return rare.join(other, "x").filter("label <> other AND node < b").filter(
         100 * most >= percent * (F.col("n") + F.col("m") - most)).select(F.col("node").alias("a"), "b")
 
