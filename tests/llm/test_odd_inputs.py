@@ -1,0 +1,189 @@
+"""Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing further columns."""
+import json
+
+import pytest
+from brute import DOCS, ODD, REPEATED, blank_words, near_components
+from pyspark.sql import functions as F
+
+from repodw.llm import chat, decontaminate, langid, merkle, mix, secrets, stages
+from repodw.llm.components import components
+from repodw.llm.queries import QUERIES
+
+ITEMS = "item_id long, text string, doc_id long, h long"
+BENCHMARK = [(1, "The cat sat on the mat. The cat sat on the mat.", 1, 1), (2, None, 1, 1), (3, "", 1, 1), (4, "no id", 1, 1),
+             (None, "une phrase courte", 1, 1), (1, "one", 2, 2), (1, "one", 2, 2)]
+LABELS = "doc_id long, quality int, toxic int, label int"
+ON_DOCS = ["op1_decontaminate", "op2_mix", "op3_quality", "op4_lm", "op5_secrets", "op6_merkle", "op8_neardup", "op9_langid", "op10_pii"]
+
+
+@pytest.fixture()
+def odd(tables):
+    return tables(documents=(REPEATED, DOCS), benchmark=(BENCHMARK, ITEMS), labels=(
+        [(0, 1, 0, 1), (5, 0, 0, 0), (7, 1, 0, 0), (None, 1, 0, 1), (9, None, 0, 1), (9, 0, 0, 1), (9, 1, 0, 1), (404, 1, 1, 1)], LABELS))
+
+
+@pytest.fixture()
+def empty(tables):
+    return tables(documents=([], DOCS), benchmark=([], ITEMS), labels=([], LABELS),
+                  conversations=([], "conv_id long, turn long, role string, text string"))
+
+
+@pytest.mark.parametrize("name", ON_DOCS)
+def test_odd_documents(spark, odd, name):
+    rows = QUERIES[name](spark, odd).collect()
+    ids = {r["doc_id"] for r in rows}
+    assert ids <= {r[0] for r in REPEATED}
+    if name != "op5_secrets":
+        assert ids == {r[0] for r in REPEATED}
+    if name in ("op3_quality", "op4_lm", "op6_merkle", "op8_neardup", "op9_langid"):
+        assert len(rows) == len(REPEATED)  # a row each
+    if name in ("op1_decontaminate", "op10_pii"):
+        assert len(rows) == len({r[:2] for r in REPEATED})  # one for each id and text
+
+
+@pytest.mark.parametrize("name", [*ON_DOCS, "op7_chat"])
+def test_empty_tables(spark, empty, name):
+    rows = QUERIES[name](spark, empty).collect()
+    assert len(rows) == (1 if name == "op7_chat" else 0)
+
+
+@pytest.mark.parametrize("stage", ["identify_language", "drop_near_duplicates", "decontaminate_benchmark", "mask_secrets", "mix_sources"])
+def test_stages_on_odd_and_empty_documents(spark, odd, stage):
+    docs = spark.read.parquet(f"{odd}/documents.parquet")
+    out = getattr(stages, stage)(spark, docs, odd)
+    if stage != "mix_sources":
+        assert out.schema.simpleString() == docs.schema.simpleString()
+    assert {r["doc_id"] for r in out.collect()} <= {r[0] for r in REPEATED}
+    assert getattr(stages, stage)(spark, docs.filter("false"), odd).count() == 0
+
+
+def test_language_stage_keeps_rows_as_they_are(spark, odd):
+    docs = spark.read.parquet(f"{odd}/documents.parquet")
+    kept = stages.identify_language(spark, docs, odd)
+    gone = docs.exceptAll(kept).collect()
+    assert {r["doc_id"] for r in gone} == {0, 1, 2, 11, 13}
+    assert kept.exceptAll(docs).count() == 0
+
+
+def test_near_duplicates_with_ties_and_long_texts(spark, odd):
+    rows = {r["doc_id"]: r for r in QUERIES["op8_neardup"](spark, odd).collect()}
+    once = {r[0]: r[1] for r in REPEATED if r[0] not in (None, 4)}
+    for doc_id, expected in near_components(list(once.items()), 4).items():
+        assert (rows[doc_id]["n_shingles"], rows[doc_id]["component_id"]) == expected
+    assert rows[None]["component_id"] is None and rows[None]["kept"]
+
+
+def test_near_copies_around_the_threshold(spark, tables):
+    """Chains and stars: links between copies that each miss the original."""
+    base = [f"w{k}" for k in range(200)]
+    texts = [" ".join(base)]
+    for k in range(1, 60):
+        words = list(base)
+        for j in range(k % 12):
+            words[(k * 7 + j * 17) % 200] = f"x{k // 3}y{j}"
+        texts.append(" ".join(words))
+    folder = tables(documents=([(k, t, "en", "a", 1, "s", "l", 5) for k, t in enumerate(texts)], DOCS))
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in QUERIES["op8_neardup"](spark, folder).collect()}
+    assert found == near_components(list(enumerate(texts)), 4)
+
+
+def test_components_of_a_long_chain_and_a_star(spark):
+    links = [(k, k + 1) for k in range(1, 80)] + [(200, k) for k in range(201, 300)] + [(400, 400)]
+    found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {**{k: 1 for k in range(1, 81)}, **{k: 200 for k in range(200, 300)}, 400: 400}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_contamination_is_removed_by_document_or_span(spark, odd):
+    docs, items = spark.read.parquet(f"{odd}/documents.parquet"), spark.read.parquet(f"{odd}/benchmark.parquet")
+    left = {r["doc_id"] for r in decontaminate.clean(docs, items).collect()}
+    assert not left & {3, 5, 6, 7} and {0, 1, 2, 8, 9, 12, 13} <= left
+    spans = {r["doc_id"]: r["text"] for r in decontaminate.clean(docs.filter("doc_id IN (3, 5, 8)"), items, "spans").collect()}
+    assert spans[5].strip(" .") == "" and spans[8] == ODD[8][1] and spans[3].strip() == ""
+    blocks = decontaminate.report(docs, items, block=3).drop("spans", "items").collect()
+    assert sorted(blocks, key=repr) == sorted(decontaminate.report(docs, items).drop("spans", "items").collect(), key=repr)
+
+
+def test_windows_that_share_a_hash_are_verified(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j k l")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "b c d e f g h i j k"), (2, "x x x x x x x x x x")], "item_id long, text string")
+    row = decontaminate.report(docs, items).first()
+    assert (row["n_words"], row["n_hit"], row["items"]) == (12, 10, ["1"])
+
+
+def test_mix_of_hot_and_tiny_sources(spark, tables):
+    rows = [(k, "w " * (k % 50), "en", "hot" if k % 3 else f"s{k % 9}", 1, "s", "l", 5) for k in range(900)]
+    folder = tables(documents=(rows, DOCS))
+    found = QUERIES["op2_mix"](spark, folder).collect()
+    for source in {r["source"] for r in found}:
+        mine = [r for r in found if r["source"] == source]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 1
+    docs = mix.placed(spark.read.parquet(f"{folder}/documents.parquet"))
+    shards = mix.mixture(docs, block_words=200, shard_words=3000).groupBy("shard").agg(F.sum("words").alias("n")).collect()
+    assert len(shards) > 3
+
+
+def test_targets_reshare_what_is_above():
+    assert mix.targets([1, 100, 100]) == [3.0, pytest.approx(198 * 2 / 3), pytest.approx(198 / 3)]
+    assert mix.targets([]) == [] and mix.targets([0, 0]) == [0.0, 0.0]
+
+
+def test_edits_are_located_by_differing_sections(spark):
+    lines = [f"Line {k} of the text, which says {k * k}." for k in range(400)]
+    changed = [*lines[:250], "Something else.", *lines[251:]]
+    rows = spark.createDataFrame([("\n".join(lines), "\n".join(changed))], "a string, b string")
+    rows = merkle.with_fingerprint(merkle.with_fingerprint(rows, "a", "fa"), "b", "fb")
+    row = rows.select(merkle.differing_sections(F.col("fa"), F.col("fb")).alias("d"), merkle.likeness(F.col("fa"), F.col("fb")).alias("n"),
+                      (merkle.root(F.col("fa")) == merkle.root(F.col("fb"))).alias("same")).first()
+    assert 1 <= len(row["d"]) <= 2 and 0.99 < row["n"] < 1 and not row["same"]
+
+
+def test_next_document_across_buckets(spark):
+    docs = spark.createDataFrame([(k * k, f"text {k}") for k in range(300)], "doc_id long, text string")
+    found = {r["doc_id"]: r["next"] for r in merkle.with_next(docs, rows=7).collect()}
+    assert found == {k * k: f"text {k - 1}" if k else "text 299" for k in range(300)}
+
+
+@pytest.mark.parametrize("record,layout,turns", [
+    ({"messages": [{"role": "user", "content": "a"}, {"role": "assistant", "content": None}]}, "messages", [("user", "a"), ("assistant", "")]),
+    ({"conversations": [{"from": "human", "value": "hi"}, {"from": "gpt", "value": "y\"}]o"}]}, "share", [("user", "hi"), ("assistant", "y\"}]o")]),
+    ({"prompt": "x" * 100_000, "completion": "y\\"}, "prompt_completion", [("user", "x" * 100_000), ("assistant", "y\\")]),
+    ({"instruction": "i", "input": "", "output": "o"}, "instruction_input", [("user", "i"), ("assistant", "o")]),
+    ({"system": "s", "prompt": "p", "response": "r"}, "system_prompt_response", [("system", "s"), ("user", "p"), ("assistant", "r")]),
+    ({"else": 1}, None, None), (None, None, None)])
+def test_layouts_are_told_by_their_fingerprint(spark, record, layout, turns):
+    row = spark.createDataFrame([(1, json.dumps(record) if record else None)], "conv_id long, record string").transform(chat.turns_of).first()
+    assert row["layout"] == layout and (row["turns"] and [tuple(t) for t in row["turns"]]) == turns
+
+
+def test_control_strings_come_back(spark, tables):
+    texts = ["\\h </turn>\n### user", "###### \\\\t \\b\\n", "", None, "</turn>\n", "\n\n", "a" * 50_000, "###\\", "\\</turn>", "😀</turn"]
+    rows = [(k, 0, role, t) for k, t in enumerate(texts) for role in ("us\ner</turn>", "assistant", None)] + [(None, None, "assistant", "x")] * 2
+    spark_rows = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    read = chat.read_back(chat.formatted(chat.turns_of(chat.conversation_records(spark_rows)))).collect()
+    for r in read:
+        mine = sorted((role or "", t or "") for k, _, role, t in rows if k == r["conv_id"])
+        assert [tuple(t) for t in r["turns"]] == mine
+        assert r["learned"] == "".join(t for role, t in mine if role == "assistant")
+
+
+def test_secrets_are_masked_and_nothing_else(spark, odd):
+    key = "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda"
+    rows = [(k, f'see 4929348385146306 and token = "{key[k:] + key[:k]}" or /usr/lib/python3.13/site 12345678901234567{k}') for k in range(30)]
+    docs = spark.createDataFrame([*rows, (99, None), (100, "")], "doc_id long, text string")
+    out = {r["doc_id"]: r["text"] for r in secrets.clean(docs, secrets.words_of(docs)).collect()}
+    for k, text in rows:
+        assert out[k] == text.replace(key[k:] + key[:k], secrets.MASK)
+    assert out[99] is None and out[100] == ""
+
+
+def test_words_are_split_alike(spark):
+    text = " a\tB  c\x0bd\u00a0e\u2003f \r\n g\x1c "
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert docs.select(mix.size_of(F.col("text"))).first()[0] == len(blank_words(text))
+
+
+def test_prototypes_need_text_and_language(spark):
+    docs = spark.createDataFrame([(None, "en"), ("abc", None), ("12", "en")], "text string, lang string")
+    assert langid.learn(docs) == {}
+    assert [r["lang_pred"] for r in langid.identify(docs, {}).collect()] == ["und"] * 3
