@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from repodw.session import with_checkpoints
+
+JUMPS = 2
+
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of links (a, b), the component being its least node.
 
-    Each round hooks every label to the least label it is linked with, follows the hooks one step further, and keeps
-    the links between different labels; what is left shrinks from round to round. Sums are reduced before they are
+    Each round hooks every label to the least label it is linked with, follows the hooks further, and keeps the links
+    between different labels; what is left shrinks from round to round. Sums are reduced before they are
     shuffled, and every round ends in a checkpoint on shared storage. No links give no rows.
     """
+    with_checkpoints(links.sparkSession)
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     live = both.filter("a <> b").distinct().checkpoint()
     labels = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
@@ -20,9 +25,13 @@ def components(links: DataFrame) -> DataFrame:
     while not live.isEmpty():
         hooks = live.groupBy(F.col("a").alias("label")).agg(F.least(F.first("a"), F.min("b")).alias("hook"))
         hooks = hooks.checkpoint()
-        # One jump: where the hook itself is hooked elsewhere, the two stay linked for the next round.
-        next_hooks = hooks.select(F.col("label").alias("hook"), F.col("hook").alias("beyond"))
-        chains = hooks.join(next_hooks, "hook").filter("hook <> beyond").select(F.col("hook").alias("a"), F.col("beyond").alias("b"))
+        # Follow the hooks of hooks, twice over, so that a chain shrinks to a quarter in a round; where a hook is hooked
+        # further still, the two stay linked for the next round.
+        for _ in range(JUMPS):
+            beyond = hooks.select(F.col("label").alias("hook"), F.col("hook").alias("beyond"))
+            hooks = hooks.join(beyond, "hook", "left").select("label", F.coalesce("beyond", "hook").alias("hook")).checkpoint()
+        beyond = hooks.select(F.col("label").alias("hook"), F.col("hook").alias("beyond"))
+        chains = hooks.join(beyond, "hook").filter("hook <> beyond").select(F.col("hook").alias("a"), F.col("beyond").alias("b")).distinct()
         labels = labels.join(hooks, F.col("component") == F.col("label"), "left").select(
             "node", F.coalesce("hook", "component").alias("component")).checkpoint()
         of_a = hooks.select(F.col("label").alias("a"), F.col("hook").alias("x"))

@@ -20,8 +20,10 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 UNKNOWN = "und"
 DIMENSIONS = 1024
@@ -149,16 +151,18 @@ def identify(docs: DataFrame, model: dict[str, np.ndarray], dimensions: int = DI
     prototypes = np.stack([model[name] for name in langs]).astype(np.float32) if langs else None
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
 
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, scores = [UNKNOWN] * len(batch), np.zeros(len(batch))
             if prototypes is not None:
-                vectors, lettered = bundled([t or "" for t in batch["text"]], dimensions)
+                vectors, lettered = bundled([t or "" for t in batch.column("text").to_pylist()], dimensions)
                 lengths = np.linalg.norm(vectors, axis=1)
                 cosines = vectors @ prototypes.T / np.where(lengths > 0, lengths, 1)[:, None]
                 names = [langs[k] if known else UNKNOWN for k, known in zip(cosines.argmax(1), lettered)]
                 scores = np.where(lettered, np.clip(cosines.max(1), 0, 1), 0).astype(float)
-            yield batch[kept].assign(lang_pred=names, score=scores)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in kept], pa.array(names, pa.string()), pa.array(scores)], names=[*kept, "lang_pred", "score"])
 
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.select(*[F.col(f"`{c}`") for c in kept]).schema)
-    return docs.mapInPandas(predict, f"{fields}, lang_pred string, score double")
+    # Arrow batches as they are, so that other columns pass through unchanged.
+    return docs.mapInArrow(predict, StructType([
+        *[docs.schema[c] for c in kept], StructField("lang_pred", StringType()), StructField("score", DoubleType())]))

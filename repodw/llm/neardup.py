@@ -26,6 +26,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -77,15 +78,16 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             least = np.minimum(least, ((part[None, :] ^ flip[:, None]) * factor[:, None]).min(1))
         return (mixed(least) >> np.uint64(48)).astype(np.uint16).tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [(len(s), _digest(s) if len(s) else None, sign(s) if len(s) else None)
-                    for _, s in _sets(batch["text"].tolist(), width)]
-            out = pd.DataFrame(rows, columns=["n_shingles", "digest", "signature"])
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
-            yield out
+                    for _, s in _sets(batch.column("text").to_pylist(), width)]
+            sizes, digests, signed = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(signed, pa.binary())],
+                names=["doc_id", "n_shingles", "digest", "signature"])
 
-    return docs.select("doc_id", "text").mapInPandas(
+    return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, digest binary, signature binary")
 
 

@@ -18,8 +18,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> Data
     """Documents in a language; null texts and texts without a letter go. Prototypes are learned from the input's own
     labels; `lang` is left as it is."""
     model = langid.learn(docs.select("text", "lang"))
-    held = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    return langid.identify(held, model).filter(F.col("lang_pred") != langid.UNKNOWN).select("row.*")
+    clash = {c: f"_own_{c}" for c in ("lang_pred", "score") if c in docs.columns}
+    found = langid.identify(docs.withColumnsRenamed(clash), model).filter(F.col("lang_pred") != langid.UNKNOWN)
+    return found.drop("lang_pred", "score").withColumnsRenamed({own: c for c, own in clash.items()})
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
