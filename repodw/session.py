@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,13 +27,17 @@ def build_session(app: str = "repodw", master: str | None = None, **extra: str)
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir; a local one only where none is set."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _local_scratch()).rstrip("/")
+    """The shared folder the cluster names in spark.checkpoint.dir; where none is set, one in the warehouse folder,
+    which every executor reaches as well. Never a machine's own temporary folder."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named.rstrip("/") if named else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
-@cache
-def _local_scratch() -> str:
-    return tempfile.mkdtemp(prefix="repodw-")
+def with_checkpoints(spark: SparkSession) -> SparkSession:
+    """The session, with a folder for checkpoint() where none was set."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(scratch_root(spark))
+    return spark
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
