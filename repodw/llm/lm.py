@@ -40,7 +40,7 @@ from repodw.session import written
 CHUNK_TOKENS = 500_000
 CHUNK_DOCS = 60_000
 SHARD_WORDS = 1_000_000
-SHARD_TOKENS = 3_000_000
+SHARD_TOKENS = 1_500_000
 HOT = 1_000_000
 K = 40.0
 END = np.uint64(0xE17D)
@@ -207,23 +207,20 @@ def scores(docs: DataFrame) -> DataFrame:
             step, w, d, code = (_unpack(f, t) for f, t in zip(fields, ("<i8", "<i8", "<u4", "<u2")))
             parts.append((chunk, np.cumsum(step), w, d.astype(np.int64), code))
         if parts:
-            u, w, d, code = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3, 4))
             # Training's pairs in order, their counts and smoothed logarithms.
-            learned = np.flatnonzero(d & 1)
-            learned = learned[np.lexsort((w[learned], u[learned]))]
-            a, b = u[learned], w[learned]
+            a, b, code = (np.concatenate([p[k][(p[3] & 1) > 0] for p in parts]) for k in (1, 2, 4))
+            order = np.lexsort((b, a))
+            a, b, code = a[order], b[order], code[order]
             new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.zeros(0, np.int64)
             count = np.diff(np.append(new, len(a)))
-            prior = 10.0 ** restored(code[learned][new])
-            trie = Trie(Trie.packed(a[new], b[new], np.log10(count + prior)))
-            at = trie.find(u, w)
-            more = np.where(at >= 0, restored(trie.codes[np.maximum(at, 0)]) - restored(code), 0.0) if trie.words.n else np.zeros(len(u))
-            first = 0
-            for chunk, mine, *_ in parts:
-                here = slice(first, first + len(mine))
-                first += len(mine)
-                docs_, place = np.unique(d[here] >> 1, return_inverse=True)
-                sums = np.bincount(place, more[here], len(docs_))
+            trie = Trie(Trie.packed(a[new], b[new], np.log10(count + 10.0 ** restored(code[new]))))
+            del a, b, code, order
+            # One chunk's pairs at a time are looked up.
+            for chunk, u, w, d, prior in parts if trie.words.n else []:
+                at = trie.find(u, w)
+                more = np.where(at >= 0, restored(trie.codes[np.maximum(at, 0)]) - restored(prior), 0.0)
+                docs_, place = np.unique(d >> 1, return_inverse=True)
+                sums = np.bincount(place, more, len(docs_))
                 seen = sums != 0
                 out.append((shard, chunk, 2, docs_[seen].astype(np.int64).tobytes() + sums[seen].tobytes()))
         return pd.DataFrame(out, columns=["shard", "chunk", "kind", "payload"])
