@@ -23,8 +23,10 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{option}", required=True)
         return sub
 
-    command("run-day", "load one day from raw files to marts", "raw", "warehouse", "day")
-    command("ingest", "load the days of all files that landed since the last run", "raw", "warehouse", "progress")
+    day = command("run-day", "load one day from raw files to marts", "raw", "warehouse", "day")
+    day.add_argument("--undated", action="store_true", help="also load files whose path names no day")
+    landed = command("ingest", "load the days of all files that landed since the last run", "raw", "warehouse", "progress")
+    landed.add_argument("--undated-day", help="the day of files whose path names none")
     command("rebuild", "all rollups, month sums and marts from the stored facts", "warehouse")
     dates = command("calendar", "write the day dimension", "warehouse")
     dates.add_argument("--start", default=V.CALENDAR_START)
@@ -55,9 +57,9 @@ def main(arguments: list[str] | None = None) -> None:
         return
     warehouse = Warehouse(spark, args.warehouse)
     if args.command == "run-day":
-        daily.run_day(spark, args.raw, warehouse, args.day)
+        daily.run_day(spark, args.raw, warehouse, args.day, undated=args.undated)
     elif args.command == "ingest":
-        ingest_new_files(spark, args.raw, warehouse, args.progress)
+        ingest_new_files(spark, args.raw, warehouse, args.progress, undated_day=args.undated_day)
     elif args.command == "rebuild":
         daily.rebuild_rollups(warehouse)
         daily.rebuild_months(warehouse)

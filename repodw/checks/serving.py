@@ -194,7 +194,7 @@ WHERE rn > (least(80, pages) - 1) * 50 AND rn <= least(80, pages) * 50""")
 def _(a):
     """Page 80 of the whole log by the narrowing way that deep pages take."""
     rows = a.log.select("log_id", "username", "action")
-    return paging.page_rows(rows, [("log_id", True)], page=80, size=50, shallow=500)
+    return paging.page_rows(rows, [("log_id", True)], page=80, size=50)
 
 
 @query("q_search_page", Events, ED + _PAGE.format(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from repodw.operators.dedup import keep_one
+
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Updates win on a key collision, other target rows survive. Updates must be unique by key."""
@@ -14,9 +16,10 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFr
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
-def unseen(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows whose key the target lacks, one per key: what an insert-ignore would add."""
-    return rows.dropDuplicates(list(keys)).join(target.select(*keys), _null_safe(rows, target, keys), "left_anti")
+def unseen(target: DataFrame, rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """The rows whose key the target lacks, the first per key by `order`, then by all columns: what an insert-ignore adds."""
+    first = keep_one(rows, keys, [*order, *[c for c in rows.columns if c not in (*keys, *order)]])
+    return first.join(target.select(*keys), _null_safe(first, target, keys), "left_anti")
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]):

@@ -8,80 +8,46 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-# Up to this many rows a page is taken with offset/limit, which gathers offset + size rows in one task.
-SHALLOW_ROWS = 100_000
-_SPLITS = 64
-_ROUNDS = 50
+from repodw.session import written_for_now
 
 Order = Sequence[tuple[str, bool]]  # (column, ascending); must order the rows totally
 
 
-def page_rows(df: DataFrame, order: Order, page: int, size: int, shallow: int = SHALLOW_ROWS) -> DataFrame:
+def page_rows(df: DataFrame, order: Order, page: int, size: int) -> DataFrame:
     """Rows of one page with `total_rows`, `total_pages` and a running `row_no`.
 
-    A page past the end gives the last page. Page 1 needs no job ahead of the query; a later page counts the
-    rows once to clamp the page number. Deep pages first narrow the key range (see _narrow), so no task ever
-    holds all rows before the page.
+    A page past the end gives the last page. The same way at every depth: the keys alone are dealt into ranges and
+    counted per range, which says in which range the page begins and how far into it; its first and last key are taken
+    from there, and the rows between them are the page. No task gathers the rows before a page.
     """
-    page = max(1, page)
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    if page > 1:
-        rows = df.count()
-        page = min(page, max(1, -(-rows // size)))
-        total = F.lit(rows).cast("long")
-    skip = (page - 1) * size
-    source, offset = df, skip
-    if skip + size > shallow:
-        source, offset = _narrow(df, order, skip, size, shallow)
     keys = [F.col(c).asc() if up else F.col(c).desc() for c, up in order]
-    rows = source.orderBy(*keys).offset(offset).limit(size)
+    ranged = df.select(*[c for c, _ in order]).repartitionByRange(*keys).withColumn("_range", F.spark_partition_id())
+    with written_for_now(ranged, "page") as parts:
+        # One count per range, of which there are as many as shuffle partitions.
+        counts = sorted((r["_range"], r["n"]) for r in parts.groupBy("_range").agg(F.count("*").alias("n")).collect())
+        total = sum(n for _, n in counts)
+        skip = (min(max(1, page), max(1, -(-total // size))) - 1) * size
+        before, reached, touched = 0, 0, []
+        for number, n in counts:
+            if reached + n > skip and reached < skip + size:
+                before = before if touched else reached
+                touched.append(number)
+            reached += n
+        inside = parts.filter(F.col("_range").isin(touched)).drop("_range").orderBy(*keys)
+        found = inside.offset(skip - before).limit(size).collect()
+    rows = df.filter(F.lit(False))
+    if found:
+        rows = df.filter(~_precedes(found[0], order) & (_precedes(found[-1], order) | _equals(found[-1], order)))
     return (
-        rows.withColumn("row_no", F.row_number().over(Window.orderBy(*keys)) + F.lit(skip))
-        .withColumn("total_rows", total)
+        rows.orderBy(*keys).limit(size)
+        .withColumn("row_no", F.row_number().over(Window.orderBy(*keys)) + F.lit(skip))
+        .withColumn("total_rows", F.lit(total).cast("long"))
         .withColumn("total_pages", F.greatest(F.lit(1), F.ceil(F.col("total_rows") / size)).cast("long"))
     )
 
 
-def _narrow(df: DataFrame, order: Order, skip: int, size: int, shallow: int) -> tuple[DataFrame, int]:
-    """Cut the rows to a key range of about `shallow` rows that holds the page; returns it and the offset in it.
-
-    Each round samples some keys, counts in one pass how many rows come before each of them, and keeps the
-    tightest range around the page. The sample only decides how fast the range shrinks, never what is in it.
-    """
-    names = [c for c, _ in order]
-    low: Row | None = None
-    high: Row | None = None
-    before_low = 0
-    enough = max(shallow, 4 * size)
-    for _ in range(_ROUNDS):
-        part = df
-        if low is not None:
-            part = part.filter(~_precedes(low, order))
-        if high is not None:
-            part = part.filter(_precedes(high, order))
-        sample = part.select(*names).orderBy(F.rand()).limit(_SPLITS).distinct().collect()
-        if len(sample) < 2:
-            return part, skip - before_low
-        counted = part.agg(
-            F.count(F.lit(1)).alias("all"),
-            *[F.count(F.when(_precedes(key, order), 1)).alias(f"k{i}") for i, key in enumerate(sample)],
-        ).first()
-        inside = counted["all"]
-        start = skip - before_low
-        ahead = sorted(((counted[f"k{i}"], key) for i, key in enumerate(sample)), key=lambda pair: pair[0])
-        lower = [pair for pair in ahead if 0 < pair[0] <= start]
-        upper = [pair for pair in ahead if start + size <= pair[0] < inside]
-        if lower:
-            before_low += lower[-1][0]
-            low = lower[-1][1]
-        if upper:
-            high = upper[0][1]
-        left = (upper[0][0] if upper else inside) - (lower[-1][0] if lower else 0)
-        if left <= enough:
-            break
-    part = df if low is None else df.filter(~_precedes(low, order))
-    part = part if high is None else part.filter(_precedes(high, order))
-    return part, skip - before_low
+def _equals(key: Row, order: Order) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(name).eqNullSafe(F.lit(key[name])) for name, _ in order])
 
 
 def _precedes(key: Row, order: Order) -> Column:

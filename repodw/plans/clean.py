@@ -88,23 +88,20 @@ def clean_repos(df: DataFrame, order: Sequence[str], pattern: str = V.MIGRATED_P
 
 def clean_audit(df: DataFrame, order: Sequence[str], pattern: str = V.MIGRATED_PATTERN) -> DataFrame:
     """One row with the counts of every cleaning step, each on the rows the steps before it left."""
-    raw = fill_missing_columns(df)
-    original = raw.agg(F.count(F.lit(1)).alias("n")).scalar()
     blank = F.coalesce(F.col("description"), F.lit("")) == ""
     no_language = F.coalesce(F.col("language"), F.lit("")) == ""
-    flagged = keep_one(raw, DEDUP_KEYS, order).select(
-        "source_platform",
-        blank.alias("blank"),
-        is_migrated(pattern).alias("migrated"),
-        is_archived().alias("archived"),
-        is_spam().alias("spam"),
-        no_language.alias("no_language"),
-    )
+    flags = {"blank": blank, "migrated": is_migrated(pattern), "archived": is_archived(), "spam": is_spam(), "no_language": no_language}
+    # One pass: the first row of each key and how many rows the key has.
+    raw = fill_missing_columns(df).select(
+        *DEDUP_KEYS, F.struct(*[F.col(c).alias(f"_{k}") for k, c in enumerate(order)], *[f.alias(n) for n, f in flags.items()]).alias("row"))
+    flagged = raw.groupBy(*DEDUP_KEYS).agg(F.count(F.lit(1)).alias("rows"), F.min("row").alias("row")).select(
+        "source_platform", "rows", *[F.col(f"row.{name}").alias(name) for name in flags])
     valid = ~F.col("migrated") & ~F.col("archived")
     kept = valid & ~F.col("spam")
     on_gitee = F.coalesce(F.col("source_platform").isin("gitee", V.UNKNOWN_PLATFORM), F.lit(False))
     on_github = F.coalesce(F.col("source_platform") == "github", F.lit(False))
     counts = flagged.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("original"),
         F.count(F.lit(1)).alias("unique_rows"),
         count_if(F.col("blank")).alias("empty_descriptions"),
         count_if(F.col("migrated")).alias("migrated"),
@@ -115,9 +112,8 @@ def clean_audit(df: DataFrame, order: Sequence[str], pattern: str = V.MIGRATED_P
         count_if(kept & F.col("no_language") & on_github).alias("no_language_github"),
         count_if(kept).alias("kept"),
     )
-    return counts.select(
-        original.alias("original"), (original - F.col("unique_rows")).alias("duplicates"), *counts.columns
-    )
+    rest = [c for c in counts.columns if c != "original"]
+    return counts.select("original", (F.col("original") - F.col("unique_rows")).alias("duplicates"), *rest)
 
 
 def normalize_ods(df: DataFrame, day: str) -> DataFrame:

@@ -14,14 +14,22 @@ from repodw import schemas
 from repodw.operators.keyed import unseen
 from repodw.plans import ads, clean, dwd, dws
 from repodw.session import written_for_now
-from repodw.sources.raw import raw_order, read_raw_json
+from repodw.sources.raw import raw_order, read_raw_json, undated_files
 from repodw.sources.store import Warehouse
 
 
+DAY_MARTS = ["ads_overview", "ads_project_ranking", "ads_language_dist", "ads_org_compare"]
+
+
 def run_day(spark: SparkSession, raw_dir: str, warehouse: Warehouse, day: str,
-            schema: T.StructType = schemas.RAW) -> None:
-    """Load one day. Running a day again gives the same tables; a late day repairs the day after it."""
-    load_ods(warehouse, read_raw_json(spark, raw_dir, schema, day=day), day)
+            schema: T.StructType = schemas.RAW, undated: bool = False) -> None:
+    """Load one day. Running a day again gives the same tables; a late day repairs the day after it.
+
+    Files whose path names no day are taken with `undated`, and are an error otherwise.
+    """
+    if not undated and (some := undated_files(spark, raw_dir)):
+        raise ValueError(f"raw files that name no day; load them with undated, or move them away: {some}")
+    load_ods(warehouse, read_raw_json(spark, raw_dir, schema, day=day, undated=undated), day)
     refresh_day(warehouse, day)
 
 
@@ -104,15 +112,15 @@ def _write_attribute_rollups(warehouse: Warehouse, cube: DataFrame, days: Sequen
     if days:
         cube = cube.filter(F.col("snapshot_date").isin(list(days)))
     names = [d.isoformat() for d in days]
-    warehouse.replace_days("dws_language_daily", dws.language_of(cube), names)
-    warehouse.replace_days("dws_platform_daily", dws.platform_of(cube), names)
+    warehouse.replace_days("dws_language_daily", dws.language_of(cube), names, whole=not days)
+    warehouse.replace_days("dws_platform_daily", dws.platform_of(cube), names, whole=not days)
 
 
 def rebuild_rollups(warehouse: Warehouse) -> None:
     """All rollups from all facts."""
     fact, dim = warehouse.read("fact_repo_stats"), warehouse.read("dim_project")
-    warehouse.replace_days("dws_project_daily", dws.project_daily(fact))
-    warehouse.replace_days("dws_org_daily", dws.org_daily(fact))
+    warehouse.replace_days("dws_project_daily", dws.project_daily(fact), whole=True)
+    warehouse.replace_days("dws_org_daily", dws.org_daily(fact), whole=True)
     cube = warehouse.stage("dws_attribute_daily", dws.attribute_daily(fact, dim))
     _write_attribute_rollups(warehouse, cube)
     warehouse.stage("dim_project", dim)
@@ -143,13 +151,21 @@ def rebuild_months(warehouse: Warehouse) -> None:
     project, org, platform = (
         warehouse.read(t) for t in ("dws_project_daily", "dws_org_daily", "dws_platform_daily")
     )
-    warehouse.replace_days("dws_monthly", ads.monthly(project, org, platform))
-    warehouse.replace_days("dws_created_monthly", ads.created_by_month(warehouse.read("ods_repos_raw"), by=["dt"]))
+    warehouse.replace_days("dws_monthly", ads.monthly(project, org, platform), whole=True)
+    created = ads.created_by_month(warehouse.read("ods_repos_raw"), by=["dt"])
+    warehouse.replace_days("dws_created_monthly", created, whole=True)
 
 
 def refresh_marts(warehouse: Warehouse) -> None:
-    """The marts of the newest snapshot day, and the monthly trend. Without facts nothing is written."""
+    """The marts of the newest snapshot day, and the monthly trend. Without facts nothing is written.
+
+    Marts of days beyond the newest fact, which were loaded once and then emptied, are removed.
+    """
     last = warehouse.newest_partition("fact_repo_stats")
+    for table in DAY_MARTS:
+        for day in warehouse.partitions(table):
+            if last is None or day > last:
+                warehouse.drop_partition(table, day)
     if last is None:
         return
     day, dim = date.fromisoformat(last), warehouse.read("dim_project")
@@ -164,5 +180,5 @@ def refresh_marts(warehouse: Warehouse) -> None:
     months = warehouse.read("dws_monthly")
     history = ads.monthly_trend_history(warehouse.read("dws_created_monthly"), months)
     trend = ads.monthly_trend_merged(ads.monthly_trend_snapshots(months), history)
-    warehouse.replace_days("ads_monthly_trend", trend)
+    warehouse.replace_days("ads_monthly_trend", trend, whole=True)
 

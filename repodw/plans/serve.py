@@ -82,11 +82,10 @@ def q_repos(fact: DataFrame, dim: DataFrame) -> DataFrame:
     return repo_details(fact, dim).orderBy(F.col("starsCount").desc(), "projectId").drop("projectId")
 
 
-def q_search_page(fact: DataFrame, dim: DataFrame, keyword: str | None, page: int = 1, size: int = 10,
-                  shallow: int = paging.SHALLOW_ROWS) -> DataFrame:
+def q_search_page(fact: DataFrame, dim: DataFrame, keyword: str | None, page: int = 1, size: int = 10) -> DataFrame:
     """One page of the detail rows that contain the keyword."""
     found = filters.keyword_contains(repo_details(fact, dim), DETAIL_KEYWORD_COLUMNS, keyword)
-    return paging.page_rows(found, DETAIL_ORDER, page, size, shallow).drop("projectId")
+    return paging.page_rows(found, DETAIL_ORDER, page, size).drop("projectId")
 
 
 def filter_view(rows: DataFrame, platform: str | None = None, languages: Sequence[str] = (),

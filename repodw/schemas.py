@@ -5,30 +5,31 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 _TYPES = {
-    "long": T.LongType(),
-    "int": T.IntegerType(),
-    "str": T.StringType(),
-    "bool": T.BooleanType(),
-    "date": T.DateType(),
-    "ts": T.TimestampType(),
-    "ntz": T.TimestampNTZType(),
-    "dec10": T.DecimalType(10, 2),
-    "dec5": T.DecimalType(5, 2),
+    "BIGINT": T.LongType(),
+    "INT": T.IntegerType(),
+    "STRING": T.StringType(),
+    "BOOLEAN": T.BooleanType(),
+    "DATE": T.DateType(),
+    "TIMESTAMP": T.TimestampType(),
+    "TIMESTAMP_NTZ": T.TimestampNTZType(),
+    "DECIMAL(10,2)": T.DecimalType(10, 2),
+    "DECIMAL(5,2)": T.DecimalType(5, 2),
 }
 
 
-def _schema(text: str) -> T.StructType:
-    pairs = [item.split(":") for item in text.split()]
+def _schema(columns: str) -> T.StructType:
+    """From column definitions as in CREATE TABLE; Spark's own parser would need a session at import."""
+    pairs = [column.split(" ", 1) for column in columns.split(", ")]
     return T.StructType([T.StructField(name, _TYPES[kind], True) for name, kind in pairs])
 
 
 # A raw record. `topics` is read as text: a JSON list arrives as its JSON text (see topics_to_text).
 RAW = _schema(
-    "repo_id:long org:str name:str full_name:str description:str language:str stars_count:int "
-    "forks_count:int watchers_count:int open_issues_count:int default_branch:str html_url:str topics:str "
-    "license_type:str license:str homepage:str archived:bool created_at:str updated_at:str pushed_at:str "
-    "source_platform:str"
-)
+    "repo_id BIGINT, org STRING, name STRING, full_name STRING, description STRING, language STRING, "
+        "stars_count INT, forks_count INT, watchers_count INT, open_issues_count INT, default_branch STRING, "
+        "html_url STRING, topics STRING, license_type STRING, license STRING, homepage STRING, archived BOOLEAN, "
+        "created_at STRING, updated_at STRING, pushed_at STRING, source_platform STRING"
+    )
 
 # What a raw file may lack altogether, with the value the whole column then gets.
 RAW_DEFAULTS = {"topics": "", "license": "", "homepage": "", "archived": False, "source_platform": "unknown"}
@@ -36,9 +37,9 @@ RAW_DEFAULTS = {"topics": "", "license": "", "homepage": "", "archived": False,
 # A repository as the hosting platforms' APIs return it.
 PAYLOAD = T.StructType(
     _schema(
-        "id:long name:str full_name:str description:str language:str stargazers_count:int forks_count:int "
-        "watchers_count:int open_issues_count:int default_branch:str html_url:str homepage:str archived:bool "
-        "created_at:str updated_at:str pushed_at:str"
+        "id BIGINT, name STRING, full_name STRING, description STRING, language STRING, stargazers_count INT, "
+        "forks_count INT, watchers_count INT, open_issues_count INT, default_branch STRING, html_url STRING, "
+        "homepage STRING, archived BOOLEAN, created_at STRING, updated_at STRING, pushed_at STRING"
     ).fields
     + [
         T.StructField("topics", T.ArrayType(T.StringType())),
@@ -50,67 +51,67 @@ PAYLOAD = T.StructType(
 
 TABLES = {
     "ods_repos_raw": _schema(
-        "repo_id:long org:str name:str full_name:str description:str stars_count:int forks_count:int "
-        "watchers_count:int open_issues_count:int language:str default_branch:str html_url:str topics:str "
-        "license_type:str homepage:str archived:int created_at:str updated_at:str pushed_at:str "
-        "source_platform:str etl_time:ts dt:str"
+        "repo_id BIGINT, org STRING, name STRING, full_name STRING, description STRING, stars_count INT, "
+        "forks_count INT, watchers_count INT, open_issues_count INT, language STRING, default_branch STRING, "
+        "html_url STRING, topics STRING, license_type STRING, homepage STRING, archived INT, created_at STRING, "
+        "updated_at STRING, pushed_at STRING, source_platform STRING, etl_time TIMESTAMP, dt STRING"
     ),
     "dim_project": _schema(
-        "project_id:long project_name:str full_name:str description:str language:str topics:str "
-        "license_type:str html_url:str source_platform:str created_at:ntz etl_time:ts"
+        "project_id BIGINT, project_name STRING, full_name STRING, description STRING, language STRING, "
+        "topics STRING, license_type STRING, html_url STRING, source_platform STRING, created_at TIMESTAMP_NTZ, "
+        "etl_time TIMESTAMP"
     ),
-    "dim_org": _schema("org_name:str source_platform:str etl_time:ts"),
+    "dim_org": _schema("org_name STRING, source_platform STRING, etl_time TIMESTAMP"),
     "dim_date": _schema(
-        "date_id:date year:int quarter:int month:int day:int week_of_year:int day_of_week:int is_weekend:int"
+        "date_id DATE, year INT, quarter INT, month INT, day INT, week_of_year INT, day_of_week INT, "
+        "is_weekend INT"
     ),
     "fact_repo_stats": _schema(
-        "project_id:long org_name:str source_platform:str stars_count:int forks_count:int watchers_count:int "
-        "open_issues_count:int dt:str snapshot_date:date"
+        "project_id BIGINT, org_name STRING, source_platform STRING, stars_count INT, forks_count INT, "
+        "watchers_count INT, open_issues_count INT, dt STRING, snapshot_date DATE"
     ),
     "dws_project_daily": _schema(
-        "project_id:long total_cum_stars:int total_cum_forks:int curr_day_new_stars:int "
-        "curr_day_new_forks:int curr_day_new_issues:int snapshot_date:date"
+        "project_id BIGINT, total_cum_stars INT, total_cum_forks INT, curr_day_new_stars INT, "
+        "curr_day_new_forks INT, curr_day_new_issues INT, snapshot_date DATE"
     ),
     "dws_language_daily": _schema(
-        "language:str repo_count:long total_stars:long total_forks:long avg_stars:dec10 snapshot_date:date"
+        "language STRING, repo_count BIGINT, total_stars BIGINT, total_forks BIGINT, avg_stars DECIMAL(10,2), "
+        "snapshot_date DATE"
     ),
     "dws_org_daily": _schema(
-        "org_name:str repo_count:long total_stars:long total_forks:long curr_day_new_repos:long "
-        "snapshot_date:date"
+        "org_name STRING, repo_count BIGINT, total_stars BIGINT, total_forks BIGINT, curr_day_new_repos BIGINT, "
+        "snapshot_date DATE"
     ),
     "dws_platform_daily": _schema(
-        "source_platform:str repo_count:long total_stars:long active_projects:long snapshot_date:date"
+        "source_platform STRING, repo_count BIGINT, total_stars BIGINT, active_projects BIGINT, "
+        "snapshot_date DATE"
     ),
     # Counts per (language, platform, day), from which both rollups above are added up.
     "dws_attribute_daily": _schema(
-        "language:str source_platform:str snapshot_date:date projects:long stars:long starred:long forks:long "
-        "active:long"
+        "language STRING, source_platform STRING, snapshot_date DATE, projects BIGINT, stars BIGINT, "
+        "starred BIGINT, forks BIGINT, active BIGINT"
     ),
     # Month sums kept so that a load reads the months it touches, not all of history.
     "dws_monthly": _schema(
-        "org_new_repos:long platform_active:long new_stars:long month_end_stars:long active_projects:long "
-        "best_stars:long stat_month:str"
+        "org_new_repos BIGINT, platform_active BIGINT, new_stars BIGINT, month_end_stars BIGINT, "
+        "active_projects BIGINT, best_stars BIGINT, stat_month STRING"
     ),
-    "dws_created_monthly": _schema("stat_month:str new_repos:long dt:str"),
+    "dws_created_monthly": _schema("stat_month STRING, new_repos BIGINT, dt STRING"),
     "ads_overview": _schema(
-        "total_repos:long total_stars:long total_forks:long total_orgs:long gitee_repos:long "
-        "github_repos:long avg_stars:dec10 stat_date:date"
+        "total_repos BIGINT, total_stars BIGINT, total_forks BIGINT, total_orgs BIGINT, gitee_repos BIGINT, "
+        "github_repos BIGINT, avg_stars DECIMAL(10,2), stat_date DATE"
     ),
     "ads_project_ranking": _schema(
-        "rank_num:int project_name:str full_name:str org_name:str language:str stars_count:int "
-        "forks_count:int star_growth:int source_platform:str stat_date:date"
-    ),
-    "ads_language_dist": _schema(
-        "language:str repo_count:long total_stars:long pct_of_total:dec5 stat_date:date"
-    ),
-    "ads_monthly_trend": _schema(
-        "new_repos:long active_repos:long new_stars:long cumulative_stars:long stat_month:str"
+        "rank_num INT, project_name STRING, full_name STRING, org_name STRING, language STRING, stars_count INT, "
+        "forks_count INT, star_growth INT, source_platform STRING, stat_date DATE"
     ),
+    "ads_language_dist": _schema("language STRING, repo_count BIGINT, total_stars BIGINT, pct_of_total DECIMAL(5,2), stat_date DATE"),
+    "ads_monthly_trend": _schema("new_repos BIGINT, active_repos BIGINT, new_stars BIGINT, cumulative_stars BIGINT, stat_month STRING"),
     "ads_org_compare": _schema(
-        "org_name:str source_platform:str repo_count:long total_stars:long avg_stars:dec10 "
-        "active_rate:dec5 stat_date:date"
+        "org_name STRING, source_platform STRING, repo_count BIGINT, total_stars BIGINT, "
+        "avg_stars DECIMAL(10,2), active_rate DECIMAL(5,2), stat_date DATE"
     ),
-    "sys_log": _schema("log_id:long username:str action:str detail:str ip:str create_time:ts"),
+    "sys_log": _schema("log_id BIGINT, username STRING, action STRING, detail STRING, ip STRING, create_time TIMESTAMP"),
 }
 
 PARTITIONED_BY = {

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from repodw import fixed_values as V
 from repodw import schemas
+from repodw.session import hadoop_path
 
 # Ends a top-level element of an array indented by two spaces. Line breaks inside JSON strings are escaped, so
 # the text cannot hold it elsewhere, and the text source can split a file of any size at it.
@@ -18,31 +19,32 @@ _ORDER = ["file_name", "file_block", "pos"]
 
 
 def read_raw_json(spark: SparkSession, raw_dir: str, schema: T.StructType = schemas.RAW, names: str = "*.json",
-                  day: str | None = None) -> DataFrame:
+                  day: str | None = None, undated: bool = False) -> DataFrame:
     """Records of all raw files under `raw_dir`, with `file_name`, `file_block` and `pos` as their order.
 
     Taken are .json files of at least 10 bytes with a platform name in their path below `raw_dir` and an array
     inside; objects (such as progress files) and empty arrays give nothing. Arrays indented by two spaces, as
     the collectors write them, are split between tasks. Any other array layout is parsed by the task that
-    reads its file. Text that is no JSON is an error. With `day` only files with _YYYYMMDD in that path are
-    listed and read.
+    reads its file. Text that is no JSON is an error. With `day` only the files of that day are read (see
+    `day_of`); with `undated` also those without any.
+
+    Values are read as text and cast by rule: whole numbers may be written 5, 5.0 or "5", flags true, 1 or "1".
+    A value that fits no rule, or not into its column, is an error. A key that a record lacks gets its default.
     """
     lines = (
         spark.read.option("lineSep", ELEMENT_END).option("recursiveFileLookup", "true")
         .option("pathGlobFilter", names).text(raw_dir)
     )
-    path = path_below(F.col("_metadata.file_path"), raw_dir)
+    path = path_below(spark, F.col("_metadata.file_path"), raw_dir)
+    # Conditions on the file alone come first, so that no line of a foreign file is looked at.
+    lines = lines.filter(of_platform(path) & (F.col("_metadata.file_size") >= V.SMALLEST_RAW_FILE))
     if day is not None:
-        lines = lines.filter(path.contains(day_tag(day)))
-    chunks = (
-        lines.filter(F.col("_metadata.file_size") >= V.SMALLEST_RAW_FILE)
-        .select(
-            "value",
-            path.alias("file_name"),
-            F.col("_metadata.file_block_start").alias("file_block"),
-            F.monotonically_increasing_id().alias("chunk"),
-        )
-        .filter(F.col("file_name").contains("gitee") | F.col("file_name").contains("github"))
+        lines = lines.filter((day_of(path) == day) | (F.lit(undated) & (day_of(path) == "")))
+    chunks = lines.select(
+        "value",
+        path.alias("file_name"),
+        F.col("_metadata.file_block_start").alias("file_block"),
+        F.monotonically_increasing_id().alias("chunk"),
     )
     element = F.rlike("value", F.lit(r"\A(\[|,)\s*\n  \{\s*\n"))
     whole = F.ltrim("value").startswith("[") & ~element
@@ -51,20 +53,66 @@ def read_raw_json(spark: SparkSession, raw_dir: str, schema: T.StructType = sche
         .when(whole, F.col("value"))
     )
     broken = F.raise_error(F.concat(F.lit("not a JSON array of records: "), F.col("file_name")))
-    records = F.coalesce(F.from_json("text", T.ArrayType(schema)), broken)
+    records = F.coalesce(F.from_json("text", "array<map<string,string>>"), broken)
     return (
         chunks.withColumn("text", text)
         .filter(F.col("text").isNotNull())
         .select("file_name", "file_block", "chunk", F.posexplode(records).alias("pos_in_chunk", "record"))
         .select(
-            "record.*", "file_name", "file_block",
+            *[_field(field).alias(field.name) for field in schema.fields], "file_name", "file_block",
             F.struct("chunk", "pos_in_chunk").alias("pos"),
         )
     )
 
 
-def path_below(path: Column, folder: str) -> Column:
-    return F.substring_index(path, folder.rstrip("/").rsplit("/", 1)[-1] + "/", -1)
+def _field(field: T.StructField) -> Column:
+    """A field of a record, cast to its column's type."""
+    text = F.col("record")[field.name]
+    if field.dataType == T.StringType():
+        value = text
+    else:
+        number = F.expr(f"try_cast(record['{field.name}'] AS DECIMAL(38, 6))")
+        if field.dataType == T.BooleanType():
+            value = (F.when(F.lower(text).isin("true", "false"), F.lower(text) == "true")
+                     .when(number.isin(0, 1), number == 1).when(text == "", F.lit(False)))
+        else:
+            value = F.when(number == F.floor(number), F.expr(
+                f"try_cast(try_cast(record['{field.name}'] AS DECIMAL(38, 6)) AS {field.dataType.simpleString()})"))
+        unfit = F.raise_error(F.concat(F.lit(f"{field.name} is no {field.dataType.simpleString()}: "), text))
+        value = F.when(text.isNotNull(), F.coalesce(value, unfit.cast(field.dataType)))
+    if field.name not in schemas.RAW_DEFAULTS:
+        return value
+    default = F.lit(schemas.RAW_DEFAULTS[field.name]).cast(field.dataType)
+    return F.when(F.map_contains_key("record", F.lit(field.name)), value).otherwise(default)
+
+
+def path_below(spark: SparkSession, path: Column, folder: str) -> Column:
+    """What follows `folder` in a file's path. The folder is cut off at the front, whatever else repeats its name."""
+    _, root = hadoop_path(spark, folder)
+    root = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toUri()
+    out = path
+    for name in {root.getRawPath(), root.getPath()}:
+        front = name.rstrip("/") + "/"
+        out = F.when(F.instr(path, front) > 0, F.substr(path, F.instr(path, front) + F.lit(len(front)))).otherwise(out)
+    return out
+
+
+def of_platform(path: Column) -> Column:
+    return path.contains("gitee") | path.contains("github")
+
+
+def day_of(path: Column) -> Column:
+    """The day a raw file belongs to: the last _YYYYMMDD in its path; empty where there is none."""
+    return F.regexp_replace(F.regexp_extract(path, r"^.*_([0-9]{8})(?![0-9])", 1), "^(....)(..)(..)$", "$1-$2-$3")
+
+
+def undated_files(spark: SparkSession, raw_dir: str, names: str = "*.json") -> list[str]:
+    """Some of the platforms' raw files whose path names no day; only the folder is listed."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", names).load(raw_dir)
+    path = path_below(spark, F.col("path"), raw_dir)
+    rows = found.filter(F.col("length") >= V.SMALLEST_RAW_FILE).select(path.alias("file")).filter(
+        of_platform(F.col("file")) & (day_of(F.col("file")) == ""))
+    return [r["file"] for r in rows.limit(5).collect()]
 
 
 def day_tag(day: str) -> str:

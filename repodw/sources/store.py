@@ -53,10 +53,12 @@ class Warehouse:
         newest = self.newest_partition(table)
         return self.read_days(table, [] if newest is None else [newest])
 
-    def replace_days(self, table: str, df: DataFrame, days: Sequence[str] = (), rebalance: bool = True) -> None:
+    def replace_days(self, table: str, df: DataFrame, days: Sequence[str] = (), rebalance: bool = True,
+                     whole: bool = False) -> None:
         """Replace exactly the partitions that occur in `df`; others stay.
 
-        The partitions named in `days` are also emptied when `df` has no rows for them. Before writing, rows
+        The partitions named in `days` are also emptied when `df` has no rows for them; with `whole` all others are
+        removed, so that the table holds nothing but `df`. Before writing, rows
         are rebalanced by the partition column, or for named days by a key, so that adaptive execution gives
         files of a useful size: a big day is split, small ones are merged. Within a file rows are sorted by
         that key, so that a lookup of a few keys reads a few pages.
@@ -67,18 +69,21 @@ class Warehouse:
         if rebalance:
             out = out.hint("rebalance", *[F.col(c) for c in (keys if days and keys else [column])])
         seen = Observation()
-        if days:
-            value = F.col(column).cast("string")
-            out = out.observe(seen, *[F.count(F.when(value == day, 1)).alias(day) for day in days])
+        before = self.partitions(table) if whole else list(days)
+        if before:
+            out = out.observe(seen, F.collect_set(F.col(column).cast("string")).alias("found"))
         if rebalance and keys:
             out = out.sortWithinPartitions(column, *keys)
         (
             out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column)
             .parquet(self.path(table))
         )
-        for day in days:
-            if seen.get[day] == 0:
-                delete_path(self.spark, f"{self.path(table)}/{column}={day}")
+        if before:
+            for day in set(before) - set(seen.get["found"]):
+                self.drop_partition(table, day)
+
+    def drop_partition(self, table: str, value: str) -> None:
+        delete_path(self.spark, f"{self.path(table)}/{schemas.PARTITIONED_BY[table]}={value}")
 
     def fill_once(self, table: str, df: DataFrame) -> bool:
         """Write a table that has no rows yet; a filled one is left alone. Says whether it wrote."""

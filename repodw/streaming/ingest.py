@@ -9,33 +9,39 @@ from pyspark.sql.streaming import StreamingQuery
 
 from repodw import schemas
 from repodw.plans.daily import load_ods, refresh_day
-from repodw.sources.raw import path_below, read_raw_json
+from repodw.sources.raw import day_of, of_platform, path_below, read_raw_json
 from repodw.sources.store import Warehouse
 
 _FILE = "path string, modificationTime timestamp, length long, content binary"
-_DAY_IN_PATH = r"_([0-9]{8})(?![0-9])"
 
 
 def ingest_new_files(spark: SparkSession, raw_dir: str, warehouse: Warehouse, progress_dir: str, marts: bool = True,
-                     schema: T.StructType = schemas.RAW, names: str = "*.json") -> StreamingQuery:
+                     schema: T.StructType = schemas.RAW, names: str = "*.json", undated_day: str | None = None) -> StreamingQuery:
     """Load the days of all files that landed since the last run, then stop.
 
+    Files whose path names no day are loaded with `undated_day`. Without it they are an error, and the batch stays
+    to be done, so none is passed over.
+
     The stream only carries file names (contents are not read for it): a day is always loaded from all its
     files, so a batch that is repeated after a failure, or a second file for a day, gives the same tables as
     a first load.
     """
     landed = (
         spark.readStream.format("binaryFile").schema(_FILE).option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", names).load(raw_dir).select(path_below(F.col("path"), raw_dir).alias("file"))
+        .option("pathGlobFilter", names).load(raw_dir)
+        .select(path_below(spark, F.col("path"), raw_dir).alias("file"))
     )
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        files = batch.filter(F.col("file").contains("gitee") | F.col("file").contains("github"))
+        files = batch.filter(of_platform(F.col("file")))
         # One value per calendar day of the batch: a bounded list.
-        found = files.select(F.regexp_extract("file", _DAY_IN_PATH, 1).alias("day")).filter("day <> ''").distinct()
-        for row in found.orderBy("day").collect():
-            day = f"{row['day'][:4]}-{row['day'][4:6]}-{row['day'][6:]}"
-            load_ods(warehouse, read_raw_json(batch.sparkSession, raw_dir, schema, names, day), day)
+        found = {row["day"] for row in files.select(day_of(F.col("file")).alias("day")).distinct().collect()}
+        if "" in found and undated_day is None:
+            some = [row["file"] for row in files.filter(day_of(F.col("file")) == "").limit(5).collect()]
+            raise ValueError(f"raw files that name no day; give undated_day: {some}")
+        for day in sorted({d or undated_day for d in found}):
+            raw = read_raw_json(batch.sparkSession, raw_dir, schema, names, day, undated=day == undated_day)
+            load_ods(warehouse, raw, day)
             if marts:
                 refresh_day(warehouse, day)
 

@@ -5,6 +5,7 @@ import pytest
 from helpers import TESTDATA
 
 import __spark_entry__ as entry
+from repodw.checks import registry
 
 FOLDER = f"{TESTDATA}/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -20,7 +21,7 @@ def sql():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_equals_sql(spark, sql, name):
     df = entry.queries()[name](spark, FOLDER)
     cursor = sql.execute(entry.oracle_sql()[name])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from helpers import TESTDATA, plan_of
 
 import __spark_entry__ as entry
+from repodw.checks import registry
 from repodw.checks.bindings import Documents, Events
 from repodw.operators import topk
 from repodw.operators.dedup import keep_one
@@ -23,7 +24,7 @@ def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_every_plan(spark, name):
     """No Python, no product joins; whatever gathers rows in one task has been cut to partial aggregates or a limit
     right below."""

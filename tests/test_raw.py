@@ -123,3 +123,33 @@ def test_raw_arrays_round_trip(spark, tmp_path):
         assert isinstance(json.loads(path.read_text()), list)
     back = raw.read_raw_json(spark, str(tmp_path / "out"), names="part-*").select(*df.columns)
     assert back.exceptAll(df).count() == 0 and df.exceptAll(back).count() == 0
+
+
+def test_subfolders_and_days_of_files(spark, tmp_path):
+    """A folder that repeats the landing folder's name, a path with two dates, a file without any."""
+    landing = tmp_path / "raw"
+    (landing / "gitee_raw").mkdir(parents=True)
+    (landing / "batch_20260806").mkdir()
+    land(landing / "gitee_raw", "x", "2026-08-07", [record(1, "gitee"), record(2, "gitee")])
+    land(landing / "batch_20260806", "github", "2026-08-07", [record(3)])
+    (landing / "gitee_repos.json").write_text(json.dumps([record(4, "gitee")]))
+    read = lambda **how: [r[0] for r in rows_of(raw.read_raw_json(spark, str(landing), **how), "repo_id")]
+    assert read() == [1, 2, 3, 4]
+    assert read(day="2026-08-07") == [1, 2, 3] and read(day="2026-08-06") == []
+    assert read(day="2026-08-06", undated=True) == [4]
+    assert raw.undated_files(spark, str(landing)) == ["gitee_repos.json"]
+
+
+def test_values_of_other_types_are_cast_or_refused(spark, tmp_path):
+    odd = [record(1, stars_count=5.0, archived=1), record(2, stars_count="12", archived="1"), record(3, archived="false")]
+    for r in odd[:2]:
+        r.pop("source_platform")
+    land(tmp_path, "gitee", "2026-08-07", odd)
+    found = raw.read_raw_json(spark, str(tmp_path))
+    assert rows_of(found, "repo_id", "stars_count", "archived", "source_platform") == [
+        (1, 5, True, "unknown"), (2, 12, True, "unknown"), (3, 1, False, "github")]
+    for n, bad in enumerate([{"stars_count": 3000000000}, {"stars_count": "many"}, {"stars_count": 1.5}, {"archived": "perhaps"}]):
+        (tmp_path / f"bad{n}").mkdir()
+        land(tmp_path / f"bad{n}", "github", "2026-08-07", [record(1, **bad)])
+        with pytest.raises(PySparkException):
+            raw.read_raw_json(spark, str(tmp_path / f"bad{n}")).collect()

@@ -36,7 +36,7 @@ def test_deep_pages_equal_a_full_sort(spark, order):
     keys = [F.col(c).asc() if up else F.col(c).desc() for c, up in order]
     everything = [r.id for r in df.orderBy(*keys).collect()]
     for page in (2, 57, 100, 150, 300):
-        found = paging.page_rows(df, order, page, 20, shallow=50).orderBy("row_no").collect()
+        found = paging.page_rows(df, order, page, 20).orderBy("row_no").collect()
         first = (min(page, 150) - 1) * 20
         assert [r.id for r in found] == everything[first:first + 20]
         assert [r.row_no for r in found] == list(range(first + 1, first + 21))
@@ -44,7 +44,7 @@ def test_deep_pages_equal_a_full_sort(spark, order):
 
 def test_deep_page_without_a_total_order_still_ends(spark):
     df = spark.range(500).select(F.lit(1).alias("v"), "id")
-    assert paging.page_rows(df, [("v", True)], 10, 20, shallow=50).count() == 20
+    assert paging.page_rows(df, [("v", True)], 10, 20).count() == 20
 
 
 def test_like_has_wildcards_and_contains_has_none(spark):
