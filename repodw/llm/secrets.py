@@ -1,13 +1,17 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of at least 16 characters out of letters, digits and `+/_=-` that holds a digit. Features: length,
-kinds of characters and how often they change, the share of the candidate's letters that lie in words of a dictionary,
-whether it stands in a path or address, and what stands beside it: an assignment, a quote, a word for credentials. The
-forest learns from labelled findings and scores every candidate; those at `THRESHOLD` or more are secrets.
-
-`weak_labels` labels findings where none were labelled by hand: a value of credentials' shape that is assigned to a word
-for credentials is one; an unassigned candidate of digits only, in a path, or mostly of dictionary words is none; others
-stay unlabelled. The forest is fitted on at most `FIT_ROWS` labelled findings, drawn by hash.
+A candidate is a run of at least 16 characters out of letters, digits and `+/_-`, with up to two `=` at its end, that
+holds a digit or a capital after its first character. Features: length, kinds of characters, how often they change and
+their entropy, the share of the candidate's letters that lie in words of a dictionary, whether it stands in a path or
+address, has the shape of a known kind of key or is itself a name that is assigned, and what stands before it: an
+assignment, a quote, a word for credentials (anywhere in the name that is assigned). The forest learns from labelled
+findings and scores every candidate; those at `THRESHOLD` or more are secrets.
+
+`weak_labels` labels findings where none were labelled by hand. Secrets are values that are assigned to a name with a word
+for credentials and are no words, keys of a known shape, and runs of capitals, small letters and digits of high entropy
+under whatever name or none. None are unassigned candidates of digits only, in a path, or mostly of dictionary words, and
+words and names that are assigned to. Others stay unlabelled. The forest is fitted on at most `FIT_ROWS` labelled findings,
+drawn by hash.
 
 Nulls and odd input: a null or empty text has no findings. Rows that repeat doc_id and text are one document in
 `findings` and are all cleaned in `clean`. With findings of one class or none, every candidate scores that class (no
@@ -27,9 +31,16 @@ from repodw.llm import spans
 from repodw.llm.common import ascii_lower
 from repodw.session import written
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{16,}+"
-# Words for credentials.
-CREDENTIALS = "token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential|bearer"
+# Words for credentials, shapes of keys.
+CREDENTIALS = "token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth(?!or(?!i))|credential|bearer"
+SHAPES = (r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_-]{20,}"
+          r"|xox[abprs]-[A-Za-z0-9-]{10,}|sk[-_][A-Za-z0-9_-]{20,}|AIza[A-Za-z0-9_-]{35})$")
+# A run, its last `=` only where no value follows.
+CANDIDATE = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9]|[A-Za-z+/_-][a-z+/_-]*+[A-Z])[A-Za-z0-9+/_-]{16,}+"
+             r"(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
+# Between a word for credentials and its value: the rest of the name, a sign. Characters kept before a candidate.
+GIVEN = r"[\w.-]{0,32}[\"'`\]]{0,2}[ \t]{0,8}[=:]{1,2}>?[ \t]{0,8}"
+NEAR = 96
 THRESHOLD = 0.5
 FIT_ROWS = 20_000
 TREES, DEPTH, SEED = 20, 6, 11
@@ -37,7 +48,8 @@ TREES, DEPTH, SEED = 20, 6, 11
 BROADCAST_ROWS = 1_000_000
 MASK = "[SECRET]"
 
-FEATURES = ("length", "digits", "upper", "signs", "changes", "distinct", "hex", "known", "path", "quoted", "assigned", "credential")
+FEATURES = ("length", "digits", "upper", "signs", "changes", "distinct", "entropy", "hex", "known", "path", "shape", "name", "quoted", "assigned",
+            "credential")
 
 
 def _small(rows: DataFrame) -> DataFrame:
@@ -50,21 +62,35 @@ def words_of(rows: DataFrame) -> DataFrame:
     return rows.select(F.explode(F.regexp_extract_all(ascii_lower(F.coalesce("text", F.lit(""))), F.lit(r"\p{L}{3,}+"), F.lit(0))).alias("word")).distinct()
 
 
+def entropy(value: Column) -> Column:
+    """Bits a character."""
+    n = F.greatest(F.length(value), F.lit(1))
+
+    def add(total: Column, char: Column) -> Column:
+        p = (n - F.length(F.replace(value, char, F.lit("")))) / n
+        return total - F.when(p > 0, p * F.log2(p)).otherwise(0.0)
+
+    return F.aggregate(F.array_distinct(F.split(value, "")), F.lit(0.0), add)
+
+
 def candidates(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
     """A row per candidate with its features, and one with null value for each document without any."""
-    found = spans.found(docs, {"secret": CANDIDATE}, {"secret": F.col("text").rlike("[0-9]")}).drop("kind")
+    found = spans.found(docs, {"secret": CANDIDATE}, {"secret": F.col("text").rlike("[A-Z0-9]")}, NEAR, across=True).drop("kind")
     value, before = F.col("value"), ascii_lower(F.coalesce("before", F.lit("")))
     n = F.greatest(F.length("value"), F.lit(1))
     share = lambda pattern: F.regexp_count(value, F.lit(pattern)) / n
     found = found.withColumns({
-        "length": F.length("value"), "digits": share("[0-9]"), "upper": share("[A-Z]"), "signs": share("[+/_=-]"),
+        "length": F.length("value"), "digits": share("[0-9]"), "upper": share("[A-Z]"), "signs": share("[^A-Za-z0-9]"),
         "changes": F.regexp_count(value, F.lit("(?<=[0-9])(?=[^0-9])|(?<=[^0-9])(?=[0-9])|(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])")) / n,
         "distinct": F.size(F.array_distinct(F.split("value", ""))) / F.least(n, F.lit(64)),
+        "entropy": entropy(F.left(value, F.lit(256))),
         "hex": value.rlike("^[0-9a-f]+$").cast("int"),
         "path": (value.rlike("/[^/]+/") | before.rlike(r"(?:://[^ ]*|[a-z]:?[/\\])$")).cast("int"),
+        "shape": value.rlike(SHAPES).cast("int"),
+        "name": (value.rlike("=$") & F.col("after").rlike("^[\"'`]") | F.col("after").rlike("^[\"'`]?[ \\t]*(?:=|:=|:[ \\t]*[\"'`])")).cast("int"),
         "quoted": before.rlike("[\"'`]$").cast("int"),
-        "assigned": before.rlike(r"[=:]\s*[\"'`]?$").cast("int"),
-        "credential": before.rlike(rf"(?:{CREDENTIALS})[\"'`]?\s*(?:=|:|:=|=>|is)?\s*[\"'`]?$").cast("int"),
+        "assigned": before.rlike(r"[=:]>?\s*[\"'`]?$").cast("int"),
+        "credential": before.rlike(rf"(?:{CREDENTIALS})(?:{GIVEN}|[\"'`]?\s*(?:is)?\s*)[\"'`]?$").cast("int"),
     })
     # How much of a candidate lies in dictionary words: its letter runs are few, so they look the words up, not texts.
     runs = found.filter("value IS NOT NULL").select("value", F.explode(F.array_distinct(
@@ -76,8 +102,14 @@ def candidates(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 def weak_labels(rows: DataFrame) -> DataFrame:
     """The rows with label 1, 0 or null."""
-    yes = (F.col("credential") == 1) & (F.col("assigned") == 1) & (F.col("known") < 0.5) & (F.col("distinct") > 0.1)
-    no = (F.col("credential") == 0) & (F.col("assigned") == 0) & ((F.col("digits") == 1) | (F.col("path") == 1) | (F.col("known") >= 0.5))
+    named = (F.col("credential") == 1) & (F.col("assigned") == 1)
+    number = (F.col("digits") == 1) & (F.col("length") < 6)
+    random = (F.col("length") >= 20) & (F.col("entropy") >= 4.0) & (F.col("known") < 0.3) & (F.col("path") == 0) & F.col("value").rlike(
+        "(?=.*[0-9])(?=.*[a-z])[^A-Z]*[A-Z]")
+    yes = (F.col("name") == 0) & (named & (F.col("known") < 0.5) & (F.col("distinct") > 0.1) & ~number | (F.col("shape") == 1) | random)
+    words = (F.col("known") >= 0.5) & (F.col("digits") == 0)
+    no = (F.col("name") == 1) | words | number | ((F.col("credential") == 0) & (F.col("assigned") == 0) & (
+        (F.col("digits") == 1) | (F.col("path") == 1) | (F.col("known") >= 0.5)))
     return rows.withColumn("label", F.when(yes, 1.0).when(no, 0.0))
 
 
@@ -87,7 +119,7 @@ def findings(rows: DataFrame, labelled: DataFrame) -> DataFrame:
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())
     if len(counts) < 2:
-        score = F.lit(next(iter(counts))) if counts else F.lit(1.0) * (F.col("credential") * F.col("assigned"))
+        score = F.lit(next(iter(counts))) if counts else F.greatest(F.col("credential") * F.col("assigned"), F.col("shape"))
         return rows.withColumn("score", score.cast("double")).withColumn("secret", F.col("score") >= THRESHOLD)
     some = known.filter(F.pmod(F.xxhash64("value", "doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, FIT_ROWS / total)))
     doubles = {c: F.col(c).cast("double") for c in FEATURES}

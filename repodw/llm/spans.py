@@ -9,18 +9,19 @@ NEAR = 32
 _KEY = ["doc_id", "text_hash"]
 
 
-def found(docs: DataFrame, patterns: dict[str, str], screens: dict[str, Column]) -> DataFrame:
+def found(docs: DataFrame, patterns: dict[str, str], screens: dict[str, Column], near: int = NEAR, across: bool = False) -> DataFrame:
     """A row per match: doc_id, text_hash, kind, start, end (code points, end exclusive), value, before, after; and one
     with null kind for each document without any.
 
     Matches of a kind are leftmost and don't overlap. A text is only searched for a kind if its screen, a cheap
-    condition that every match implies, holds. Only matches are shuffled, never texts.
+    condition that every match implies, holds. Only matches are shuffled, never texts. `before` and `after` hold `near`
+    characters up to the matches beside; with `across`, `before` goes on into the match before.
     """
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.coalesce("text", F.lit("")).alias("text"))
     for kind, pattern in patterns.items():
         rows = rows.withColumn(f"_{kind}", F.when(screens[kind], F.struct(
             F.split("text", pattern, -1).alias("gaps"), F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("values"))))
-    listed = [_listed(kind) for kind in patterns]
+    listed = [_listed(kind, near, across) for kind in patterns]
     rows = rows.withColumn("_found", F.concat(*listed))
     each = rows.select(*_KEY, F.explode_outer("_found").alias("m")).select(*_KEY, "m.*")
     # By document first, as that is how matches are grouped afterwards.
@@ -30,13 +31,14 @@ def found(docs: DataFrame, patterns: dict[str, str], screens: dict[str, Column])
     return each.withColumn("end", end).select(*_KEY, "kind", (F.col("end") - F.length("value")).alias("start"), "end", "value", "before", "after")
 
 
-def _listed(kind: str) -> Column:
+def _listed(kind: str, near: int, across: bool) -> Column:
     gaps, values = F.col(f"_{kind}.gaps"), F.col(f"_{kind}.values")
 
     def one(value: Column, i: Column) -> Column:
+        lead = F.concat(F.coalesce(F.get(values, i - 1), F.lit("")), F.get(gaps, i)) if across else F.get(gaps, i)
         return F.struct(
             F.lit(kind).alias("kind"), i.alias("i"), F.length(F.get(gaps, i)).alias("gap"), value.alias("value"),
-            F.right(F.get(gaps, i), F.lit(NEAR)).alias("before"), F.left(F.get(gaps, i + 1), F.lit(NEAR)).alias("after"))
+            F.right(lead, F.lit(near)).alias("before"), F.left(F.get(gaps, i + 1), F.lit(near)).alias("after"))
 
     empty = F.array().cast("array<struct<kind:string,i:int,gap:int,value:string,before:string,after:string>>")
     return F.coalesce(F.transform(values, one), empty)

@@ -1,5 +1,6 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing further columns."""
 import json
+import random
 
 import pytest
 from brute import DOCS, ODD, REPEATED, blank_words, near_components
@@ -187,3 +188,20 @@ def test_prototypes_need_text_and_language(spark):
     docs = spark.createDataFrame([(None, "en"), ("abc", None), ("12", "en")], "text string, lang string")
     assert langid.learn(docs) == {}
     assert [r["lang_pred"] for r in langid.identify(docs, {}).collect()] == ["und"] * 3
+
+
+def _keys(many, length=40, alphabet="ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"):
+    draw = random.Random(length)
+    return ["".join(draw.choice(alphabet) for _ in range(length)) for _ in range(many)]
+
+
+def test_secrets_without_blank_quote_or_plain_name(spark):
+    """KEY=value, URL parameters, longer names and bare keys."""
+    hexes, mixed_keys, bare = _keys(60, 32, "0123456789abcdef"), _keys(60), ["AKIA" + k for k in _keys(20, 16, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")]
+    forms = ["token={}", "export AWS_SECRET_ACCESS_KEY={}", "https://a.org/x?access_token={}&page=2", 'secret_value = "{}"', 'API_KEY_PROD = "{}"']
+    rows = [(k, "see this: " + forms[k % 5].format(key) + " 1234567890123456 /usr/lib/python3/site", key) for k, key in enumerate(hexes)]
+    rows += [(100 + k, f"we found {key} there", key) for k, key in enumerate(mixed_keys + bare)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string")
+    words = spark.createDataFrame([("see",), ("this",), ("site",), ("python",)], "word string")
+    out = {r["doc_id"]: r["text"] for r in secrets.clean(docs, words).collect()}
+    assert {k: out[k] for k, _, _ in rows} == {k: t.replace(key, secrets.MASK) for k, t, key in rows}
