@@ -92,7 +92,8 @@ def op4_lm(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Every candidate for a secret in every document, and whether it is one."""
-    found = secrets.scan(table(spark, folder, "documents"), secrets.words_of(table(spark, folder, "benchmark")))
+    docs = table(spark, folder, "documents")
+    found = secrets.scan(docs, secrets.dictionary_of(docs, table(spark, folder, "benchmark")))
     return found.select("doc_id", "start", "end", F.sha2("value", 256).alias("value_sha256"), "score", "secret")
 
 

@@ -1,7 +1,8 @@
 """Secret scans: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of at least 16 characters out of letters, digits and `+/_-`, with up to two `=` at its end, that
-holds a digit or a capital after its first character. Features: length, kinds of characters, how often they change and
+A candidate is what is assigned to a name with a word for credentials, of any length and characters; or a run of at least
+16 characters out of letters, digits and `+/_-`, with up to two `=` at its end, that holds a digit or a capital after its
+first character. Features: length, kinds of characters, how often they change and
 their entropy, the share of the candidate's letters that lie in words of a dictionary, whether it stands in a path or
 address, has the shape of a known kind of key or is itself a name that is assigned, and what stands before it: an
 assignment, a quote, a word for credentials (anywhere in the name that is assigned). The forest learns from labelled
@@ -9,8 +10,8 @@ findings and scores every candidate; those at `THRESHOLD` or more are secrets.
 
 `weak_labels` labels findings where none were labelled by hand. Secrets are values that are assigned to a name with a word
 for credentials and are no words, keys of a known shape, and runs of capitals, small letters and digits of high entropy
-under whatever name or none. None are unassigned candidates of digits only, in a path, or mostly of dictionary words, and
-words and names that are assigned to. Others stay unlabelled. The forest is fitted on at most `FIT_ROWS` labelled findings,
+under whatever name or none. No secrets are unassigned candidates of digits only, in a path, or mostly of dictionary
+words, names that a value is assigned to, words, and numbers of under six digits. Others stay unlabelled. The forest is fitted on at most `FIT_ROWS` labelled findings,
 drawn by hash.
 
 Nulls and odd input: a null or empty text has no findings. Rows that repeat doc_id and text are one document in
@@ -35,11 +36,16 @@ from repodw.session import written
 CREDENTIALS = "token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth(?!or(?!i))|credential|bearer"
 SHAPES = (r"^(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_-]{20,}"
           r"|xox[abprs]-[A-Za-z0-9-]{10,}|sk[-_][A-Za-z0-9_-]{20,}|AIza[A-Za-z0-9_-]{35})$")
-# A run, its last `=` only where no value follows.
-CANDIDATE = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9]|[A-Za-z+/_-][a-z+/_-]*+[A-Z])[A-Za-z0-9+/_-]{16,}+"
-             r"(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 # Between a word for credentials and its value: the rest of the name, a sign. Characters kept before a candidate.
 GIVEN = r"[\w.-]{0,32}[\"'`\]]{0,2}[ \t]{0,8}[=:]{1,2}>?[ \t]{0,8}"
+# A run, its last `=` only where no value follows.
+RUN = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9]|[A-Za-z+/_-][a-z+/_-]*+[A-Z])[A-Za-z0-9+/_-]{16,}+"
+       r"(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
+# A value up to its closing quote; without quotes, up to a blank or separator and without closing brackets.
+_QUOTED = "|".join(rf"(?<={q})[^{q}\r\n].*?(?<!(?<!\\)\\)(?={q})" for q in "\"'`")
+_BARE = r"(?![=:>])[^\s\"'`,;&<>]*[^\s\"'`,;&<>)\]}.]"
+VALUE = rf"(?<=[=:>][ \t]{{0,8}}[\"'`]?)(?<=(?i:{CREDENTIALS}){GIVEN}[\"'`]?)(?:{_QUOTED}|{_BARE})"
+CANDIDATE = rf"{VALUE}|{RUN}"
 NEAR = 96
 THRESHOLD = 0.5
 FIT_ROWS = 20_000
@@ -62,6 +68,18 @@ def words_of(rows: DataFrame) -> DataFrame:
     return rows.select(F.explode(F.regexp_extract_all(ascii_lower(F.coalesce("text", F.lit(""))), F.lit(r"\p{L}{3,}+"), F.lit(0))).alias("word")).distinct()
 
 
+def common_words(docs: DataFrame) -> DataFrame:
+    """word: the whole words of three lower-case letters or more that stand in at least two different texts."""
+    words = F.array_distinct(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(r"(?<![\p{L}\p{N}+/_=-])\p{L}{3,}+(?![\p{N}+/_=])"), F.lit(0)))
+    each = docs.filter("text IS NOT NULL").select(F.xxhash64("text").alias("h"), F.explode(words).alias("word"))
+    return each.groupBy("word").agg(F.min("h").alias("a"), F.max("h").alias("b")).filter("a < b").select("word")
+
+
+def dictionary_of(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """word: the words of several documents, and all words of the items."""
+    return common_words(docs).union(words_of(items)).distinct()
+
+
 def entropy(value: Column) -> Column:
     """Bits a character."""
     n = F.greatest(F.length(value), F.lit(1))
@@ -75,7 +93,7 @@ def entropy(value: Column) -> Column:
 
 def candidates(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
     """A row per candidate with its features, and one with null value for each document without any."""
-    found = spans.found(docs, {"secret": CANDIDATE}, {"secret": F.col("text").rlike("[A-Z0-9]")}, NEAR, across=True).drop("kind")
+    found = spans.found(docs, {"secret": CANDIDATE}, {"secret": F.col("text").rlike("[A-Z0-9=:]")}, NEAR, across=True).drop("kind")
     value, before = F.col("value"), ascii_lower(F.coalesce("before", F.lit("")))
     n = F.greatest(F.length("value"), F.lit(1))
     share = lambda pattern: F.regexp_count(value, F.lit(pattern)) / n
@@ -95,7 +113,8 @@ def candidates(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
     # How much of a candidate lies in dictionary words: its letter runs are few, so they look the words up, not texts.
     runs = found.filter("value IS NOT NULL").select("value", F.explode(F.array_distinct(
         F.regexp_extract_all(ascii_lower(value), F.lit("[a-z]{3,}+"), F.lit(0)))).alias("word")).distinct()
-    covered = runs.join(dictionary, "word").groupBy("value").agg((F.sum(F.length("word"))).alias("letters"))
+    known = _small(written(runs.select("word").distinct().join(dictionary, "word"), "known"))
+    covered = runs.join(known, "word").groupBy("value").agg((F.sum(F.length("word"))).alias("letters"))
     return found.join(covered, "value", "left").withColumn(
         "known", F.least(F.coalesce("letters", F.lit(0)) / F.greatest(F.length("value"), F.lit(1)), F.lit(1.0))).drop("letters")
 
@@ -106,7 +125,7 @@ def weak_labels(rows: DataFrame) -> DataFrame:
     number = (F.col("digits") == 1) & (F.col("length") < 6)
     random = (F.col("length") >= 20) & (F.col("entropy") >= 4.0) & (F.col("known") < 0.3) & (F.col("path") == 0) & F.col("value").rlike(
         "(?=.*[0-9])(?=.*[a-z])[^A-Z]*[A-Z]")
-    yes = (F.col("name") == 0) & (named & (F.col("known") < 0.5) & (F.col("distinct") > 0.1) & ~number | (F.col("shape") == 1) | random)
+    yes = (F.col("name") == 0) & (named & (F.col("length") >= 4) & (F.col("known") < 0.5) & (F.col("distinct") > 0.1) & ~number | (F.col("shape") == 1) | random)
     words = (F.col("known") >= 0.5) & (F.col("digits") == 0)
     no = (F.col("name") == 1) | words | number | ((F.col("credential") == 0) & (F.col("assigned") == 0) & (
         (F.col("digits") == 1) | (F.col("path") == 1) | (F.col("known") >= 0.5)))

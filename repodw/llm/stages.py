@@ -39,7 +39,7 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, with a mask in place of each secret; n_chars follows the text."""
-    masked = secrets.clean(docs, secrets.words_of(table(spark, folder, "benchmark")))
+    masked = secrets.clean(docs, secrets.dictionary_of(docs, table(spark, folder, "benchmark")))
     if "n_chars" not in docs.columns:
         return masked
     kind = docs.schema["n_chars"].dataType
