@@ -11,8 +11,8 @@ findings and scores every candidate; those at `THRESHOLD` or more are secrets.
 `weak_labels` labels findings where none were labelled by hand. Secrets are values that are assigned to a name with a word
 for credentials and are no words, keys of a known shape, and runs of capitals, small letters and digits of high entropy
 under whatever name or none. No secrets are unassigned candidates of digits only, in a path, or mostly of dictionary
-words, names that a value is assigned to, words, and numbers of under six digits. Others stay unlabelled. The forest is fitted on at most `FIT_ROWS` labelled findings,
-drawn by hash.
+words, names that a value is assigned to, words, and numbers of under six digits. Others stay unlabelled. The forest is fitted on some `FIT_ROWS` labelled findings at most,
+half of each class, drawn by hash and weighted so that classes keep their shares.
 
 Nulls and odd input: a null or empty text has no findings. Rows that repeat doc_id and text are one document in
 `findings` and are all cleaned in `clean`. With findings of one class or none, every candidate scores that class (no
@@ -136,15 +136,19 @@ def findings(rows: DataFrame, labelled: DataFrame) -> DataFrame:
     """The candidates with score and secret, from a forest fitted on the labelled ones (features and label)."""
     known = labelled.filter("label IS NOT NULL")
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    total = sum(counts.values())
-    if len(counts) < 2:
-        score = F.lit(next(iter(counts))) if counts else F.greatest(F.col("credential") * F.col("assigned"), F.col("shape"))
+    # A bounded draw of each class; weights give the classes their shares back.
+    rates = {label: min(1.0, FIT_ROWS / 2 / n) for label, n in counts.items()}
+    drawn = F.pmod(F.xxhash64("value", "doc_id", *FEATURES), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    rate = F.coalesce(*[F.when(F.col("label") == label, F.lit(r)) for label, r in rates.items()], F.lit(1.0))
+    some = written(known.withColumn("_rate", rate).filter(drawn < F.col("_rate")).withColumn("weight", 1 / F.col("_rate")), "drawn")
+    left = {r["label"] for r in some.select("label").distinct().collect()}
+    if len(left) < 2:
+        score = F.lit(max(left or counts)) if counts else F.greatest(F.col("credential") * F.col("assigned"), F.col("shape"))
         return rows.withColumn("score", score.cast("double")).withColumn("secret", F.col("score") >= THRESHOLD)
-    some = known.filter(F.pmod(F.xxhash64("value", "doc_id"), F.lit(1 << 20)) < int((1 << 20) * min(1.0, FIT_ROWS / total)))
     doubles = {c: F.col(c).cast("double") for c in FEATURES}
     assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    forest = RandomForestClassifier(labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt")
-    model = forest.fit(assemble.transform(some.withColumns(doubles)).select("features", "label"))
+    forest = RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=SEED, featureSubsetStrategy="sqrt")
+    model = forest.fit(assemble.transform(some.withColumns(doubles)).select("features", "label", "weight"))
     scored = model.transform(assemble.transform(rows.withColumns(doubles)))
     return scored.withColumn("score", vector_to_array("probability")[1]).drop("features", "rawPrediction", "probability", "prediction").withColumn(
         "secret", F.col("score") >= THRESHOLD)

@@ -217,3 +217,18 @@ def test_values_of_credentials_of_any_shape_and_words_of_the_corpus(spark):
     found = secrets.scan(docs, words).collect()
     assert all(rows[r["doc_id"]][1][r["start"]:r["end"]] == r["value"] for r in found)
     assert {(r["doc_id"], r["value"]) for r in found if r["secret"]} == {(k, values[k % 5]) for k, _ in rows}
+
+
+def test_few_secrets_among_many_findings_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "FIT_ROWS", 200)
+    keys = {k * 50: key for k, key in enumerate(_keys(4))}
+    rows = [(k, "\n".join([f"token = {keys[k]}" if k in keys else "-", *(f"{k * 10**17 + 10**20 + j}" for j in range(100))])) for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = secrets.scan(docs, spark.createDataFrame([], "word string")).filter("secret").collect()
+    assert {(r["doc_id"], r["value"]) for r in found} == set(keys.items())
+
+
+def test_a_class_that_is_not_drawn(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "FIT_ROWS", 1e-9)
+    docs = spark.createDataFrame([(1, f"token = {_keys(1)[0]} 12345678901234567")], "doc_id long, text string")
+    assert {r["score"] for r in secrets.scan(docs, spark.createDataFrame([], "word string")).collect()} <= {0.0, 1.0}
