@@ -90,9 +90,11 @@ def split_quotas(quotas: np.ndarray, shards: int, seed: int = SEED) -> Iterator[
 
 
 def placed(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """doc_id, source, size, place: the permuted place within the source, from 0 to 2^62."""
+    """doc_id, source, size, place: the permuted place within the source, from 0 to 2^62; and row, where docs have a key _mix_row."""
     place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 2)
-    return docs.select("doc_id", F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size"), place.alias("place"))
+    # Rows that share a place are ordered by text, then by key.
+    row = [F.struct(F.xxhash64("text").alias("hash"), F.col("_mix_row").alias("key")).alias("row")] if "_mix_row" in docs.columns else []
+    return docs.select("doc_id", F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size"), place.alias("place"), *row)
 
 
 def sources(docs: DataFrame) -> list[dict]:
@@ -132,8 +134,9 @@ def mixture(docs: DataFrame, found: list[dict] | None = None, stretches: int = S
             block_words: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS, seed: int = SEED) -> DataFrame:
     """The mix: doc_id, source, size, words (so many leading ones), pass, shard, position in the shard.
 
-    `docs` as `placed` gives them.
+    `docs` as `placed` gives them; their row, where they have it, is kept.
     """
+    own = ["row"] if "row" in docs.columns else []
     spark = docs.sparkSession
     found = sources(docs) if found is None else found
     block_words = max(block_words, -(-sum(s["size"] for s in found) // MOST_BLOCKS))
@@ -145,10 +148,10 @@ def mixture(docs: DataFrame, found: list[dict] | None = None, stretches: int = S
 
     # The last pass: all documents before the last stretch, and in it, in order of place, while there are words to take.
     deep = docs.join(F.broadcast(cut), "n", "left").withColumn("stretch", level(levels, stretches))
-    order = Window.partitionBy("n").orderBy("place", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("n").orderBy("place", "doc_id", "size", *own).rowsBetween(Window.unboundedPreceding, 0)
     at_cut = deep.filter(F.col("stretch") == F.col("last")).withColumn("upto", F.sum("size").over(order)).withColumn(
         "take", F.least("size", F.floor("words") - F.col("upto") + F.col("size")))
-    row = ["n", "doc_id", "source", "size", "block", "place", "take"]
+    row = ["n", "doc_id", "source", "size", "block", "place", "take", *own]
     partly = deep.filter(F.col("stretch") < F.col("last")).withColumn("take", F.col("size")).select(row).unionByName(
         at_cut.filter("take > 0").select(row))
     whole = docs.join(F.broadcast(passes), "n").withColumn("take", F.col("size")).select(
@@ -177,7 +180,7 @@ def mixture(docs: DataFrame, found: list[dict] | None = None, stretches: int = S
     opened = stretches.select("n", "shard", F.explode(F.sequence("first", F.col("after") - 1)).alias("turn"))
     plan = quota.join(opened, ["n", "turn"]).select("n", "pass", "block", "shard")
     out = taken.join(plan, ["n", "pass", "block"])
-    return out.select("doc_id", "source", "size", F.col("take").alias("words"), "pass", "shard", F.xxhash64(F.lit(seed), "shard", "pass", "doc_id").alias("position"))
+    return out.select("doc_id", "source", "size", F.col("take").alias("words"), "pass", "shard", F.xxhash64(F.lit(seed), "shard", "pass", "doc_id").alias("position"), *own)
 
 
 def takings(docs: DataFrame) -> DataFrame:

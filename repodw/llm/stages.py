@@ -25,11 +25,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near-duplicates (five-word shingles, similarity of at least 0.8): the least doc_id.
-    Rows that repeat a doc_id stay or go together; null ids and texts without words stay."""
+    Rows that repeat a doc_id stay or go together, but of rows that share id and text one stays; null ids and texts
+    without words stay."""
     found = neardup.near_duplicates(docs.select("doc_id", "text"))
     gone = written(found.filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     few = F.broadcast(gone) if gone.count() <= neardup.BROADCAST_ROWS else gone
-    return docs.join(few, F.col("doc_id") == F.col("_gone"), "left_anti")
+    left = docs.join(few, F.col("doc_id") == F.col("_gone"), "left_anti")
+    # Only rows that share id and text are shuffled.
+    keys = left.groupBy(F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash")).count().filter("count > 1")
+    again = written(keys.drop("count"), "repeated")
+    if (many := again.count()) == 0:
+        return left
+    again = F.broadcast(again) if many <= neardup.BROADCAST_ROWS else again
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))
+    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -49,11 +58,12 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The mix: a row for each time a document is taken, with its shard, its position there and its text; a document
     taken in part has its leading words."""
-    placed = written(mix.placed(docs), "placed")
-    rows = mix.mixture(placed).withColumnsRenamed({"doc_id": "_id", "source": "_source"})
-    texts = docs.join(rows, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").cast("string").eqNullSafe(F.col("_source")) & (
-        mix.size_of(F.col("text")) == F.col("size")))
-    leading = F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(mix.leading(F.col("text"), F.col("words")))
+    # A key for every row, written with it: repeated ids and texts are rows of their own.
+    keyed = written(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "keyed")
+    placed = written(mix.placed(keyed), "placed")
+    rows = mix.mixture(placed).select("words", "pass", "shard", "position", "size", F.col("row.key").alias("_key"))
+    texts = keyed.join(rows, F.col("_mix_row") == F.col("_key"))
+    leading = F.when(rows["words"] == rows["size"], keyed["text"]).otherwise(mix.leading(keyed["text"], rows["words"]))
     own = [c for c in docs.columns if c not in ("words", "pass", "shard", "position")]
-    return texts.select(*[leading.alias(c) if c == "text" else docs[c] for c in own],
+    return texts.select(*[leading.alias(c) if c == "text" else keyed[c] for c in own],
                         rows["words"], rows["pass"], rows["shard"], rows["position"])

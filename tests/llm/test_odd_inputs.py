@@ -232,3 +232,23 @@ def test_a_class_that_is_not_drawn(spark, monkeypatch):
     monkeypatch.setattr(secrets, "FIT_ROWS", 1e-9)
     docs = spark.createDataFrame([(1, f"token = {_keys(1)[0]} 12345678901234567")], "doc_id long, text string")
     assert {r["score"] for r in secrets.scan(docs, spark.createDataFrame([], "word string")).collect()} <= {0.0, 1.0}
+
+
+def test_mix_stage_of_repeated_rows_and_null_ids(spark, tables):
+    rows = [(7, "a b c d", "en", "a", 7, "s", "l", 5)] * 20 + [(None, f"n{k} b c d", "en", "a", 8, "s", "l", 5) for k in range(20)]
+    folder = tables(documents=([*rows, *[(k, "x y", "en", "b", 3, "s", "l", 5) for k in range(100, 140)]], DOCS))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    out = stages.mix_sources(spark, docs, folder).collect()
+    sizes = docs.groupBy("source").agg(F.sum(mix.size_of(F.col("text"))).alias("n")).orderBy("source").collect()
+    for row, target in zip(sizes, mix.targets([r["n"] for r in sizes])):
+        assert abs(sum(r["words"] for r in out if r["source"] == row["source"]) - target) <= 1
+    assert len([r for r in out if r["doc_id"] == 7 and r["pass"] == 0]) <= 20
+    assert all(len([r for r in out if r["text"] == f"n{k} b c d"]) <= 3 for k in range(20))
+
+
+def test_rows_of_one_id_and_text_stay_once(spark, odd):
+    docs = spark.read.parquet(f"{odd}/documents.parquet")
+    docs = docs.union(docs.filter("doc_id IS NULL"))
+    out = stages.drop_near_duplicates(spark, docs, odd)
+    assert out.count() == out.select("doc_id", "text").distinct().count()
+    assert [r["text"] for r in out.filter("doc_id IS NULL").collect()] == ["no id here at all, really"]
