@@ -13,13 +13,20 @@ from repodw.llm import decontaminate, langid, mix, neardup, secrets
 from repodw.llm.common import table
 from repodw.session import written
 
+LANGUAGE_RARE, LANGUAGE_SHARE = 0.001, 0.5
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents in a language; null texts and texts without a letter go. Prototypes are learned from the input's own
-    labels; `lang` is left as it is."""
+    """Documents in a language; null texts and texts without a letter go, and so do texts whose cosine with their language's
+    prototype is below a bound: `LANGUAGE_SHARE` of the cosine that all but `LANGUAGE_RARE` of the labelled documents reach.
+    Prototypes are learned from the input's own labels; without any, all texts with a letter stay. `lang` is left as it is."""
     model = langid.learn(docs.select("text", "lang"))
     clash = {c: f"_own_{c}" for c in ("lang_pred", "score") if c in docs.columns}
-    found = langid.identify(docs.withColumnsRenamed(clash), model).filter(F.col("lang_pred") != langid.UNKNOWN)
+    if not model:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = written(langid.identify(docs.withColumnsRenamed(clash), model).filter(F.col("lang_pred") != langid.UNKNOWN), "identified")
+    reached = found.filter("lang IS NOT NULL").agg(F.percentile_approx("score", LANGUAGE_RARE, 100_000).alias("q")).first()["q"]
+    found = found.filter(F.col("score") >= LANGUAGE_SHARE * (reached or 0.0))
     return found.drop("lang_pred", "score").withColumnsRenamed({own: c for c, own in clash.items()})
 
 

@@ -252,3 +252,13 @@ def test_rows_of_one_id_and_text_stay_once(spark, odd):
     out = stages.drop_near_duplicates(spark, docs, odd)
     assert out.count() == out.select("doc_id", "text").distinct().count()
     assert [r["text"] for r in out.filter("doc_id IS NULL").collect()] == ["no id here at all, really"]
+
+
+def test_language_stage_without_labels_and_with_foreign_texts(spark, tables):
+    texts = [f"the small cat number {k} sat on the mat and looked at the other cats of the house" for k in range(40)]
+    rows = [(k, t, "en", "a", 1, "s", "l", 5) for k, t in enumerate(texts)] + [(99, "щжх ъфэ юцщ " * 30, None, "a", 1, "s", "l", 5)]
+    folder = tables(documents=(rows, DOCS))
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert {r["doc_id"] for r in stages.identify_language(spark, docs, folder).collect()} == set(range(40))
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string")).withColumn("text", F.when(F.col("doc_id") != 0, F.col("text")).otherwise("12 3"))
+    assert {r["doc_id"] for r in stages.identify_language(spark, unlabelled, folder).collect()} == {*range(1, 40), 99}
