@@ -10,6 +10,7 @@ import numpy as np
 # Bytes handled at a time: bounds the memory of a task, whatever the length of a text.
 PIECE = 1 << 21
 _K = np.uint64(0x9E3779B97F4A7C15)
+_BASE = 0x5851F42D4C957F2D
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -26,24 +27,48 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     value[65:91] = value[97:123]
     blank = np.zeros(256, bool)
     blank[[32, *range(9, 14)]] = True
-    base = 0x5851F42D4C957F2D
     powers = [np.multiply.accumulate(np.concatenate(([np.uint64(1)], np.full(PIECE + 1, b, np.uint64))))
-              for b in (base, pow(base, -1, 1 << 64))]
+              for b in (_BASE, pow(_BASE, -1, 1 << 64))]
     return value, blank, *powers
 
 
-def _hashes_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of every word of at most PIECE bytes."""
+def _sums_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, sum of value times power, and length of every word of at most PIECE bytes."""
     value, blank, power, inverse = _tables()
     inside = np.concatenate(([False], ~blank[data], [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edges[::2], edges[1::2]
     upto = np.concatenate(([np.uint64(0)], np.cumsum(value[data] * power[:len(data)], dtype=np.uint64)))
-    return start, mixed((upto[end] - upto[start]) * inverse[start] + (end - start).astype(np.uint64) * _K)
+    return start, (upto[end] - upto[start]) * inverse[start], end - start
+
+
+def _hashes(sums: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    return mixed(sums + lengths.astype(np.uint64) * _K)
+
+
+def _long(data: np.ndarray) -> np.ndarray:
+    """Hash of every word of a text of any length: a word that goes on over the border of a piece is carried along."""
+    blank, mask = _tables()[1], (1 << 64) - 1
+    out, total, length = [], 0, 0
+    for piece in _cuts(data):
+        _, sums, lengths = _sums_of(piece)
+        if length and not blank[piece[0]]:
+            sums[0] = (total + int(sums[0]) * pow(_BASE, length, 1 << 64)) & mask
+            lengths[0] += length
+        elif length:
+            out.append(_hashes(np.array([total], np.uint64), np.array([length])))
+        total, length = 0, 0
+        if not blank[piece[-1]]:
+            total, length = int(sums[-1]), int(lengths[-1])
+            sums, lengths = sums[:-1], lengths[:-1]
+        out.append(_hashes(sums, lengths))
+    if length:
+        out.append(_hashes(np.array([total], np.uint64), np.array([length])))
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 def _cuts(data: np.ndarray) -> Iterator[np.ndarray]:
-    """Pieces that end at a blank; only a word of over PIECE bytes is itself cut."""
+    """Pieces that end after a blank; only a word of over PIECE bytes is itself cut, at PIECE."""
     blank, first = _tables()[1], 0
     while first < len(data):
         last = min(first + PIECE, len(data))
@@ -73,10 +98,10 @@ def lots(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
 
 def _lot(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if len(raw) == 1:
-        hashes = [_hashes_of(piece)[1] for piece in _cuts(np.frombuffer(raw[0], np.uint8))]
-        words = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+        words = _long(np.frombuffer(raw[0], np.uint8))
         return words, np.array([len(words)])
-    start, words = _hashes_of(np.frombuffer(b"\n".join(raw), np.uint8))
+    start, sums, lengths = _sums_of(np.frombuffer(b"\n".join(raw), np.uint8))
+    words = _hashes(sums, lengths)
     ends = np.cumsum([len(one) + 1 for one in raw])
     return words, np.bincount(np.searchsorted(ends, start, side="right"), minlength=len(raw))
 

@@ -6,7 +6,7 @@ import pytest
 from brute import DOCS, ODD, REPEATED, blank_words, near_components
 from pyspark.sql import functions as F
 
-from repodw.llm import chat, decontaminate, langid, merkle, mix, secrets, stages
+from repodw.llm import chat, decontaminate, hashing, langid, merkle, mix, secrets, stages
 from repodw.llm.components import components
 from repodw.llm.queries import QUERIES
 
@@ -262,3 +262,17 @@ def test_language_stage_without_labels_and_with_foreign_texts(spark, tables):
     assert {r["doc_id"] for r in stages.identify_language(spark, docs, folder).collect()} == set(range(40))
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string")).withColumn("text", F.when(F.col("doc_id") != 0, F.col("text")).otherwise("12 3"))
     assert {r["doc_id"] for r in stages.identify_language(spark, unlabelled, folder).collect()} == {*range(1, 40), 99}
+
+
+def test_words_longer_than_a_piece_are_one_word(monkeypatch):
+    short = "ab " + "x1Y" * 9 + " c " + "q" * 16 + " z"
+    texts = [short, "x1y" * 30, "w" * 16 + " " + "v" * 15, "", " ", "k" * 40 + "1", "k" * 40 + "2"]
+    whole = [next(hashing.lots([t]))[2:] for t in texts]
+    monkeypatch.setattr(hashing, "PIECE", 8)
+    for text, (words, counts) in zip(texts, whole):
+        (_, _, cut, many), = hashing.lots([text])
+        assert list(cut) == list(words) and list(many) == list(counts) == [len(blank_words(text))]
+    monkeypatch.undo()
+    big = "Ab" * (hashing.PIECE + 3)
+    (_, _, words, counts), = hashing.lots([big + " end"])
+    assert list(counts) == [2] and words[0] != next(hashing.lots([big + "x"]))[2][0] and words[0] == next(hashing.lots([big.lower()]))[2][0]
