@@ -41,18 +41,17 @@ def keyword_pick(df: DataFrame, keywords: Sequence[str] = tuple(V.SEARCH_KEYWORD
                  stars: str = "stars_count", ties: Sequence[str] = ("repo_id",)) -> DataFrame:
     """Per keyword the best-starred repositories that mention it, at most `rows` of them.
 
-    The keywords are tested inside the row, so only matches multiply. Ranks are found on keys alone, first within
-    spread parts of a keyword and then over what is left of them, so that no task meets a part of every other task
-    for a common keyword; the details are joined to the picked keys. The ties must tell rows apart.
+    The keywords are tested inside the row, so only matches multiply. Ranks are found first within spread parts of a
+    keyword and then over what is left of them, so that no task meets a part of every other task for a common keyword.
+    Whole rows are carried, of which every task sends on at most `rows` a part: each ranked row comes back once, whether
+    its ties are null or repeated.
     """
     text = F.lower(F.concat_ws("\n", *[F.col(c) for c in columns]))
     hits = F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(text, F.lower(k)))
     order = [F.col(stars).desc(), *[F.col(t) for t in ties]]
-    keyed = df.select(stars, *ties, F.explode(hits).alias("keyword"))
-    part = F.pmod(F.xxhash64(*ties), F.lit(_PARTS))
+    keyed = df.withColumn("keyword", F.explode(hits))
+    part = F.pmod(F.xxhash64(*ties, *columns), F.lit(_PARTS))
     for by in ([F.col("keyword"), part], [F.col("keyword")]):
         rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
         keyed = keyed.withColumn("_rank", rank).filter(F.col("_rank") <= rows).drop("_rank")
-    # At most `rows` keys a keyword.
-    picked = F.broadcast(keyed.drop(stars))
-    return df.join(picked, list(ties)).select(*[df[c] for c in df.columns], "keyword")
+    return keyed

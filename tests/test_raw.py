@@ -153,3 +153,11 @@ def test_values_of_other_types_are_cast_or_refused(spark, tmp_path):
         land(tmp_path / f"bad{n}", "github", "2026-08-07", [record(1, **bad)])
         with pytest.raises(PySparkException):
             raw.read_raw_json(spark, str(tmp_path / f"bad{n}")).collect()
+
+
+def test_keyword_pick_of_null_and_repeated_ids(spark):
+    rows = [(None, "n", f"openEuler/{k}", None, 100 + k) for k in range(4)] + [(7, "n", "openEuler/x", None, 90)] * 3 + [(7, "n", "other", None, 500)]
+    df = spark.createDataFrame(rows, "repo_id long, name string, full_name string, description string, stars_count int")
+    picked = selection.keyword_pick(df, ["euler"], rows=6)
+    assert picked.columns == [*df.columns, "keyword"]
+    assert rows_of(picked, "full_name", "stars_count") == [(f"openEuler/{k}", 100 + k) for k in range(4)] + [("openEuler/x", 90)] * 2
