@@ -44,7 +44,7 @@ RUN = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9]|[A-Za-z+/_-][a-z+/_-]*+[A-Z]
 # A value up to its closing quote; without quotes, up to a blank or separator and without closing brackets.
 _QUOTED = "|".join(rf"(?<={q})[^{q}\r\n].*?(?<!(?<!\\)\\)(?={q})" for q in "\"'`")
 _BARE = r"(?![=:>])[^\s\"'`,;&<>]*[^\s\"'`,;&<>)\]}.]"
-VALUE = rf"(?<=[=:>][ \t]{{0,8}}[\"'`]?)(?<=(?i:{CREDENTIALS}){GIVEN}[\"'`]?)(?:{_QUOTED}|{_BARE})"
+VALUE = rf"(?<=[=:> \t\"'`])(?<=[=:>][ \t]{{0,8}}[\"'`]?)(?<=(?i:{CREDENTIALS}){GIVEN}[\"'`]?)(?:{_QUOTED}|{_BARE})"
 CANDIDATE = rf"{VALUE}|{RUN}"
 NEAR = 96
 THRESHOLD = 0.5
@@ -93,7 +93,10 @@ def entropy(value: Column) -> Column:
 
 def candidates(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
     """A row per candidate with its features, and one with null value for each document without any."""
-    found = spans.found(docs, {"secret": CANDIDATE}, {"secret": F.col("text").rlike("[A-Z0-9=:]")}, NEAR, across=True).drop("kind")
+    # Values can only be in texts where a word for credentials is given something; others are searched for runs alone.
+    given = F.col("text").rlike(f"(?i:{CREDENTIALS}){GIVEN}")
+    found = written(spans.found(docs, {"secret": CANDIDATE, "run": RUN}, {"secret": given, "run": ~given & F.col("text").rlike("[A-Z0-9]")},
+                                NEAR, across=True).drop("kind"), "found")
     value, before = F.col("value"), ascii_lower(F.coalesce("before", F.lit("")))
     n = F.greatest(F.length("value"), F.lit(1))
     share = lambda pattern: F.regexp_count(value, F.lit(pattern)) / n
