@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repodw.llm import chat, decontaminate, langid, lm, merkle, mix, neardup, pii, quality, secrets
+from repodw.llm import chat, collocate, decontaminate, divergence, langid, lm, merkle, mix, neardup, pii, quality, secrets
 from repodw.llm.common import fold, table
 from repodw.session import written
 
@@ -186,3 +186,74 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     counts = {f"n_{kind}": F.size(F.filter("base", _of_kind(k))).cast("long") for k, kind in enumerate(pii.KINDS, 1)}
     return rows.select("doc_id", *[c.alias(n) for n, c in counts.items()], F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
                        pii.listed(F.col("spans")).alias("spans"))
+
+
+@query
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """The strongest phrases of every language."""
+    return collocate.collocations(table(spark, folder, "documents"))
+
+
+ORACLES["op11_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM pieces),
+f AS (
+    SELECT lang, k, array_to_string(words[s:s + k - 1], ' ') AS phrase, count(*) AS a
+    FROM (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS s FROM w, (VALUES (1), (2), (3)) t(k) WHERE len(words) >= k)
+    GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS words FROM f WHERE k > 1 AND a >= 10),
+cuts AS (
+    SELECT c.lang, c.phrase, c.a, c.k, j, x.a AS l, y.a AS r,
+           (CAST(1000000 AS HUGEINT) * c.a * c.a) // (CAST(x.a AS HUGEINT) * y.a) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+    JOIN f x ON x.lang = c.lang AND x.k = j AND x.phrase = array_to_string(words[1:j], ' ')
+    JOIN f y ON y.lang = c.lang AND y.k = c.k - j AND y.phrase = array_to_string(words[j + 1:], ' ')),
+cut AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_pairs AS (
+    SELECT lang, array_to_string(words[1:2], ' ') AS phrase, a FROM c WHERE k = 3
+    UNION ALL SELECT lang, array_to_string(words[2:3], ' '), a FROM c WHERE k = 3),
+covered AS (SELECT lang, phrase, max(a) AS most FROM inner_pairs GROUP BY ALL),
+kept AS (SELECT cut.* FROM cut LEFT JOIN covered USING (lang, phrase) WHERE k = 3 OR 100 * coalesce(most, 0) < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+       CAST(score AS BIGINT) AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@query
+def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """How far the sources of every language are apart, and the terms that tell each from its language."""
+    return divergence.audit(table(spark, folder, "documents"))
+
+
+ORACLES["op13_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+t AS (
+    SELECT id, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT id) >= 30),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS kept FROM kept GROUP BY lang),
+p AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+           1 + (CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5)) // (g.total + 5 * v.kept) AS p
+    FROM g JOIN kept k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+whole AS (
+    SELECT lang, term, 1 + (CAST(1000000000 AS HUGEINT) * (sum(n) + 5)) // (any_value(total) + 5 * any_value(kept)) AS q
+    FROM p JOIN (SELECT lang, sum(total) AS total FROM g GROUP BY lang) USING (lang) JOIN v USING (lang) GROUP BY lang, term),
+pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+    FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source
+    LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+    LEFT JOIN p y ON y.lang = a.lang AND y.source = b.source AND y.term = x.term GROUP BY ALL),
+found AS (
+    SELECT lang, source, 'pair' AS part, item, CAST(value AS BIGINT) AS value FROM pairs
+    UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p JOIN whole USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM found QUALIFY part = 'pair' OR rank <= 50
+"""
