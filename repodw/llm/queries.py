@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repodw.llm import chat, collocate, decontaminate, divergence, langid, lm, merkle, mix, neardup, pii, quality, secrets
+from repodw.llm import chat, collocate, decontaminate, divergence, langid, lm, merkle, mix, neardup, outliers, pii, quality, secrets
 from repodw.llm.common import fold, table
 from repodw.session import written
 
@@ -224,6 +224,13 @@ FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
 """
 
 
+@query
+def op12_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts of every document, whether it fails the base rules, and whether it is kept."""
+    return outliers.judged(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
 @query
 def op13_divergence(spark: SparkSession, folder: str) -> DataFrame:
     """How far the sources of every language are apart, and the terms that tell each from its language."""
