@@ -38,7 +38,7 @@ LEAST = 10
 BEST = 2000
 SHARE = 50
 # Bytes of text counted in one go.
-PIECE = 1 << 23
+PIECE = 1 << 21
 # Bits of the filter of frequent pairs: 16 MiB, whatever the size of the corpus.
 FILTER_BITS = 1 << 27
 _COUNTS = "lang string, phrase string, n long"
@@ -50,7 +50,15 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def _pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, int]]:
+def _views(texts: pa.Array, rows: np.ndarray) -> list[memoryview]:
+    """The bytes of some rows, not copied."""
+    texts = texts.cast(pa.large_string())
+    _, ends, data = texts.buffers()
+    ends, data = np.frombuffer(ends, np.int64)[texts.offset:], memoryview(data or b"")
+    return [data[ends[k]:ends[k + 1]] for k in rows]
+
+
+def _pieces(texts: list[bytes | memoryview]) -> Iterator[tuple[np.ndarray, int]]:
     """The texts in stretches of about PIECE bytes, with how many words at the front were counted before.
 
     Only a single text longer than that is cut itself, after a blank or sign; its next stretch begins with the two words
@@ -101,7 +109,7 @@ class _Words:
 
     def __init__(self, data: np.ndarray):
         start, end = _edges(data)
-        signs = np.concatenate(([0], np.cumsum(_KIND[data] == 2)))
+        signs = np.concatenate(([0], np.cumsum(_KIND[data] == 2, dtype=np.int32)))
         self.follows = signs[start[1:]] == signs[end[:-1]]
         offsets = np.concatenate(([0], np.cumsum(end - start)))
         if offsets[-1] < 1 << 31:
@@ -165,8 +173,7 @@ def _counter(counted):
             langs = batch["lang"].dictionary_encode()
             number = langs.indices.to_numpy()
             for k, lang in enumerate(langs.dictionary.to_pylist()):
-                texts = batch["text"].filter(pa.array(number == k)).cast(pa.binary()).to_pylist()
-                for data, carried in _pieces(texts):
+                for data, carried in _pieces(_views(batch["text"], np.flatnonzero(number == k))):
                     for phrases, counts in counted(_Words(data), carried, lang):
                         yield pa.RecordBatch.from_arrays(
                             [pa.repeat(lang, len(counts)), phrases.cast(pa.string()), pa.array(counts, pa.int64())], ["lang", "phrase", "n"])
