@@ -1,4 +1,9 @@
-"""Matches of patterns in texts, with their places and neighbourhood, as columns."""
+"""Matches of patterns in texts, with their places and neighbourhood, as columns.
+
+Nulls and odd input: a null text has no matches. Rows that repeat doc_id (null or not) and text are one document, and
+come out once; they are brought together ahead of the shuffle, so that a document may be repeated any number of times.
+Rows that share an id and differ in text are documents of their own. Further columns are ignored.
+"""
 
 from __future__ import annotations
 
@@ -23,9 +28,9 @@ def found(docs: DataFrame, patterns: dict[str, str], screens: dict[str, Column],
             F.split("text", pattern, -1).alias("gaps"), F.regexp_extract_all("text", F.lit(pattern), F.lit(0)).alias("values"))))
     listed = [_listed(kind, near, across) for kind in patterns]
     rows = rows.withColumn("_found", F.concat(*listed))
-    each = rows.select(*_KEY, F.explode_outer("_found").alias("m")).select(*_KEY, "m.*")
-    # By document first, as that is how matches are grouped afterwards.
-    each = each.repartition(*_KEY)
+    # A row per document: copies of it hold the same matches, whose places must not be added up twice.
+    once = rows.groupBy(*_KEY).agg(F.first("_found").alias("_found"))
+    each = once.select(*_KEY, F.explode_outer("_found").alias("m")).select(*_KEY, "m.*")
     upto = Window.partitionBy(*_KEY, "kind").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap").cast("long") + F.length("value")).over(upto)
     return each.withColumn("end", end).select(*_KEY, "kind", (F.col("end") - F.length("value")).alias("start"), "end", "value", "before", "after")
