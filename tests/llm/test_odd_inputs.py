@@ -6,7 +6,7 @@ import pytest
 from brute import DOCS, ODD, REPEATED, blank_words, near_components
 from pyspark.sql import functions as F
 
-from repodw.llm import chat, decontaminate, hashing, langid, merkle, mix, secrets, stages
+from repodw.llm import chat, decontaminate, hashing, langid, merkle, mix, pii, secrets, stages
 from repodw.llm.components import components
 from repodw.llm.queries import QUERIES
 
@@ -276,3 +276,22 @@ def test_words_longer_than_a_piece_are_one_word(monkeypatch):
     big = "Ab" * (hashing.PIECE + 3)
     (_, _, words, counts), = hashing.lots([big + " end"])
     assert list(counts) == [2] and words[0] != next(hashing.lots([big + "x"]))[2][0] and words[0] == next(hashing.lots([big.lower()]))[2][0]
+
+
+def test_repeated_documents_with_matches_are_one(spark, tables):
+    """A document given twice, also under a null id, has the findings of one; another text under its id has its own."""
+    text = "mail me at joe@example.com or 10.0.0.1 now, password = \"hunter7Zq\" and token = 'A1b2C3d4E5f6G7h8I9j0'"
+    rows = [(1, text), (2, "nothing here")]
+    more = [*rows, (1, text), (1, text), (2, "nothing here"), (None, text), (None, text), (1, "x@y.de")]
+    found = {}
+    for name, given in (("once", rows), ("often", more)):
+        docs = spark.createDataFrame(given, "doc_id long, text string").repartition(3)
+        spans = pii.report(docs).select("doc_id", "text_hash", pii.listed(F.col("spans")).alias("spans")).collect()
+        words = spark.createDataFrame([("mail",)], "word string")
+        keys = secrets.scan(docs, words).select("doc_id", "text_hash", "start", "end", "value").collect()
+        found[name] = sorted(map(tuple, spans), key=repr), sorted(map(tuple, keys), key=repr)
+    once, often = found["once"], found["often"]
+    assert len(often[0]) == len(set(more))
+    assert [r for r in often[0] if r in once[0]] == once[0] and [r for r in often[1] if r in once[1]] == sorted(once[1], key=repr)
+    assert "email:11:26" in once[0][0][2] + once[0][1][2] and {(r[2], r[3]) for r in often[1] if r[0] == 1} == {(r[2], r[3]) for r in once[1]}
+    assert all(text[a:b] == v for _, _, a, b, v in often[1])

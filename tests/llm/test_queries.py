@@ -120,16 +120,19 @@ def _base_spans(text):
     return out
 
 
+@pytest.mark.parametrize("copies", [1, 3])
 @pytest.mark.parametrize("odd", [False, True])
-def test_personal_data_equals_plain_patterns(spark, docs, tables, odd):
+def test_personal_data_equals_plain_patterns(spark, docs, tables, odd, copies):
     texts = {i: d["text"] for i, d in docs.items()}
     if odd:
         texts = dict(enumerate([
             "a@b.c_d@e.f x@y.z.", "1.2.3.4.5.6.7.8 999.1.1.1 0255.01.2.3", "+1+1 (234) 555-1234 +12", "", None,
             "4111 1111 1111 1111 4111-1111-1111-1112", "é😀 a@b.co 1.1.1.1", "1" * 20_000 + " " + "1 " * 9_000,
             "a" * 20_000 + "@b.c" + "x." * 9_000 + "@q.r", "call (212) 555-1234 or joe [at] example [dot] com"]))
-    folder = tables(documents=(list(texts.items()), "doc_id long, text string")) if odd else FOLDER
-    rows = {r["doc_id"]: r for r in QUERIES["op10_pii"](spark, folder).collect()}
+    folder = tables(documents=(list(texts.items()) * copies, "doc_id long, text string")) if odd or copies > 1 else FOLDER
+    found = QUERIES["op10_pii"](spark, folder).collect()
+    assert len(found) == len(texts)
+    rows = {r["doc_id"]: r for r in found}
     assert set(rows) == set(texts)
     for i, text in texts.items():
         base = _base_spans(text)
