@@ -167,8 +167,8 @@ def _medians(vectors: DataFrame) -> DataFrame:
     counts = vectors.select("pool", each.alias("e")).groupBy("pool", "e.i", "e.v").agg(F.count("*").alias("n"))
     upto = Window.partitionBy("pool", "i").orderBy("v")
     passed = counts.withColumns({"reach": F.sum("n").over(upto), "all": F.sum("n").over(Window.partitionBy("pool", "i"))})
-    passed = passed.filter(2 * F.col("reach") >= F.col("all"))
-    return passed.groupBy("pool").agg(*[(F.min(F.when(F.col("i") == i, F.col("v"))) / 100.0).alias(f"m{i}") for i in range(SIZE)])
+    middle = passed.filter((2 * F.col("reach") >= F.col("all")) & (2 * (F.col("reach") - F.col("n")) < F.col("all")))
+    return middle.groupBy("pool").agg(*[(F.max(F.when(F.col("i") == i, F.col("v"))) / 100.0).alias(f"m{i}") for i in range(SIZE)])
 
 
 def _starts(vectors: DataFrame) -> DataFrame:
