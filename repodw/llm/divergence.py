@@ -31,7 +31,7 @@ LEAST_DOCUMENTS = 30
 SCALE = 1_000_000_000
 PRIOR = 5
 BEST = 50
-SHARD_TERMS = 1 << 14
+SHARD_TERMS = 1 << 10
 # Numbers of a shard compared in one go.
 CELLS = 1 << 20
 # Bytes of text split in one go.
