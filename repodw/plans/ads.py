@@ -133,6 +133,48 @@ def project_months(project_daily: DataFrame) -> DataFrame:
     )
 
 
+def project_month_rows(project_daily: DataFrame, sign: int = 1) -> DataFrame:
+    """Per month and project: days, stars gained, best total. With sign -1, what to take away for rows that go."""
+    month = month_of_date(F.col("snapshot_date")).alias("stat_month")
+    return project_daily.groupBy(month, "project_id").agg(
+        (F.lit(sign) * F.count(F.lit(1))).alias("days"),
+        (F.lit(sign) * F.coalesce(F.sum(F.col("curr_day_new_stars").cast("long")), F.lit(0))).alias("gained"),
+        F.max("total_cum_stars").alias("best"))
+
+
+def project_month_update(state: DataFrame, came: DataFrame, went: DataFrame) -> DataFrame:
+    """The state (project_month_rows) after some daily rows came and others went, both as project_month_rows. `open` marks
+    those whose best total went with a day, so that only the month's other days can tell it."""
+    parts = [rows.select("stat_month", "project_id", "days", "gained", *[
+        F.col("best").alias(name) if k == own else F.lit(None).cast("int").alias(name) for k, name in enumerate(("was", "now", "gone"))])
+        for own, rows in enumerate((state, came, went))]
+    summed = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("stat_month", "project_id").agg(
+        F.sum("days").alias("days"), F.sum("gained").alias("gained"), *[F.max(c).alias(c) for c in ("was", "now", "gone")])
+    lost = (F.col("gone") >= F.col("was")) & (F.col("now").isNull() | (F.col("now") < F.col("was")))
+    return summed.filter("days > 0").select(
+        "stat_month", "project_id", "days", "gained", F.greatest("was", "now").alias("best"), F.coalesce(lost, F.lit(False)).alias("open"))
+
+
+def day_sums(org_daily: DataFrame, platform_daily: DataFrame) -> DataFrame:
+    """Per day: repositories organisations gained, active projects and stars of all platforms."""
+    org = org_daily.groupBy("snapshot_date").agg(F.sum("curr_day_new_repos").alias("org_new_repos"))
+    platform = platform_daily.groupBy("snapshot_date").agg(
+        F.sum("active_projects").alias("platform_active"), F.sum("total_stars").alias("stars"))
+    rows = org.join(platform, "snapshot_date", "full_outer")
+    return rows.withColumn("stat_month", month_of_date(F.col("snapshot_date")))
+
+
+def monthly_of(project_month: DataFrame, sums: DataFrame) -> DataFrame:
+    """monthly() from the kept state: project_month_rows and day_sums."""
+    projects = project_month.groupBy("stat_month").agg(
+        F.count("project_id").alias("active_projects"), F.sum("gained").alias("new_stars"), F.sum(F.col("best").cast("long")).alias("best_stars"))
+    newest = F.max_by("stars", F.when(F.col("stars").isNotNull(), F.col("snapshot_date")))
+    days = sums.groupBy("stat_month").agg(
+        F.sum("org_new_repos").alias("org_new_repos"), F.sum("platform_active").alias("platform_active"), newest.alias("month_end_stars"))
+    return projects.join(days, "stat_month", "left").select(
+        "stat_month", *[F.coalesce(F.col(m).cast("long"), F.lit(0)).alias(m) for m in _MONTH_SUMS])
+
+
 _MONTH_SUMS = ["org_new_repos", "platform_active", "new_stars", "month_end_stars", "active_projects", "best_stars"]
 
 

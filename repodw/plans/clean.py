@@ -67,15 +67,16 @@ def topics_to_string(df: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def clean_repos(df: DataFrame, order: Sequence[str], pattern: str = V.MIGRATED_PATTERN,
-                strict_topics: bool = False, keep: str = "first") -> DataFrame:
-    """All cleaning steps. `order` names the columns that say which duplicate came first.
+                strict_topics: bool = False, keep: str = "first", within: Sequence[str] = ()) -> DataFrame:
+    """All cleaning steps. `order` names the columns that say which duplicate came first. Duplicates are settled
+    within each value of the columns `within`, such as the load day.
 
     Rows are dropped after the deduplication on purpose: a dropped first row does not bring back a later
     duplicate.
     """
     return (
         fill_missing_columns(df)
-        .transform(keep_one, DEDUP_KEYS, order, keep)
+        .transform(keep_one, [*DEDUP_KEYS, *within], order, keep)
         .transform(fill_description)
         .transform(drop_migrated, pattern)
         .transform(drop_archived)
@@ -116,8 +117,9 @@ def clean_audit(df: DataFrame, order: Sequence[str], pattern: str = V.MIGRATED_P
     return counts.select("original", (F.col("original") - F.col("unique_rows")).alias("duplicates"), *rest)
 
 
-def normalize_ods(df: DataFrame, day: str) -> DataFrame:
-    """Raw-layer rows of one load day: defaults for what a clean record lacks, flags as 0/1, text cut."""
+def normalize_ods(df: DataFrame, day: str | None = None) -> DataFrame:
+    """Raw-layer rows of one load day, or of the day each record carries as dt: defaults for what a clean record lacks,
+    flags as 0/1, text cut."""
     given = set(df.columns)
 
     def text(name: str, default: str = "") -> Column:
@@ -148,6 +150,6 @@ def normalize_ods(df: DataFrame, day: str) -> DataFrame:
         "updated_at": text("updated_at"),
         "pushed_at": text("pushed_at"),
         "source_platform": text("source_platform", V.UNKNOWN_PLATFORM),
-        "dt": F.lit(day),
+        "dt": F.col("dt") if day is None else F.lit(day),
     }
     return df.select(*[col.alias(name) for name, col in columns.items()])

@@ -1,8 +1,8 @@
-"""One load day from raw files to marts, and the refresh of a whole warehouse."""
+"""Days from raw files to marts, one or many at once, and the refresh of a whole warehouse."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from contextlib import ExitStack
 from datetime import date, timedelta
 
@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from repodw import schemas
-from repodw.operators.keyed import unseen
+from repodw.operators.keyed import upsert
 from repodw.plans import ads, clean, dwd, dws
 from repodw.session import written_for_now
-from repodw.sources.raw import raw_order, read_raw_json, undated_files
+from repodw.sources import landing
+from repodw.sources.raw import file_of, raw_order, read_raw_json
 from repodw.sources.store import Warehouse
 
 
@@ -25,12 +26,46 @@ def run_day(spark: SparkSession, raw_dir: str, warehouse: Warehouse, day: str,
             schema: T.StructType = schemas.RAW, undated: bool = False) -> None:
     """Load one day. Running a day again gives the same tables; a late day repairs the day after it.
 
-    Files whose path names no day are taken with `undated`, and are an error otherwise.
+    Files whose path names no day belong to the day they were first loaded with: with `undated` new ones are given this
+    day, otherwise they are an error.
     """
-    if not undated and (some := undated_files(spark, raw_dir)):
-        raise ValueError(f"raw files that name no day; load them with undated, or move them away: {some}")
-    load_ods(warehouse, read_raw_json(spark, raw_dir, schema, day=day, undated=undated), day)
-    refresh_day(warehouse, day)
+    run_days(spark, raw_dir, warehouse, [day], schema, day if undated else None)
+
+
+def run_days(spark: SparkSession, raw_dir: str, warehouse: Warehouse, days: Iterable[str] | None = None,
+             schema: T.StructType = schemas.RAW, undated_day: str | None = None, names: str = "*.json") -> None:
+    """Load any number of days, by default all that landed files belong to, in one go: each layer is one job over all
+    days. The tables are those that loading the days one by one in their order gives."""
+    files = landing.dated(landing.listed(spark, raw_dir, names), warehouse.read("landed_files"), undated_day)
+    with written_for_now(files, "landed") as files:
+        landing.refuse_undated(files)
+        if days is None:
+            # One value per calendar day: a bounded list.
+            days = [row["dt"] for row in files.select("dt").distinct().collect()]
+        days = sorted(set(days))
+        if days:
+            with warehouse.loading():
+                load_files(spark, raw_dir, warehouse, files, days, schema)
+                refresh_days(warehouse, days)
+
+
+def load_files(spark: SparkSession, raw_dir: str, warehouse: Warehouse, files: DataFrame, days: Sequence[str],
+               schema: T.StructType = schemas.RAW) -> None:
+    """Clean the records of all files of some days, those of landing.dated() and those of the ledger, replace these days of
+    the raw layer, and enter the files into the ledger."""
+    mine = landing.files_of(warehouse, files, days)
+    ledger = spark.createDataFrame(mine, "file string, dated boolean, dt string")
+    with warehouse.loading():
+        warehouse.replace_days("landed_files", ledger, days)
+        if not mine:
+            empty = spark.createDataFrame([], schemas.TABLES["ods_repos_raw"])
+            warehouse.replace_days("ods_repos_raw", empty, days)
+            return
+        raw = read_raw_json(spark, raw_dir, schema, files=[file for file, *_ in mine])
+        given = raw.withColumn("file", file_of(F.col("file_name"))).join(ledger.select("file", "dt"), "file")
+        rows = clean.clean_repos(given, raw_order(), within=["dt"])
+        # The deduplication has spread one day's rows already; many days are gathered by day.
+        warehouse.replace_days("ods_repos_raw", clean.normalize_ods(rows), days, rebalance=len(days) > 1)
 
 
 def load_ods(warehouse: Warehouse, raw: DataFrame, day: str) -> None:
@@ -41,109 +76,141 @@ def load_ods(warehouse: Warehouse, raw: DataFrame, day: str) -> None:
 
 
 def refresh_day(warehouse: Warehouse, day: str) -> None:
-    """Carry a loaded day through the star schema, the rollups and the marts.
+    refresh_days(warehouse, [day])
 
-    The new project dimension and the cube that belongs to it are published only after the rollups that depend
-    on them are written: a run that breaks off before finds the old ones again and does the same work.
-    """
-    dim = load_star(warehouse, day)
-    refresh_rollups(warehouse, day)
-    refresh_attribute_rollups(warehouse, dim, day)
-    warehouse.publish()
-    refresh_months(warehouse, day)
-    refresh_marts(warehouse)
-
-
-def load_star(warehouse: Warehouse, day: str) -> DataFrame:
-    """Facts and dimensions of a day. Returns the staged project dimension, in which `restate` marks the
-    projects whose language or platform changed."""
-    last = warehouse.newest_partition("ods_repos_raw")
+
+def refresh_days(warehouse: Warehouse, days: Sequence[str]) -> None:
+    """Carry loaded days through the star schema, the rollups and the marts, published together at the end."""
+    last, before = warehouse.newest_partition("ods_repos_raw"), warehouse.newest_partition("fact_repo_stats")
     if last is None:
         raise ValueError("the raw layer is empty; load a day first")
-    ods_day = warehouse.read_days("ods_repos_raw", [day])
-    old = warehouse.read("dim_project")
-    if day >= last:
-        dim = dwd.scd1_with_changes(old, ods_day)
-    else:
-        # A late day knows older attributes: it only adds projects not seen since.
-        new = unseen(old, dwd.project_rows(ods_day), ["project_id"])
-        dim = old.unionByName(new, allowMissingColumns=True).withColumns(
-            {"restate": F.lit(False), "old_language": F.col("language"), "old_platform": F.col("source_platform")}
-        )
-    staged = warehouse.stage("dim_project", dim, "restate", "old_language", "old_platform")
-    warehouse.append_unseen("dim_org", dwd.distinct_orgs(ods_day))
-    warehouse.replace_days("fact_repo_stats", dwd.fact_rows(ods_day), [day])
-    return staged
-
-
-def refresh_rollups(warehouse: Warehouse, day: str) -> None:
-    """Project and organisation rollups of this day and the next, whose changes look back to it."""
-    before, both = _shift(day, -1), [day, _shift(day, 1)]
-    near = warehouse.read_days("fact_repo_stats", [before, *both])
-    touched = F.col("snapshot_date") > date.fromisoformat(before)
-    warehouse.replace_days("dws_project_daily", dws.project_daily(near).filter(touched), both)
-    warehouse.replace_days("dws_org_daily", dws.org_daily(near).filter(touched), both)
-
-
-def refresh_attribute_rollups(warehouse: Warehouse, dim: DataFrame, day: str) -> None:
-    """Language and platform rollups of this day, and of the days on which a changed project has facts.
-
-    History counts under the present dimension. Instead of counting it again, the changed projects are moved
-    within the stored cube, which costs a lookup of their facts.
+    # Days before the newest one are late: they know older attributes.
+    late = [day for day in days if before is not None and day < before]
+    old_dim, old_orgs = warehouse.read("dim_project"), warehouse.read("dim_org")
+    with warehouse.loading(), ExitStack() as stack:
+        rows = stack.enter_context(written_for_now(dwd.project_rows(warehouse.read_days("ods_repos_raw", days), ["dt"]), "projects"))
+        changes = stack.enter_context(written_for_now(dwd.changed_projects(old_dim, dwd.last_rows(rows, late)), "changes"))
+        dim = load_star(warehouse, changes, days)
+        went = warehouse.read_days("dws_project_daily", _with_next(days))
+        refresh_rollups(warehouse, days)
+        refresh_attribute_rollups(warehouse, dim, changes.filter("restate"), days)
+        warehouse.settle()
+        refresh_months(warehouse, days, went)
+        for day in [d for d in days if d not in late][:-1]:
+            # A mart keeps what was known on its day.
+            known = dwd.last_rows(rows.filter(F.col("dt") <= day), late)
+            dim_then = upsert(old_dim.drop("etl_time"), dwd.changed_projects(old_dim, known).select(*[c for c in old_dim.columns if c != "etl_time"]), ["project_id"])
+            orgs_then = old_orgs.select("org_name", "source_platform").union(
+                dwd.distinct_orgs(warehouse.read_days("ods_repos_raw", [d for d in days if d <= day])))
+            write_marts(warehouse, day, dim_then, orgs_then.distinct(),
+                        dws.language_daily(warehouse.read_days("fact_repo_stats", [day]), dim_then))
+        refresh_marts(warehouse)
+
+
+def load_star(warehouse: Warehouse, changes: DataFrame, days: Sequence[str]) -> DataFrame:
+    """Facts and dimensions of some days. Returns the staged project dimension, of which only the buckets with `changes`
+    (changed_projects) are written again."""
+    # At most one value per bucket.
+    buckets = [r["b"] for r in changes.select(warehouse.bucket_of(F.col("project_id")).alias("b")).distinct().collect()]
+    old = warehouse.read("dim_project", buckets)
+    dim = warehouse.stage_buckets("dim_project", upsert(old, changes.select(*[c for c in old.columns if c != "etl_time"]), ["project_id"]), buckets)
+    ods = warehouse.read_days("ods_repos_raw", days)
+    warehouse.append_unseen("dim_org", dwd.distinct_orgs(ods))
+    warehouse.replace_days("fact_repo_stats", dwd.fact_rows(ods), days)
+    return dim
+
+
+def refresh_rollups(warehouse: Warehouse, days: Sequence[str]) -> None:
+    """Project and organisation rollups of these days and the next ones, whose changes look back to them."""
+    touched = _with_next(days)
+    near = warehouse.read_days("fact_repo_stats", {*touched, *[_shift(day, -1) for day in touched]})
+    mine = F.col("snapshot_date").isin([date.fromisoformat(day) for day in touched])
+    warehouse.replace_days("dws_project_daily", dws.project_daily(near).filter(mine), touched)
+    warehouse.replace_days("dws_org_daily", dws.org_daily(near).filter(mine), touched)
+
+
+def moved_facts(warehouse: Warehouse, moved: DataFrame, days: Sequence[str]) -> DataFrame:
+    """Facts of other days in the buckets of some projects; other buckets are not read."""
+    buckets = [r["b"] for r in moved.select(warehouse.bucket_of(F.col("project_id")).alias("b")).distinct().collect()]
+    return warehouse.read("fact_repo_stats", buckets).filter(~F.col("snapshot_date").isin([date.fromisoformat(d) for d in days]))
+
+
+def refresh_attribute_rollups(warehouse: Warehouse, dim: DataFrame, moved: DataFrame, days: Sequence[str]) -> None:
+    """Language and platform rollups of these days, and of those on which a changed project has facts.
+
+    History counts under the present dimension. Instead of counting it again, the changed projects are moved within the
+    stored cube, of which only the days they have facts on are read and written; of the facts, only their buckets.
     """
-    this = date.fromisoformat(day)
-    parts = dws.attribute_daily(warehouse.read_days("fact_repo_stats", [day]), dim)
-    parts = parts.unionByName(warehouse.read("dws_attribute_daily").filter(F.col("snapshot_date") != this))
-    moved = dim.filter("restate")
-    days = []
+    parts = dws.attribute_daily(warehouse.read_days("fact_repo_stats", days), dim)
     with ExitStack() as stack:
+        restated: list[str] = []
         if not moved.isEmpty():
-            elsewhere = warehouse.read("fact_repo_stats").filter(F.col("snapshot_date") != this)
-            moves = stack.enter_context(written_for_now(dws.attribute_moves(elsewhere, moved), "moves"))
+            moves = stack.enter_context(written_for_now(dws.attribute_moves(moved_facts(warehouse, moved, days), moved), "moves"))
             # At most one value per calendar day, so the driver holds a bounded list.
-            days = [row["snapshot_date"] for row in moves.select("snapshot_date").distinct().collect()]
-            parts = parts.unionByName(moves)
-        cube = warehouse.stage("dws_attribute_daily", dws.add_up(parts))
-    _write_attribute_rollups(warehouse, cube, sorted({*days, this}))
+            restated = [row["snapshot_date"].isoformat() for row in moves.select("snapshot_date").distinct().collect()]
+            parts = parts.unionByName(moves).unionByName(warehouse.read_days("dws_attribute_daily", restated))
+        touched = sorted({*restated, *days})
+        warehouse.replace_days("dws_attribute_daily", dws.add_up(parts), touched)
+    _write_attribute_rollups(warehouse, touched)
 
 
-def _write_attribute_rollups(warehouse: Warehouse, cube: DataFrame, days: Sequence[date] = ()) -> None:
+def _write_attribute_rollups(warehouse: Warehouse, days: Sequence[str] = ()) -> None:
     """From the cube, for some days or all."""
-    if days:
-        cube = cube.filter(F.col("snapshot_date").isin(list(days)))
-    names = [d.isoformat() for d in days]
-    warehouse.replace_days("dws_language_daily", dws.language_of(cube), names, whole=not days)
-    warehouse.replace_days("dws_platform_daily", dws.platform_of(cube), names, whole=not days)
+    cube = warehouse.read_days("dws_attribute_daily", days) if days else warehouse.read("dws_attribute_daily")
+    warehouse.replace_days("dws_language_daily", dws.language_of(cube), days, whole=not days)
+    warehouse.replace_days("dws_platform_daily", dws.platform_of(cube), days, whole=not days)
 
 
 def rebuild_rollups(warehouse: Warehouse) -> None:
     """All rollups from all facts."""
     fact, dim = warehouse.read("fact_repo_stats"), warehouse.read("dim_project")
-    warehouse.replace_days("dws_project_daily", dws.project_daily(fact), whole=True)
-    warehouse.replace_days("dws_org_daily", dws.org_daily(fact), whole=True)
-    cube = warehouse.stage("dws_attribute_daily", dws.attribute_daily(fact, dim))
-    _write_attribute_rollups(warehouse, cube)
-    warehouse.stage("dim_project", dim)
-    warehouse.publish()
+    with warehouse.loading():
+        warehouse.replace_days("dws_project_daily", dws.project_daily(fact), whole=True)
+        warehouse.replace_days("dws_org_daily", dws.org_daily(fact), whole=True)
+        warehouse.replace_days("dws_attribute_daily", dws.attribute_daily(fact, dim), whole=True)
+        _write_attribute_rollups(warehouse)
 
 
 def _shift(day: str, by: int) -> str:
     return (date.fromisoformat(day) + timedelta(by)).isoformat()
 
 
-def refresh_months(warehouse: Warehouse, day: str) -> None:
-    """Month sums of the months this load touches, and the creation months of the day's raw rows.
+def _with_next(days: Sequence[str]) -> list[str]:
+    return sorted({*days, *[_shift(day, 1) for day in days]})
+
 
-    Moving a project to another platform changes no sum over all platforms, so restated days do not count.
+def refresh_months(warehouse: Warehouse, days: Sequence[str], went: DataFrame) -> None:
+    """Month sums of the months these days touch, and the creation months of the days' raw rows. `went` are the project
+    rollups of the days and the next ones before this load.
+
+    What a month keeps per project changes by the difference between the days' rollups before and now. Only for projects
+    whose best total went with a day are other days of the month read. Moving a project to another platform changes no
+    sum over all platforms, so restated days do not count.
     """
-    months = sorted({day[:7], _shift(day, 1)[:7]})
-    project, org, platform = (
-        warehouse.read_days(t, [d for d in warehouse.partitions(t) if d[:7] in months])
-        for t in ("dws_project_daily", "dws_org_daily", "dws_platform_daily")
-    )
-    warehouse.replace_days("dws_monthly", ads.monthly(project, org, platform), months)
-    created = ads.created_by_month(warehouse.read_days("ods_repos_raw", [day])).withColumn("dt", F.lit(day))
-    warehouse.replace_days("dws_created_monthly", created, [day])
+    touched = _with_next(days)
+    months = sorted({day[:7] for day in touched})
+    came = warehouse.read_days("dws_project_daily", touched)
+    state = warehouse.read_days("dws_project_month", months)
+    update = ads.project_month_update(state, ads.project_month_rows(came), ads.project_month_rows(went, -1))
+    with written_for_now(update, "months") as update:
+        rows = update.drop("open")
+        if not (lost := update.filter("open")).isEmpty():
+            rows = update.filter("NOT open").drop("open").unionByName(_months_again(warehouse, lost, months))
+        warehouse.replace_days("dws_project_month", rows, months)
+    org, platform = (warehouse.read_days(t, touched) for t in ("dws_org_daily", "dws_platform_daily"))
+    others = warehouse.read_days("dws_day_sums", months).filter(~F.col("snapshot_date").isin([date.fromisoformat(d) for d in touched]))
+    warehouse.replace_days("dws_day_sums", others.unionByName(ads.day_sums(org, platform).select(*others.columns)), months)
+    sums = ads.monthly_of(warehouse.read_days("dws_project_month", months), warehouse.read_days("dws_day_sums", months))
+    warehouse.replace_days("dws_monthly", sums, months)
+    created = ads.created_by_month(warehouse.read_days("ods_repos_raw", days), by=["dt"])
+    warehouse.replace_days("dws_created_monthly", created, days)
+
+
+def _months_again(warehouse: Warehouse, lost: DataFrame, months: Sequence[str]) -> DataFrame:
+    """The months of some projects from all days."""
+    days = warehouse.read_days("dws_project_daily", [d for d in warehouse.partitions("dws_project_daily") if d[:7] in months])
+    again, lost = ads.project_month_rows(days), lost.select(F.col("stat_month").alias("_month"), F.col("project_id").alias("_id"))
+    return again.join(lost, (F.col("stat_month") == F.col("_month")) & F.col("project_id").eqNullSafe(F.col("_id")), "left_semi")
 
 
 def rebuild_months(warehouse: Warehouse) -> None:
@@ -151,9 +218,13 @@ def rebuild_months(warehouse: Warehouse) -> None:
     project, org, platform = (
         warehouse.read(t) for t in ("dws_project_daily", "dws_org_daily", "dws_platform_daily")
     )
-    warehouse.replace_days("dws_monthly", ads.monthly(project, org, platform), whole=True)
-    created = ads.created_by_month(warehouse.read("ods_repos_raw"), by=["dt"])
-    warehouse.replace_days("dws_created_monthly", created, whole=True)
+    with warehouse.loading():
+        warehouse.replace_days("dws_project_month", ads.project_month_rows(project), whole=True)
+        warehouse.replace_days("dws_day_sums", ads.day_sums(org, platform), whole=True)
+        sums = ads.monthly_of(warehouse.read("dws_project_month"), warehouse.read("dws_day_sums"))
+        warehouse.replace_days("dws_monthly", sums, whole=True)
+        created = ads.created_by_month(warehouse.read("ods_repos_raw"), by=["dt"])
+        warehouse.replace_days("dws_created_monthly", created, whole=True)
 
 
 def refresh_marts(warehouse: Warehouse) -> None:
@@ -162,23 +233,25 @@ def refresh_marts(warehouse: Warehouse) -> None:
     Marts of days beyond the newest fact, which were loaded once and then emptied, are removed.
     """
     last = warehouse.newest_partition("fact_repo_stats")
-    for table in DAY_MARTS:
-        for day in warehouse.partitions(table):
-            if last is None or day > last:
-                warehouse.drop_partition(table, day)
-    if last is None:
-        return
-    day, dim = date.fromisoformat(last), warehouse.read("dim_project")
-    fact, project, org, language = (
-        warehouse.read_days(t, [last]) for t in
-        ("fact_repo_stats", "dws_project_daily", "dws_org_daily", "dws_language_daily")
-    )
-    warehouse.replace_days("ads_overview", ads.overview(dim, fact, day))
-    warehouse.replace_days("ads_project_ranking", ads.project_ranking(project, dim, fact, day))
-    warehouse.replace_days("ads_language_dist", ads.language_dist(language, day))
-    warehouse.replace_days("ads_org_compare", ads.org_compare(org, warehouse.read("dim_org"), day))
-    months = warehouse.read("dws_monthly")
-    history = ads.monthly_trend_history(warehouse.read("dws_created_monthly"), months)
-    trend = ads.monthly_trend_merged(ads.monthly_trend_snapshots(months), history)
-    warehouse.replace_days("ads_monthly_trend", trend, whole=True)
-
+    with warehouse.loading():
+        for table in DAY_MARTS:
+            for day in warehouse.partitions(table):
+                if last is None or day > last:
+                    warehouse.drop_partition(table, day)
+        if last is None:
+            return
+        write_marts(warehouse, last, warehouse.read("dim_project"), warehouse.read("dim_org"), warehouse.read_days("dws_language_daily", [last]))
+        months = warehouse.read("dws_monthly")
+        history = ads.monthly_trend_history(warehouse.read("dws_created_monthly"), months)
+        trend = ads.monthly_trend_merged(ads.monthly_trend_snapshots(months), history)
+        warehouse.replace_days("ads_monthly_trend", trend, whole=True)
+
+
+def write_marts(warehouse: Warehouse, day: str, dim: DataFrame, orgs: DataFrame, language: DataFrame) -> None:
+    """The marts of one day."""
+    on = date.fromisoformat(day)
+    fact, project, org = (warehouse.read_days(t, [day]) for t in ("fact_repo_stats", "dws_project_daily", "dws_org_daily"))
+    warehouse.replace_days("ads_overview", ads.overview(dim, fact, on))
+    warehouse.replace_days("ads_project_ranking", ads.project_ranking(project, dim, fact, on))
+    warehouse.replace_days("ads_language_dist", ads.language_dist(language, on))
+    warehouse.replace_days("ads_org_compare", ads.org_compare(org, orgs, on))

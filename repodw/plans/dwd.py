@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,14 +14,14 @@ from repodw.operators.dedup import keep_one
 from repodw.operators.keyed import unseen, upsert
 
 
-def project_rows(ods_day: DataFrame) -> DataFrame:
-    """Project dimension rows of one load day, one per project.
+def project_rows(ods_day: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Project dimension rows of one load day, one per project; or of several, one per project and value of `by`.
 
     A project id found on two platforms keeps the row of the greater platform name.
     """
     ties = [F.col("source_platform").desc(), F.col("full_name"), F.col("org")]
-    one = keep_one(ods_day, ["repo_id"], ties)
-    return one.select(
+    one = keep_one(ods_day, ["repo_id", *by], ties)
+    return one.select(*by,
         F.col("repo_id").alias("project_id"),
         F.col("name").alias("project_name"),
         "full_name", "description", "language", "topics", "license_type", "html_url", "source_platform",
@@ -30,22 +34,27 @@ def scd1_project(dim: DataFrame, ods_day: DataFrame) -> DataFrame:
     return upsert(dim, project_rows(ods_day), ["project_id"])
 
 
-def scd1_with_changes(dim: DataFrame, ods_day: DataFrame) -> DataFrame:
-    """scd1_project in one join, marking the projects whose language or platform changed (`restate`), with
-    what they were before (`old_language`, `old_platform`)."""
-    new, old = project_rows(ods_day).withColumn("given", F.lit(True)).alias("new"), dim.alias("old")
-    given = F.col("given").isNotNull()
-    columns = [F.when(given, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c) for c in dim.columns
-               if c not in ("project_id", "etl_time")]
-    same = F.col("new.language").eqNullSafe(F.col("old.language")) & F.col("new.source_platform").eqNullSafe(
-        F.col("old.source_platform")
-    )
+def last_rows(per_day: DataFrame, late: Sequence[str] = ()) -> DataFrame:
+    """One row per project of project_rows by day (dt): the newest, or of days that come `late`, with older attributes,
+    the first; `late` says which."""
+    behind = F.col("dt").isin(list(late)) if late else F.lit(False)
+    order = [F.col("late"), F.when(F.col("late"), F.col("dt")), F.col("dt").desc()]
+    return keep_one(per_day.withColumn("late", behind), ["project_id"], order).drop("dt")
+
+
+def changed_projects(dim: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of last_rows that change the dimension, with etl_time unset: projects it lacks, and others of which a
+    column differs; late rows only add projects. `restate` marks those whose language or platform changed, with what
+    they were before (`old_language`, `old_platform`)."""
+    old, new = dim.alias("old"), rows.alias("new")
+    columns = [c for c in dim.columns if c not in ("project_id", "etl_time")]
+    differs = ~reduce(and_, [F.col(f"new.{c}").eqNullSafe(F.col(f"old.{c}")) for c in columns])
+    moved = ~(F.col("new.language").eqNullSafe(F.col("old.language")) & F.col("new.source_platform").eqNullSafe(
+        F.col("old.source_platform")))
     known = F.col("old.etl_time").isNotNull()
-    return old.join(new, "project_id", "full_outer").select(
-        "project_id", *columns, F.when(~given, F.col("old.etl_time")).alias("etl_time"),
-        (given & known & ~same).alias("restate"),
-        F.col("old.language").alias("old_language"), F.col("old.source_platform").alias("old_platform"),
-    )
+    return new.join(old, "project_id", "left").filter(~known | ~F.col("new.late") & differs).select(
+        "project_id", *[F.col(f"new.{c}").alias(c) for c in columns], (known & moved).alias("restate"),
+        F.col("old.language").alias("old_language"), F.col("old.source_platform").alias("old_platform"))
 
 
 def distinct_orgs(ods_day: DataFrame, collation: str | None = None) -> DataFrame:

@@ -50,6 +50,8 @@ PAYLOAD = T.StructType(
 )
 
 TABLES = {
+    # The raw files that were loaded, by their path below the landing folder, with the day each was given for good.
+    "landed_files": _schema("file STRING, dated BOOLEAN, etl_time TIMESTAMP, dt STRING"),
     "ods_repos_raw": _schema(
         "repo_id BIGINT, org STRING, name STRING, full_name STRING, description STRING, stars_count INT, "
         "forks_count INT, watchers_count INT, open_issues_count INT, language STRING, default_branch STRING, "
@@ -91,7 +93,10 @@ TABLES = {
         "language STRING, source_platform STRING, snapshot_date DATE, projects BIGINT, stars BIGINT, "
         "starred BIGINT, forks BIGINT, active BIGINT"
     ),
-    # Month sums kept so that a load reads the months it touches, not all of history.
+    # Month sums, and what they are updated from: a load adds the difference its days make to a project's month and
+    # replaces its days' sums, so that it reads neither the other days of the month nor history.
+    "dws_project_month": _schema("project_id BIGINT, days BIGINT, gained BIGINT, best INT, stat_month STRING"),
+    "dws_day_sums": _schema("snapshot_date DATE, org_new_repos BIGINT, platform_active BIGINT, stars BIGINT, stat_month STRING"),
     "dws_monthly": _schema(
         "org_new_repos BIGINT, platform_active BIGINT, new_stars BIGINT, month_end_stars BIGINT, "
         "active_projects BIGINT, best_stars BIGINT, stat_month STRING"
@@ -115,12 +120,16 @@ TABLES = {
 }
 
 PARTITIONED_BY = {
+    "landed_files": "dt",
     "ods_repos_raw": "dt",
     "fact_repo_stats": "snapshot_date",
     "dws_project_daily": "snapshot_date",
     "dws_language_daily": "snapshot_date",
     "dws_org_daily": "snapshot_date",
     "dws_platform_daily": "snapshot_date",
+    "dws_attribute_daily": "snapshot_date",
+    "dws_project_month": "stat_month",
+    "dws_day_sums": "stat_month",
     "dws_monthly": "stat_month",
     "dws_created_monthly": "dt",
     "ads_overview": "stat_date",
@@ -130,16 +139,20 @@ PARTITIONED_BY = {
     "ads_org_compare": "stat_date",
 }
 
-# Tables every load rewrites as a whole. They are kept in versions and published together.
-VERSIONED = ["dim_project", "dws_attribute_daily"]
+# Tables laid out by hash bucket of the project as well: facts within a day, the dimension as a whole.
+BUCKETED_BY = {"fact_repo_stats": "project_id", "dim_project": "project_id"}
+BUCKETS = 8
 
 # Columns that spread one partition's rows evenly over tasks when it is written.
 SPREAD_BY = {
     "ods_repos_raw": ["repo_id"], "fact_repo_stats": ["project_id"], "dws_project_daily": ["project_id"],
-    "dws_org_daily": ["org_name"],
+    "dws_org_daily": ["org_name"], "dws_project_month": ["project_id"],
 }
 
 KEYS = {
+    "landed_files": ["file"],
+    "dws_project_month": ["project_id", "stat_month"],
+    "dws_day_sums": ["snapshot_date"],
     "dim_project": ["project_id"],
     "dim_org": ["org_name", "source_platform"],
     "dim_date": ["date_id"],

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,22 +20,24 @@ _ORDER = ["file_name", "file_block", "pos"]
 
 
 def read_raw_json(spark: SparkSession, raw_dir: str, schema: T.StructType = schemas.RAW, names: str = "*.json",
-                  day: str | None = None, undated: bool = False) -> DataFrame:
+                  day: str | None = None, undated: bool = False, files: Sequence[str] | None = None) -> DataFrame:
     """Records of all raw files under `raw_dir`, with `file_name`, `file_block` and `pos` as their order.
 
     Taken are .json files of at least 10 bytes with a platform name in their path below `raw_dir` and an array
     inside; objects (such as progress files) and empty arrays give nothing. Arrays indented by two spaces, as
     the collectors write them, are split between tasks. Any other array layout is parsed by the task that
     reads its file. Text that is no JSON is an error. With `day` only the files of that day are read (see
-    `day_of`); with `undated` also those without any.
+    `day_of`); with `undated` also those without any. With `files`, paths below `raw_dir`, exactly these are read and the
+    folder isn't listed.
 
     Values are read as text and cast by rule: whole numbers may be written 5, 5.0 or "5", flags true, 1 or "1".
     A value that fits no rule, or not into its column, is an error. A key that a record lacks gets its default.
     """
-    lines = (
-        spark.read.option("lineSep", ELEMENT_END).option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", names).text(raw_dir)
-    )
+    reader = spark.read.option("lineSep", ELEMENT_END)
+    if files is None:
+        lines = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", names).text(raw_dir)
+    else:
+        lines = reader.text([f"{raw_dir.rstrip('/')}/{_literal(file)}" for file in files])
     path = path_below(spark, F.col("_metadata.file_path"), raw_dir)
     # Conditions on the file alone come first, so that no line of a foreign file is looked at.
     lines = lines.filter(of_platform(path) & (F.col("_metadata.file_size") >= V.SMALLEST_RAW_FILE))
@@ -65,6 +68,16 @@ def read_raw_json(spark: SparkSession, raw_dir: str, schema: T.StructType = sche
     )
 
 
+def _literal(path: str) -> str:
+    """A path in which no sign is taken for a pattern."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
+def file_of(file_name: Column) -> Column:
+    """The path below the landing folder as a listing gives it: records carry it URL-encoded."""
+    return F.url_decode(F.replace(file_name, F.lit("+"), F.lit("%2B")))
+
+
 def _field(field: T.StructField) -> Column:
     """A field of a record, cast to its column's type."""
     text = F.col("record")[field.name]

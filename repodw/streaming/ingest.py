@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from repodw import schemas
-from repodw.plans.daily import load_ods, refresh_day
-from repodw.sources.raw import day_of, of_platform, path_below, read_raw_json
+from repodw.plans.daily import load_files, refresh_days
+from repodw.session import written_for_now
+from repodw.sources import landing
 from repodw.sources.store import Warehouse
 
 _FILE = "path string, modificationTime timestamp, length long, content binary"
@@ -19,31 +19,29 @@ def ingest_new_files(spark: SparkSession, raw_dir: str, warehouse: Warehouse, pr
                      schema: T.StructType = schemas.RAW, names: str = "*.json", undated_day: str | None = None) -> StreamingQuery:
     """Load the days of all files that landed since the last run, then stop.
 
-    Files whose path names no day are loaded with `undated_day`. Without it they are an error, and the batch stays
-    to be done, so none is passed over.
+    Files whose path names no day belong to `undated_day` of the run that first sees them, for good. Without it they are
+    an error, and the batch stays to be done, so none is passed over.
 
-    The stream only carries file names (contents are not read for it): a day is always loaded from all its
-    files, so a batch that is repeated after a failure, or a second file for a day, gives the same tables as
-    a first load.
+    The stream only carries file names (contents are not read for it): a day is always loaded from all its files, which
+    the ledger knows, so a batch that is repeated after a failure, or a second file for a day, gives the same tables as
+    a first load. All days of a batch are loaded and published together.
     """
     landed = (
         spark.readStream.format("binaryFile").schema(_FILE).option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", names).load(raw_dir)
-        .select(path_below(spark, F.col("path"), raw_dir).alias("file"))
+        .option("pathGlobFilter", names).load(raw_dir).select("path", "length")
     )
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        files = batch.filter(of_platform(F.col("file")))
-        # One value per calendar day of the batch: a bounded list.
-        found = {row["day"] for row in files.select(day_of(F.col("file")).alias("day")).distinct().collect()}
-        if "" in found and undated_day is None:
-            some = [row["file"] for row in files.filter(day_of(F.col("file")) == "").limit(5).collect()]
-            raise ValueError(f"raw files that name no day; give undated_day: {some}")
-        for day in sorted({d or undated_day for d in found}):
-            raw = read_raw_json(batch.sparkSession, raw_dir, schema, names, day, undated=day == undated_day)
-            load_ods(warehouse, raw, day)
-            if marts:
-                refresh_day(warehouse, day)
+        files = landing.dated(landing.raw_files(batch, raw_dir), warehouse.read("landed_files"), undated_day)
+        with written_for_now(files, "landed") as files:
+            landing.refuse_undated(files)
+            # One value per calendar day of the batch: a bounded list.
+            days = sorted(row["dt"] for row in files.select("dt").distinct().collect())
+            if days:
+                with warehouse.loading():
+                    load_files(batch.sparkSession, raw_dir, warehouse, files, days, schema)
+                    if marts:
+                        refresh_days(warehouse, days)
 
     query = (
         landed.writeStream.foreachBatch(load).option("checkpointLocation", progress_dir)
