@@ -189,6 +189,7 @@ def estimates(vectors: DataFrame) -> DataFrame:
         found = written(_concentrated(vectors, found.drop("volume"), ["pool", "start"]), "step")
     names = [c for c in found.columns if c not in ("pool", "start", "volume")]
     best = found.groupBy("pool").agg(F.min_by(F.struct(*names), F.struct("volume", "start")).alias("e")).select("pool", "e.*")
+    best = written(best, "best")  # its size is known when the join is planned, so that vectors aren't dealt by pool
     near = vectors.join(best, "pool").filter(_distance() <= NEAR)
     return written(_estimate(near.groupBy("pool").agg(*_sums()), NEAR_FACTOR, ["pool"]).drop("volume"), "estimates")
 
