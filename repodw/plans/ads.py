@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repodw import fixed_values as V
@@ -198,6 +198,43 @@ def monthly(project_daily: DataFrame, org_daily: DataFrame, platform_daily: Data
     )
 
 
+def monthly_once(fact: DataFrame, dim: DataFrame) -> DataFrame:
+    """monthly() of the facts themselves, which are read once.
+
+    Facts are reduced to a row per project, organisation and day; grouping sets give rows per project and day and per
+    organisation and day out of these. Change against the day before, and a month's sums of each project or organisation,
+    are found in the one partitioning by these. The stars at a month's end are those of the projects whose last day in the
+    month is the month's last, so that no further pass by day is needed. Facts of projects that `dim` lacks count for no
+    platform.
+    """
+    stars = F.col("stars_count").cast("long")
+    days = fact.groupBy("project_id", "org_name", "snapshot_date").agg(
+        F.max("stars_count").alias("best"), F.sum(stars).alias("stars"), F.max(F.col("open_issues_count") > 0).alias("open"))
+    sets = days.groupingSets([["project_id", "snapshot_date"], ["org_name", "snapshot_date"]], "project_id", "org_name", "snapshot_date").agg(
+        (F.grouping("org_name") == 1).alias("is_project"), F.max("best").alias("best"), F.sum("stars").alias("stars"),
+        F.max("open").alias("open"), F.count("project_id").alias("projects"))
+    known = dim.select("project_id", F.lit(True).alias("known")).distinct()
+    rows = sets.join(known, "project_id", "left").withColumn("value", F.when(F.col("is_project"), F.col("best")).otherwise(F.col("projects")))
+    key = ["is_project", "project_id", "org_name"]
+    before = Window.partitionBy(*key).orderBy("snapshot_date")
+    adjacent = F.lag("snapshot_date").over(before) == F.date_sub("snapshot_date", 1)
+    change = F.col("value") - F.coalesce(F.when(adjacent, F.lag("value").over(before)), F.col("value"))
+    counted = F.col("is_project") & F.coalesce("known", F.lit(False))
+    per_key = rows.withColumn("change", change).groupBy(*key, month_of_date(F.col("snapshot_date")).alias("stat_month")).agg(
+        F.max("value").alias("best"), F.sum("change").alias("change"), F.count(F.when(counted & F.col("open"), 1)).alias("active"),
+        F.max(F.when(counted, F.struct("snapshot_date", F.coalesce("stars", F.lit(0)).alias("stars")))).alias("last"))
+    project = F.col("is_project")
+    per_day = per_key.groupBy("stat_month", F.col("last.snapshot_date").alias("last_day")).agg(
+        F.count(F.when(project, F.col("project_id"))).alias("active_projects"), F.max(project).alias("in_spine"),
+        F.sum(F.when(project, F.col("change"))).alias("new_stars"), F.sum(F.when(project, F.col("best"))).alias("best_stars"),
+        F.sum(F.when(~project, F.col("change"))).alias("org_new_repos"), F.sum("active").alias("platform_active"),
+        F.sum("last.stars").alias("last_stars"))
+    added = ["org_new_repos", "platform_active", "new_stars", "active_projects", "best_stars"]
+    months = per_day.groupBy("stat_month").agg(
+        F.max("in_spine").alias("in_spine"), F.max_by("last_stars", "last_day").alias("month_end_stars"), *[F.sum(c).alias(c) for c in added])
+    return months.filter("in_spine").select("stat_month", *[F.coalesce(F.col(m).cast("long"), F.lit(0)).alias(m) for m in _MONTH_SUMS])
+
+
 def monthly_trend_snapshots(months: DataFrame) -> DataFrame:
     """Monthly trend over the months that have snapshots."""
     return months.select(

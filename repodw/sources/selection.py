@@ -11,6 +11,7 @@ from repodw import fixed_values as V
 from repodw.operators.dedup import dedup_phases
 
 
+# Tasks whose best rows meet in one.
 _PARTS = 64
 
 
@@ -41,17 +42,17 @@ def keyword_pick(df: DataFrame, keywords: Sequence[str] = tuple(V.SEARCH_KEYWORD
                  stars: str = "stars_count", ties: Sequence[str] = ("repo_id",)) -> DataFrame:
     """Per keyword the best-starred repositories that mention it, at most `rows` of them.
 
-    The keywords are tested inside the row, so only matches multiply. Ranks are found first within spread parts of a
-    keyword and then over what is left of them, so that no task meets a part of every other task for a common keyword.
-    Whole rows are carried, of which every task sends on at most `rows` a part: each ranked row comes back once, whether
-    its ties are null or repeated.
+    The keywords are tested inside the row, so only matches multiply. A common keyword's rows meet in a tree: every task
+    sends on its best `rows`, those of _PARTS neighbouring tasks meet in one, the best of _PARTS such groups in one again,
+    and then all; so a task gets _PARTS times `rows` at most until few groups are left, however many tasks there are.
+    Whole rows are carried: each ranked row comes back once, whether its ties are null or repeated.
     """
     text = F.lower(F.concat_ws("\n", *[F.col(c) for c in columns]))
     hits = F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(text, F.lower(k)))
     order = [F.col(stars).desc(), *[F.col(t) for t in ties]]
-    keyed = df.withColumn("keyword", F.explode(hits))
-    part = F.pmod(F.xxhash64(*ties, *columns), F.lit(_PARTS))
-    for by in ([F.col("keyword"), part], [F.col("keyword")]):
-        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+    keyed = df.withColumn("_task", F.spark_partition_id()).withColumn("keyword", F.explode(hits))
+    groups = [F.floor(F.col("_task") / size) for size in (_PARTS, _PARTS**2)]
+    for by in [*groups, F.lit(0)]:
+        rank = F.row_number().over(Window.partitionBy("keyword", by).orderBy(*order))
         keyed = keyed.withColumn("_rank", rank).filter(F.col("_rank") <= rows).drop("_rank")
-    return keyed
+    return keyed.drop("_task")
