@@ -11,7 +11,7 @@ from repodw.checks.rollups import (
     E, ER, LANGUAGE, LR, ORGS, OVERVIEW, RANKING, TREND_HISTORY, TREND_SNAPSHOTS, languages_of, merged_of, orgs_of,
     ranking_of, trend_history_of,
 )
-from repodw.operators import filters, latest, paging
+from repodw.operators import filters, latest, paging, stored
 from repodw.plans import ads, dwd, dws, profile, serve
 from repodw.session import scratch_dir, written
 from repodw.sources import export
@@ -186,6 +186,47 @@ def _(e):
     return paging.page_rows(rows, serve.DETAIL_ORDER, page=99999, size=50).drop("projectId")
 
 
+def _kept(e):
+    rows = written(serve.kept_details(e.fact, e.projects), "kept")
+    ranges = stored.ranges_of(rows)
+    grams = written(stored.grams_of(rows, serve.DETAIL_KEYWORD_COLUMNS), "grams")
+    return written(stored.numbered(rows, ranges), "numbered"), ranges, grams
+
+
+@query("page_rows_stored", Events, ED + _PAGE.format(where="TRUE", size=20, page=3, columns=_DETAIL_COLUMNS))
+def _(e):
+    """page_rows out of detail rows kept in their order."""
+    return serve.kept_search_page(*_kept(e), None, page=3, size=20)
+
+
+@query("search_page_stored", Events, ED + _PAGE.format(
+    where="""contains(lower("fullName"), 'nation_1') OR contains(lower("orgName"), 'nation_1')
+             OR contains(lower(language), 'nation_1')""", size=10, page=2, columns=_DETAIL_COLUMNS))
+def _(e):
+    """q_search_page out of the ranges of kept detail rows that hold the keyword's grams."""
+    return serve.kept_search_page(*_kept(e), "Nation_1", page=2, size=10)
+
+
+@query("keyword_like_stored", Events, ED + f"""
+SELECT {_DETAIL_COLUMNS} FROM detail
+WHERE "fullName" ILIKE '%n_1%omer%' OR "orgName" ILIKE '%n_1%omer%' OR language ILIKE '%n_1%omer%'""")
+def _(e):
+    details, _ranges, grams = _kept(e)
+    return serve.kept_like(details, grams, "n_1%omer").drop("projectId")
+
+
+@query("page_rows_stored_deep", Audit, A + """,
+counted AS (SELECT *, row_number() OVER (ORDER BY log_id) AS rn, count(*) OVER () AS n FROM fx_log),
+paged AS (SELECT *, CAST(ceil(n / 50.0) AS BIGINT) AS pages FROM counted)
+SELECT log_id, username, action, CAST(rn AS INT) AS row_no, n AS total_rows, pages AS total_pages FROM paged
+WHERE rn > (least(80, pages) - 1) * 50 AND rn <= least(80, pages) * 50""")
+def _(a):
+    """Page 80 of the whole log, kept in its order."""
+    rows = written(stored.in_order(a.log.select("log_id", "username", "action"), [("log_id", True)]), "log")
+    ranges = stored.ranges_of(rows)
+    return stored.page_of(written(stored.numbered(rows, ranges), "numbered"), ranges, page=80, size=50)
+
+
 @query("page_rows_deep", Audit, A + """,
 counted AS (SELECT *, row_number() OVER (ORDER BY log_id) AS rn, count(*) OVER () AS n FROM fx_log),
 paged AS (SELECT *, CAST(ceil(n / 50.0) AS BIGINT) AS pages FROM counted)

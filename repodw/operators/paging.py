@@ -18,7 +18,8 @@ def page_rows(df: DataFrame, order: Order, page: int, size: int) -> DataFrame:
 
     A page past the end gives the last page. The same way at every depth: the keys alone are dealt into ranges and
     counted per range, which says in which range the page begins and how far into it; its first and last key are taken
-    from there, and the rows between them are the page. No task gathers the rows before a page.
+    from there, and the rows between them are the page. No task gathers the rows before a page. This runs jobs and writes
+    the keys while the query is built; for a result that is asked for many pages see operators/stored.py.
     """
     keys = [F.col(c).asc() if up else F.col(c).desc() for c, up in order]
     ranged = df.select(*[c for c, _ in order]).repartitionByRange(*keys).withColumn("_range", F.spark_partition_id())

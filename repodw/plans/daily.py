@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from repodw import schemas
 from repodw.operators.keyed import upsert
-from repodw.plans import ads, clean, dwd, dws
+from repodw.operators import stored
+from repodw.plans import ads, clean, dwd, dws, serve
 from repodw.session import written_for_now
 from repodw.sources import landing
 from repodw.sources.raw import file_of, raw_order, read_raw_json
@@ -241,6 +242,7 @@ def refresh_marts(warehouse: Warehouse) -> None:
         if last is None:
             return
         write_marts(warehouse, last, warehouse.read("dim_project"), warehouse.read("dim_org"), warehouse.read_days("dws_language_daily", [last]))
+        keep_details(warehouse, last)
         months = warehouse.read("dws_monthly")
         history = ads.monthly_trend_history(warehouse.read("dws_created_monthly"), months)
         trend = ads.monthly_trend_merged(ads.monthly_trend_snapshots(months), history)
@@ -255,3 +257,13 @@ def write_marts(warehouse: Warehouse, day: str, dim: DataFrame, orgs: DataFrame,
     warehouse.replace_days("ads_project_ranking", ads.project_ranking(project, dim, fact, on))
     warehouse.replace_days("ads_language_dist", ads.language_dist(language, on))
     warehouse.replace_days("ads_org_compare", ads.org_compare(org, orgs, on))
+
+
+def keep_details(warehouse: Warehouse, day: str) -> None:
+    """The newest day's detail rows in their order, with the counts and grams of its ranges."""
+    details = serve.kept_details(warehouse.read_days("fact_repo_stats", [day]), warehouse.read("dim_project"))
+    with written_for_now(details, "details") as rows:
+        on, ranges = F.lit(date.fromisoformat(day)).alias("stat_date"), stored.ranges_of(rows)
+        warehouse.replace_days("ads_repo_details", stored.numbered(rows, ranges).select("*", on), whole=True)
+        warehouse.replace_days("ads_repo_ranges", ranges.select("*", on), whole=True)
+        warehouse.replace_days("ads_repo_grams", stored.grams_of(rows, serve.DETAIL_KEYWORD_COLUMNS).select("*", on), whole=True)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from repodw import fixed_values as V
 from repodw.functions.numbers import count_if, wire_form
-from repodw.operators import filters, paging, shares, topk
+from repodw.operators import filters, paging, shares, stored, topk
 from repodw.operators.latest import latest_row, latest_snapshot, latest_stat
 
 DETAIL_KEYWORD_COLUMNS = ["fullName", "orgName", "language"]
@@ -88,6 +88,32 @@ def q_search_page(fact: DataFrame, dim: DataFrame, keyword: str | None, page: in
     return paging.page_rows(found, DETAIL_ORDER, page, size).drop("projectId")
 
 
+def kept_details(fact: DataFrame, dim: DataFrame) -> DataFrame:
+    """The detail rows dealt into ranges of their order (stored.in_order)."""
+    return stored.in_order(repo_details(fact, dim), DETAIL_ORDER)
+
+
+def kept_search_page(details: DataFrame, ranges: DataFrame, grams: DataFrame, keyword: str | None, page: int = 1,
+                     size: int = 10) -> DataFrame:
+    """q_search_page on the kept detail rows. Without a keyword a page is a read of its row numbers; with one, only the
+    ranges that hold all its grams are read, and their rows tested."""
+    wanted = (keyword or "").strip()
+    if not wanted:
+        return stored.page_of(details, ranges, page, size).drop("projectId")
+    found = filters.keyword_contains(kept_with(details, grams, [wanted]), DETAIL_KEYWORD_COLUMNS, wanted)
+    return paging.page_rows(found.drop("row_no", "range_no"), DETAIL_ORDER, page, size).drop("projectId")
+
+
+def kept_like(details: DataFrame, grams: DataFrame, keyword: str | None) -> DataFrame:
+    """The kept detail rows like a keyword with wildcards (filters.keyword_like)."""
+    some = kept_with(details, grams, stored.literal_runs((keyword or "").strip()))
+    return filters.keyword_like(some, DETAIL_KEYWORD_COLUMNS, keyword).drop("row_no", "range_no")
+
+
+def kept_with(details: DataFrame, grams: DataFrame, runs: Sequence[str]) -> DataFrame:
+    return details.filter(F.col("range_no").isin(stored.ranges_with(grams, runs))) if runs else details
+
+
 def filter_view(rows: DataFrame, platform: str | None = None, languages: Sequence[str] = (),
                 chart: str = "bar") -> DataFrame:
     """Ranking rows by platform and languages, cut as the chart needs: the first 15 (bar) or 20 (line) by

@@ -116,6 +116,13 @@ TABLES = {
         "org_name STRING, source_platform STRING, repo_count BIGINT, total_stars BIGINT, "
         "avg_stars DECIMAL(10,2), active_rate DECIMAL(5,2), stat_date DATE"
     ),
+    # The newest day's detail rows in their order, how many are in each range of it, and the ranges' three-letter grams.
+    "ads_repo_details": _schema(
+        "projectId BIGINT, fullName STRING, language STRING, platform STRING, orgName STRING, starsCount INT, forksCount INT, "
+        "watchersCount INT, openIssuesCount INT, snapshotDate STRING, row_no BIGINT, range_no INT, stat_date DATE"
+    ),
+    "ads_repo_ranges": _schema("range_no INT, before BIGINT, rows BIGINT, stat_date DATE"),
+    "ads_repo_grams": _schema("gram STRING, range_no INT, stat_date DATE"),
     "sys_log": _schema("log_id BIGINT, username STRING, action STRING, detail STRING, ip STRING, create_time TIMESTAMP"),
 }
 
@@ -137,16 +144,22 @@ PARTITIONED_BY = {
     "ads_language_dist": "stat_date",
     "ads_monthly_trend": "stat_month",
     "ads_org_compare": "stat_date",
+    "ads_repo_details": "stat_date",
+    "ads_repo_ranges": "stat_date",
+    "ads_repo_grams": "stat_date",
 }
 
 # Tables laid out by hash bucket of the project as well: facts within a day, the dimension as a whole.
 BUCKETED_BY = {"fact_repo_stats": "project_id", "dim_project": "project_id"}
 BUCKETS = 8
 
+# Tables with a folder for each value of a column within a day.
+RANGED_BY = {"ads_repo_details": "range_no"}
+
 # Columns that spread one partition's rows evenly over tasks when it is written.
 SPREAD_BY = {
     "ods_repos_raw": ["repo_id"], "fact_repo_stats": ["project_id"], "dws_project_daily": ["project_id"],
-    "dws_org_daily": ["org_name"], "dws_project_month": ["project_id"],
+    "dws_org_daily": ["org_name"], "dws_project_month": ["project_id"], "ads_repo_details": ["row_no"], "ads_repo_grams": ["gram"],
 }
 
 KEYS = {
@@ -168,6 +181,9 @@ KEYS = {
     "ads_language_dist": ["stat_date", "language"],
     "ads_monthly_trend": ["stat_month"],
     "ads_org_compare": ["stat_date", "org_name"],
+    "ads_repo_details": ["row_no"],
+    "ads_repo_ranges": ["range_no"],
+    "ads_repo_grams": ["gram", "range_no"],
 }
 
 

@@ -103,8 +103,10 @@ class Warehouse:
         by = [column]
         if bucket:
             out, by = out.withColumn("bucket", self.bucket_of(F.col(bucket))), [column, "bucket"]
+        if table in schemas.RANGED_BY:
+            by = [column, schemas.RANGED_BY[table]]
         if rebalance:
-            out = out.hint("rebalance", *[F.col(c) for c in (keys if days and keys and not bucket else by)])
+            out = out.hint("rebalance", *[F.col(c) for c in (keys if days and keys and len(by) == 1 else by)])
             if keys:
                 out = out.sortWithinPartitions(*by, *keys)
         with self.loading():
