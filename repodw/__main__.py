@@ -27,14 +27,25 @@ def _parser() -> argparse.ArgumentParser:
     day.add_argument("--undated", action="store_true", help="also load files whose path names no day")
     landed = command("ingest", "load the days of all files that landed since the last run", "raw", "warehouse", "progress")
     landed.add_argument("--undated-day", help="the day of files whose path names none")
+    many = command("backfill", "load all days that raw files belong to, or some, in one go", "raw", "warehouse")
+    many.add_argument("--days", nargs="+", help="only these days")
+    many.add_argument("--undated-day", help="the day of files whose path names none")
+    for loads in (day, landed, many):
+        loads.add_argument("--collation", help="names equal under it are one, such as UNICODE_CI_AI (a new warehouse keeps it)")
     command("rebuild", "all rollups, month sums and marts from the stored facts", "warehouse")
     dates = command("calendar", "write the day dimension", "warehouse")
     dates.add_argument("--start", default=V.CALENDAR_START)
     dates.add_argument("--end", default=V.CALENDAR_END)
     command("profile", "cleaning counts and profile of raw files", "raw")
     ask = command("query", "show a serving query", "warehouse")
-    ask.add_argument("name", choices=["overview", "ranking", "language", "trend", "org-compare", "org-repos", "repos", "compare"])
+    ask.add_argument("name", choices=["overview", "ranking", "language", "trend", "org-compare", "org-repos", "repos", "compare", "filter", "languages", "top-languages", "top-orgs", "audit"])
     ask.add_argument("--org")
+    ask.add_argument("--names", nargs="+", help="compare: full names out of the 20 most starred, six at most")
+    ask.add_argument("--measure", default="starsCount", help="compare: the measure that is shared out")
+    ask.add_argument("--platform")
+    ask.add_argument("--languages", nargs="+", default=[])
+    ask.add_argument("--chart", default="bar", choices=["bar", "line", "pie"])
+    ask.add_argument("--action")
     ask.add_argument("--keyword")
     ask.add_argument("--page", type=int, default=1)
     ask.add_argument("--size", type=int, default=10)
@@ -55,9 +66,11 @@ def main(arguments: list[str] | None = None) -> None:
                        profile.prof_top15, profile.prof_lang_top10, profile.prof_year, profile.prof_license):
             report(records).show(100, truncate=False)
         return
-    warehouse = Warehouse(spark, args.warehouse)
+    warehouse = Warehouse(spark, args.warehouse, collation=getattr(args, "collation", None))
     if args.command == "run-day":
         daily.run_day(spark, args.raw, warehouse, args.day, undated=args.undated)
+    elif args.command == "backfill":
+        daily.run_days(spark, args.raw, warehouse, args.days, undated_day=args.undated_day)
     elif args.command == "ingest":
         ingest_new_files(spark, args.raw, warehouse, args.progress, undated_day=args.undated_day)
     elif args.command == "rebuild":
@@ -82,12 +95,22 @@ def _answer(warehouse: Warehouse, args: argparse.Namespace):
     if args.name in marts:
         question, table = marts[args.name]
         return question(warehouse.read(table) if args.name == "trend" else warehouse.latest(table))
+    if args.name == "filter":
+        return serve.filter_view(serve.q_ranking(warehouse.latest("ads_project_ranking")), args.platform, args.languages, args.chart)
+    if args.name in ("languages", "top-languages"):
+        rows = serve.q_language(warehouse.latest("ads_language_dist"))
+        return serve.language_fold(rows) if args.name == "languages" else serve.language_table(rows)
+    if args.name == "top-orgs":
+        return serve.top_orgs(serve.q_org_compare(warehouse.latest("ads_org_compare")))
+    if args.name == "audit":
+        return serve.q_audit_log(warehouse.read("sys_log"), args.action, args.keyword, args.page, args.size)
     fact, dim = warehouse.latest("fact_repo_stats"), warehouse.read("dim_project")
     if args.name == "org-repos":
         return serve.q_org_repos(fact, dim, args.org)
     if args.name == "compare":
-        return serve.q_compare(fact, dim)
-    return serve.q_search_page(fact, dim, args.keyword, args.page, args.size)
+        return serve.q_compare(fact, dim, args.names, args.measure)
+    kept = [warehouse.latest(t).drop("stat_date") for t in ("ads_repo_details", "ads_repo_ranges", "ads_repo_grams")]
+    return serve.kept_search_page(*kept, args.keyword, args.page, args.size)
 
 
 if __name__ == "__main__":

@@ -89,7 +89,7 @@ def refresh_days(warehouse: Warehouse, days: Sequence[str]) -> None:
     late = [day for day in days if before is not None and day < before]
     old_dim, old_orgs = warehouse.read("dim_project"), warehouse.read("dim_org")
     with warehouse.loading(), ExitStack() as stack:
-        rows = stack.enter_context(written_for_now(dwd.project_rows(warehouse.read_days("ods_repos_raw", days), ["dt"]), "projects"))
+        rows = stack.enter_context(written_for_now(dwd.project_rows(_ods(warehouse, days), ["dt"]), "projects"))
         changes = stack.enter_context(written_for_now(dwd.changed_projects(old_dim, dwd.last_rows(rows, late)), "changes"))
         dim = load_star(warehouse, changes, days)
         went = warehouse.read_days("dws_project_daily", _with_next(days))
@@ -101,10 +101,10 @@ def refresh_days(warehouse: Warehouse, days: Sequence[str]) -> None:
             # A mart keeps what was known on its day.
             known = dwd.last_rows(rows.filter(F.col("dt") <= day), late)
             dim_then = upsert(old_dim.drop("etl_time"), dwd.changed_projects(old_dim, known).select(*[c for c in old_dim.columns if c != "etl_time"]), ["project_id"])
-            orgs_then = old_orgs.select("org_name", "source_platform").union(
-                dwd.distinct_orgs(warehouse.read_days("ods_repos_raw", [d for d in days if d <= day])))
+            then = dwd.one_org_name(_ods(warehouse, [d for d in days if d <= day]), warehouse.read("dim_org"), warehouse.collation)
+            orgs_then = old_orgs.select("org_name", "source_platform").union(dwd.distinct_orgs(then))
             write_marts(warehouse, day, dim_then, orgs_then.distinct(),
-                        dws.language_daily(warehouse.read_days("fact_repo_stats", [day]), dim_then))
+                        dws.language_daily(warehouse.read_days("fact_repo_stats", [day]), dim_then, warehouse.collation))
         refresh_marts(warehouse)
 
 
@@ -115,12 +115,18 @@ def load_star(warehouse: Warehouse, changes: DataFrame, days: Sequence[str]) ->
     buckets = [r["b"] for r in changes.select(warehouse.bucket_of(F.col("project_id")).alias("b")).distinct().collect()]
     old = warehouse.read("dim_project", buckets)
     dim = warehouse.stage_buckets("dim_project", upsert(old, changes.select(*[c for c in old.columns if c != "etl_time"]), ["project_id"]), buckets)
-    ods = warehouse.read_days("ods_repos_raw", days)
-    warehouse.append_unseen("dim_org", dwd.distinct_orgs(ods))
-    warehouse.replace_days("fact_repo_stats", dwd.fact_rows(ods), days)
+    ods = _ods(warehouse, days)
+    warehouse.append_unseen("dim_org", dwd.distinct_orgs(ods, warehouse.collation))
+    named = dwd.one_org_name(ods, warehouse.read("dim_org"), warehouse.collation)
+    warehouse.replace_days("fact_repo_stats", dwd.fact_rows(named), days)
     return dim
 
 
+def _ods(warehouse: Warehouse, days: Sequence[str]) -> DataFrame:
+    """The raw layer of some days, platforms under one name."""
+    return dwd.one_platform_name(warehouse.read_days("ods_repos_raw", days), warehouse.collation)
+
+
 def refresh_rollups(warehouse: Warehouse, days: Sequence[str]) -> None:
     """Project and organisation rollups of these days and the next ones, whose changes look back to them."""
     touched = _with_next(days)
@@ -158,7 +164,7 @@ def refresh_attribute_rollups(warehouse: Warehouse, dim: DataFrame, moved: DataF
 def _write_attribute_rollups(warehouse: Warehouse, days: Sequence[str] = ()) -> None:
     """From the cube, for some days or all."""
     cube = warehouse.read_days("dws_attribute_daily", days) if days else warehouse.read("dws_attribute_daily")
-    warehouse.replace_days("dws_language_daily", dws.language_of(cube), days, whole=not days)
+    warehouse.replace_days("dws_language_daily", dws.language_of(cube, warehouse.collation), days, whole=not days)
     warehouse.replace_days("dws_platform_daily", dws.platform_of(cube), days, whole=not days)
 
 

@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from repodw import fixed_values as V
 from repodw.functions.text import parse_created_at
 from repodw.operators.dedup import keep_one
 from repodw.operators.keyed import unseen, upsert
@@ -58,16 +59,37 @@ def changed_projects(dim: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def distinct_orgs(ods_day: DataFrame, collation: str | None = None) -> DataFrame:
-    """(organisation, platform) pairs of a load day. With a collation, names equal under it count once."""
-    pairs = ods_day.select(F.col("org").alias("org_name"), "source_platform")
+    """(organisation, platform) pairs of the load days given. With a collation, names equal under it count once, under
+    the first day's smallest spelling."""
+    pairs = ods_day.select(F.col("org").alias("org_name"), "source_platform", *(["dt"] if "dt" in ods_day.columns else []))
     if collation is None:
-        return pairs.distinct()
+        return pairs.select("org_name", "source_platform").distinct()
+    first = F.struct(*[c for c in ("dt", "org_name") if c in pairs.columns])
     key = F.collate(F.col("org_name"), collation)
-    return pairs.groupBy(key.alias("_key"), "source_platform").agg(F.min("org_name").alias("org_name")).select(
+    return pairs.groupBy(key.alias("_key"), "source_platform").agg(F.min_by("org_name", first).alias("org_name")).select(
         "org_name", "source_platform"
     )
 
 
+def one_platform_name(ods: DataFrame, collation: str | None) -> DataFrame:
+    """The rows with platforms that equal a known one under the collation written like it."""
+    if collation is None:
+        return ods
+    name = F.col("source_platform")
+    for known in (*V.WATCHED_ORGS, V.UNKNOWN_PLATFORM):
+        name = F.when(F.collate(F.col("source_platform"), collation) == F.lit(known), F.lit(known)).otherwise(name)
+    return ods.withColumn("source_platform", name)
+
+
+def one_org_name(ods: DataFrame, dim_org: DataFrame, collation: str | None) -> DataFrame:
+    """The rows with every organisation named as the dimension first had it."""
+    if collation is None:
+        return ods
+    names = dim_org.groupBy(F.collate(F.col("org_name"), collation).alias("_key")).agg(
+        F.min_by("org_name", F.struct("etl_time", "org_name")).alias("_name"))
+    return ods.join(names, F.collate(ods["org"], collation) == names["_key"], "left").withColumn("org", F.coalesce("_name", "org")).drop("_key", "_name")
+
+
 def new_orgs(dim_org: DataFrame, ods_day: DataFrame) -> DataFrame:
     """Organisations of a load day the dimension does not have yet."""
     return unseen(dim_org, distinct_orgs(ods_day), ["org_name", "source_platform"])

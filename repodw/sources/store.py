@@ -30,14 +30,16 @@ class Warehouse:
     """Reads and writes the tables of schemas.TABLES below one root folder. One load at a time; any number of readers,
     each with a Warehouse of its own. The object that loads sees its writes at once, others when they are published.
 
-    `buckets` is how many buckets of projects the facts and the project dimension are kept in; it is fixed by the first
-    write of a warehouse.
+    `buckets` is how many buckets of projects the facts and the project dimension are kept in. With a `collation` (such
+    as UNICODE_CI_AI) names of organisations, platforms and languages that are equal under it are one; organisations keep
+    the spelling that was loaded first. Both are fixed by the first write of a warehouse.
     """
 
-    def __init__(self, spark: SparkSession, root: str, buckets: int = schemas.BUCKETS):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = schemas.BUCKETS, collation: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self._buckets = buckets
+        self._collation = collation
         self._depth = 0
         self._view: dict[str, dict[str, list[str]]] | None = None  # while a load runs: all tables, with its writes
         self._staged: dict[str, dict[str, list[str]]] = {}
@@ -71,6 +73,10 @@ class Warehouse:
         """The bucket of a project."""
         return F.pmod(F.xxhash64(key.cast("long")), F.lit(self._state()[1].get("buckets", self._buckets))).cast("int")
 
+    @property
+    def collation(self) -> str | None:
+        return self._state()[1].get("collation", self._collation)
+
     # Writing
 
     @contextmanager
@@ -129,7 +135,7 @@ class Warehouse:
     def append_unseen(self, table: str, df: DataFrame) -> None:
         """Insert the rows whose key the table lacks; present rows stay as they are."""
         with self.loading():
-            new, added = unseen(self.read(table), self._fit(table, df), schemas.KEYS[table]), Observation()
+            new, added = unseen(self.read(table), self._fit(table, df), schemas.KEYS[table], collation=self.collation), Observation()
             folder = self._write_whole(table, new.observe(added, F.count(F.lit(1)).alias("rows")))
             folders = self._view[table].get("", [])
             if added.get["rows"]:
@@ -234,7 +240,8 @@ class Warehouse:
             self._put(f"_state/{table}/{number}.json", {"folders": view[table]})
             tables[table] = number
         if changed:
-            self._put(f"_state/root/{number}.json", {"buckets": old.get("buckets", self._buckets), "tables": tables})
+            self._put(f"_state/root/{number}.json", {
+                "buckets": old.get("buckets", self._buckets), "collation": old.get("collation", self._collation), "tables": tables})
         self._view = None
         if changed:
             self._clear(self._versions()[-keep:], changed)

@@ -169,3 +169,35 @@ def test_month_state_follows_reruns(spark, tmp_path, monkeypatch):
     assert contents(warehouse) == kept
     rows = ads.monthly(warehouse.read("dws_project_daily"), warehouse.read("dws_org_daily"), warehouse.read("dws_platform_daily"))
     assert rows_of(rows, *sorted(rows.columns)) == rows_of(warehouse.read("dws_monthly"), *sorted(rows.columns))
+
+
+def test_names_that_differ_in_case_and_accents_are_one(spark, tmp_path):
+    """Under a collation: one organisation by the spelling that came first, one platform, one language."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    land(raw, "github", DAYS[0], [record(1, "Gitee", org="Café", language="go"), record(2, "gitee", org="café"), record(3, org="Other")])
+    land(raw, "github", DAYS[1], [record(1, "GITEE", org="CAFE", language="Go"), record(2, "gitee", org="cafe"), record(3, "GitHub", org="OTHER"),
+                                  record(4, org="ÖTHER", language="GO")])
+    days = {"one": None, "many": None}
+    for name in days:
+        warehouse = Warehouse(spark, str(tmp_path / name), collation="UNICODE_CI_AI")
+        if name == "one":
+            for day in DAYS[:2]:
+                daily.run_day(spark, str(raw), warehouse, day)
+        else:
+            daily.run_days(spark, str(raw), warehouse)
+        days[name] = contents(warehouse)
+    warehouse = Warehouse(spark, str(tmp_path / "one"))  # the warehouse remembers its collation
+    assert warehouse.collation == "UNICODE_CI_AI" and days["one"] == days["many"]
+    orgs = rows_of(warehouse.read("dim_org"), "org_name", "source_platform")
+    first = {o for o, _ in orgs if o.lower().startswith("c")}
+    assert len(first) == 1 and len(orgs) == 2 and {p for _, p in orgs} == {"gitee", "github"}
+    assert rows_of(warehouse.latest("ads_org_compare"), "org_name", "source_platform", "repo_count") == [
+        (*first, "gitee", 2), ("Other", "github", 2)][::1 if min(first) < "Other" else -1]
+    overview = warehouse.latest("ads_overview").first()
+    assert (overview["total_orgs"], overview["gitee_repos"], overview["github_repos"]) == (2, 2, 2)
+    assert rows_of(warehouse.latest("dws_language_daily"), "repo_count") == [(4,)]
+    assert rows_of(warehouse.latest("dws_platform_daily"), "source_platform", "repo_count") == [("gitee", 2), ("github", 2)]
+    plain = Warehouse(spark, str(tmp_path / "plain"))
+    daily.run_days(spark, str(raw), plain)
+    assert plain.latest("ads_overview").first()["total_orgs"] == 4

@@ -181,6 +181,9 @@ def test_command_line(spark, raw_dir, tmp_path, capsys):
     main(["query", "ranking", "--warehouse", root])
     main(["query", "repos", "--warehouse", root, "--keyword", "r29", "--size", "10"])
     main(["query", "org-repos", "--warehouse", root, "--org", "org2"])
+    for more in (["filter", "--platform", "github", "--chart", "pie"], ["compare", "--names", "org1/r28", "org2/r29"], ["languages"],
+                 ["top-languages"], ["top-orgs"], ["audit", "--action", "login"]):
+        main(["query", *more, "--warehouse", root])
     main(["profile", "--raw", raw_dir])
     out = capsys.readouterr().out
     assert "org1/r29" in out and "original" in out
