@@ -2,13 +2,14 @@
 
 1. Targets. Sources in code point order, null last, weigh 5, 2, 1, repeating, and share the words of all documents by
    weight; a target stops at `most` times its source's size and the excess is reshared by weight until none is above.
-2. Blocks. A document's permuted place in its source is a hash of its id; equal stretches of places are the blocks of a
+2. Blocks. A document's permuted place in its source is a hash of its id and text; equal stretches of places are the blocks of a
    source. A target of r times the size takes floor(r) whole passes over the source, then documents in permuted order
    while they fit, and of the one that doesn't fit so many leading words as there is room for. Where that happens is
    found by sums over stretches of places, then over stretches of the stretch that doesn't fit, and so on.
 3. Tree. The exact block quotas of all sources are split in two, half of the output shards each, by a multivariate
    hypergeometric draw, and again within each half. Every node draws from a generator seeded by its path, so a shard's
-   quotas don't depend on the task that works them out. Going through the shards in order, each takes the next
+   quotas don't depend on the task that works them out: one task per subtree of some 64 shards, which finds its way down
+   from the root. Going through the shards in order, each takes the next
    disjoint stretch of a source's permuted blocks (a new permutation for each pass).
 4. Each shard shuffles its documents locally, by a hash.
 
@@ -74,24 +75,48 @@ def targets(sizes: list[int], weights: tuple[int, ...] = WEIGHTS, most: int = MO
 
 def split_quotas(quotas: np.ndarray, shards: int, seed: int = SEED) -> Iterator[tuple[int, np.ndarray]]:
     """(shard, blocks of each source), summing to the quotas; shards differ by at most one block."""
+    for shard, _, draw in subtree(quotas, shards, seed):
+        yield shard, draw
 
-    def split(first: int, last: int, total: np.ndarray, before: int, path: int) -> Iterator[tuple[int, np.ndarray]]:
-        if last - first == 1:
-            yield first, total
-            return
+
+def subtree(quotas: np.ndarray, shards: int, seed: int = SEED, node: int = 1) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(shard, blocks of each source before it, its blocks) for the shards below a node of the tree. The root is node 1, and
+    2n and 2n + 1 are below n. Draws are seeded by node, so the way down from the root is the same in every task."""
+    all_blocks = int(quotas.sum())
+
+    def halves(first: int, last: int, total: np.ndarray, before: int, path: int) -> tuple[int, int, np.ndarray]:
         middle = (first + last) // 2
         room = int(all_blocks * middle // shards) - before
-        draw = np.random.default_rng((seed, path)).multivariate_hypergeometric(total, room, method="marginals")
-        yield from split(first, middle, draw, before, 2 * path)
-        yield from split(middle, last, total - draw, before + room, 2 * path + 1)
+        return middle, room, np.random.default_rng((seed, path)).multivariate_hypergeometric(total, room, method="marginals")
 
-    all_blocks = int(quotas.sum())
-    yield from split(0, shards, quotas.astype(np.int64), 0, 1)
+    def split(first: int, last: int, total: np.ndarray, before: int, path: int, offset: np.ndarray):
+        if last - first == 1:
+            yield first, offset, total
+            return
+        middle, room, draw = halves(first, last, total, before, path)
+        yield from split(first, middle, draw, before, 2 * path, offset)
+        yield from split(middle, last, total - draw, before + room, 2 * path + 1, offset + draw)
+
+    first, last, before, path = 0, shards, 0, 1
+    total, offset = quotas.astype(np.int64), np.zeros(len(quotas), np.int64)
+    for right in map(int, bin(node)[3:]):
+        if last - first == 1:  # a single shard is below its leftmost node alone
+            if right:
+                return
+            continue
+        middle, room, draw = halves(first, last, total, before, path)
+        if right:
+            first, before, total, offset = middle, before + room, total - draw, offset + draw
+        else:
+            last, total = middle, draw
+        path = 2 * path + right
+    yield from split(first, last, total, before, path, offset)
 
 
 def placed(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """doc_id, source, size, place: the permuted place within the source, from 0 to 2^62; and row, where docs have a key _mix_row."""
-    place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 2)
+    # By text as well, so that rows under one id, or without any, are spread like others.
+    place = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text"), 2)
     # Rows that share a place are ordered by text, then by key.
     row = [F.struct(F.xxhash64("text").alias("hash"), F.col("_mix_row").alias("key")).alias("row")] if "_mix_row" in docs.columns else []
     return docs.select("doc_id", F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size"), place.alias("place"), *row)
@@ -167,15 +192,17 @@ def mixture(docs: DataFrame, found: list[dict] | None = None, stretches: int = S
     total = sum(w or 0 for _, w in counts.values())
     shards = max(1, min(-(-int(total) // shard_words), int(quotas.sum())))
 
-    def leaves(_: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        offset = np.zeros(len(quotas), np.int64)
-        for _batch in _:
-            for shard, draw in split_quotas(quotas, shards, seed):
-                some = np.flatnonzero(draw)
-                yield pd.DataFrame({"n": some.astype(np.int32), "shard": shard, "first": offset[some], "after": offset[some] + draw[some]})
-                offset += draw
+    depth = min(10, max(0, shards.bit_length() - 6))
+
+    def leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for node in batch["id"]:
+                for shard, offset, draw in subtree(quotas, shards, seed, int(node)):
+                    some = np.flatnonzero(draw)
+                    yield pd.DataFrame({"n": some.astype(np.int32), "shard": shard, "first": offset[some], "after": offset[some] + draw[some]})
 
-    stretches = spark.range(0, 1, 1, 1).mapInPandas(leaves, "n int, shard int, first long, after long")
+    nodes = spark.range(1 << depth, 2 << depth, 1, 1 << depth)
+    stretches = nodes.mapInPandas(leaves, "n int, shard int, first long, after long")
     # Each shard's stretch of a source's turns, opened into its blocks: as many rows as there are block quotas.
     opened = stretches.select("n", "shard", F.explode(F.sequence("first", F.col("after") - 1)).alias("turn"))
     plan = quota.join(opened, ["n", "turn"]).select("n", "pass", "block", "shard")
@@ -184,12 +211,14 @@ def mixture(docs: DataFrame, found: list[dict] | None = None, stretches: int = S
 
 
 def takings(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, for every document; `docs` as `placed` gives them."""
+    """doc_id, source, size, source_size, target, taken and shards (which the tree deals the document's passes to, sorted),
+    for every document; `docs` as `placed` gives them."""
     found = sources(docs)
-    mixed = mixture(docs, found).select("doc_id", "source", "size", "words")
-    per_doc = docs.select("doc_id", "source", "size", F.lit(0).cast("long").alias("words")).unionByName(mixed).groupBy("doc_id", "source", "size").agg(
-        F.sum("words").alias("taken"))
+    mixed = mixture(docs, found).select("doc_id", "source", "size", "words", "shard")
+    none = [F.lit(0).cast("long").alias("words"), F.lit(None).cast("int").alias("shard")]
+    per_doc = docs.select("doc_id", "source", "size", *none).unionByName(mixed).groupBy("doc_id", "source", "size").agg(
+        F.sum("words").alias("taken"), F.array_sort(F.collect_set("shard")).alias("shards"))
     facts = docs.sparkSession.createDataFrame(
         [(s["source"], s["size"], s["target"]) for s in found], "name string, source_size long, target double")
     return per_doc.join(F.broadcast(facts), F.col("source").eqNullSafe(F.col("name"))).select(
-        "doc_id", "source", "size", "source_size", "target", "taken")
+        "doc_id", "source", "size", "source_size", "target", "taken", "shards")

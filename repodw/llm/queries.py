@@ -56,9 +56,10 @@ FROM w LEFT JOIN positions USING (doc_id) LEFT JOIN listed USING (doc_id)
 
 @query
 def op2_mix(spark: SparkSession, folder: str) -> DataFrame:
-    """How many words of every document the mix takes."""
+    """How many words of every document the mix takes, and the shards it puts them into."""
     docs = written(mix.placed(table(spark, folder, "documents")), "placed")
-    return mix.takings(docs).select("doc_id", "size", "source_size", "target", "taken", "source")
+    return mix.takings(docs).select(
+        "doc_id", "size", "source_size", "target", "taken", "source", F.array_join(F.transform("shards", lambda s: s.cast("string")), ",").alias("shards"))
 
 
 @query
