@@ -64,13 +64,21 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The mix: a row for each time a document is taken, with its shard, its position there and its text; a document
-    taken in part has its leading words."""
+    taken in part has its leading words. The columns words, pass, shard and position are added; where the documents have
+    one of that name already, it stays and the mix's is called mix_words and so on, with a further _ while that clashes."""
+    clash = {c: f"_own{c}" for c in ("_mix_row", "_key") if c in docs.columns}
+    own = docs.withColumnsRenamed(clash)
     # A key for every row, written with it: repeated ids and texts are rows of their own.
-    keyed = written(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "keyed")
+    keyed = written(own.withColumn("_mix_row", F.monotonically_increasing_id()), "keyed")
     placed = written(mix.placed(keyed), "placed")
     rows = mix.mixture(placed).select("words", "pass", "shard", "position", "size", F.col("row.key").alias("_key"))
     texts = keyed.join(rows, F.col("_mix_row") == F.col("_key"))
     leading = F.when(rows["words"] == rows["size"], keyed["text"]).otherwise(mix.leading(keyed["text"], rows["words"]))
-    own = [c for c in docs.columns if c not in ("words", "pass", "shard", "position")]
-    return texts.select(*[leading.alias(c) if c == "text" else keyed[c] for c in own],
-                        rows["words"], rows["pass"], rows["shard"], rows["position"])
+    added = {c: c for c in ("words", "pass", "shard", "position")}
+    for c in added:
+        if c in docs.columns:
+            added[c] = f"mix_{c}"
+        while added[c] in docs.columns:
+            added[c] += "_"
+    return texts.select(*[(leading if c == "text" else keyed[clash.get(c, c)]).alias(c) for c in docs.columns],
+                        *[rows[c].alias(name) for c, name in added.items()])
