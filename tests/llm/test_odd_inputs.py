@@ -295,3 +295,46 @@ def test_repeated_documents_with_matches_are_one(spark, tables):
     assert [r for r in often[0] if r in once[0]] == once[0] and [r for r in often[1] if r in once[1]] == sorted(once[1], key=repr)
     assert "email:11:26" in once[0][0][2] + once[0][1][2] and {(r[2], r[3]) for r in often[1] if r[0] == 1} == {(r[2], r[3]) for r in once[1]}
     assert all(text[a:b] == v for _, _, a, b, v in often[1])
+
+
+def test_mix_stage_keeps_columns_of_its_own_names(spark, tmp_path):
+    schema = "doc_id long, text string, source string, words string, shard string, mix_shard long, _mix_row string, _key int, position double"
+    rows = [(k, f"a b c {k}", f"s{k % 3}", f"own{k}", "mine", 7, f"row{k}", k, 0.5) for k in range(30)]
+    docs = spark.createDataFrame(rows, schema)
+    out = stages.mix_sources(spark, docs, str(tmp_path))
+    assert out.columns == [*docs.columns, "mix_words", "pass", "mix_shard_", "mix_position"]
+    given = {r[0]: r for r in rows}
+    found = out.collect()
+    assert found
+    for r in found:
+        own = given[r["doc_id"]]
+        assert tuple(r)[2:9] == own[2:] and r["text"].split() == own[1].split()[:r["mix_words"]]
+
+
+def test_subtrees_make_up_the_whole_tree():
+    import numpy as np
+
+    quotas = np.array([500, 3, 0, 77, 1])
+    for shards in (1, 2, 7, 64, 130):
+        whole = [(s, d.tolist()) for s, d in mix.split_quotas(quotas, shards)]
+        assert [s for s, _ in whole] == list(range(shards)) and np.sum([d for _, d in whole], axis=0).tolist() == quotas.tolist()
+        assert {sum(d) for _, d in whole} <= {int(quotas.sum()) // shards, -(-int(quotas.sum()) // shards)}
+        for depth in (0, 1, 3, 8):
+            parts = [x for node in range(1 << depth, 2 << depth) for x in mix.subtree(quotas, shards, node=node)]
+            assert [(s, d.tolist()) for s, _, d in parts] == whole
+            before = np.zeros(5, int)
+            for _, offset, d in parts:
+                assert offset.tolist() == before.tolist()
+                before = before + d
+
+
+def test_shards_of_the_result_hold_the_tree_s_quotas(spark, tables):
+    """Blocks per shard as the tree deals them; every document's shards are among those of its source."""
+    rows = [(k, "w " * 40, "en", f"s{k % 4}", 1, "s", "l", 5) for k in range(2000)]
+    docs = spark.createDataFrame(rows, DOCS)
+    placed = mix.placed(docs)
+    mixed = mix.mixture(placed, block_words=400, shard_words=8000)
+    per_shard = {r["shard"]: r["n"] for r in mixed.groupBy("shard").agg(F.count_distinct("source", "pass", "words").alias("n")).collect()}
+    assert set(per_shard) == set(range(len(per_shard))) and len(per_shard) > 4
+    found = QUERIES["op2_mix"](spark, tables(documents=(rows, DOCS))).collect()
+    assert all((r["shards"] != "") == (r["taken"] > 0) for r in found)
