@@ -338,3 +338,15 @@ def test_shards_of_the_result_hold_the_tree_s_quotas(spark, tables):
     assert set(per_shard) == set(range(len(per_shard))) and len(per_shard) > 4
     found = QUERIES["op2_mix"](spark, tables(documents=(rows, DOCS))).collect()
     assert all((r["shards"] != "") == (r["taken"] > 0) for r in found)
+
+
+def test_a_passage_that_all_items_share(spark):
+    """Its ids are not in what is broadcast, and come out whole."""
+    passage = " ".join(f"p{k}" for k in range(30))
+    items = spark.createDataFrame([(k, f"own{k} start {passage} end{k}") for k in range(3000)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {passage} y"), (2, "clean text here"), (3, "own7 start " + passage)], "doc_id long, text string")
+    found = {r["doc_id"]: r for r in decontaminate.report(docs, items).collect()}
+    everyone = sorted(str(k) for k in range(3000))
+    assert (found[1]["n_words"], found[1]["n_hit"], found[1]["items"]) == (32, 30, everyone)
+    assert (found[3]["n_hit"], found[3]["items"]) == (32, everyone) and not found[2]["contaminated"] and found[2]["items"] == []
+    assert "item_id" not in decontaminate.hits(docs, items).columns
