@@ -28,9 +28,16 @@ def build_session(app: str = "repodw", master: str | None = None, **extra: str)
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir; where none is set, one in the warehouse folder,
-    which every executor reaches as well. Never a machine's own temporary folder."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return named.rstrip("/") if named else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    which every executor reaches as well. Never a machine's own folder, but where the session runs on one machine."""
+    return scratch_for(spark.conf.get("spark.checkpoint.dir", None), spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master)
+
+
+def scratch_for(named: str | None, warehouse: str, master: str) -> str:
+    if named:
+        return named.rstrip("/")
+    if not master.startswith("local") and (":" not in warehouse or warehouse.startswith("file:")):
+        raise ValueError(f"set spark.checkpoint.dir to a shared folder: executors don't share {warehouse}")
+    return f"{warehouse.rstrip('/')}/_scratch"
 
 
 def with_checkpoints(spark: SparkSession) -> SparkSession:
@@ -51,10 +58,26 @@ def written(df: DataFrame, name: str = "part", path: str | None = None) -> DataF
     For a result that several queries read: computed a single time, and safe when executors are lost.
     """
     path = path or scratch_dir(df.sparkSession, name)
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what `written` wrote inside. What is to stay is read from elsewhere by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete_path(spark, path)
+
+
 @contextmanager
 def written_for_now(df: DataFrame, name: str = "part") -> Iterator[DataFrame]:
     """`written`, with the files deleted at the end of the block."""

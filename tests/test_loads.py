@@ -201,3 +201,20 @@ def test_names_that_differ_in_case_and_accents_are_one(spark, tmp_path):
     plain = Warehouse(spark, str(tmp_path / "plain"))
     daily.run_days(spark, str(raw), plain)
     assert plain.latest("ads_overview").first()["total_orgs"] == 4
+
+
+def test_scratch_is_shared_or_refused_and_cleared(spark):
+    from repodw.session import scratch_for, scratch_scope, written
+
+    assert scratch_for("s3a://b/x/", "file:/w", "yarn") == "s3a://b/x"
+    assert scratch_for(None, "hdfs://n/w/", "spark://h:1") == "hdfs://n/w/_scratch" and scratch_for(None, "file:/w", "local[4]") == "file:/w/_scratch"
+    for local in ("file:/w", "/w"):
+        with pytest.raises(ValueError):
+            scratch_for(None, local, "spark://h:1")
+    with scratch_scope(spark):
+        inside = written(spark.range(3), "scoped")
+        folder = inside.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:").replace("//", "/")
+        assert inside.count() == 3
+    import os
+
+    assert not os.path.exists(folder)
