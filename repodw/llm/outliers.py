@@ -38,6 +38,8 @@ LEAST_POOL = 100
 COVERED = 0.75
 STEPS = 6
 UNIT = 10_000
+# Estimates (three a pool at first) that are broadcast at most; more are joined by a shuffle.
+BROADCAST_POOLS = 100_000
 # Least standard deviation of each statistic, in the order of `transformed`.
 FLOORS = (0.5, 0.08, 0.06, 0.08, 0.08)
 SIZE = len(FLOORS)
@@ -150,10 +152,15 @@ def _distance() -> Column:
     return reduce(add, [F.pow(reduce(add, [F.col(f"w{i}{j}") * apart[j] for j in range(i + 1)]), F.lit(2.0)) for i in range(SIZE)])
 
 
+def _small(pools: DataFrame) -> DataFrame:
+    """Broadcast if few enough, by count, so that vectors aren't dealt by pool; `pools` must be written."""
+    return F.broadcast(pools) if pools.count() <= BROADCAST_POOLS else pools
+
+
 def _concentrated(vectors: DataFrame, estimates: DataFrame, keys: list[str]) -> DataFrame:
     """The estimates of the nearest COVERED share: one concentration step."""
     octave = F.log2(F.greatest(_distance(), F.lit(2.0 ** -10)))
-    bins = vectors.join(estimates, "pool").groupBy(*keys, F.floor(8 * F.least(octave, F.lit(40.0))).alias("bin")).agg(*_sums())
+    bins = vectors.join(_small(estimates), "pool").groupBy(*keys, F.floor(8 * F.least(octave, F.lit(40.0))).alias("bin")).agg(*_sums())
     whole = Window.partitionBy(*keys)
     nearer = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     inside = bins.withColumns({"before": F.coalesce(F.sum("n").over(nearer), F.lit(0)), "all": F.sum("n").over(whole)})
@@ -189,8 +196,7 @@ def estimates(vectors: DataFrame) -> DataFrame:
         found = written(_concentrated(vectors, found.drop("volume"), ["pool", "start"]), "step")
     names = [c for c in found.columns if c not in ("pool", "start", "volume")]
     best = found.groupBy("pool").agg(F.min_by(F.struct(*names), F.struct("volume", "start")).alias("e")).select("pool", "e.*")
-    best = written(best, "best")  # its size is known when the join is planned, so that vectors aren't dealt by pool
-    near = vectors.join(best, "pool").filter(_distance() <= NEAR)
+    near = vectors.join(_small(written(best, "best")), "pool").filter(_distance() <= NEAR)
     return written(_estimate(near.groupBy("pool").agg(*_sums()), NEAR_FACTOR, ["pool"]).drop("volume"), "estimates")
 
 
@@ -203,6 +209,6 @@ def judged(docs: DataFrame, least: int = LEAST_POOL, cut: float = CUT) -> DataFr
     rows = written(keyed.select("r.*", "pool").withColumns(vectors), "vectors")
     vectors = rows.select("pool", *[f"x{i}" for i in range(SIZE)])
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words"))
-    out = rows.join(estimates(vectors), "pool", "left").withColumns({"base_failed": failed, "distance": F.coalesce(_distance(), F.lit(0.0))})
+    out = rows.join(_small(estimates(vectors)), "pool", "left").withColumns({"base_failed": failed, "distance": F.coalesce(_distance(), F.lit(0.0))})
     return out.select("doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance",
                       (~F.col("base_failed") & (F.col("distance") <= cut)).alias("kept"))
