@@ -48,8 +48,8 @@ SIZE = len(FLOORS)
 NEAREST_FACTOR = 1.4121
 NEAR = 12.8325
 NEAR_FACTOR = 1.0555
-# Squared distance of a rejected vector; exceeded with probability 4e-8 under the normal distribution.
-CUT = 43.0
+# Squared distance beyond which a vector is rejected: exceeded with probability 1e-5 under the normal distribution.
+CUT = 30.856
 
 
 def counted(docs: DataFrame) -> DataFrame:
