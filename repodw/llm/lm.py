@@ -1,20 +1,22 @@
-"""Language-model scores: a bigram model in Elias-Fano tries, one for each shard of contexts.
+"""Language-model scores: a trigram model in Elias-Fano tries, one for each shard of contexts.
 
-p(w | u) = (c(u w) + K q(w)) / (c(u) + K), with q(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)) for a word: counts of pairs,
-smoothed by the counts of words (a Dirichlet prior). A document is its words and one end, the first of them after a start.
+q(w) = (c(w) + 0.5) / (N + 0.5 (V + 1)), p(w | u) = (c(u w) + K q(w)) / (c(u) + K) and
+p(w | t u) = (c(t u w) + K_PAIR p(w | u)) / (c(t u) + K_PAIR): every order is smoothed by the next lower one (Dirichlet
+priors). A document is its words and one end, after a start; its first word has the start alone as context.
 
 1. Documents are packed into chunks: token numbers, the hashes of the chunk's distinct words, and their training counts.
 2. Each chunk sends its words' counts to the shard of their hash, which adds them up, numbers the words that training
    knows, and sends number and total back. No table of all words is ever in one place.
-3. With these, each chunk works out the base score, and what every token scores if its pair was never seen. Pairs of
-   known words go to the shard of their context with the document they are in. A context with over `HOT` occurrences
-   is dealt over several shards by its words.
-4. A shard counts the training documents' pairs, builds its trie, finds every pair in it (context first, then its
-   successors) and returns how much more than "never seen" each document scores.
+3. Each chunk counts its distinct pairs and triples of known words before anything is sent, and sends them, nested, to the
+   shard of their first word: a line that repeats a million times is sent once per chunk. First words with over `HOT`
+   occurrences are dealt over several shards by the second word, triples of two such words by the third as well.
+4. A shard adds up, builds its trie of quantised probabilities, finds every pair and triple in it (word, then its
+   successors, then theirs) and sends their codes back; the chunk smooths and adds up by document.
 
 Shards and chunks grow in number with the input, not in size; what moves are packed arrays. Nothing is capped or
-sampled: each word and each pair of the training documents is counted. Quantising rounds down, so that probabilities
-never sum to more than 1.
+sampled: each word, pair and triple of the training documents is counted. Codes are rounded down, and up where they count
+a context, so that probabilities never sum to more than 1. They are smoothed when read, as the lower order of a triple lies
+in another shard than the triple.
 
 Nulls and odd input: a null or empty text is one end. A null doc_id is scored like any other, in the fold of an empty
 id. Repeated rows give a row each and count each. With no training documents every token scores as an unknown word. An
@@ -23,6 +25,7 @@ empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -43,8 +46,10 @@ SHARD_WORDS = 1_000_000
 SHARD_TOKENS = 1_500_000
 HOT = 1_000_000
 K = 40.0
+K_PAIR = 4.0
 END = np.uint64(0xE17D)
 UNKNOWN, START = 0, 1
+LOCAL = (1 << 32) - 1
 
 
 def _pack(values: np.ndarray, dtype: str) -> bytes:
@@ -58,6 +63,28 @@ def _unpack(packed: bytes, dtype: str) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
 
 
+def _bundle(*arrays: np.ndarray) -> bytes:
+    """Numbers of at least 0, each array in as many bytes as its greatest one needs, compressed together."""
+    head, planes = [], []
+    for values in arrays:
+        width = -(-int(values.max(initial=0)).bit_length() // 8)
+        head += [len(values), width]
+        planes.append(np.ascontiguousarray(values, "<i8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+    return struct.pack("<" + "QB" * len(arrays), *head) + zlib.compress(b"".join(planes), 1)
+
+
+def _unbundle(packed: bytes, many: int) -> list[np.ndarray]:
+    form = "<" + "QB" * many
+    head, raw = struct.unpack_from(form, packed), np.frombuffer(zlib.decompress(packed[struct.calcsize(form):]), np.uint8)
+    out, at = [], 0
+    for n, width in zip(head[::2], head[1::2]):
+        values = np.zeros((n, 8), np.uint8)
+        values[:, :width] = raw[at:at + n * width].reshape(width, n).T
+        out.append(values.view("<i8").ravel())
+        at += n * width
+    return out
+
+
 def _by(key: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
     """(shard, places) for the shards that occur in key."""
     order = np.argsort(key, kind="stable")
@@ -144,6 +171,108 @@ def numbered(packed: DataFrame, shards: int) -> DataFrame:
     return sent.groupBy("shard").applyInPandas(add, "shard int, chunk long, numbers binary, totals binary, v long, n long")
 
 
+def _distinct(key: np.ndarray, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys in order, the place of each row's key among them, and how often training has them."""
+    keys, at = np.unique(key, return_inverse=True)
+    return keys, at, np.bincount(at[learned], minlength=len(keys))
+
+
+class Ngrams:
+    """A chunk's tokens with their distinct pairs and triples of known words, the same each time it is made."""
+
+    def __init__(self, row: dict, starts: int, shards: int):
+        known = sorted(row["known"], key=lambda r: r["shard"])
+        rank = _unpack(row["rank"], "<u4")
+        number, total = np.empty(len(rank), np.int64), np.empty(len(rank), np.int64)
+        number[rank] = np.concatenate([_unpack(r["numbers"], "<i8") for r in known])
+        total[rank] = np.concatenate([_unpack(r["totals"], "<i8") for r in known])
+        token = _unpack(row["tokens"], "<u4")
+        self.lengths = np.frombuffer(row["lengths"], np.uint32).astype(np.int64)
+        first = np.cumsum(self.lengths) - self.lengths
+        learned = np.repeat(np.frombuffer(row["train"], np.uint8) > 0, self.lengths)
+        # Places in the chunk's sorted numbers, in which unknown words are 0 and the start is 1.
+        numbers, local = np.unique(np.append([UNKNOWN, START], number), return_inverse=True)
+        size = np.zeros(len(numbers), np.int64)
+        size[local[2:]], size[START] = total, starts
+        word, self.count = local[2:][token], total[token]
+        before = np.roll(word, 1)
+        before[first] = START
+        self.before = size[before]
+
+        here = np.flatnonzero((word != UNKNOWN) & (before != UNKNOWN))
+        keys, at, self.pair_count = _distinct(before[here] << 32 | word[here], learned[here])
+        self.pair = np.full(len(word), -1)
+        self.pair[here] = at
+        a, b = keys >> 32, keys & LOCAL
+        self.context = np.roll(self.pair, 1)
+        self.context[first] = -1
+        here = np.flatnonzero((word != UNKNOWN) & (self.context >= 0))
+        keys, at, self.triple_count = _distinct(self.context[here] << 32 | word[here], learned[here])
+        self.triple = np.full(len(word), -1)
+        self.triple[here] = at
+        self.parent, c = keys >> 32, keys & LOCAL
+        self.first, self.second, self.third = numbers[a], numbers[b], numbers[c]
+
+        place = lambda x: (mixed(x.astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
+        self.pair_shard = place(self.first * 64 + self.second % (size[a] // HOT + 1))
+        salts = np.minimum(size[a], size[b])[self.parent] // HOT
+        spread = mixed(self.first.astype(np.uint64))[self.parent] + self.second[self.parent].astype(np.uint64)
+        self.triple_shard = np.where(salts > 0, place(mixed(spread) + (self.third % np.maximum(salts, 1)).astype(np.uint64)),
+                                     self.pair_shard[self.parent])
+
+    def parts(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(shard, its pairs, how many of its triples follow each, its triples): pairs counted there or begun by a triple."""
+        many = len(self.first)
+        wanted = self.triple_shard * many + self.parent
+        nodes = np.unique(np.concatenate((self.pair_shard * many + np.arange(many), wanted)))
+        order = np.lexsort((np.arange(len(wanted)), wanted // max(many, 1)))
+        follow = np.bincount(np.searchsorted(nodes, wanted), minlength=len(nodes))
+        ends = np.append(0, np.cumsum(follow))
+        shard = nodes // max(many, 1)
+        for s in np.unique(shard):
+            lo, hi = np.searchsorted(shard, (s, s + 1))
+            yield int(s), nodes[lo:hi] % many, follow[lo:hi], order[ends[lo]:ends[hi]]
+
+
+FORM = "shard int, chunk long, payload binary"
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch.slice(k, 1).to_pylist()[0]
+
+
+def _answers(group: pd.DataFrame, tokens: int) -> pd.DataFrame:
+    """A shard's codes for the pairs and triples of each chunk."""
+    parts = [_unbundle(payload, 7) for payload in group["payload"]]
+    step, many, second, count, follow, third, count3 = range(7)
+    a = np.concatenate([np.repeat(np.cumsum(p[step]), p[many]) for p in parts])
+    b, c = (np.concatenate([p[k] for p in parts]) for k in (second, third))
+    numbers, local = np.unique(np.concatenate((a, b, c)), return_inverse=True)
+    a, b, c = np.split(local, np.cumsum((len(a), len(b))))
+    sums = lambda at, k, n: np.bincount(at, np.concatenate([p[k] for p in parts]), n)
+    pairs, at = np.unique(a << 32 | b, return_inverse=True)
+    pair_sum = sums(at, count, len(pairs))
+    parent = np.repeat(at, np.concatenate([p[follow] for p in parts]))
+    triples, at = np.unique(parent << 32 | c, return_inverse=True)
+    triple_sum = sums(at, count3, len(triples))
+    # Training's alone, with the pairs that triples begin with.
+    triples, triple_sum = triples[triple_sum > 0], triple_sum[triple_sum > 0]
+    follows = np.bincount(triples >> 32, minlength=len(pairs))
+    kept = (pair_sum > 0) | (follows > 0)
+    if not kept.any():
+        return pd.DataFrame([], columns=["shard", "chunk", "payload"])
+    code = lambda x: np.where(x > 0, quantised(np.log10(np.maximum(x, 1) / tokens)), 0)
+    first, seconds = np.unique(numbers[pairs[kept] >> 32], return_counts=True)
+    trie = Trie(Trie.packed(first, (seconds, numbers[pairs[kept] & LOCAL], code(pair_sum[kept])),
+                            (follows[kept], numbers[triples & LOCAL], code(triple_sum))))
+    del a, b, c, local, numbers, pairs, triples, parent, at
+    out = [(shard, chunk, _bundle(*trie.codes(np.cumsum(p[step]), p[many], p[second], p[follow], p[third])))
+           for shard, chunk, p in zip(group["shard"], group["chunk"], parts)]
+    return pd.DataFrame(out, columns=["shard", "chunk", "payload"])
+
+
 def scores(docs: DataFrame) -> DataFrame:
     """doc_id, train, n_tokens, n_known, train_tokens, base_score, score from rows (doc_id, text, train)."""
     packed = written(chunks(docs), "chunks")
@@ -156,94 +285,45 @@ def scores(docs: DataFrame) -> DataFrame:
     starts = docs.filter("train").count()
     total = n + 0.5 * (v + 1)
 
-    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Kind 0: (documents' facts); kind 1: pairs of known words, for the shard of their context."""
-        for batch in batches:
-            for _, row in batch.iterrows():
-                known = sorted(row["known"], key=lambda r: r["shard"])
-                rank = _unpack(row["rank"], "<u4")
-                number, count = np.empty(len(rank), np.int64), np.empty(len(rank), np.int64)
-                number[rank] = np.concatenate([_unpack(r["numbers"], "<i8") for r in known])
-                count[rank] = np.concatenate([_unpack(r["totals"], "<i8") for r in known])
-                token, lengths = _unpack(row["tokens"], "<u4"), np.frombuffer(row["lengths"], np.uint32).astype(np.int64)
-                doc = np.repeat(np.arange(len(lengths)), lengths)
-                first = np.cumsum(lengths) - lengths
-                word, c = number[token], count[token]
-                base = np.log10((c + 0.5) / total)
-                context, before = np.roll(word, 1), np.roll(c, 1)
-                context[first], before[first] = START, starts
-                code = quantised(np.log10(K) + base)
-                unseen = restored(code) - np.log10(before + K)
-                of_doc = lambda x: np.bincount(doc, x, len(lengths))
-                facts_ = pd.DataFrame({"n_tokens": lengths, "n_known": of_doc(c > 0), "base": of_doc(base), "unseen": of_doc(unseen)})
-                facts_ = np.ascontiguousarray(facts_.to_numpy(float))
-                out = [(int(row["chunk"] % shards), row["chunk"], 0, facts_.tobytes())]
-                both = (word != UNKNOWN) & (context != UNKNOWN) & (before > 0)
-                u, w, d, code = context[both], word[both], doc[both], code[both]
-                salts = before[both] // HOT + 1
-                shard = (mixed((u * 64 + w % salts).astype(np.uint64)) % np.uint64(shards)).astype(np.int64)
-                learned = np.frombuffer(row["train"], np.uint8)[d]
-                order = np.lexsort((w, u))
-                u, w, d, code, learned, shard = (x[order] for x in (u, w, d, code, learned, shard))
-                for s, at in _by(shard, shards):
-                    step = np.diff(u[at], prepend=0)
-                    payload = b"".join(len(p).to_bytes(8, "little") + p for p in (
-                        _pack(step, "<i8"), _pack(w[at], "<i8"), _pack(d[at] * 2 + learned[at], "<u4"), _pack(code[at], "<u2")))
-                    out.append((s, row["chunk"], 1, payload))
-                yield pd.DataFrame(out, columns=["shard", "chunk", "kind", "payload"])
-
-    def gain(group: pd.DataFrame) -> pd.DataFrame:
-        """Kind 0 as it is; kind 2: what the pairs that training has seen add to each document of a chunk."""
-        shard, out, parts = group["shard"].iloc[0], [], []
-        for chunk, kind, payload in zip(group["chunk"], group["kind"], group["payload"]):
-            if kind == 0:
-                out.append((shard, chunk, 0, payload))
-                continue
-            fields = []
-            while payload:
-                many = int.from_bytes(payload[:8], "little")
-                fields.append(payload[8:8 + many])
-                payload = payload[8 + many:]
-            step, w, d, code = (_unpack(f, t) for f, t in zip(fields, ("<i8", "<i8", "<u4", "<u2")))
-            parts.append((chunk, np.cumsum(step), w, d.astype(np.int64), code))
-        if parts:
-            # Training's pairs in order, their counts and smoothed logarithms.
-            a, b, code = (np.concatenate([p[k][(p[3] & 1) > 0] for p in parts]) for k in (1, 2, 4))
-            order = np.lexsort((b, a))
-            a, b, code = a[order], b[order], code[order]
-            new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))) if len(a) else np.zeros(0, np.int64)
-            count = np.diff(np.append(new, len(a)))
-            trie = Trie(Trie.packed(a[new], b[new], np.log10(count + 10.0 ** restored(code[new]))))
-            del a, b, code, order
-            # One chunk's pairs at a time are looked up.
-            for chunk, u, w, d, prior in parts if trie.words.n else []:
-                at = trie.find(u, w)
-                more = np.where(at >= 0, restored(trie.codes[np.maximum(at, 0)]) - restored(prior), 0.0)
-                docs_, place = np.unique(d >> 1, return_inverse=True)
-                sums = np.bincount(place, more, len(docs_))
-                seen = sums != 0
-                out.append((shard, chunk, 2, docs_[seen].astype(np.int64).tobytes() + sums[seen].tobytes()))
-        return pd.DataFrame(out, columns=["shard", "chunk", "kind", "payload"])
-
-    known = words.filter("chunk IS NOT NULL").groupBy("chunk").agg(F.collect_list(F.struct("shard", "numbers", "totals")).alias("known"))
-    form = "shard int, chunk long, kind int, payload binary"
-    pairs = packed.select("chunk", "train", "lengths", "tokens", "rank").join(known, "chunk").mapInPandas(look, form)
-    parts = pairs.groupBy("shard").applyInPandas(gain, form)
-    whole = parts.groupBy("chunk").agg(F.collect_list(F.struct("kind", "payload")).alias("parts"))
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            grams, out = Ngrams(row, starts, shards), []
+            for shard, pairs, follow, triples in grams.parts():
+                first, begin = np.unique(grams.first[pairs], return_index=True)
+                counted = np.where(grams.pair_shard[pairs] == shard, grams.pair_count[pairs], 0)
+                out.append((shard, row["chunk"], _bundle(
+                    np.diff(first, prepend=0), np.diff(np.append(begin, len(pairs))), grams.second[pairs], counted, follow,
+                    grams.third[triples], grams.triple_count[triples])))
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out) if out else ([], [], []), (
+                pa.int32(), pa.int64(), pa.binary()))], names=["shard", "chunk", "payload"])
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for doc_id, train, found in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "train", "parts"))):
-                facts_ = np.frombuffer(next(p["payload"] for p in found if p["kind"] == 0)).reshape(-1, 4)
-                score = facts_[:, 3].copy()
-                for p in found:
-                    if p["kind"] == 2:
-                        many = len(p["payload"]) // 16
-                        np.add.at(score, np.frombuffer(p["payload"], np.int64, many), np.frombuffer(p["payload"], float, many, 8 * many))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(doc_id, pa.int64()), pa.array(np.frombuffer(train, np.uint8) > 0), pa.array(facts_[:, 0].astype(np.int64)),
-                    pa.array(facts_[:, 1].astype(np.int64)), pa.array(np.full(len(score), n, np.int64)), pa.array(facts_[:, 2]), pa.array(score)],
-                    names=["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    return packed.select("chunk", "doc_id", "train").join(whole, "chunk").mapInArrow(
+        for row in _rows(batches):
+            grams = Ngrams(row, starts, shards)
+            found = {r["shard"]: r["payload"] for r in row["answers"] or []}
+            two, three = np.zeros(len(grams.first), np.int64), np.zeros(len(grams.third), np.int64)
+            for shard, pairs, _, triples in grams.parts():
+                if shard in found:
+                    codes, three[triples] = _unbundle(found[shard], 2)
+                    mine = grams.pair_shard[pairs] == shard
+                    two[pairs[mine]] = codes[mine]
+            counts = lambda code, up=0: np.append(np.where(code > 0, n * 10 ** restored(code + up), 0), 0)
+            base = (grams.count + 0.5) / total
+            # A place of -1 reads the 0 at the end.
+            p = (counts(two)[grams.pair] + K * base) / (grams.before + K)
+            p = (counts(three)[grams.triple] + K_PAIR * p) / (counts(two, 1)[grams.context] + K_PAIR)
+            doc = np.repeat(np.arange(len(grams.lengths)), grams.lengths)
+            of_doc = lambda x: np.bincount(doc, x, len(grams.lengths))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(row["doc_id"], pa.int64()), pa.array(np.frombuffer(row["train"], np.uint8) > 0), pa.array(grams.lengths),
+                pa.array(of_doc(grams.count > 0).astype(np.int64)), pa.array(np.full(len(grams.lengths), n, np.int64)),
+                pa.array(of_doc(np.log10(base))), pa.array(of_doc(np.log10(p)))],
+                names=["doc_id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    known = words.filter("chunk IS NOT NULL").groupBy("chunk").agg(F.collect_list(F.struct("shard", "numbers", "totals")).alias("known"))
+    # Read by both steps below; the second reuses what the first has shuffled.
+    whole = packed.select("chunk", "doc_id", "train", "lengths", "tokens", "rank").join(known, "chunk")
+    answers = whole.mapInArrow(send, FORM).groupBy("shard").applyInPandas(lambda group: _answers(group, n), FORM)
+    answers = answers.groupBy("chunk").agg(F.collect_list(F.struct("shard", "payload")).alias("answers"))
+    return whole.join(answers, "chunk", "left").mapInArrow(
         add_up, "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

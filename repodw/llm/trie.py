@@ -1,24 +1,30 @@
-"""An n-gram trie in a few flat buffers: Elias-Fano coded contexts, pointers and successors, quantised probabilities.
+"""An n-gram trie in a few flat buffers: Elias-Fano coded words, pointers and successors, quantised probabilities.
 
-A level of monotone numbers is held as Elias-Fano does: the low bits of each as they are, the high bits as a bit vector
-in which number i sets bit (high + i). Contexts are sorted ids; a context's pointer says where its successors begin;
-successors are ids made monotone by adding the greatest value so far at each new context. The whole is one bytes object
-of which readers map views, without unpacking it first.
+A level of monotone numbers is held as Elias-Fano does: the low bits of each side by side, the high bits as a bit vector
+in which number i sets bit (high + i), with the ones before every 512 bits counted once. It is searched as it lies: a
+query counts bits in the words it touches, nothing is unpacked first.
+
+The first level is the sorted words that begin an n-gram. Every further level holds the successors of the nodes of the
+level above: a pointer says where those of a node begin, and they are made monotone by adding the greatest value so far at
+each new node. All is one bytes object of which readers map views.
 """
 
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 
 import numpy as np
 
-# Steps of a decade, and the least exponent, of a quantised probability or count.
+# Steps of a decade, and the least exponent, of a quantised probability. Code 0 stands for none.
 STEPS, LEAST = 2000, -16.0
+# 64-bit words of a block whose ones are counted once, and queries worked on at a time.
+BLOCK, SLICE = 8, 1 << 15
 
 
 def quantised(log10: np.ndarray) -> np.ndarray:
     """In 16 bits, rounded down."""
-    return np.clip(np.floor((log10 - LEAST) * STEPS), 0, 65535).astype(np.uint16)
+    return np.clip(np.floor((log10 - LEAST) * STEPS), 1, 65535).astype(np.uint16)
 
 
 def restored(code: np.ndarray) -> np.ndarray:
@@ -26,83 +32,156 @@ def restored(code: np.ndarray) -> np.ndarray:
 
 
 class EliasFano:
-    """A sorted sequence of numbers."""
+    """A sorted sequence of numbers of at least 0."""
 
     def __init__(self, buffer: memoryview):
-        self.n, self.width, low, high = struct.unpack_from("<QQQQ", buffer)
-        self.low = np.frombuffer(buffer, np.dtype(f"<u{self.width // 8}"), self.n, 32) if self.width else None
-        self.bits = np.frombuffer(buffer, np.uint8, high, 32 + low)
-        self.end = 32 + low + high
-        # Where the numbers of each high part begin: the zeros of the bit vector, by select.
-        zeros = np.flatnonzero(np.unpackbits(self.bits, bitorder="little") == 0)
-        self.first = np.concatenate(([0], zeros - np.arange(len(zeros))))
+        self.n, self.width, self.top, low, high = struct.unpack_from("<QQqQQ", buffer)
+        views, at = [], 40
+        for dtype, many in ((np.uint64, low), (np.uint64, high), (np.int64, high // BLOCK + 1)):
+            views.append(np.frombuffer(buffer, dtype, many, at))
+            at += 8 * many
+        self.low, self.high, self.ones = views
+        self.end = at
 
     @staticmethod
     def packed(values: np.ndarray) -> bytes:
         values = values.astype(np.uint64)
-        n, top = len(values), int(values[-1]) if len(values) else 0
-        # Low bits in whole bytes, so that they can be read as an array.
-        want = max(0, (top // max(n, 1)).bit_length() - 1)
-        width = 0 if want < 4 else 8 if want < 12 else 16 if want < 24 else 32
+        n, last = len(values), int(values[-1]) if len(values) else 0
+        width = max(0, (last // max(n, 1)).bit_length() - 1)
         high = (values >> np.uint64(width)).astype(np.int64)
-        bits = np.zeros((int(high[-1]) if n else 0) + n + 1, np.uint8)
+        bits = np.zeros(-(-((int(high[-1]) if n else 0) + n + 1) // (64 * BLOCK)) * 64 * BLOCK, np.uint8)
         bits[high + np.arange(n)] = 1
-        low = (values & np.uint64((1 << width) - 1)).astype(f"<u{width // 8}").tobytes() if width else b""
-        raw = np.packbits(bits, bitorder="little").tobytes()
-        return struct.pack("<QQQQ", n, width, len(low), len(raw)) + low + raw
+        high_words = np.packbits(bits, bitorder="little").view(np.uint64)
+        ones = np.append(0, np.cumsum(np.bitwise_count(high_words).reshape(-1, BLOCK).sum(axis=1, dtype=np.int64)))
+        # As many bits of each as wanted; slices of a multiple of eight numbers end at whole bytes.
+        low = b"".join(np.packbits(np.unpackbits(
+            values[k:k + SLICE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")[:, :width].ravel(), bitorder="little").tobytes()
+            for k in range(0, n, SLICE)) if width else b""
+        low += bytes(-len(low) % 8 + 8)
+        head = struct.pack("<QQqQQ", n, width, int(high[-1]) if n else -1, len(low) // 8, len(high_words))
+        return head + low + high_words.tobytes() + ones.astype(np.int64).tobytes()
+
+    def _select(self, rank: np.ndarray, zero: bool) -> np.ndarray:
+        """Place of the bit with this number among the ones, or among the zeros, of the high bits."""
+        before = 64 * BLOCK * np.arange(len(self.ones)) - self.ones if zero else self.ones
+        out = np.empty(len(rank), np.int64)
+        for first in range(0, len(rank), SLICE):
+            left = rank[first:first + SLICE]
+            block = np.searchsorted(before, left, side="right") - 1
+            left = left - before[block]
+            words = self.high[block[:, None] * BLOCK + np.arange(BLOCK)]
+            words = ~words if zero else words
+            upto = np.cumsum(np.bitwise_count(words), axis=1, dtype=np.int64)
+            which = (upto <= left[:, None]).sum(axis=1)
+            rows = np.arange(len(left))
+            left -= np.where(which > 0, upto[rows, which - 1], 0)
+            word, place = words[rows, which], 64 * (block * BLOCK + which)
+            for half in (32, 16, 8, 4, 2, 1):
+                many = np.bitwise_count(word & np.uint64((1 << half) - 1)).astype(np.int64)
+                above = many <= left
+                left -= np.where(above, many, 0)
+                place += np.where(above, half, 0)
+                word = np.where(above, word >> np.uint64(half), word)
+            out[first:first + SLICE] = place
+        return out
+
+    def _low(self, at: np.ndarray) -> np.ndarray:
+        if not self.width:
+            return np.zeros(len(at), np.int64)
+        bit = at * self.width
+        word, shift = bit >> 6, (bit & 63).astype(np.uint64)
+        over = np.where(shift > 0, self.low[word + 1] << ((np.uint64(64) - shift) & np.uint64(63)), np.uint64(0))
+        return (((self.low[word] >> shift) | over) & np.uint64((1 << self.width) - 1)).astype(np.int64)
+
+    def _below(self, high: np.ndarray) -> np.ndarray:
+        """How many numbers have a smaller high part."""
+        return np.where(high > 0, self._select(np.maximum(high - 1, 0), True) - (high - 1), 0)
 
     def __getitem__(self, at: np.ndarray) -> np.ndarray:
-        high = np.searchsorted(self.first, at, side="right") - 1
-        return (high << self.width) | (self.low[at].astype(np.int64) if self.width else 0)
+        return ((self._select(at, False) - at) << self.width) | self._low(at)
 
     def successor(self, value: np.ndarray, begin: np.ndarray | int = 0, end: np.ndarray | int | None = None) -> np.ndarray:
         """Place of the first number of at least `value` in the places from begin to end: by its high part, then by
         halving the stretch of numbers that share it."""
-        high = np.minimum(value >> self.width, len(self.first) - 1)
-        lo = np.maximum(self.first[high], begin)
-        hi = np.append(self.first, self.n)[high + 1]
-        hi = np.maximum(np.minimum(hi, self.n if end is None else end), lo)
+        high = np.minimum(value >> self.width, self.top + 1)
+        lo = np.maximum(self._below(high), begin)
+        hi = np.maximum(np.minimum(self._below(np.minimum(high + 1, self.top + 1)), self.n if end is None else end), lo)
         want = value & ((1 << self.width) - 1)
-        while self.width and (lo < hi).any():
-            middle = (lo + hi) // 2
-            less = (lo < hi) & (self.low[np.minimum(middle, self.n - 1)] < want)
-            lo, hi = np.where(less, middle + 1, lo), np.where(less | (lo >= hi), hi, middle)
+        open_ = np.flatnonzero(lo < hi) if self.width else np.zeros(0, np.int64)
+        while len(open_):
+            middle = (lo[open_] + hi[open_]) // 2
+            less = self._low(middle) < want[open_]
+            lo[open_] = np.where(less, middle + 1, lo[open_])
+            hi[open_] = np.where(less, hi[open_], middle)
+            open_ = open_[lo[open_] < hi[open_]]
         return lo
 
+    def find(self, value: np.ndarray) -> np.ndarray:
+        """Place of each number, or -1."""
+        if not self.n:
+            return np.full(len(value), -1)
+        at = self.successor(value)
+        inside = np.minimum(at, self.n - 1)
+        return np.where((at < self.n) & (self[inside] == value), at, -1)
+
+
+def _joined(parts: list[bytes]) -> bytes:
+    """Each with its length before it, at multiples of eight bytes."""
+    return b"".join(struct.pack("<Q", len(p)) + p + bytes(-len(p) % 8) for p in parts)
+
+
+def _parted(view: memoryview) -> Iterator[memoryview]:
+    while len(view):
+        (size,) = struct.unpack_from("<Q", view)
+        yield view[8:8 + size]
+        view = view[8 + size + -size % 8:]
+
+
+class Level:
+    """The successors of each node of the level above."""
+
+    def __init__(self, pointers: memoryview, base: memoryview, values: memoryview, codes: memoryview):
+        self.pointers, self.base, self.values = EliasFano(pointers), EliasFano(base), EliasFano(values)
+        self.codes = np.frombuffer(codes, np.uint16)
+
+    @staticmethod
+    def packed(many: np.ndarray, value: np.ndarray, code: np.ndarray) -> list[bytes]:
+        """From the number of successors of each node above, and these in rising order node by node."""
+        pointers = np.append(0, np.cumsum(many))
+        greatest = np.zeros(len(many), np.int64)
+        greatest[many > 0] = value[pointers[1:][many > 0] - 1]
+        base = np.cumsum(greatest) - greatest
+        return [*map(EliasFano.packed, (pointers, base, value + np.repeat(base, many))), code.astype(np.uint16).tobytes()]
+
+    def find(self, above: np.ndarray, many: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """Place of each value, `many` of them in turn among the successors of each node `above`, or -1; a node of -1 has none."""
+        if not self.values.n:
+            return np.full(len(value), -1)
+        node = np.maximum(above, 0)
+        begin, end = (np.repeat(np.where(above >= 0, self.pointers[node + k], 0), many) for k in (0, 1))
+        value = value + np.repeat(self.base[node], many)
+        at = self.values.successor(value, begin, end)
+        hit = at < end
+        hit[hit] = self.values[at[hit]] == value[hit]
+        return np.where(hit, at, -1)
+
+    def code(self, at: np.ndarray) -> np.ndarray:
+        return np.where(at >= 0, self.codes[np.maximum(at, 0)], 0) if len(self.codes) else np.zeros(len(at), np.uint16)
+
 
 class Trie:
-    """Counts of (context, word) with a smoothed, quantised log10 for each."""
+    """Quantised log10 probabilities of pairs and triples of words."""
 
     def __init__(self, buffer: bytes):
-        view, self.levels = memoryview(buffer), []
-        for _ in range(3):
-            (size,) = struct.unpack_from("<Q", view)
-            self.levels.append(EliasFano(view[8:8 + size]))
-            view = view[8 + size:]
-        self.contexts, self.pointers, self.words = self.levels
-        self.base = np.frombuffer(view, np.int64, self.contexts.n)
-        self.codes = np.frombuffer(view, np.uint16, self.words.n, 8 * self.contexts.n)
+        words, *rest = _parted(memoryview(buffer))
+        self.words, self.pairs, self.triples = EliasFano(words), Level(*rest[:4]), Level(*rest[4:])
 
     @staticmethod
-    def packed(context: np.ndarray, word: np.ndarray, log10: np.ndarray) -> bytes:
-        """From pairs sorted by context and word, without repeats."""
-        contexts, first = np.unique(context, return_index=True)
-        last = np.append(first[1:], len(word)) - 1
-        base = np.concatenate(([0], np.cumsum(word[last].astype(np.int64))[:-1])) if len(contexts) else np.zeros(0, np.int64)
-        values = word.astype(np.int64) + np.repeat(base, last - first + 1)
-        out = b""
-        for level in (contexts, np.append(first, len(word)), values):
-            raw = EliasFano.packed(level)
-            out += struct.pack("<Q", len(raw)) + raw
-        return out + base.astype(np.int64).tobytes() + quantised(log10).tobytes()
-
-    def find(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Place of each pair, or -1."""
-        if not self.contexts.n:
-            return np.full(len(context), -1)
-        c = np.minimum(self.contexts.successor(context), self.contexts.n - 1)
-        begin, end = self.pointers[c], self.pointers[c + 1]
-        value = word + self.base[c]
-        at = np.minimum(self.words.successor(value, begin, end), self.words.n - 1)
-        hit = (self.contexts[c] == context) & (at < end) & (self.words[at] == value)
-        return np.where(hit, at, -1)
+    def packed(first: np.ndarray, pairs: tuple, triples: tuple) -> bytes:
+        """From the sorted first words and, for either level, (successors of each node above, values, codes)."""
+        return _joined([EliasFano.packed(first), *Level.packed(*pairs), *Level.packed(*triples)])
+
+    def codes(self, first: np.ndarray, seconds: np.ndarray, second: np.ndarray, thirds: np.ndarray, third: np.ndarray) -> tuple:
+        """Codes of pairs and of triples, 0 for those not in here: `seconds` words follow each first one, `thirds` each pair."""
+        pair = self.pairs.find(self.words.find(first), seconds, second)
+        return self.pairs.code(pair), self.triples.code(self.triples.find(pair, thirds, third))

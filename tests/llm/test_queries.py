@@ -9,7 +9,7 @@ import pytest
 from brute import blank_words, fold, near_components
 
 from repodw.llm import pii
-from repodw.llm.lm import K
+from repodw.llm.lm import K, K_PAIR
 from repodw.llm.mix import targets
 from repodw.llm.queries import ORACLES, QUERIES
 
@@ -63,6 +63,7 @@ def test_lm_scores_are_the_models(spark, docs):
     train = [i for i in tokens if fold(i) != 1]
     count = Counter(w for i in train for w in tokens[i])
     pairs = Counter(p for i in train for p in zip([0, *tokens[i]], tokens[i]))
+    triples = Counter(p for i in train for p in zip([0, *tokens[i]], tokens[i], tokens[i][1:]))
     total, context = sum(count.values()), Counter({**count, 0: len(train)})
     q = lambda w: (count[w] + 0.5) / (total + 0.5 * (len(count) + 1))
     held, base = 0.0, 0.0
@@ -71,7 +72,11 @@ def test_lm_scores_are_the_models(spark, docs):
         mine = tokens[r["doc_id"]]
         assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(mine), sum(w in count for w in mine), total)
         assert r["base_score"] == pytest.approx(sum(math.log10(q(w)) for w in mine))
-        exact = sum(math.log10((pairs[u, w] + K * q(w)) / (context[u] + K)) for u, w in zip([0, *mine], mine))
+        exact = 0.0
+        for k, w in enumerate(mine):
+            t, u = [0, 0, *mine][k], [0, *mine][k]
+            p = (pairs[u, w] + K * q(w)) / (context[u] + K)
+            exact += math.log10((triples[t, u, w] + K_PAIR * p) / (pairs[t, u] + K_PAIR) if k else p)
         assert exact - 0.001 * len(mine) - 1e-9 <= r["score"] <= exact + 0.001 * len(mine)
         if r["held_out"]:
             held, base = held + r["score"], base + r["base_score"]
