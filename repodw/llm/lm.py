@@ -158,7 +158,10 @@ def numbered(packed: DataFrame, shards: int) -> DataFrame:
         all_words, at = np.unique(np.concatenate(words), return_inverse=True)
         total = np.bincount(at, np.concatenate([_unpack(c, "<u4") for c in group["counts"]]), len(all_words)).astype(np.int64)
         known = total > 0
-        number = np.where(known, (np.cumsum(known) - 1) * shards + key[0] + 2, UNKNOWN)
+        # Frequent words get small numbers, which pack better.
+        rank = np.empty(len(total), np.int64)
+        rank[np.argsort(-total, kind="stable")] = np.arange(len(total))
+        number = np.where(known, rank * shards + key[0] + 2, UNKNOWN)
         rows, first = [], 0
         for chunk, w in zip(group["chunk"], words):
             mine = at[first:first + len(w)]
@@ -252,24 +255,28 @@ def _answers(group: pd.DataFrame, tokens: int) -> pd.DataFrame:
     numbers, local = np.unique(np.concatenate((a, b, c)), return_inverse=True)
     a, b, c = np.split(local, np.cumsum((len(a), len(b))))
     sums = lambda at, k, n: np.bincount(at, np.concatenate([p[k] for p in parts]), n)
-    pairs, at = np.unique(a << 32 | b, return_inverse=True)
-    pair_sum = sums(at, count, len(pairs))
-    parent = np.repeat(at, np.concatenate([p[follow] for p in parts]))
-    triples, at = np.unique(parent << 32 | c, return_inverse=True)
-    triple_sum = sums(at, count3, len(triples))
+    pairs, pair_at = np.unique(a << 32 | b, return_inverse=True)
+    pair_sum = sums(pair_at, count, len(pairs))
+    parent = np.repeat(pair_at, np.concatenate([p[follow] for p in parts]))
+    triples, triple_at = np.unique(parent << 32 | c, return_inverse=True)
+    triple_sum = sums(triple_at, count3, len(triples))
+    del a, b, c, local, parent
     # Training's alone, with the pairs that triples begin with.
-    triples, triple_sum = triples[triple_sum > 0], triple_sum[triple_sum > 0]
-    follows = np.bincount(triples >> 32, minlength=len(pairs))
+    learned, asked = triple_sum > 0, np.bincount(triples >> 32, minlength=len(pairs))
+    follows = np.bincount(triples[learned] >> 32, minlength=len(pairs))
     kept = (pair_sum > 0) | (follows > 0)
     if not kept.any():
         return pd.DataFrame([], columns=["shard", "chunk", "payload"])
     code = lambda x: np.where(x > 0, quantised(np.log10(np.maximum(x, 1) / tokens)), 0)
     first, seconds = np.unique(numbers[pairs[kept] >> 32], return_counts=True)
     trie = Trie(Trie.packed(first, (seconds, numbers[pairs[kept] & LOCAL], code(pair_sum[kept])),
-                            (follows[kept], numbers[triples & LOCAL], code(triple_sum))))
-    del a, b, c, local, numbers, pairs, triples, parent, at
-    out = [(shard, chunk, _bundle(*trie.codes(np.cumsum(p[step]), p[many], p[second], p[follow], p[third])))
-           for shard, chunk, p in zip(group["shard"], group["chunk"], parts)]
+                            (follows[kept], numbers[triples[learned] & LOCAL], code(triple_sum[learned]))))
+    # What several chunks ask for is searched once.
+    first, seconds = np.unique(numbers[pairs >> 32], return_counts=True)
+    two, three = trie.codes(first, seconds, numbers[pairs & LOCAL], asked, numbers[triples & LOCAL])
+    ends = np.cumsum([(len(p[second]), len(p[third])) for p in parts], axis=0)[:-1].T
+    out = [(shard, chunk, _bundle(two[x], three[y])) for shard, chunk, x, y in zip(
+        group["shard"], group["chunk"], np.split(pair_at, ends[0]), np.split(triple_at, ends[1]))]
     return pd.DataFrame(out, columns=["shard", "chunk", "payload"])
 
 

@@ -1,7 +1,7 @@
 """An n-gram trie in a few flat buffers: Elias-Fano coded words, pointers and successors, quantised probabilities.
 
 A level of monotone numbers is held as Elias-Fano does: the low bits of each side by side, the high bits as a bit vector
-in which number i sets bit (high + i), with the ones before every 512 bits counted once. It is searched as it lies: a
+in which number i sets bit (high + i), with the ones before every 64 bits counted once. It is searched as it lies: a
 query counts bits in the words it touches, nothing is unpacked first.
 
 The first level is the sorted words that begin an n-gram. Every further level holds the successors of the nodes of the
@@ -18,8 +18,8 @@ import numpy as np
 
 # Steps of a decade, and the least exponent, of a quantised probability. Code 0 stands for none.
 STEPS, LEAST = 2000, -16.0
-# 64-bit words of a block whose ones are counted once, and queries worked on at a time.
-BLOCK, SLICE = 8, 1 << 15
+# Queries worked on at a time.
+SLICE = 1 << 15
 
 
 def quantised(log10: np.ndarray) -> np.ndarray:
@@ -32,14 +32,14 @@ def restored(code: np.ndarray) -> np.ndarray:
 
 
 class EliasFano:
-    """A sorted sequence of numbers of at least 0."""
+    """A sorted sequence of numbers of at least 0, fewer than 2^30 of them."""
 
     def __init__(self, buffer: memoryview):
         self.n, self.width, self.top, low, high = struct.unpack_from("<QQqQQ", buffer)
         views, at = [], 40
-        for dtype, many in ((np.uint64, low), (np.uint64, high), (np.int64, high // BLOCK + 1)):
+        for dtype, many in ((np.uint64, low), (np.uint64, high), (np.uint32, high)):
             views.append(np.frombuffer(buffer, dtype, many, at))
-            at += 8 * many
+            at += views[-1].nbytes
         self.low, self.high, self.ones = views
         self.end = at
 
@@ -49,39 +49,34 @@ class EliasFano:
         n, last = len(values), int(values[-1]) if len(values) else 0
         width = max(0, (last // max(n, 1)).bit_length() - 1)
         high = (values >> np.uint64(width)).astype(np.int64)
-        bits = np.zeros(-(-((int(high[-1]) if n else 0) + n + 1) // (64 * BLOCK)) * 64 * BLOCK, np.uint8)
+        bits = np.zeros(-(-((int(high[-1]) if n else 0) + n + 1) // 128) * 128, np.uint8)
         bits[high + np.arange(n)] = 1
         high_words = np.packbits(bits, bitorder="little").view(np.uint64)
-        ones = np.append(0, np.cumsum(np.bitwise_count(high_words).reshape(-1, BLOCK).sum(axis=1, dtype=np.int64)))
+        ones = np.cumsum(np.bitwise_count(high_words), dtype=np.uint32) - np.bitwise_count(high_words)
         # As many bits of each as wanted; slices of a multiple of eight numbers end at whole bytes.
         low = b"".join(np.packbits(np.unpackbits(
             values[k:k + SLICE].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")[:, :width].ravel(), bitorder="little").tobytes()
             for k in range(0, n, SLICE)) if width else b""
         low += bytes(-len(low) % 8 + 8)
         head = struct.pack("<QQqQQ", n, width, int(high[-1]) if n else -1, len(low) // 8, len(high_words))
-        return head + low + high_words.tobytes() + ones.astype(np.int64).tobytes()
+        return head + low + high_words.tobytes() + ones.astype(np.uint32).tobytes()
 
     def _select(self, rank: np.ndarray, zero: bool) -> np.ndarray:
         """Place of the bit with this number among the ones, or among the zeros, of the high bits."""
-        before = 64 * BLOCK * np.arange(len(self.ones)) - self.ones if zero else self.ones
+        before = np.uint32(64) * np.arange(len(self.ones), dtype=np.uint32) - self.ones if zero else self.ones
         out = np.empty(len(rank), np.int64)
         for first in range(0, len(rank), SLICE):
-            left = rank[first:first + SLICE]
-            block = np.searchsorted(before, left, side="right") - 1
-            left = left - before[block]
-            words = self.high[block[:, None] * BLOCK + np.arange(BLOCK)]
-            words = ~words if zero else words
-            upto = np.cumsum(np.bitwise_count(words), axis=1, dtype=np.int64)
-            which = (upto <= left[:, None]).sum(axis=1)
-            rows = np.arange(len(left))
-            left -= np.where(which > 0, upto[rows, which - 1], 0)
-            word, place = words[rows, which], 64 * (block * BLOCK + which)
+            left = rank[first:first + SLICE].astype(np.uint32)
+            place = np.searchsorted(before, left, side="right") - 1
+            left, word = (left - before[place]).astype(np.uint8), self.high[place]
+            word, place = ~word if zero else word, place * 64
             for half in (32, 16, 8, 4, 2, 1):
-                many = np.bitwise_count(word & np.uint64((1 << half) - 1)).astype(np.int64)
+                many = np.bitwise_count(word & np.uint64((1 << half) - 1))
                 above = many <= left
-                left -= np.where(above, many, 0)
-                place += np.where(above, half, 0)
-                word = np.where(above, word >> np.uint64(half), word)
+                left -= many * above
+                step = above * np.uint64(half)
+                place += step.astype(np.int64)
+                word = word >> step
             out[first:first + SLICE] = place
         return out
 
@@ -100,13 +95,13 @@ class EliasFano:
     def __getitem__(self, at: np.ndarray) -> np.ndarray:
         return ((self._select(at, False) - at) << self.width) | self._low(at)
 
-    def successor(self, value: np.ndarray, begin: np.ndarray | int = 0, end: np.ndarray | int | None = None) -> np.ndarray:
-        """Place of the first number of at least `value` in the places from begin to end: by its high part, then by
-        halving the stretch of numbers that share it."""
+    def _near(self, value: np.ndarray, begin: np.ndarray | int, end: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
+        """Place of the first number of at least `value` in the places from begin to end, and where those end that share
+        its high part: by the high part, then by halving the stretch of numbers that share it."""
         high = np.minimum(value >> self.width, self.top + 1)
         lo = np.maximum(self._below(high), begin)
-        hi = np.maximum(np.minimum(self._below(np.minimum(high + 1, self.top + 1)), self.n if end is None else end), lo)
-        want = value & ((1 << self.width) - 1)
+        last = np.maximum(np.minimum(self._below(np.minimum(high + 1, self.top + 1)), end), lo)
+        want, hi = value & ((1 << self.width) - 1), last.copy()
         open_ = np.flatnonzero(lo < hi) if self.width else np.zeros(0, np.int64)
         while len(open_):
             middle = (lo[open_] + hi[open_]) // 2
@@ -114,15 +109,20 @@ class EliasFano:
             lo[open_] = np.where(less, middle + 1, lo[open_])
             hi[open_] = np.where(less, hi[open_], middle)
             open_ = open_[lo[open_] < hi[open_]]
-        return lo
-
-    def find(self, value: np.ndarray) -> np.ndarray:
-        """Place of each number, or -1."""
-        if not self.n:
-            return np.full(len(value), -1)
-        at = self.successor(value)
-        inside = np.minimum(at, self.n - 1)
-        return np.where((at < self.n) & (self[inside] == value), at, -1)
+        return lo, last
+
+    def successor(self, value: np.ndarray) -> np.ndarray:
+        """Place of the first number of at least `value`."""
+        return self._near(value, 0, self.n)[0]
+
+    def find(self, value: np.ndarray, begin: np.ndarray | int = 0, end: np.ndarray | int | None = None) -> np.ndarray:
+        """Place of each number in the places from begin to end, or -1."""
+        at, last = self._near(value, begin, self.n if end is None else end)
+        inside = np.flatnonzero(at < last)
+        hit = inside[self._low(at[inside]) == (value[inside] & ((1 << self.width) - 1))]
+        out = np.full(len(value), -1)
+        out[hit] = at[hit]
+        return out
 
 
 def _joined(parts: list[bytes]) -> bytes:
@@ -155,15 +155,17 @@ class Level:
 
     def find(self, above: np.ndarray, many: np.ndarray, value: np.ndarray) -> np.ndarray:
         """Place of each value, `many` of them in turn among the successors of each node `above`, or -1; a node of -1 has none."""
-        if not self.values.n:
-            return np.full(len(value), -1)
-        node = np.maximum(above, 0)
-        begin, end = (np.repeat(np.where(above >= 0, self.pointers[node + k], 0), many) for k in (0, 1))
-        value = value + np.repeat(self.base[node], many)
-        at = self.values.successor(value, begin, end)
-        hit = at < end
-        hit[hit] = self.values[at[hit]] == value[hit]
-        return np.where(hit, at, -1)
+        nodes = np.flatnonzero(above >= 0)
+        begin, end = self.pointers[above[nodes]], self.pointers[above[nodes] + 1]
+        # Only nodes that are in here and have successors are searched.
+        nodes, begin, end = nodes[begin < end], begin[begin < end], end[begin < end]
+        here = np.zeros(len(above), bool)
+        here[nodes] = True
+        asked = np.flatnonzero(np.repeat(here, many))
+        begin, end, base = (np.repeat(x, many[nodes]) for x in (begin, end, self.base[above[nodes]]))
+        out = np.full(len(value), -1)
+        out[asked] = self.values.find(value[asked] + base, begin, end)
+        return out
 
     def code(self, at: np.ndarray) -> np.ndarray:
         return np.where(at >= 0, self.codes[np.maximum(at, 0)], 0) if len(self.codes) else np.zeros(len(at), np.uint16)
