@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repodw.operators.latest import newest_value
+from repodw.operators.spread import parts_for, spread
 
 
 class Tables:
+    parts: int | None = None  # partitions for the facts; None leaves them to Spark
+
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
@@ -145,15 +148,24 @@ fx_fact AS (
             F.when(nation % 2 == 0, "gitee").otherwise("github").alias("source_platform"),
         )
 
+    @cached_property
+    def parts(self) -> int:
+        return parts_for(self.table("lineitem"))
+
     @cached_property
     def fact(self) -> DataFrame:
-        days = self.table("lineitem").groupBy(
-            F.col("l_suppkey").alias("project_id"), F.col("l_shipdate").cast("date").alias("snapshot_date")
-        ).agg(
+        # Dealt by project and day first, so that a project of many lines is many tasks' work, then by project, as
+        # the rollups need them. Nothing is aggregated ahead of the first, where a task has the lines of a whole split.
+        lines = self.table("lineitem").select(
+            F.col("l_suppkey").alias("project_id"), F.col("l_shipdate").cast("date").alias("snapshot_date"),
+            "l_quantity", "l_linenumber", (F.col("l_returnflag") == "R").alias("returned"),
+        )
+        days = spread(lines, self.parts, "project_id", "snapshot_date").groupBy("project_id", "snapshot_date").agg(
             F.max("l_quantity").cast("long").alias("stars_count"),
             F.max("l_linenumber").cast("long").alias("forks_count"),
-            F.count(F.when(F.col("l_returnflag") == "R", 1)).alias("open_issues_count"),
+            F.count(F.when(F.col("returned"), 1)).alias("open_issues_count"),
         )
+        days = spread(days, self.parts, "project_id")
         return days.join(self.dim.select("project_id", "org_name", "source_platform"), "project_id").select(
             "project_id", "org_name", "source_platform", "snapshot_date", "stars_count", "forks_count",
             "open_issues_count",

@@ -14,6 +14,7 @@ from repodw.functions.text import month_of_date, month_of_text, not_blank
 from repodw.operators.dedup import keep_one
 from repodw.operators.latest import rows_on
 from repodw.operators.shares import share_of_total
+from repodw.operators.spread import spread
 from repodw.operators.topk import numbered, pinned, top_rows
 
 
@@ -198,14 +199,14 @@ def monthly(project_daily: DataFrame, org_daily: DataFrame, platform_daily: Data
     )
 
 
-def monthly_once(fact: DataFrame, dim: DataFrame) -> DataFrame:
+def monthly_once(fact: DataFrame, dim: DataFrame, parts: int | None = None) -> DataFrame:
     """monthly() of the facts themselves, which are read once.
 
     Facts are reduced to a row per project, organisation and day; grouping sets give rows per project and day and per
     organisation and day out of these. Change against the day before, and a month's sums of each project or organisation,
     are found in the one partitioning by these. The stars at a month's end are those of the projects whose last day in the
     month is the month's last, so that no further pass by day is needed. Facts of projects that `dim` lacks count for no
-    platform.
+    platform. `parts` is the number of partitions the days of projects and organisations are dealt over.
     """
     stars = F.col("stars_count").cast("long")
     days = fact.groupBy("project_id", "org_name", "snapshot_date").agg(
@@ -216,6 +217,7 @@ def monthly_once(fact: DataFrame, dim: DataFrame) -> DataFrame:
     known = dim.select("project_id", F.lit(True).alias("known")).distinct()
     rows = sets.join(known, "project_id", "left").withColumn("value", F.when(F.col("is_project"), F.col("best")).otherwise(F.col("projects")))
     key = ["is_project", "project_id", "org_name"]
+    rows = spread(rows, parts, *key)
     before = Window.partitionBy(*key).orderBy("snapshot_date")
     adjacent = F.lag("snapshot_date").over(before) == F.date_sub("snapshot_date", 1)
     change = F.col("value") - F.coalesce(F.when(adjacent, F.lag("value").over(before)), F.col("value"))

@@ -1,6 +1,7 @@
 """Results kept in their order, keyword pruning, the tree of the keyword pick, and the trend's one scan."""
 import random
 import re
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +10,8 @@ from helpers import TESTDATA, land, record, rows_of
 from test_warehouse import DAYS, load
 
 from repodw.checks.bindings import Lines
-from repodw.operators import filters, paging, stored
-from repodw.plans import ads, serve
+from repodw.operators import filters, paging, spread, stored
+from repodw.plans import ads, dws, serve
 from repodw.sources import selection
 
 
@@ -127,3 +128,21 @@ def test_trend_of_unknown_projects_gaps_and_nulls(spark):
     dim = spark.createDataFrame([(1, "Go", "github"), (2, "C", "gitee"), (3, "C", "gitee")], "project_id long, language string, source_platform string")
     plain = ads.monthly(dws.project_daily(fact), dws.org_daily(fact), dws.platform_daily(fact, dim))
     assert rows_of(ads.monthly_once(fact, dim), *sorted(plain.columns)) == rows_of(plain, *sorted(plain.columns))
+
+
+def test_facts_of_lines_are_dealt_by_their_number(spark, tmp_path, monkeypatch):
+    """No task has more than a share of the days of projects, where Spark alone joins all partitions into one."""
+    monkeypatch.setattr(spread, "ROWS_PER_TASK", 100)
+    rows = [(p, datetime(2024, 1, 1) + timedelta(d), float(d % 7), d % 3, "R" if d % 2 else "N") for p in range(200) for d in range(20)]
+    rows += [(None, datetime(2024, 1, 1), 1.0, 1, "N"), (1, None, 1.0, 1, None)]
+    spark.createDataFrame(rows, "l_suppkey long, l_shipdate timestamp, l_quantity double, l_linenumber int, l_returnflag string"
+                          ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(p, f"s{p}", p % 25) for p in range(200)], "s_suppkey long, s_name string, s_nationkey int"
+                          ).write.parquet(f"{tmp_path}/supplier.parquet")
+    lines = Lines(spark, str(tmp_path))
+    assert lines.parts == 41
+    for daily in (lines.fact, dws.project_daily(lines.fact)):
+        counts = daily.groupBy(F.spark_partition_id()).count().collect()
+        assert sum(n for _, n in counts) == 4001 and max(n for _, n in counts) <= 400
+    months = ads.monthly_once(lines.fact, lines.dim, lines.parts)
+    assert rows_of(months, *sorted(months.columns)) == rows_of(ads.monthly_once(lines.fact, lines.dim), *sorted(months.columns))
