@@ -8,7 +8,7 @@ from functools import cache
 import numpy as np
 
 # Bytes handled at a time: bounds the memory of a task, whatever the length of a text.
-PIECE = 1 << 21
+PIECE = 1 << 18
 _K = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D
 

@@ -101,19 +101,27 @@ def pieces(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
         yield places, lot
 
 
-def bundled(texts: list[str], dimensions: int) -> tuple[np.ndarray, np.ndarray]:
-    """The vector of each text, counts times trigram vectors, and whether it has a letter."""
-    out, lettered = np.zeros((len(texts), dimensions), np.float32), np.zeros(len(texts), bool)
+def bundles(texts: list[str], dimensions: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """The vectors of the texts, counts times trigram vectors, and whether each has a letter, a lot at a time behind the
+    place of its first text. The last text of a lot, which may go on in the next one, is held back for that."""
+    base, held, known = 0, np.zeros((0, dimensions), np.float32), np.zeros(0, bool)
     for places, lot in pieces(texts):
+        at_lot = np.array(places) - base
+        out, lettered = np.zeros((at_lot[-1] + 1, dimensions), np.float32), np.zeros(at_lot[-1] + 1, bool)
+        out[:len(held)], lettered[:len(known)] = held, known
         keys, text, at = trigrams(lot)
-        lettered[np.array(places)[np.unique(text)]] = True
+        lettered[at_lot[np.unique(text)]] = True
         for first in range(0, len(keys), BLOCK):
             many = min(BLOCK, len(keys) - first)
             here = (at >= first) & (at < first + many) if len(keys) > BLOCK else slice(None)
             counts = np.bincount(text[here] * many + at[here] - first, minlength=len(lot) * many).astype(np.float32)
             vectors = counts.reshape(len(lot), many) @ trigram_vectors(keys[first:first + many], dimensions)
-            np.add.at(out, places, vectors)
-    return out, lettered
+            np.add.at(out, at_lot, vectors)
+        if len(out) > 1:
+            yield base, out[:-1], lettered[:-1]
+        base, held, known = places[-1], out[-1:].copy(), lettered[-1:]
+    if len(held):
+        yield base, held, known
 
 
 def learn(docs: DataFrame, dimensions: int = DIMENSIONS) -> dict[str, np.ndarray]:
@@ -155,11 +163,12 @@ def identify(docs: DataFrame, model: dict[str, np.ndarray], dimensions: int = DI
         for batch in batches:
             names, scores = [UNKNOWN] * len(batch), np.zeros(len(batch))
             if prototypes is not None:
-                vectors, lettered = bundled([t or "" for t in batch.column("text").to_pylist()], dimensions)
-                lengths = np.linalg.norm(vectors, axis=1)
-                cosines = vectors @ prototypes.T / np.where(lengths > 0, lengths, 1)[:, None]
-                names = [langs[k] if known else UNKNOWN for k, known in zip(cosines.argmax(1), lettered)]
-                scores = np.where(lettered, np.clip(cosines.max(1), 0, 1), 0).astype(float)
+                for first, vectors, lettered in bundles([t or "" for t in batch.column("text").to_pylist()], dimensions):
+                    lengths = np.linalg.norm(vectors, axis=1)
+                    cosines = vectors @ prototypes.T / np.where(lengths > 0, lengths, 1)[:, None]
+                    last = first + len(vectors)
+                    names[first:last] = [langs[k] if known else UNKNOWN for k, known in zip(cosines.argmax(1), lettered)]
+                    scores[first:last] = np.where(lettered, np.clip(cosines.max(1), 0, 1), 0)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in kept], pa.array(names, pa.string()), pa.array(scores)], names=[*kept, "lang_pred", "score"])
 

@@ -1,6 +1,7 @@
 """Collocations, robust outliers and source divergence: brute force, pieces, borders of ranges, odd inputs."""
 import math
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -8,7 +9,7 @@ import pyarrow as pa
 import pytest
 from brute import DOCS, LOWER, ODD, REPEATED
 
-from repodw.llm import collocate, divergence, outliers
+from repodw.llm import collocate, divergence, hashing, langid, neardup, outliers
 from repodw.llm.queries import QUERIES
 
 
@@ -234,3 +235,29 @@ def test_odd_rows(spark, tables, name):
     rows = QUERIES[name](spark, tables(documents=(REPEATED, DOCS))).collect()
     if name == "op12_rules":
         assert len(rows) == len(REPEATED) and not {r["doc_id"]: r["kept"] for r in rows}[ODD[0][0]]
+
+
+def test_hashing_texts_takes_little_memory():
+    """The tables and work arrays of a worker, which all its tasks share an executor with."""
+    texts = ["some words of a text that goes on " * 60 + str(k) for k in range(4000)]
+    hashing._tables.cache_clear()
+    tracemalloc.start()
+    found = sum(len(s) for _, s in neardup._sets(texts, 5))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    hashing._tables.cache_clear()
+    assert found > 4000 and most < 40_000_000
+
+
+def test_language_vectors_come_a_lot_at_a_time(monkeypatch):
+    """Texts that are cut, and cut again, have the vectors they have whole, and no lot has those of all texts."""
+    texts = ["der die das " * 9, "", "12 3", "x", "the cat and the dog " * 40, "und " * 3, "", "a b"] * 90
+    whole = {first + k: (v, known) for first, vectors, lettered in langid.bundles(texts, 64) for k, (v, known) in enumerate(zip(vectors, lettered))}
+    monkeypatch.setattr(langid, "PIECE", 50)
+    cut = list(langid.bundles(texts, 64))
+    assert len(cut) > 90 and max(len(vectors) for _, vectors, _ in cut) < 20
+    again = {first + k: (v, known) for first, vectors, lettered in cut for k, (v, known) in enumerate(zip(vectors, lettered))}
+    assert list(whole) == list(again) == list(range(len(texts)))
+    assert all(whole[k][1] == again[k][1] == any(c.isalpha() for c in texts[k]) for k in whole)
+    # A cut falls between words, but for the edge of the text that follows it.
+    assert all((whole[k][0] == again[k][0]).all() for k in whole)
