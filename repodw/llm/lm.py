@@ -85,12 +85,28 @@ def _unbundle(packed: bytes, many: int) -> list[np.ndarray]:
     return out
 
 
+def _order(key: np.ndarray, many: int) -> np.ndarray:
+    """Places of the numbers below `many` in rising order, equal ones as they come; few of them are sorted by digits."""
+    return np.argsort(key.astype(np.uint16) if many <= 1 << 16 else key, kind="stable")
+
+
+def _runs(rising: np.ndarray) -> np.ndarray:
+    """Where each run of equal numbers begins. numpy's unique hashes what is sorted already."""
+    return np.flatnonzero(np.append(True, rising[1:] != rising[:-1])) if len(rising) else np.zeros(0, np.int64)
+
+
+def _counted(rising: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers, and how often each comes."""
+    begin = _runs(rising)
+    return rising[begin], np.diff(np.append(begin, len(rising)))
+
+
 def _by(key: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
     """(shard, places) for the shards that occur in key."""
-    order = np.argsort(key, kind="stable")
-    bounds = np.searchsorted(key[order], np.arange(shards + 1))
-    for shard in np.unique(key):
-        yield int(shard), order[bounds[shard]:bounds[shard + 1]]
+    order = _order(key, shards)
+    begin = _runs(key[order])
+    for lo, hi in zip(begin, np.append(begin[1:], len(order))):
+        yield int(key[order[lo]]), order[lo:hi]
 
 
 def chunks(docs: DataFrame) -> DataFrame:
@@ -193,6 +209,7 @@ class Ngrams:
         self.lengths = np.frombuffer(row["lengths"], np.uint32).astype(np.int64)
         first = np.cumsum(self.lengths) - self.lengths
         learned = np.repeat(np.frombuffer(row["train"], np.uint8) > 0, self.lengths)
+        self.shards = shards
         # Places in the chunk's sorted numbers, in which unknown words are 0 and the start is 1.
         numbers, local = np.unique(np.append([UNKNOWN, START], number), return_inverse=True)
         size = np.zeros(len(numbers), np.int64)
@@ -226,15 +243,19 @@ class Ngrams:
     def parts(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """(shard, its pairs, how many of its triples follow each, its triples): pairs counted there or begun by a triple."""
         many = len(self.first)
-        wanted = self.triple_shard * many + self.parent
-        nodes = np.unique(np.concatenate((self.pair_shard * many + np.arange(many), wanted)))
-        order = np.lexsort((np.arange(len(wanted)), wanted // max(many, 1)))
-        follow = np.bincount(np.searchsorted(nodes, wanted), minlength=len(nodes))
+        # Triples rise by their pair, so that by shard they rise by node, a shard's pair.
+        order = _order(self.triple_shard, self.shards)
+        wanted = (self.triple_shard * many + self.parent)[order]
+        begin = _runs(wanted)
+        nodes = np.sort(np.concatenate((self.pair_shard * many + np.arange(many), wanted[begin])))
+        nodes = nodes[_runs(nodes)]
+        follow = np.zeros(len(nodes), np.int64)
+        follow[np.searchsorted(nodes, wanted[begin])] = np.diff(np.append(begin, len(wanted)))
         ends = np.append(0, np.cumsum(follow))
         shard = nodes // max(many, 1)
-        for s in np.unique(shard):
-            lo, hi = np.searchsorted(shard, (s, s + 1))
-            yield int(s), nodes[lo:hi] % many, follow[lo:hi], order[ends[lo]:ends[hi]]
+        bounds = _runs(shard)
+        for lo, hi in zip(bounds, np.append(bounds[1:], len(shard))):
+            yield int(shard[lo]), nodes[lo:hi] % many, follow[lo:hi], order[ends[lo]:ends[hi]]
 
 
 FORM = "shard int, chunk long, payload binary"
@@ -268,11 +289,11 @@ def _answers(group: pd.DataFrame, tokens: int) -> pd.DataFrame:
     if not kept.any():
         return pd.DataFrame([], columns=["shard", "chunk", "payload"])
     code = lambda x: np.where(x > 0, quantised(np.log10(np.maximum(x, 1) / tokens)), 0)
-    first, seconds = np.unique(numbers[pairs[kept] >> 32], return_counts=True)
+    first, seconds = _counted(numbers[pairs[kept] >> 32])
     trie = Trie(Trie.packed(first, (seconds, numbers[pairs[kept] & LOCAL], code(pair_sum[kept])),
                             (follows[kept], numbers[triples[learned] & LOCAL], code(triple_sum[learned]))))
     # What several chunks ask for is searched once.
-    first, seconds = np.unique(numbers[pairs >> 32], return_counts=True)
+    first, seconds = _counted(numbers[pairs >> 32])
     two, three = trie.codes(first, seconds, numbers[pairs & LOCAL], asked, numbers[triples & LOCAL])
     ends = np.cumsum([(len(p[second]), len(p[third])) for p in parts], axis=0)[:-1].T
     out = [(shard, chunk, _bundle(two[x], three[y])) for shard, chunk, x, y in zip(
@@ -296,7 +317,8 @@ def scores(docs: DataFrame) -> DataFrame:
         for row in _rows(batches):
             grams, out = Ngrams(row, starts, shards), []
             for shard, pairs, follow, triples in grams.parts():
-                first, begin = np.unique(grams.first[pairs], return_index=True)
+                begin = _runs(grams.first[pairs])
+                first = grams.first[pairs[begin]]
                 counted = np.where(grams.pair_shard[pairs] == shard, grams.pair_count[pairs], 0)
                 out.append((shard, row["chunk"], _bundle(
                     np.diff(first, prepend=0), np.diff(np.append(begin, len(pairs))), grams.second[pairs], counted, follow,

@@ -80,3 +80,37 @@ def test_a_repeated_line_is_sent_once():
         return sum(len(pairs) + len(triples) for _, pairs, _, triples in grams.parts())
 
     assert sent(1) == sent(100_000) == 19
+
+
+def test_ngrams_are_dealt_without_hashing_what_is_sorted(monkeypatch):
+    """parts() gives each shard its pairs, those its triples begin with among them, and its triples in order; numpy's unique
+    without places, which hashes, took most of its time."""
+    draw = np.random.default_rng(3)
+    words, lengths = draw.permutation(60), np.array([4000, 1, 999], np.uint32)
+    total = np.where(words < 3, 3 * lm.HOT, words)
+    row = {"known": [{"shard": 0, "numbers": lm._pack(np.where(words > 50, lm.UNKNOWN, words + 2), "<i8"), "totals": lm._pack(total, "<i8")}],
+           "rank": lm._pack(np.arange(60), "<u4"), "tokens": lm._pack(draw.integers(0, 60, lengths.sum()), "<u4"),
+           "lengths": lengths.tobytes(), "train": np.array([1, 0, 1], np.uint8).tobytes()}
+    grams = lm.Ngrams(row, 2, 7)
+    plain = {}
+    for k, s in enumerate(grams.pair_shard):
+        plain.setdefault(int(s), {})[k] = []
+    for k, (s, pair) in enumerate(zip(grams.triple_shard, grams.parent)):
+        plain.setdefault(int(s), {}).setdefault(int(pair), []).append(k)
+    monkeypatch.setattr(lm.np, "unique", lambda *a, **k: pytest.fail("unique"))
+    found = {s: (pairs.tolist(), follow.tolist(), triples.tolist()) for s, pairs, follow, triples in grams.parts()}
+    assert len(found) == 7 and (grams.triple_shard != grams.pair_shard[grams.parent]).any()
+    assert list(found) == sorted(plain)
+    for s, of_shard in plain.items():
+        pairs = sorted(of_shard)
+        assert found[s] == (pairs, [len(of_shard[k]) for k in pairs], [t for k in pairs for t in of_shard[k]])
+    assert [(s, at.tolist()) for s, at in lm._by(np.array([2, 0, 2, 5]), 8)] == [(0, [1]), (2, [0, 2]), (5, [3])]
+    assert not list(lm._by(np.zeros(0, np.int64), 8))
+
+
+def test_no_ngrams():
+    """Documents without words, of a training that knows not even their end."""
+    row = {"known": [{"shard": 0, "numbers": lm._pack(np.zeros(1), "<i8"), "totals": lm._pack(np.zeros(1), "<i8")}],
+           "rank": lm._pack(np.zeros(1), "<u4"), "tokens": lm._pack(np.zeros(2), "<u4"), "lengths": np.array([1, 1], np.uint32).tobytes(),
+           "train": np.zeros(2, np.uint8).tobytes()}
+    assert not list(lm.Ngrams(row, 0, 3).parts())
