@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from repodw.llm import decontaminate, langid, mix, neardup, secrets
 from repodw.llm.common import table
-from repodw.session import written
+from repodw.session import small_batches, written
 
 LANGUAGE_RARE, LANGUAGE_SHARE = 0.001, 0.5
 
@@ -20,11 +20,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> Data
     """Documents in a language; null texts and texts without a letter go, and so do texts whose cosine with their language's
     prototype is below a bound: `LANGUAGE_SHARE` of the cosine that all but `LANGUAGE_RARE` of the labelled documents reach.
     Prototypes are learned from the input's own labels; without any, all texts with a letter stay. `lang` is left as it is."""
-    model = langid.learn(docs.select("text", "lang"))
+    with small_batches(spark):
+        model = langid.learn(docs.select("text", "lang"))
     clash = {c: f"_own_{c}" for c in ("lang_pred", "score") if c in docs.columns}
     if not model:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    found = written(langid.identify(docs.withColumnsRenamed(clash), model).filter(F.col("lang_pred") != langid.UNKNOWN), "identified")
+    with small_batches(spark):
+        found = written(langid.identify(docs.withColumnsRenamed(clash), model).filter(F.col("lang_pred") != langid.UNKNOWN), "identified")
     reached = found.filter("lang IS NOT NULL").agg(F.percentile_approx("score", LANGUAGE_RARE, 100_000).alias("q")).first()["q"]
     found = found.filter(F.col("score") >= LANGUAGE_SHARE * (reached or 0.0))
     return found.drop("lang_pred", "score").withColumnsRenamed({own: c for c, own in clash.items()})
@@ -34,7 +36,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> D
     """One document of each group of near-duplicates (five-word shingles, similarity of at least 0.8): the least doc_id.
     Rows that repeat a doc_id stay or go together, but of rows that share id and text one stays; null ids and texts
     without words stay."""
-    found = neardup.near_duplicates(docs.select("doc_id", "text"))
+    with small_batches(spark):
+        found = neardup.near_duplicates(docs.select("doc_id", "text"))
     gone = written(found.filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
     few = F.broadcast(gone) if gone.count() <= neardup.BROADCAST_ROWS else gone
     left = docs.join(few, F.col("doc_id") == F.col("_gone"), "left_anti")

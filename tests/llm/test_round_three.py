@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from brute import DOCS, LOWER, ODD, REPEATED
 
-from repodw.llm import collocate, divergence, hashing, langid, neardup, outliers
+from repodw.llm import collocate, divergence, hashing, langid, neardup, outliers, stages
 from repodw.llm.queries import QUERIES
 
 
@@ -261,3 +261,22 @@ def test_language_vectors_come_a_lot_at_a_time(monkeypatch):
     assert all(whole[k][1] == again[k][1] == any(c.isalpha() for c in texts[k]) for k in whole)
     # A cut falls between words, but for the edge of the text that follows it.
     assert all((whole[k][0] == again[k][0]).all() for k in whole)
+
+
+def test_pipeline_hands_python_small_batches(spark, monkeypatch):
+    """Whole texts reach Python 2000 rows at a time, and the session's own size is back afterwards."""
+    key, seen, rows = "spark.sql.execution.arrow.maxRecordsPerBatch", [], []
+
+    def watched(of, name):
+        inner = getattr(of, name)
+        monkeypatch.setattr(of, name, lambda *a, **k: (seen.append((name, spark.conf.get(key))), inner(*a, **k))[1])
+
+    watched(langid, "learn")
+    watched(langid, "identify")
+    watched(neardup, "near_duplicates")
+    docs = spark.createDataFrame([(k, f"the words of text {k} " * 9, "en") for k in range(30)], "doc_id long, text string, lang string")
+    before = spark.conf.get(key)
+    for stage in (stages.identify_language, stages.drop_near_duplicates):
+        rows.append(stage(spark, docs, "").count())
+        assert spark.conf.get(key) == before
+    assert seen == [("learn", "2000"), ("identify", "2000"), ("near_duplicates", "2000")] and rows[0] == 30
