@@ -27,7 +27,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repodw.llm.components import components
@@ -123,6 +123,8 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int,
     b = sig.select(F.col("node").alias("b"), F.col("signature").alias("sb"), F.col("n_shingles").alias("nb"))
     alike = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     pairs = written(pairs.join(a, "a").join(b, "b").filter(alike).mapInPandas(near, "a long, b long"), "pairs")
+    if pairs.isEmpty():
+        return pairs
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "digest"), "node")
     sets = _full_sets(needed, docs, width)
     both = pairs.join(sets.select(F.col("node").alias("b"), F.col("x").alias("xb")), "b").join(
@@ -176,7 +178,6 @@ def _full_sets(needed: DataFrame, docs: DataFrame, width: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: a row per document."""
-    spark: SparkSession = docs.sparkSession
     signed = written(signatures(docs, width), "signatures")
     full = signed.filter("digest IS NOT NULL AND doc_id IS NOT NULL")
     nodes = full.groupBy("digest").agg(
@@ -189,8 +190,9 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     members = written(found.join(crowded, "key").distinct(), "members")
     degrees = written(members.groupBy("node").agg(F.sum("crowd").alias("degree")), "degrees")
 
-    links = spark.createDataFrame([], "a long, b long")
-    labels = spark.createDataFrame([], "node long, component long")
+    # Until there are links, each node is on its own.
+    links = nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).filter("false")
+    labels = nodes.select("node", F.col("node").alias("component")).filter("false")
     for number in range(ROUNDS + 1):
         now = members.join(degrees, "node").join(labels, "node", "left").select(
             "key", "node", "degree", F.coalesce("component", "node").alias("label"))
@@ -204,11 +206,24 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
                 F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b"))
         else:
             rest = written(now.join(open_keys.select("key"), "key").select("node", "label").distinct(), "rest")
+            if rest.isEmpty():
+                break
             pairs = _crossing(rest, docs, nodes, width, percent)
-        links = links.unionByName(_confirmed(pairs.distinct(), docs, nodes, width, percent))
-        labels = written(components(links), "labels")
-
-    joined = components(same_set.join(labels, F.col("b") == F.col("node"), "left").select("a", F.coalesce("component", "b").alias("b")))
+        more = _confirmed(pairs.distinct(), docs, nodes, width, percent)
+        # Without a new link the labels are what they were.
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            labels = components(links)
+
+    owned = same_set.join(labels, F.col("b") == F.col("node"), "left").select("a", F.coalesce("component", "b").alias("b")).distinct()
+    owned = written(owned, "owned")
+    joined = owned.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component"), F.max("b").alias("last"))
+    # Components that rows of one doc_id are in are one.
+    several = joined.filter("component < last").select(F.col("node").alias("a"), F.col("component").alias("least"))
+    tied = written(owned.join(several, "a").filter("b <> least").select(F.col("least").alias("a"), "b").distinct(), "tied")
+    if not tied.isEmpty():
+        merged = components(tied).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+        joined = joined.join(merged, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
     return signed.join(joined, signed["doc_id"] == joined["node"], "left").select(
         "doc_id", "n_shingles", F.coalesce(F.col("component"), F.col("doc_id")).alias("component_id"),
         F.coalesce(F.col("component") == F.col("doc_id"), F.lit(True)).alias("kept"))
